@@ -53,46 +53,54 @@ def ordered_scan(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    scans: list[Scan],
+    scans: list[Scan] | list[list[Scan]],
     chunk_by: str | None = None,
     chunk_width: int | None = SCAN_CHUNK,
 ) -> DataFrame:
     """Add one column per ``Scan``; rows are ordered by ``order`` within ``keys``.
 
+    ``scans`` may be a list of stages (lists); a stage can use the columns of the
+    stages before it.  All stages share one chunking, so later stages reuse the
+    partitioning of the first and add no shuffle of the full data.
+
     ``chunk_by`` must be a numeric column non-decreasing in ``order`` (e.g. the
     packet sequence or event-time micros).  With ``chunk_by=None`` the window is
     partitioned by ``keys`` alone; use that only where a key is bounded by
-    construction (a track's points, one lap's trace).
+    construction (a track's points).
     """
+    stages = scans if scans and isinstance(scans[0], list) else [scans]
     if chunk_by is None or chunk_width is None:
         w = Window.partitionBy(*keys).orderBy(*_cols(order))
         run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         before = w.rowsBetween(Window.unboundedPreceding, -1)
         out = df
-        for s in scans:
-            out = out.withColumn(s.name, _local(s, w, run, before))
+        for stage in stages:
+            for s in stage:
+                out = out.withColumn(s.name, _local(s, w, run, before))
         return out
 
     ck, rn = "_scan_chunk", "_scan_rn"
-    d = df.withColumn(ck, F.floor(F.col(chunk_by) / F.lit(chunk_width)).cast("long"))
     w = Window.partitionBy(*keys, ck).orderBy(*_cols(order))
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    local = d.withColumn(rn, F.row_number().over(w))
-    for s in scans:
-        local = local.withColumn(f"_loc_{s.name}", _local(s, w, run, before))
-
-    # Per-chunk totals from the window output: same partitioning, no new shuffle.
-    totals = local.groupBy(*keys, ck).agg(*[_total(s, rn).alias(f"_tot_{s.name}") for s in scans])
     wc = Window.partitionBy(*keys).orderBy(ck)
     earlier = wc.rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, ck, *[_carry(s, wc, earlier).alias(f"_car_{s.name}") for s in scans])
-
-    out = local.join(carry, [*keys, ck], "left")
-    for s in scans:
-        out = out.withColumn(s.name, _combine(s, F.col(f"_car_{s.name}"), F.col(f"_loc_{s.name}"), F.col(rn)))
-    drop = [ck, rn] + [f"_loc_{s.name}" for s in scans] + [f"_car_{s.name}" for s in scans]
-    return out.drop(*drop)
+    out = df.withColumn(ck, F.floor(F.col(chunk_by) / F.lit(chunk_width)).cast("long"))
+    out = out.withColumn(rn, F.row_number().over(w))
+    for stage in stages:
+        local = out
+        for s in stage:
+            local = local.withColumn(f"_loc_{s.name}", _local(s, w, run, before))
+        # Per-chunk totals from the window output: same partitioning, no new shuffle.
+        totals = local.groupBy(*keys, ck).agg(*[_total(s, rn).alias(f"_tot_{s.name}") for s in stage])
+        carry = totals.select(*keys, ck, *[_carry(s, wc, earlier).alias(f"_car_{s.name}") for s in stage])
+        out = local.join(carry, [*keys, ck], "left")
+        for s in stage:
+            out = out.withColumn(
+                s.name, _combine(s, F.col(f"_car_{s.name}"), F.col(f"_loc_{s.name}"), F.col(rn))
+            )
+        out = out.drop(*[f"_loc_{s.name}" for s in stage], *[f"_car_{s.name}" for s in stage])
+    return out.drop(ck, rn)
 
 
 def _local(s: Scan, w, run, before) -> Column:

@@ -10,9 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from pitwall.operators import clean as C
+from pitwall.operators import fusion as FU
 from pitwall.operators import laps as L
-from pitwall.plans.oracle import LAP_BOUNDARY_CTE, LAP_SUMMARY_CTE, with_fixture
+from pitwall.plans.oracle import DT_CTE, LAP_BOUNDARY_CTE, LAP_SUMMARY_CTE, with_fixture
+from pitwall.schema import WIRE_KEYS
 from pitwall.sources.fixtures import telemetry
+from pitwall.sources.packets import encode_packets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,6 +198,242 @@ def q_sector_times(spark, sf_dir):
     return L.sector_times(telemetry(spark, sf_dir))
 
 
+# ----------------------------------------------------------------- decode / clean
+
+
+def raw_packets(spark, sf_dir, ts_unit="ns"):
+    """Wire packets derived from the telemetry view (timestamp in ``ts_unit``)."""
+    return encode_packets(telemetry(spark, sf_dir), ts_unit)
+
+
+_WIRE_SQL = ", ".join("timestamp * 1000 AS timestamp" if k == "timestamp" else k for k in WIRE_KEYS)
+
+
+@register(
+    "decode_json",
+    with_fixture(f"SELECT car_id, track_id, seq, epoch_us(event_time) AS event_us, {_WIRE_SQL} FROM telemetry"),
+)
+def q_decode_json(spark, sf_dir):
+    d = C.decode_packets(raw_packets(spark, sf_dir), ts_unit="ns")
+    return d.select("car_id", "track_id", "seq", F.unix_micros("event_time").alias("event_us"), *WIRE_KEYS)
+
+
+@register(
+    "event_time",
+    with_fixture(
+        """SELECT car_id, seq, epoch_us(event_time) AS from_ns_us, epoch_us(event_time) AS from_us_us,
+  (timestamp // 1000) * 1000 AS from_ms_us, (timestamp // 1000000) * 1000000 AS from_s_us FROM telemetry"""
+    ),
+)
+def q_event_time(spark, sf_dir):
+    tel = telemetry(spark, sf_dir).select("car_id", "seq", "timestamp")
+    us = F.col("timestamp")
+    return tel.select(
+        "car_id",
+        "seq",
+        F.unix_micros(C.event_time(us * 1000, "ns")).alias("from_ns_us"),
+        F.unix_micros(C.event_time(us, "us")).alias("from_us_us"),
+        F.unix_micros(C.event_time(C.floor_div(us, 1000), "ms")).alias("from_ms_us"),
+        F.unix_micros(C.event_time(C.floor_div(us, 1000000), "s")).alias("from_s_us"),
+    )
+
+
+@register(
+    "archive_points",
+    with_fixture(
+        """SELECT car_id, track_id, timestamp * 1000 AS time, speed_kmh, CAST(trunc(rpm) AS INTEGER) AS rpm,
+  gear, throttle, brake, g_lat, g_long FROM telemetry"""
+    ),
+)
+def q_archive_points(spark, sf_dir):
+    return C.archive_points(raw_packets(spark, sf_dir))
+
+
+@register(
+    "quarantine",
+    with_fixture("SELECT car_id, track_id, seq, 'x' AS json, ['x'] AS reasons FROM telemetry WHERE false"),
+)
+def q_quarantine(spark, sf_dir):
+    return C.quarantine(raw_packets(spark, sf_dir))
+
+
+@register(
+    "schema_violations",
+    with_fixture("SELECT car_id, track_id, seq, 'x' AS key, 'x' AS kind FROM telemetry WHERE false"),
+)
+def q_schema_violations(spark, sf_dir):
+    return C.schema_violations(raw_packets(spark, sf_dir))
+
+
+@register("lap_json")
+def q_lap_json(spark, sf_dir):
+    return C.lap_json(L.lap_summary(telemetry(spark, sf_dir)))
+
+
+@register("latest_lap_state", with_fixture("SELECT * FROM lap_summary WHERE lap_count > 0", LAP_SUMMARY_CTE))
+def q_latest_lap_state(spark, sf_dir):
+    results = C.lap_json(L.lap_summary(telemetry(spark, sf_dir))).withColumn("version", F.lit(0))
+    rows = C.decode_lap_json(results)
+    latest = L.latest_per_key(rows.drop("version").withColumn("_v", F.lit(0)), ["car_id", "lap_count"], "_v")
+    return latest.drop("_v").filter(F.col("lap_count") > 0)
+
+
+# ------------------------------------------------------------ per-sample channels
+
+
+@register(
+    "sample_dt",
+    with_fixture("SELECT car_id, seq, round(dt, 6) AS dt_s FROM dt", *DT_CTE),
+)
+def q_sample_dt(spark, sf_dir):
+    return FU.sample_dt(telemetry(spark, sf_dir))
+
+
+@register(
+    "cumulative_distance",
+    with_fixture(
+        """SELECT car_id, seq, round(dt, 6) AS dt_s,
+  round(sum(speed_kmh / CAST(3.6 AS DOUBLE) * dt) OVER (PARTITION BY car_id ORDER BY seq ROWS UNBOUNDED PRECEDING), 6)
+      AS distance_m FROM dt""",
+        *DT_CTE,
+    ),
+)
+def q_cumulative_distance(spark, sf_dir):
+    return FU.cumulative_distance(telemetry(spark, sf_dir))
+
+
+@register(
+    "tire_wear",
+    with_fixture(
+        """SELECT car_id, seq, round(dist, 6) AS distance_m, round(g, 6) AS grip,
+  round((CAST(1 AS DOUBLE) - g / CAST(1.1 AS DOUBLE)) * CAST(100 AS DOUBLE), 6) AS wear_pct
+FROM (SELECT *, greatest(CAST(0.5 AS DOUBLE), CAST(1.1 AS DOUBLE) - dist * CAST(0.000001 AS DOUBLE)) AS g
+      FROM (SELECT *, sum(speed_kmh / CAST(3.6 AS DOUBLE) * dt)
+                OVER (PARTITION BY car_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS dist FROM dt) a) b""",
+        *DT_CTE,
+    ),
+)
+def q_tire_wear(spark, sf_dir):
+    return FU.tire_wear(telemetry(spark, sf_dir))
+
+
+@register(
+    "fuel_estimate",
+    with_fixture(
+        """SELECT car_id, seq, round(greatest(CAST(0 AS DOUBLE), CAST(110 AS DOUBLE) - coalesce(burn, 0)), 6)
+  AS fuel_est_kg
+FROM (SELECT *, sum(CAST(0.002 AS DOUBLE) * throttle * dt * (speed_kmh / CAST(3.6 AS DOUBLE) / CAST(100 AS DOUBLE)
+        + CAST(1 AS DOUBLE))) OVER (PARTITION BY car_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS burn FROM dt) a""",
+        *DT_CTE,
+    ),
+)
+def q_fuel_estimate(spark, sf_dir):
+    return FU.fuel_estimate(telemetry(spark, sf_dir))
+
+
+@register(
+    "derived_channels",
+    with_fixture(
+        """SELECT car_id, seq, round(vk, 6) AS speed_kmh_clamped, round(v, 6) AS speed_ms,
+  round(CAST(798 AS DOUBLE) + fuel_kg, 6) AS total_mass_kg,
+  round(CAST(0.6125 AS DOUBLE) * v * v * CAST(1.2 AS DOUBLE) * CAST(1.6 AS DOUBLE), 6) AS downforce_n,
+  round(CAST(0.6125 AS DOUBLE) * v * v * CAST(0.9 AS DOUBLE) * CAST(1.6 AS DOUBLE), 6) AS drag_n,
+  round(CASE WHEN gap > 0 THEN (v - pv) / gap / CAST(9.81 AS DOUBLE) END, 6) + CAST(0 AS DOUBLE) AS accel_long_g
+FROM (SELECT *, vk / CAST(3.6 AS DOUBLE) AS v,
+        CASE WHEN prev_v IS NULL THEN NULL ELSE greatest(CAST(0 AS DOUBLE), prev_v) END / CAST(3.6 AS DOUBLE) AS pv,
+        (timestamp - prev_us) / CAST(1000000 AS DOUBLE) AS gap
+      FROM (SELECT *, CASE WHEN speed_kmh IS NULL THEN NULL ELSE greatest(CAST(0 AS DOUBLE), speed_kmh) END AS vk,
+              lag(speed_kmh) OVER (PARTITION BY car_id ORDER BY seq) AS prev_v,
+              lag(timestamp) OVER (PARTITION BY car_id ORDER BY seq) AS prev_us
+            FROM telemetry) a) b"""
+    ),
+)
+def q_derived_channels(spark, sf_dir):
+    return FU.derived_channels(telemetry(spark, sf_dir))
+
+
+@register(
+    "gear_band",
+    with_fixture(
+        """SELECT car_id, seq, speed_kmh, gear, band AS gear_band, coalesce(band = gear, false) AS gear_matches
+FROM (SELECT *, CASE WHEN speed_kmh < 80 THEN 1 WHEN speed_kmh < 120 THEN 2 WHEN speed_kmh < 160 THEN 3
+  WHEN speed_kmh < 200 THEN 4 WHEN speed_kmh < 240 THEN 5 WHEN speed_kmh < 270 THEN 6 WHEN speed_kmh < 310 THEN 7
+  WHEN speed_kmh < 1000 THEN 8 ELSE 1 END AS band FROM telemetry) t"""
+    ),
+)
+def q_gear_band(spark, sf_dir):
+    return FU.gear_check(telemetry(spark, sf_dir))
+
+
+DOWNSAMPLE_S = 43200  # half a day: the fixture's cars report every few hours
+
+
+@register(
+    "downsample",
+    with_fixture(
+        f"""SELECT car_id, CAST(floor(timestamp / CAST({DOWNSAMPLE_S * 1000000} AS DOUBLE)) AS BIGINT) AS bucket,
+  arg_min_null(seq, {{'t': timestamp, 's': seq}}) AS seq,
+  arg_min_null(timestamp, {{'t': timestamp, 's': seq}}) AS event_us,
+  arg_min_null(speed_kmh, {{'t': timestamp, 's': seq}}) AS speed_kmh
+FROM telemetry GROUP BY car_id, CAST(floor(timestamp / CAST({DOWNSAMPLE_S * 1000000} AS DOUBLE)) AS BIGINT)"""
+    ),
+)
+def q_downsample(spark, sf_dir):
+    d = FU.downsample(telemetry(spark, sf_dir).select("car_id", "seq", "event_time", "speed_kmh"), DOWNSAMPLE_S)
+    return d.select("car_id", "bucket", "seq", F.unix_micros("event_time").alias("event_us"), "speed_kmh")
+
+
+FUSION_PERIODS = {"gps": 86400.0, "ecu": 43200.0}
+_FUSED = ["speed_kmh", "x", "y", "sector_name", "lap_count", "g_lat", "g_long", "rpm", "gear", "throttle",
+          "brake", "fuel_kg", "tire_wear_pct", "lap_time", "last_lap_time", "time"]
+
+
+def _ds_sql(name, fields, period):
+    s = ", ".join(f"'{f}': {f}" for f in ["seq", "timestamp", *fields])
+    b = f"floor(timestamp / CAST({int(period * 1000000)} AS DOUBLE))"
+    return f"""{name} AS (SELECT r.* FROM (SELECT arg_min_null({{{s}}}, {{'t': timestamp, 's': seq}}) AS r
+  FROM telemetry GROUP BY car_id, {b}) x)"""
+
+
+_FUSION_SQL = with_fixture(
+    "SELECT car_id, timestamp AS event_us, seq, "
+    + ", ".join(
+        f"last_value({f} IGNORE NULLS) OVER (PARTITION BY car_id ORDER BY timestamp ROWS UNBOUNDED PRECEDING) AS {f}"
+        for f in _FUSED
+    )
+    + "\nFROM ticks",
+    _ds_sql("gps", ["car_id", "x", "y", "sector_name", "lap_count"], 86400.0).replace(
+        "'seq': seq", "'car_id': car_id, 'seq': seq").replace("'car_id': car_id, 'seq': seq, 'timestamp': timestamp, 'car_id': car_id",
+        "'car_id': car_id, 'seq': seq, 'timestamp': timestamp"),
+    _ds_sql("ecu", ["car_id", "rpm", "gear", "throttle", "brake", "fuel_kg", "tire_wear_pct"], 43200.0).replace(
+        "'seq': seq", "'car_id': car_id, 'seq': seq").replace("'car_id': car_id, 'seq': seq, 'timestamp': timestamp, 'car_id': car_id",
+        "'car_id': car_id, 'seq': seq, 'timestamp': timestamp"),
+    """readings AS (
+  SELECT car_id, seq, timestamp, 0 AS rk, speed_kmh, NULL::DOUBLE AS x, NULL::DOUBLE AS y, NULL::VARCHAR AS sector_name,
+    NULL::INTEGER AS lap_count, NULL::DOUBLE AS g_lat, NULL::DOUBLE AS g_long, NULL::DOUBLE AS rpm, NULL::INTEGER AS gear,
+    NULL::DOUBLE AS throttle, NULL::DOUBLE AS brake, NULL::DOUBLE AS fuel_kg, NULL::DOUBLE AS tire_wear_pct,
+    NULL::DOUBLE AS lap_time, NULL::DOUBLE AS last_lap_time, NULL::DOUBLE AS time FROM telemetry
+  UNION ALL SELECT car_id, seq, timestamp, 1, NULL, x, y, sector_name, lap_count, NULL, NULL, NULL, NULL, NULL, NULL,
+    NULL, NULL, NULL, NULL, NULL FROM gps
+  UNION ALL SELECT car_id, seq, timestamp, 2, NULL, NULL, NULL, NULL, NULL, g_lat, g_long, NULL, NULL, NULL, NULL,
+    NULL, NULL, NULL, NULL, NULL FROM telemetry
+  UNION ALL SELECT car_id, seq, timestamp, 3, NULL, NULL, NULL, NULL, NULL, NULL, NULL, rpm, gear, throttle, brake,
+    fuel_kg, tire_wear_pct, NULL, NULL, NULL FROM ecu
+  UNION ALL SELECT car_id, seq, timestamp, 4, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+    NULL, NULL, lap_time, last_lap_time, time FROM telemetry)""",
+    "ticks AS (SELECT car_id, timestamp, max(seq) AS seq, "
+    + ", ".join(f"arg_max({f}, rk) AS {f}" for f in _FUSED)
+    + " FROM readings GROUP BY car_id, timestamp)",
+)
+
+
+@register("sensor_fusion", _FUSION_SQL)
+def q_sensor_fusion(spark, sf_dir):
+    sensors = FU.sensor_tables(telemetry(spark, sf_dir), FUSION_PERIODS)
+    f = FU.sensor_fusion(sensors)
+    return f.select("car_id", F.unix_micros("event_time").alias("event_us"), "seq", *_FUSED)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

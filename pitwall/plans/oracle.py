@@ -81,3 +81,13 @@ FROM (SELECT *, max(coalesce(lap_count, 0)) OVER (PARTITION BY car_id ORDER BY s
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_lap
       FROM telemetry) b
 )"""
+
+DT_CTE = (
+    """lagged AS (
+SELECT *, lag(timestamp) OVER (PARTITION BY car_id ORDER BY seq) AS prev_us FROM telemetry
+)""",
+    """dt AS (
+SELECT *, CASE WHEN prev_us IS NULL THEN CAST(0 AS DOUBLE)
+  ELSE least((timestamp - prev_us) / CAST(1000000 AS DOUBLE), CAST(0.1 AS DOUBLE)) END AS dt FROM lagged
+)""",
+)

@@ -37,8 +37,12 @@ def track_points(spark: SparkSession, n_points: int = TRACK_POINTS) -> DataFrame
 
 
 def event_micros(ts: str = "ts"):
-    """Epoch microseconds of a TIMESTAMP_NTZ column, independent of the session zone."""
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})")
+    """Epoch microseconds of a TIMESTAMP_NTZ column from its fields (no session zone involved)."""
+    c = F.col(ts)
+    day_us = F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000_000)
+    hm_us = (F.hour(c) * 3600 + F.minute(c) * 60).cast("long") * F.lit(1_000_000)
+    sec_us = (F.expr(f"extract(SECOND FROM {ts})") * 1_000_000).cast("long")
+    return day_us + hm_us + sec_us
 
 
 def telemetry_from_events(events: DataFrame, track: DataFrame, n_points: int = TRACK_POINTS) -> DataFrame:
