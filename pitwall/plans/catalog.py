@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from pitwall.operators import clean as C
 from pitwall.operators import fusion as FU
 from pitwall.operators import laps as L
+from pitwall.operators import matching as M
+from pitwall.operators import track as TR
+from pitwall.plans import track_sql as TS
 from pitwall.plans.oracle import DT_CTE, LAP_BOUNDARY_CTE, LAP_SUMMARY_CTE, with_fixture
 from pitwall.schema import WIRE_KEYS
-from pitwall.sources.fixtures import telemetry
+from pitwall.sources.fixtures import telemetry, track_points
 from pitwall.sources.packets import encode_packets
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -434,6 +437,198 @@ def q_sensor_fusion(spark, sf_dir):
     return f.select("car_id", F.unix_micros("event_time").alias("event_us"), "seq", *_FUSED)
 
 
+# ------------------------------------------------------------------ track / spatial
+
+RESAMPLE_K = 10
+# Fixed origin for expressing the rebuilt centreline in degrees (any point works).
+LON0, LAT0 = 7.0, 45.0
+
+
+def matched(spark, sf_dir):
+    return M.map_match(telemetry(spark, sf_dir), track_points(spark))
+
+
+def fixture_geometry(spark):
+    return TR.track_geometry(track_points(spark))
+
+
+def centre(spark, sf_dir):
+    return M.centreline(matched(spark, sf_dir))
+
+
+def rebuilt_geometry(spark, sf_dir):
+    return TR.track_geometry(TR.resample_closed(centre(spark, sf_dir), RESAMPLE_K))
+
+
+_GEO_FIX = TS.geometry_cte("geo_fix", "track_points")
+_PROF_FIX = TS.profile_cte("prof_fix", "geo_fix")
+_CENTRE = TS.centreline_cte("centre", "matched")
+_RESAMPLED = TS.resample_cte("resampled", "centre", RESAMPLE_K)
+_GEO_RE = TS.geometry_cte("geo_re", "resampled")
+_PROF_RE = TS.profile_cte("prof_re", "geo_re")
+
+
+@register(
+    "map_match",
+    with_fixture(
+        """SELECT m.car_id, m.seq, m.idx, round(m.match_dist_m, 6) AS match_dist_m, round(g.s, 6) AS track_s
+FROM matched m JOIN geo_fix g ON g.track_id = m.track_id AND g.idx = m.idx""",
+        TS.MATCHED_CTE, _GEO_FIX,
+    ),
+)
+def q_map_match(spark, sf_dir):
+    m = M.with_track_distance(matched(spark, sf_dir), fixture_geometry(spark))
+    return m.select("car_id", "seq", "idx", F.round("match_dist_m", 6).alias("match_dist_m"),
+                    F.round("s", 6).alias("track_s"))
+
+
+@register("track_centreline", with_fixture("SELECT * FROM centre", TS.MATCHED_CTE, _CENTRE))
+def q_track_centreline(spark, sf_dir):
+    return centre(spark, sf_dir)
+
+
+@register(
+    "track_project",
+    with_fixture(
+        f"""SELECT track_id, pos, round(lon, 9) AS lon, round(lat, 9) AS lat,
+  round((lon - avg(lon) OVER (PARTITION BY track_id)) * {TS.dbl(3.141592653589793 / 180.0 * TR.EARTH_RADIUS_M)}
+        * cos(radians(avg(lat) OVER (PARTITION BY track_id))), 6) AS x,
+  round((lat - avg(lat) OVER (PARTITION BY track_id)) * {TS.dbl(3.141592653589793 / 180.0 * TR.EARTH_RADIUS_M)}, 6) AS y
+FROM (SELECT track_id, pos,
+        {TS.dbl(LON0)} + x / {TS.dbl(3.141592653589793 / 180.0 * TR.EARTH_RADIUS_M * __import__('math').cos(__import__('math').radians(LAT0)))} AS lon,
+        {TS.dbl(LAT0)} + y / {TS.dbl(3.141592653589793 / 180.0 * TR.EARTH_RADIUS_M)} AS lat
+      FROM centre) w""",
+        TS.MATCHED_CTE, _CENTRE,
+    ),
+)
+def q_track_project(spark, sf_dir):
+    ll = TR.unproject_xy(centre(spark, sf_dir), LON0, LAT0).select("track_id", "pos", "lon", "lat")
+    p = TR.project_lonlat(ll)
+    return p.select("track_id", "pos", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"),
+                    F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+@register(
+    "track_resample",
+    with_fixture("SELECT track_id, idx, round(x, 6) AS x, round(y, 6) AS y FROM resampled",
+                 TS.MATCHED_CTE, _CENTRE, _RESAMPLED),
+)
+def q_track_resample(spark, sf_dir):
+    r = TR.resample_closed(centre(spark, sf_dir), RESAMPLE_K)
+    return r.select("track_id", "idx", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+_GEO_COLS_SQL = """SELECT track_id, idx, round(x, 6) AS x, round(y, 6) AS y, round(curvature, 9) AS curvature,
+  round(seg_len, 6) AS seg_len, round(tan_x, 6) AS tan_x, round(tan_y, 6) AS tan_y, round(s, 6) AS s,
+  round(total_length, 6) AS total_length, n_points, sector_name FROM geo_re"""
+
+
+def _geo_cols(g):
+    r = lambda c, n=6: F.round(c, n).alias(c)
+    return g.select("track_id", "idx", r("x"), r("y"), r("curvature", 9), r("seg_len"), r("tan_x"), r("tan_y"),
+                    r("s"), r("total_length"), "n_points", "sector_name")
+
+
+@register("track_geometry", with_fixture(_GEO_COLS_SQL, TS.MATCHED_CTE, _CENTRE, _RESAMPLED, _GEO_RE))
+def q_track_geometry(spark, sf_dir):
+    return _geo_cols(rebuilt_geometry(spark, sf_dir))
+
+
+@register(
+    "speed_profile",
+    with_fixture(
+        """SELECT track_id, idx, round(curvature, 9) AS curvature, round(v_max_ms, 6) AS v_max_ms,
+  round(target_speed_ms, 6) AS target_speed_ms FROM prof_re""",
+        TS.MATCHED_CTE, _CENTRE, _RESAMPLED, _GEO_RE, _PROF_RE,
+    ),
+)
+def q_speed_profile(spark, sf_dir):
+    p = TR.speed_profile(rebuilt_geometry(spark, sf_dir))
+    return p.select("track_id", "idx", F.round("curvature", 9).alias("curvature"),
+                    F.round("v_max_ms", 6).alias("v_max_ms"), F.round("target_speed_ms", 6).alias("target_speed_ms"))
+
+
+@register(
+    "laps_from_position",
+    with_fixture(
+        """SELECT car_id, seq, idx, sum(CAST(wrap AS BIGINT)) OVER w AS pos_lap,
+  round(cum - coalesce(base, CAST(0 AS DOUBLE)), 6) AS pos_lap_time
+FROM (SELECT *, last_value(CASE WHEN wrap THEN cum - dt END IGNORE NULLS) OVER w AS base
+      FROM (SELECT *, sum(dt) OVER w AS cum
+            FROM (SELECT *, CASE WHEN prev_us IS NULL THEN CAST(0 AS DOUBLE)
+                    ELSE least((timestamp - prev_us) / CAST(1000000 AS DOUBLE), CAST(0.1 AS DOUBLE)) END AS dt,
+                    coalesce(idx < prev_idx - n_points / 2, false) AS wrap
+                  FROM (SELECT m.*, g.n_points,
+                          lag(m.idx) OVER (PARTITION BY m.car_id ORDER BY m.seq) AS prev_idx,
+                          lag(m.timestamp) OVER (PARTITION BY m.car_id ORDER BY m.seq) AS prev_us
+                        FROM matched m JOIN (SELECT DISTINCT track_id, n_points FROM geo_fix) g
+                        ON g.track_id = m.track_id) a) b
+            WINDOW w AS (PARTITION BY car_id ORDER BY seq ROWS UNBOUNDED PRECEDING)) c
+      WINDOW w AS (PARTITION BY car_id ORDER BY seq ROWS UNBOUNDED PRECEDING)) d
+WINDOW w AS (PARTITION BY car_id ORDER BY seq ROWS UNBOUNDED PRECEDING)""",
+        TS.MATCHED_CTE, _GEO_FIX,
+    ),
+)
+def q_laps_from_position(spark, sf_dir):
+    n = fixture_geometry(spark).select("track_id", "n_points").distinct()
+    return M.laps_from_position(matched(spark, sf_dir), n)
+
+
+@register(
+    "drs_flag",
+    with_fixture(
+        """SELECT car_id, seq, idx, round(curvature, 9) AS curvature, drs AS drs_active,
+  round(CAST(0.6125 AS DOUBLE) * v * v * CASE WHEN drs THEN CAST(0.7 AS DOUBLE) ELSE CAST(0.9 AS DOUBLE) END
+        * CAST(1.6 AS DOUBLE), 6) AS drag_n,
+  round(v * v * curvature / CAST(9.81 AS DOUBLE), 6) AS lateral_g
+FROM (SELECT m.car_id, m.seq, m.idx, g.curvature, m.speed_kmh / CAST(3.6 AS DOUBLE) AS v,
+        coalesce(m.lap_count > 0 AND g.curvature < CAST(0.0005 AS DOUBLE) AND m.speed_kmh > CAST(100 AS DOUBLE),
+                 false) AS drs
+      FROM matched m LEFT JOIN geo_fix g ON g.track_id = m.track_id AND g.idx = m.idx) t""",
+        TS.MATCHED_CTE, _GEO_FIX,
+    ),
+)
+def q_drs_flag(spark, sf_dir):
+    return M.drs_channels(matched(spark, sf_dir), fixture_geometry(spark))
+
+
+@register(
+    "pace_state",
+    with_fixture(
+        """SELECT m.car_id, m.seq, m.idx, round(p.target_speed_ms * CAST(3.6 AS DOUBLE), 6) AS target_speed_kmh,
+  CASE WHEN m.speed_kmh / CAST(3.6 AS DOUBLE) < p.target_speed_ms * CAST(0.98 AS DOUBLE) THEN 'accelerating'
+       WHEN m.speed_kmh / CAST(3.6 AS DOUBLE) > p.target_speed_ms * CAST(1.02 AS DOUBLE) THEN 'braking'
+       ELSE 'hold' END AS pace_state
+FROM matched m LEFT JOIN prof_fix p ON p.track_id = m.track_id AND p.idx = m.idx""",
+        TS.MATCHED_CTE, _GEO_FIX, _PROF_FIX,
+    ),
+)
+def q_pace_state(spark, sf_dir):
+    _, prof = M.fixture_profile(track_points(spark))
+    return M.pace(matched(spark, sf_dir), prof)
+
+
+@register("lap_trace", with_fixture("SELECT * FROM trace", TS.MATCHED_CTE, *TS.TRACE_CTES))
+def q_lap_trace(spark, sf_dir):
+    return M.lap_trace(matched(spark, sf_dir))
+
+
+@register(
+    "lap_trace_vs_ghost",
+    with_fixture(
+        """SELECT t.car_id, t.lap_count, t.idx, t.speed_kmh, p.ghost_lap, g.speed_kmh AS ghost_speed_kmh,
+  t.speed_kmh - g.speed_kmh AS speed_delta
+FROM trace t
+JOIN (SELECT car_id, lap_count, lag(lap_count) OVER (PARTITION BY car_id ORDER BY lap_count) AS ghost_lap
+      FROM (SELECT DISTINCT car_id, lap_count FROM trace) l) p ON p.car_id = t.car_id AND p.lap_count = t.lap_count
+LEFT JOIN trace g ON g.car_id = t.car_id AND g.lap_count = p.ghost_lap AND g.idx = t.idx""",
+        TS.MATCHED_CTE, *TS.TRACE_CTES,
+    ),
+)
+def q_lap_trace_vs_ghost(spark, sf_dir):
+    return M.trace_vs_ghost(M.lap_trace(matched(spark, sf_dir)))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
