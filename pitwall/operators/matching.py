@@ -52,8 +52,16 @@ def _cell(c: Column, size: float) -> Column:
     return F.floor(c / F.lit(size)).cast("long")
 
 
-def candidate_cells(points: DataFrame, size: float) -> DataFrame:
-    """Track points listed under the 3x3 cells around their own: ``track_id, cx, cy, cands``."""
+def candidate_table(points: DataFrame, size: float | None) -> DataFrame:
+    """Candidate lists ``track_id, cx, cy, cands`` for one grid level.
+
+    With a cell ``size`` every point is listed under the 3x3 cells around its own;
+    ``size=None`` lists every point of a track under cell (0, 0) (the fallback).
+    Bounded by the track resolution: 9 entries per point.
+    """
+    if size is None:
+        return points.groupBy("track_id", F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy")).agg(
+            F.collect_list(F.struct("idx", "x", "y")).alias("cands"))
     offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
     p = points.select(
         "track_id", _cell(F.col("x"), size).alias("_cx"), _cell(F.col("y"), size).alias("_cy"),
@@ -94,25 +102,20 @@ def map_match(samples: DataFrame, points: DataFrame, cell_m: float = CELL_M, gro
     # samples still unmatched, and each list is reduced to one struct at once.
     for i, size in enumerate([*levels, None]):
         need = F.col("_best").isNull()
-        if size is None:  # whole-track fallback
-            table = pts.groupBy("track_id").agg(F.collect_list(F.struct("idx", "x", "y")).alias("cands"))
-            keys = [("track_id", F.when(need, F.col("track_id")))]
-        else:
-            table = candidate_cells(pts, size)
-            keys = [("track_id", F.when(need, F.col("track_id"))), ("cx", F.when(need, _cell(x, size))),
-                    ("cy", F.when(need, _cell(y, size)))]
-        table = table.select(*[F.col(k).alias(f"_r{i}_{k}") for k, _ in keys], F.col("cands").alias(f"_c{i}"))
-        for k, e in keys:
-            d = d.withColumn(f"_l{i}_{k}", e)
-        cond = None
-        for k, _ in keys:
-            c = F.col(f"_l{i}_{k}") == F.col(f"_r{i}_{k}")
-            cond = c if cond is None else cond & c
-        d = d.join(bc(table), cond, "left")
-        d = d.withColumn(f"_b{i}", _nearest(F.col(f"_c{i}"), x, y))
-        ok = F.col(f"_b{i}").isNotNull() & (F.lit(True) if size is None else F.col(f"_b{i}.d2") <= F.lit(size * size))
-        d = d.withColumn("_best", F.when(need & ok, F.col(f"_b{i}")).otherwise(F.col("_best")))
-        d = d.drop(f"_b{i}", f"_c{i}", *[f"_l{i}_{k}" for k, _ in keys], *[f"_r{i}_{k}" for k, _ in keys])
+        kx = F.lit(0).cast("long") if size is None else _cell(x, size)
+        ky = F.lit(0).cast("long") if size is None else _cell(y, size)
+        t = candidate_table(pts, size).select(
+            F.col("track_id").alias("_rt"), F.col("cx").alias("_rx"), F.col("cy").alias("_ry"),
+            F.col("cands").alias("_c"),
+        )
+        d = (d.withColumn("_lt", F.when(need, F.col("track_id")))
+             .withColumn("_lx", F.when(need, kx)).withColumn("_ly", F.when(need, ky)))
+        cond = (F.col("_lt") == F.col("_rt")) & (F.col("_lx") == F.col("_rx")) & (F.col("_ly") == F.col("_ry"))
+        d = d.join(bc(t), cond, "left")
+        d = d.withColumn("_b", _nearest(F.col("_c"), x, y))
+        ok = F.col("_b").isNotNull() & (F.lit(True) if size is None else F.col("_b.d2") <= F.lit(size * size))
+        d = d.withColumn("_best", F.when(need & ok, F.col("_b")).otherwise(F.col("_best")))
+        d = d.drop("_b", "_c", "_lt", "_lx", "_ly", "_rt", "_rx", "_ry")
     return d.filter(F.col("_best").isNotNull()).withColumn("idx", F.col("_best.idx")).withColumn(
         "match_dist_m", F.sqrt(F.col("_best.d2"))
     ).drop("_best")
