@@ -629,6 +629,144 @@ def q_lap_trace_vs_ghost(spark, sf_dir):
     return M.trace_vs_ghost(M.lap_trace(matched(spark, sf_dir)))
 
 
+# ------------------------------------------------------------------------ streaming
+
+from pitwall.session import scratch_path  # noqa: E402
+from pitwall.sources.fixtures import read_table  # noqa: E402
+from pitwall.streaming import jobs as S  # noqa: E402
+from pitwall.streaming import sinks as K  # noqa: E402
+
+STREAM_SPLIT_FILES = 10
+LAP_GAP = "6 days"  # longer than any pause inside one fixture lap (a lap is six days)
+WINDOW = "1 day"
+LATE_ORDER = (0, 1, 2, 4, 3)  # lap 3 arrives after lap 4 has moved the watermark past it
+
+_CLOSED = "(floor(epoch_us(max(ts)) / 1000) - 10000) * 1000"
+
+
+def _split_events(spark, sf_dir, n):
+    """Event files for a multi-batch replay: the table split into ``n`` time ranges."""
+    path = scratch_path(spark, "events-split")
+    read_table(spark, sf_dir, "events").repartitionByRange(n, "ts").write.parquet(path)
+    return path
+
+
+@register(
+    "stream_decode",
+    with_fixture(f"SELECT car_id, track_id, seq, epoch_us(event_time) AS event_us, {_WIRE_SQL} FROM telemetry"),
+)
+def q_stream_decode(spark, sf_dir):
+    out = scratch_path(spark, "stream-decode")
+    pk = encode_packets(S.telemetry_stream(spark, sf_dir), "ns")
+    K.run_available_now(C.valid_packets(pk, "ns"), f"{out}/_ckpt", path=f"{out}/data")
+    d = spark.read.parquet(f"{out}/data")
+    return d.select("car_id", "track_id", "seq", F.unix_micros("event_time").alias("event_us"), *WIRE_KEYS)
+
+
+@register("stream_lap_summary", with_fixture("SELECT * FROM lap_summary", LAP_SUMMARY_CTE))
+def q_stream_lap_summary(spark, sf_dir):
+    """T3 + T9: update mode over several micro-batches, results read back from the
+    JSON result records (S3) and reduced to the latest version of each lap (A21)."""
+    src = _split_events(spark, sf_dir, STREAM_SPLIT_FILES)
+    out = scratch_path(spark, "stream-laps")
+    laps = S.lap_summary_stream(S.telemetry_stream(spark, src, glob="*.parquet", max_files=1))
+    K.run_available_now(laps, f"{out}/_ckpt", mode="update",
+                        foreach_batch=K.lap_result_writer(f"{out}/rows", f"{out}/json"))
+    records = spark.read.parquet(f"{out}/json")
+    rows = C.decode_lap_json(records).withColumn("lap_count", F.col("lap_count"))
+    return K.latest_version(rows, ["car_id", "lap_count"])
+
+
+_FINAL_SQL = with_fixture(
+    f"""SELECT l.*, s.session_start_us, s.session_end_us
+FROM lap_summary l JOIN (
+  SELECT car_id, lap_count, min(timestamp) AS session_start_us,
+    max(timestamp) + CAST(6 AS BIGINT) * 86400000000 AS session_end_us
+  FROM telemetry WHERE lap_count IS NOT NULL GROUP BY car_id, lap_count) s
+USING (car_id, lap_count)
+WHERE s.session_end_us <= (SELECT {_CLOSED} FROM events)""",
+    LAP_SUMMARY_CTE,
+)
+
+
+@register("stream_lap_final", _FINAL_SQL)
+def q_stream_lap_final(spark, sf_dir):
+    """T4: laps finalised once in append mode; state evicted behind the watermark."""
+    out = scratch_path(spark, "stream-final")
+    laps = S.lap_final_stream(S.telemetry_stream(spark, sf_dir), LAP_GAP)
+    K.run_available_now(laps, f"{out}/_ckpt", path=f"{out}/data")
+    d = spark.read.parquet(f"{out}/data")
+    return d.select(
+        *[c for c in d.columns if c != "session"],
+        F.unix_micros("session.start").alias("session_start_us"),
+        F.unix_micros("session.end").alias("session_end_us"),
+    )
+
+
+def _window_sql(where: str = "") -> str:
+    return with_fixture(
+        f"""SELECT car_id, w * 86400000000 AS window_start_us, (w + 1) * 86400000000 AS window_end_us,
+  count(*) AS samples, round(avg(speed_kmh), 6) AS avg_speed_kmh, max(speed_kmh) AS max_speed_kmh
+FROM (SELECT *, CAST(floor(timestamp / CAST(86400000000 AS DOUBLE)) AS BIGINT) AS w FROM telemetry {where}) t
+GROUP BY car_id, w
+HAVING (w + 1) * 86400000000 <= (SELECT {_CLOSED} FROM events)"""
+    )
+
+
+@register("stream_window_agg", _window_sql())
+def q_stream_window_agg(spark, sf_dir):
+    out = scratch_path(spark, "stream-window")
+    K.run_available_now(S.window_agg_stream(S.telemetry_stream(spark, sf_dir), WINDOW), f"{out}/_ckpt",
+                        path=f"{out}/data")
+    return spark.read.parquet(f"{out}/data")
+
+
+@register("stream_late_data", _window_sql("WHERE lap_count <> 3"))
+def q_stream_late_data(spark, sf_dir):
+    """T5 + T7: laps delivered out of order, one restart of the query (from its
+    checkpoint) per delivery; rows older than the watermark are dropped."""
+    base = scratch_path(spark, "stream-late")
+    src, out = f"{base}/src", f"{base}/out"
+    ev = read_table(spark, sf_dir, "events")
+    lap = F.floor((F.dayofmonth("ts") - 1) / 6).cast("int")
+    for i, n in enumerate(LATE_ORDER):
+        ev.filter(lap == n).coalesce(1).write.parquet(f"{src}/delivery={i:02d}")
+        stream = S.window_agg_stream(
+            telemetry_from_events_stream(spark, f"{src}/*"), WINDOW
+        )
+        K.run_available_now(stream, f"{out}/_ckpt", path=f"{out}/data")
+    return spark.read.parquet(f"{out}/data")
+
+
+def telemetry_from_events_stream(spark, path):
+    return S.telemetry_from_events(S.events_stream(spark, path, glob=None), track_points(spark))
+
+
+@register(
+    "stream_dedup",
+    with_fixture("SELECT car_id, seq, timestamp AS event_us, speed_kmh FROM telemetry"),
+)
+def q_stream_dedup(spark, sf_dir):
+    """Every packet delivered twice; duplicates dropped within the watermark."""
+    base = scratch_path(spark, "stream-dedup")
+    ev = read_table(spark, sf_dir, "events")
+    for copy in ("a", "b"):
+        ev.write.parquet(f"{base}/src/{copy}")
+    d = S.dedup_stream(telemetry_from_events_stream(spark, f"{base}/src/*"))
+    d = d.select("car_id", "seq", F.unix_micros("event_time").alias("event_us"), "speed_kmh")
+    K.run_available_now(d, f"{base}/_ckpt", path=f"{base}/data")
+    return spark.read.parquet(f"{base}/data")
+
+
+@register("stream_lap_history", SQL["lap_history"])
+def q_stream_lap_history(spark, sf_dir):
+    """Stateful lap boundary / history / PB per car (applyInPandasWithState)."""
+    out = scratch_path(spark, "stream-history")
+    K.run_available_now(S.lap_history_stream(S.telemetry_stream(spark, sf_dir)), f"{out}/_ckpt",
+                        path=f"{out}/data")
+    return spark.read.parquet(f"{out}/data")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
