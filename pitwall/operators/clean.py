@@ -75,7 +75,7 @@ def _problems(ts_required: bool = True) -> Column:
     for k in WIRE_KEYS:
         bad = F.map_contains_key(m, k) & m[k].isNotNull() & p[k].isNull()
         reasons.append(F.when(bad, F.lit(f"bad_type:{k}")))
-    return F.filter(F.array(*reasons), lambda x: x.isNotNull())
+    return F.array_compact(F.array(*reasons))
 
 
 def quarantine(raw: DataFrame, json_col: str = "json") -> DataFrame:
@@ -152,7 +152,7 @@ def _archive_split(raw: DataFrame, json_col: str, default_tags: dict[str, object
         *[c for c in ["seq"] if c in raw.columns],
         pk["timestamp"].alias("time"),
         *fields,
-        F.filter(F.array(*errors), lambda x: x.isNotNull()).alias("reasons"),
+        F.array_compact(F.array(*errors)).alias("reasons"),
         F.col(json_col).alias("_json"),
     )
     ok = d.filter(F.size("reasons") == 0).drop("reasons", "_json", *[c for c in ["seq"] if c in raw.columns])

@@ -187,43 +187,70 @@ def pace(matched: DataFrame, profile: DataFrame) -> DataFrame:
     )
 
 
-def lap_trace(matched: DataFrame, gap_limit: int = GAP_LIMIT, chunk_width: int = SCAN_CHUNK) -> DataFrame:
-    """Distance-aligned trace per (car, lap): idx -> speed, throttle, brake.
-
-    Within a lap (effective lap of H1), a sample less than ``gap_limit`` points from
-    the previous one paints every index between them with its values, otherwise only
-    its own; a later sample overwrites an earlier one.  The explode is bounded by
-    ``gap_limit`` per sample and is combined map-side by the ``max_by`` aggregate.
-    """
+def _trace_cells(matched: DataFrame, gap_limit: int, chunk_width: int) -> DataFrame:
+    """Cells painted by each sample: ``car_id, lap_count (effective), seq, lo, hi`` + values."""
     b = lap_boundaries(matched.select("car_id", "seq", "lap_count", "idx", "speed_kmh", "throttle", "brake"),
                        chunk_width)
     d = ordered_scan(b, ["car_id", "effective_lap"], ["seq"], [Scan("_prev_idx", "lag", F.col("idx"))],
                      chunk_by="seq", chunk_width=chunk_width)
     near = F.col("_prev_idx").isNotNull() & (F.abs(F.col("idx") - F.col("_prev_idx")) < gap_limit)
-    lo = F.when(near, F.least("idx", "_prev_idx")).otherwise(F.col("idx"))
-    hi = F.when(near, F.greatest("idx", "_prev_idx")).otherwise(F.col("idx"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0.0))  # missing values paint 0
-    cells = d.select(
+    return d.select(
         "car_id", F.col("effective_lap").alias("lap_count"), "seq",
-        F.explode(F.sequence(lo, hi)).alias("idx"),
-        F.struct(z("speed_kmh").alias("speed_kmh"), z("throttle").alias("throttle"), z("brake").alias("brake")).alias("v"),
+        F.when(near, F.least("idx", "_prev_idx")).otherwise(F.col("idx")).alias("lo"),
+        F.when(near, F.greatest("idx", "_prev_idx")).otherwise(F.col("idx")).alias("hi"),
+        z("speed_kmh").alias("speed_kmh"), z("throttle").alias("throttle"), z("brake").alias("brake"),
     )
-    return cells.groupBy("car_id", "lap_count", "idx").agg(F.max_by("v", "seq").alias("v")).select(
-        "car_id", "lap_count", "idx", "v.speed_kmh", "v.throttle", "v.brake"
+
+
+def lap_trace(matched: DataFrame, gap_limit: int = GAP_LIMIT, chunk_width: int = SCAN_CHUNK) -> DataFrame:
+    """Distance-aligned trace per (car, lap): idx -> speed, throttle, brake.
+
+    Within a lap (effective lap of H1), a sample less than ``gap_limit`` points from
+    the previous one paints every index between them with its values, otherwise only
+    its own; a later sample overwrites an earlier one.  The explode is bounded by
+    ``gap_limit`` per sample; ``max_by`` on plain columns keeps the aggregate a
+    hash aggregate with map-side combining.
+    """
+    c = _trace_cells(matched, gap_limit, chunk_width).withColumn("idx", F.explode(F.sequence("lo", "hi")))
+    return c.groupBy("car_id", "lap_count", "idx").agg(
+        *[F.max_by(v, "seq").alias(v) for v in ("speed_kmh", "throttle", "brake")]
     )
 
 
-def trace_vs_ghost(trace: DataFrame, chunk_width: int = 4096) -> DataFrame:
-    """H5 + J5: each lap's trace next to the previous lap's (the ghost), by idx."""
-    laps = trace.select("car_id", "lap_count").distinct()
+def lap_trace_vs_ghost(matched: DataFrame, gap_limit: int = GAP_LIMIT, chunk_width: int = SCAN_CHUNK,
+                       lap_chunk: int = 4096) -> DataFrame:
+    """H5 + J5: each lap's trace next to the previous lap's (the ghost), by idx.
+
+    One pass: every sample's cells are emitted for its own lap and, tagged as ghost,
+    for the car's next lap; a single hash aggregation per (car, lap, idx) then picks
+    the latest own value and the latest ghost value.  No self-join of traces.
+    """
+    cells = _trace_cells(matched, gap_limit, chunk_width)
+    laps = cells.select("car_id", "lap_count").distinct()
+    # lap-level (one row per car and lap): previous lap of every lap
     prev = ordered_scan(laps, ["car_id"], ["lap_count"], [Scan("ghost_lap", "lag", F.col("lap_count"))],
-                        chunk_by="lap_count", chunk_width=chunk_width)
-    cur = trace.join(prev, ["car_id", "lap_count"])
-    ghost = trace.select(
-        "car_id", F.col("lap_count").alias("ghost_lap"), "idx", F.col("speed_kmh").alias("ghost_speed_kmh")
+                        chunk_by="lap_count", chunk_width=lap_chunk)
+    feeds = prev.filter(F.col("ghost_lap").isNotNull()).select(
+        "car_id", F.col("ghost_lap").alias("lap_count"), F.col("lap_count").alias("_to"))
+    roles = cells.join(feeds, ["car_id", "lap_count"], "left")
+    tagged = roles.select(
+        "car_id", "seq", "lo", "hi", "speed_kmh", "throttle", "brake",
+        F.explode(F.array(
+            F.struct(F.col("lap_count").alias("lap"), F.lit(0).alias("role")),
+            F.struct(F.col("_to").alias("lap"), F.lit(1).alias("role")),
+        )).alias("t"),
+    ).filter(F.col("t.lap").isNotNull())
+    c = tagged.withColumn("idx", F.explode(F.sequence("lo", "hi")))
+    own_seq = F.when(F.col("t.role") == 0, F.col("seq"))
+    ghost_seq = F.when(F.col("t.role") == 1, F.col("seq"))
+    agg = c.groupBy("car_id", F.col("t.lap").alias("lap_count"), "idx").agg(
+        F.max_by("speed_kmh", own_seq).alias("speed_kmh"),
+        F.max_by("speed_kmh", ghost_seq).alias("ghost_speed_kmh"),
+        F.max(own_seq).alias("_own"),
     )
-    j = cur.join(ghost, ["car_id", "ghost_lap", "idx"], "left")
-    return j.select(
+    out = agg.filter(F.col("_own").isNotNull()).join(prev, ["car_id", "lap_count"], "left")
+    return out.select(
         "car_id", "lap_count", "idx", "speed_kmh", "ghost_lap", "ghost_speed_kmh",
         (F.col("speed_kmh") - F.col("ghost_speed_kmh")).alias("speed_delta"),
     )

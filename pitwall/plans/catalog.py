@@ -626,7 +626,7 @@ LEFT JOIN trace g ON g.car_id = t.car_id AND g.lap_count = p.ghost_lap AND g.idx
     ),
 )
 def q_lap_trace_vs_ghost(spark, sf_dir):
-    return M.trace_vs_ghost(M.lap_trace(matched(spark, sf_dir)))
+    return M.lap_trace_vs_ghost(matched(spark, sf_dir))
 
 
 # ------------------------------------------------------------------------ streaming
