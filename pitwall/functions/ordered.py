@@ -121,16 +121,20 @@ def _local(s: Scan, w, run, before) -> Column:
 
 
 def _total(s: Scan, rn: str) -> Column:
-    e = s.expr
-    if s.kind in ("max", "max_before"):
-        return F.max(e)
-    if s.kind in ("min", "min_before"):
-        return F.min(e)
-    if s.kind == "sum":
-        return F.sum(e)
-    if s.kind == "last":
-        return F.max_by(e, F.when(e.isNotNull(), F.col(rn)))
-    return F.max_by(e, F.col(rn))  # lag: value of the chunk's last row
+    """Chunk total read off the window output at the chunk's last row.
+
+    Using the window's own columns (not the raw expression) keeps the window in this
+    branch, so both branches share one shuffle (ReuseExchange) instead of the totals
+    re-reading and re-computing everything upstream.
+    """
+    loc, last = F.col(f"_loc_{s.name}"), F.col(rn)
+    if s.kind in ("max", "min", "sum", "last"):
+        return F.max_by(loc, last)
+    if s.kind == "max_before":
+        return F.max_by(F.greatest(loc, s.expr), last)
+    if s.kind == "min_before":
+        return F.max_by(F.least(loc, s.expr), last)
+    return F.max_by(s.expr, last)  # lag: value of the chunk's last row
 
 
 def _carry(s: Scan, wc, earlier) -> Column:

@@ -37,11 +37,18 @@ def _norm(v):
     return v
 
 
-def _rows(pdf, cols):
-    out = []
-    for rec in pdf[cols].itertuples(index=False, name=None):
-        out.append(tuple(_norm(None if (isinstance(x, float) and math.isnan(x)) else x) for x in rec))
-    return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
+def _canon(pdf, cols):
+    import pandas as pd
+
+    out = pd.DataFrame(index=range(len(pdf)))
+    for c in cols:
+        v = pdf[c]
+        if v.dtype == object:
+            v = v.map(lambda x: None if x is None or x is pd.NA else (repr(x.tolist()) if hasattr(x, "tolist") else x))
+        out[c] = v.astype(object).where(v.notna(), None) if v.dtype != object else v
+    key = [out[c].map(lambda x: (x is None, str(x))) for c in cols]
+    order = pd.DataFrame({i: k for i, k in enumerate(key)}).sort_values(list(range(len(cols)))).index
+    return out.loc[order].reset_index(drop=True)
 
 
 def compare(spark_df, con, sql: str, float_tol: float = 0.0) -> dict:
@@ -53,18 +60,21 @@ def compare(spark_df, con, sql: str, float_tol: float = 0.0) -> dict:
         rep["columns"] = {"spark_only": sorted(set(s.columns) - set(d.columns)),
                           "oracle_only": sorted(set(d.columns) - set(s.columns))}
         return rep
-    cols = sorted(s.columns)
-    rs, rd = _rows(s, cols), _rows(d, cols)
-    if len(rs) != len(rd):
+    if len(s) != len(d):
         return rep
+    cols = sorted(s.columns)
+    a, b = _canon(s, cols), _canon(d, cols)
     bad = []
-    for a, b in zip(rs, rd):
-        for c, x, y in zip(cols, a, b):
+    for c in cols:
+        for i, (x, y) in enumerate(zip(a[c], b[c])):
+            x, y = _norm(x), _norm(y)
             if x == y:
                 continue
             if isinstance(x, float) and isinstance(y, float) and abs(x - y) <= float_tol * max(1.0, abs(y)):
                 continue
-            bad.append((c, x, y))
+            bad.append((c, i, x, y))
+            if len(bad) > 50:
+                break
     rep["ok"] = not bad
     rep["diffs"] = bad[:10]
     rep["n_diffs"] = len(bad)
