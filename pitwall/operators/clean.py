@@ -110,6 +110,7 @@ def archive_points(
     raw: DataFrame,
     json_col: str = "json",
     default_tags: dict[str, object] | None = None,
+    keep_seq: bool = False,
 ) -> DataFrame:
     """Archive rows with defaults for *missing* keys.
 
@@ -117,7 +118,7 @@ def archive_points(
     wrong type or a non-finite integer field makes the packet unusable (it goes to
     ``archive_rejects``).  Integers truncate toward zero.
     """
-    ok, _ = _archive_split(raw, json_col, default_tags)
+    ok, _ = _archive_split(raw, json_col, default_tags, keep_seq)
     return ok
 
 
@@ -126,7 +127,7 @@ def archive_rejects(raw: DataFrame, json_col: str = "json", default_tags: dict[s
     return bad
 
 
-def _archive_split(raw: DataFrame, json_col: str, default_tags: dict[str, object] | None):
+def _archive_split(raw: DataFrame, json_col: str, default_tags: dict[str, object] | None, keep_seq: bool = False):
     tags = {"car_id": "unknown", "track_id": "unknown", **(default_tags or {})}
     p = parse_packets(raw, json_col)
     m, pk = F.col("_m"), F.col("_p")
@@ -155,7 +156,8 @@ def _archive_split(raw: DataFrame, json_col: str, default_tags: dict[str, object
         F.array_compact(F.array(*errors)).alias("reasons"),
         F.col(json_col).alias("_json"),
     )
-    ok = d.filter(F.size("reasons") == 0).drop("reasons", "_json", *[c for c in ["seq"] if c in raw.columns])
+    drop_seq = [] if keep_seq else [c for c in ["seq"] if c in raw.columns]
+    ok = d.filter(F.size("reasons") == 0).drop("reasons", "_json", *drop_seq)
     bad = d.filter(F.size("reasons") > 0).select(*[c for c in ["car_id", "track_id", "seq"] if c in d.columns],
                                                     F.col("_json").alias("json"), "reasons")
     return ok, bad
