@@ -767,6 +767,25 @@ def q_stream_lap_history(spark, sf_dir):
     return spark.read.parquet(f"{out}/data")
 
 
+@register(
+    "stream_archive",
+    with_fixture(
+        """SELECT car_id, track_id, timestamp * 1000 AS time, speed_kmh, CAST(trunc(rpm) AS INTEGER) AS rpm,
+  gear, throttle, brake, g_lat, g_long FROM telemetry"""
+    ),
+)
+def q_stream_archive(spark, sf_dir):
+    """K3 + S2/S6: packets replayed into the archive, partitioned by track and car."""
+    from pitwall.sources.tracks import read_archive
+
+    out = scratch_path(spark, "stream-archive")
+    pk = encode_packets(S.telemetry_stream(spark, sf_dir), "ns")
+    K.run_available_now(C.archive_points(pk), f"{out}/_ckpt", foreach_batch=K.archive_writer(f"{out}/data"))
+    a = read_archive(spark, f"{out}/data")
+    return a.select(F.col("car_id").cast("long").alias("car_id"), "track_id", "time", "speed_kmh", "rpm", "gear",
+                    "throttle", "brake", "g_lat", "g_long")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -135,3 +135,24 @@ def lap_history_stream(tel: DataFrame) -> DataFrame:
         .groupBy("car_id")
         .applyInPandasWithState(_history_step, HISTORY_SCHEMA, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
     )
+
+
+def start_lap_analytics(packets: DataFrame, rows_path: str, json_path: str, checkpoint: str,
+                        trigger: str = "5 seconds", ts_unit: str = "ns", watermark: str = WATERMARK):
+    """E1 as a long-running query: decode -> event time -> watermark -> lap aggregate
+    (update mode) -> typed rows + JSON result records every ``trigger`` (T6, T9).
+
+    ``packets`` is a streaming packet table (Kafka or files, ``sources.packets``);
+    malformed packets are filtered out here and kept by a separate ``quarantine`` query.
+    """
+    from pitwall.operators.clean import valid_packets
+    from pitwall.streaming.sinks import lap_result_writer
+
+    laps = lap_summary_stream(valid_packets(packets, ts_unit), watermark)
+    return (
+        laps.writeStream.option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(processingTime=trigger)
+        .foreachBatch(lap_result_writer(rows_path, json_path))
+        .start()
+    )

@@ -73,3 +73,27 @@ def test_timestamp_units(spark):
     base = dt.datetime(2025, 12, 3, 13, 20, 0)
     assert ns.replace(tzinfo=None) == base.replace(microsecond=123456)
     assert ms.replace(tzinfo=None) == base.replace(microsecond=123000)
+
+
+def test_geojson_waypoints_and_projection(spark):
+    import json
+
+    from pitwall.operators.track import project_lonlat
+    from pitwall.session import scratch_path
+    from pitwall.sources.tracks import geojson_waypoints
+
+    path = scratch_path(spark, "geojson")
+    import os
+
+    os.makedirs(path, exist_ok=True)
+    coords = [[-1.0, 52.0], [-0.99, 52.0], [-0.99, 52.01], [-1.0, 52.01]]
+    doc = {"type": "FeatureCollection", "name": "square",
+           "features": [{"type": "Feature", "properties": {"Name": "Test Ring"},
+                         "geometry": {"type": "LineString", "coordinates": coords}}]}
+    with open(f"{path}/square.geojson", "w") as f:
+        json.dump(doc, f)
+    wp = geojson_waypoints(spark, f"{path}/square.geojson")
+    rows = sorted((r.track_id, r.name, r.pos, r.lon, r.lat) for r in wp.collect())
+    assert rows[0] == ("square", "Test Ring", 0, -1.0, 52.0) and len(rows) == 4
+    p = {r.pos: (r.x, r.y) for r in project_lonlat(wp).collect()}
+    assert abs(p[0][0] + p[1][0]) < 1e-6 and abs(p[0][1] + p[2][1]) < 1e-6  # centred on the mean

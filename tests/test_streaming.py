@@ -85,3 +85,20 @@ def test_dedup_drops_redelivered_packets(spark):
     rows = [{"t": float(t), "seq": t, "speed_kmh": 1.0} for t in range(20)]
     out, _ = _deliver_and_run(spark, [rows + rows[:10]], S.dedup_stream)
     assert out.count() == 20
+
+
+def test_long_running_lap_job_with_processing_time_trigger(spark):
+    from pitwall.sources.packets import encode_packets, file_packets
+
+    base = scratch_path(spark, "test-job")
+    tel = make_tel(spark, _lap(1, 0.0, n=20) + _lap(2, 30.0, n=10))
+    encode_packets(tel, "ns").write.parquet(f"{base}/in")
+    q = S.start_lap_analytics(file_packets(spark, f"{base}/in"), f"{base}/rows", f"{base}/json",
+                              f"{base}/ckpt", trigger="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    latest = K.latest_version(spark.read.parquet(f"{base}/rows"), ["car_id", "lap_count"])
+    assert {r.lap_count: r.sample_count for r in latest.collect()} == {1: 20, 2: 10}
+    assert spark.read.parquet(f"{base}/json").count() >= 2
