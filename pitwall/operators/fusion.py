@@ -134,8 +134,7 @@ def downsample(df: DataFrame, period_s: float, keys: tuple[str, ...] = ("car_id"
     return (
         df.withColumn("bucket", bucket)
         .groupBy(*keys, "bucket")
-        .agg(F.min_by(F.struct(*cols), F.struct("event_time", "seq")).alias("_f"))
-        .select(*keys, "bucket", *[F.col(f"_f.{c}").alias(c) for c in cols])
+        .agg(*[(F.min("seq") if c == "seq" else F.min_by(c, "seq")).alias(c) for c in cols])
     )
 
 

@@ -24,8 +24,10 @@ ROUND = 6
 
 
 def _order() -> Column:
-    # first/last by event time, ties by sequence: deterministic after any shuffle
-    return F.struct("event_time", "seq")
+    # first/last in packet-sequence (arrival) order: deterministic after any shuffle,
+    # and a plain LONG, so the aggregate stays a hash aggregate (a struct ordering
+    # would force a sort-based aggregate)
+    return F.col("seq")
 
 
 def lap_aggregates(order: Column | None = None) -> list[Column]:
@@ -176,14 +178,11 @@ def last_n_laps(laps: DataFrame, n: int = 5) -> DataFrame:
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], version: str | Column) -> DataFrame:
-    """Later write wins; ``max_by(struct(*), version)`` per key (mergeable)."""
+    """Later write wins; one ``max_by(column, version)`` per column (mergeable,
+    hash-aggregated for numeric columns)."""
     v = F.col(version) if isinstance(version, str) else version
     value_cols = [c for c in rows.columns if c not in keys]
-    return (
-        rows.groupBy(*keys)
-        .agg(F.max_by(F.struct(*value_cols), v).alias("_latest"))
-        .select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in value_cols])
-    )
+    return rows.groupBy(*keys).agg(*[F.max_by(c, v).alias(c) for c in value_cols])
 
 
 def lap_boundaries(tel: DataFrame, chunk_width: int = SCAN_CHUNK) -> DataFrame:
@@ -228,8 +227,8 @@ def lap_history(tel: DataFrame, chunk_width: int = SCAN_CHUNK) -> DataFrame:
 
 def live_state(tel: DataFrame, low_fuel_kg: float = LOW_FUEL_KG) -> DataFrame:
     """A22 + F5: latest packet per car rendered as text (missing values show 0/'N')."""
-    cols = ["seq", "speed_kmh", "gear", "rpm", "lap_time", "fuel_kg", "tire_wear_pct", "x", "y"]
-    s = tel.groupBy("car_id").agg(F.max_by(F.struct(*cols), _order()).alias("s")).select("car_id", "s.*")
+    cols = ["speed_kmh", "gear", "rpm", "lap_time", "fuel_kg", "tire_wear_pct", "x", "y"]
+    s = tel.groupBy("car_id").agg(F.max("seq").alias("seq"), *[F.max_by(c, "seq").alias(c) for c in cols])
     z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     return s.select(
         "car_id",

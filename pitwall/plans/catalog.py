@@ -165,7 +165,7 @@ def q_lap_history(spark, sf_dir):
   coalesce(s.x, 0) AS x, coalesce(s.y, 0) AS y
 FROM (SELECT car_id, arg_max_null({'seq': seq, 'speed_kmh': speed_kmh, 'gear': gear, 'rpm': rpm,
         'lap_time': lap_time, 'fuel_kg': fuel_kg, 'tire_wear_pct': tire_wear_pct, 'x': x, 'y': y},
-        {'t': timestamp, 's': seq}) AS s
+        seq) AS s
       FROM telemetry GROUP BY car_id) l"""
     ),
 )
@@ -375,9 +375,9 @@ DOWNSAMPLE_S = 43200  # half a day: the fixture's cars report every few hours
     "downsample",
     with_fixture(
         f"""SELECT car_id, CAST(floor(timestamp / CAST({DOWNSAMPLE_S * 1000000} AS DOUBLE)) AS BIGINT) AS bucket,
-  arg_min_null(seq, {{'t': timestamp, 's': seq}}) AS seq,
-  arg_min_null(timestamp, {{'t': timestamp, 's': seq}}) AS event_us,
-  arg_min_null(speed_kmh, {{'t': timestamp, 's': seq}}) AS speed_kmh
+  arg_min_null(seq, seq) AS seq,
+  arg_min_null(timestamp, seq) AS event_us,
+  arg_min_null(speed_kmh, seq) AS speed_kmh
 FROM telemetry GROUP BY car_id, CAST(floor(timestamp / CAST({DOWNSAMPLE_S * 1000000} AS DOUBLE)) AS BIGINT)"""
     ),
 )
@@ -394,7 +394,7 @@ _FUSED = ["speed_kmh", "x", "y", "sector_name", "lap_count", "g_lat", "g_long",
 def _ds_sql(name, fields, period):
     s = ", ".join(f"'{f}': {f}" for f in ["seq", "timestamp", *fields])
     b = f"floor(timestamp / CAST({int(period * 1000000)} AS DOUBLE))"
-    return f"""{name} AS (SELECT r.* FROM (SELECT arg_min_null({{{s}}}, {{'t': timestamp, 's': seq}}) AS r
+    return f"""{name} AS (SELECT r.* FROM (SELECT arg_min_null({{{s}}}, seq) AS r
   FROM telemetry GROUP BY car_id, {b}) x)"""
 
 

@@ -57,18 +57,18 @@ SELECT car_id, lap_count,
   max(g_lat) AS max_g_lat,
   max(g_long) AS max_g_long,
   min(g_long) AS min_g_long,
-  arg_min_null(fuel_kg, {'t': timestamp, 's': seq}) AS fuel_start_kg,
-  arg_max_null(fuel_kg, {'t': timestamp, 's': seq}) AS fuel_end_kg,
-  arg_min_null(fuel_kg, {'t': timestamp, 's': seq}) - arg_max_null(fuel_kg, {'t': timestamp, 's': seq}) AS fuel_used_kg,
-  arg_min_null(fuel_kg, {'t': timestamp, 's': seq}) - arg_max_null(fuel_kg, {'t': timestamp, 's': seq}) AS fuel_per_lap,
+  arg_min_null(fuel_kg, seq) AS fuel_start_kg,
+  arg_max_null(fuel_kg, seq) AS fuel_end_kg,
+  arg_min_null(fuel_kg, seq) - arg_max_null(fuel_kg, seq) AS fuel_used_kg,
+  arg_min_null(fuel_kg, seq) - arg_max_null(fuel_kg, seq) AS fuel_per_lap,
   max(tire_wear_pct) AS tire_wear_pct,
-  max(tire_wear_pct) - arg_min_null(tire_wear_pct, {'t': timestamp, 's': seq}) AS tire_deg_rate,
+  max(tire_wear_pct) - arg_min_null(tire_wear_pct, seq) AS tire_deg_rate,
   round(avg(throttle) * 50 + avg(brake) * 50, 6) AS aggression_index,
   max(lap_time) AS lap_time_s,
-  arg_max_null(last_lap_time, {'t': timestamp, 's': seq}) AS last_lap_time_s,
+  arg_max_null(last_lap_time, seq) AS last_lap_time_s,
   count(*) AS sample_count,
-  arg_min_null(timestamp, {'t': timestamp, 's': seq}) AS lap_start_timestamp,
-  arg_max_null(timestamp, {'t': timestamp, 's': seq}) AS lap_end_timestamp,
+  arg_min_null(timestamp, seq) AS lap_start_timestamp,
+  arg_max_null(timestamp, seq) AS lap_end_timestamp,
   (max(timestamp) - min(timestamp)) / CAST(1000 AS DOUBLE) AS lap_duration_ms
 FROM telemetry WHERE lap_count IS NOT NULL
 GROUP BY car_id, lap_count

@@ -35,6 +35,10 @@ def versioned_writer(path: str, partition_by: tuple[str, ...] = ()):
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if partition_by:
+            # one file per output directory and batch instead of one per task and
+            # directory; a micro-batch is bounded by the source's admission cap
+            batch = batch.repartition(*partition_by)
         w = batch.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -82,8 +86,4 @@ def run_available_now(stream: DataFrame, checkpoint: str, *, path: str | None =
 def latest_version(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Reduce update-mode output to the last version of every key."""
     cols = [c for c in rows.columns if c not in keys and c != "batch_id"]
-    return (
-        rows.groupBy(*keys)
-        .agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_v"))
-        .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in cols])
-    )
+    return rows.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in cols])
