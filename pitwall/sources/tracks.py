@@ -42,7 +42,8 @@ def _property_names(doc: DataFrame) -> list[str]:
 
 
 def read_archive(spark: SparkSession, path: str, track_id: str | None = None, car_id=None) -> DataFrame:
-    """Stored archive points; filters on the partition columns prune directories."""
+    """Stored archive points; a track filter prunes directories, a car filter is
+    pushed to the parquet reader (row groups are sorted by car)."""
     df = spark.read.parquet(path)
     if track_id is not None:
         df = df.filter(F.col("track_id") == track_id)
