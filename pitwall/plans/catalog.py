@@ -786,6 +786,26 @@ def q_stream_archive(spark, sf_dir):
                     "throttle", "brake", "g_lat", "g_long")
 
 
+@register(
+    "stream_window_sliding",
+    with_fixture(
+        f"""SELECT car_id, w * 86400000000 AS window_start_us, (w + 2) * 86400000000 AS window_end_us,
+  count(*) AS samples, round(avg(speed_kmh), 6) AS avg_speed_kmh, max(speed_kmh) AS max_speed_kmh
+FROM (SELECT *, CAST(floor(timestamp / CAST(86400000000 AS DOUBLE)) AS BIGINT) AS w FROM telemetry
+      UNION ALL
+      SELECT *, CAST(floor(timestamp / CAST(86400000000 AS DOUBLE)) AS BIGINT) - 1 AS w FROM telemetry) t
+GROUP BY car_id, w
+HAVING (w + 2) * 86400000000 <= (SELECT {_CLOSED} FROM events)"""
+    ),
+)
+def q_stream_window_sliding(spark, sf_dir):
+    """T2 sliding: two-day windows every day per car, append mode."""
+    out = scratch_path(spark, "stream-sliding")
+    s = S.window_agg_stream(S.telemetry_stream(spark, sf_dir), "2 days", "1 day")
+    K.run_available_now(s, f"{out}/_ckpt", path=f"{out}/data")
+    return spark.read.parquet(f"{out}/data")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
