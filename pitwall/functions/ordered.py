@@ -75,8 +75,7 @@ def ordered_scan(
         before = w.rowsBetween(Window.unboundedPreceding, -1)
         out = df
         for stage in stages:
-            for s in stage:
-                out = out.withColumn(s.name, _local(s, w, run, before))
+            out = out.withColumns({s.name: _local(s, w, run, before) for s in stage})
         return out
 
     ck, rn = "_scan_chunk", "_scan_rn"
@@ -88,17 +87,14 @@ def ordered_scan(
     out = df.withColumn(ck, F.floor(F.col(chunk_by) / F.lit(chunk_width)).cast("long"))
     out = out.withColumn(rn, F.row_number().over(w))
     for stage in stages:
-        local = out
-        for s in stage:
-            local = local.withColumn(f"_loc_{s.name}", _local(s, w, run, before))
+        local = out.withColumns({f"_loc_{s.name}": _local(s, w, run, before) for s in stage})
         # Per-chunk totals from the window output: same partitioning, no new shuffle.
         totals = local.groupBy(*keys, ck).agg(*[_total(s, rn).alias(f"_tot_{s.name}") for s in stage])
         carry = totals.select(*keys, ck, *[_carry(s, wc, earlier).alias(f"_car_{s.name}") for s in stage])
         out = local.join(carry, [*keys, ck], "left")
-        for s in stage:
-            out = out.withColumn(
-                s.name, _combine(s, F.col(f"_car_{s.name}"), F.col(f"_loc_{s.name}"), F.col(rn))
-            )
+        out = out.withColumns(
+            {s.name: _combine(s, F.col(f"_car_{s.name}"), F.col(f"_loc_{s.name}"), F.col(rn)) for s in stage}
+        )
         out = out.drop(*[f"_loc_{s.name}" for s in stage], *[f"_car_{s.name}" for s in stage])
     return out.drop(ck, rn)
 

@@ -32,8 +32,22 @@ GAP_LIMIT = 500
 ROUND = 6
 
 
+_STATS_CACHE: dict[tuple[int, int], tuple[float, int]] = {}
+
+
 def _track_stats(points: DataFrame) -> tuple[float, int]:
-    """Largest bounding-box side over tracks and the total point count (one tiny row)."""
+    """Largest bounding-box side over tracks and the total point count (one tiny row).
+
+    A track table is a dimension: its stats are computed once per session and plan
+    (keyed by the plan's semantic hash), not once per query that matches against it.
+    """
+    key = (id(points.sparkSession), points.semanticHash())
+    if key not in _STATS_CACHE:
+        _STATS_CACHE[key] = _compute_track_stats(points)
+    return _STATS_CACHE[key]
+
+
+def _compute_track_stats(points: DataFrame) -> tuple[float, int]:
     r = points.groupBy("track_id").agg(
         F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("ext"),
         F.count(F.lit(1)).alias("n"),
@@ -62,7 +76,8 @@ def candidate_table(points: DataFrame, size: float | None) -> DataFrame:
     if size is None:
         return points.groupBy("track_id", F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy")).agg(
             F.collect_list(F.struct("idx", "x", "y")).alias("cands"))
-    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    offs = F.expr("array(" + ", ".join(
+        f"named_struct('dx', {dx}, 'dy', {dy})" for dx in (-1, 0, 1) for dy in (-1, 0, 1)) + ")")
     p = points.select(
         "track_id", _cell(F.col("x"), size).alias("_cx"), _cell(F.col("y"), size).alias("_cy"),
         F.struct("idx", "x", "y").alias("pt"), F.explode(offs).alias("o"),
@@ -108,8 +123,8 @@ def map_match(samples: DataFrame, points: DataFrame, cell_m: float = CELL_M, gro
             F.col("track_id").alias("_rt"), F.col("cx").alias("_rx"), F.col("cy").alias("_ry"),
             F.col("cands").alias("_c"),
         )
-        d = (d.withColumn("_lt", F.when(need, F.col("track_id")))
-             .withColumn("_lx", F.when(need, kx)).withColumn("_ly", F.when(need, ky)))
+        d = d.withColumns({"_lt": F.when(need, F.col("track_id")), "_lx": F.when(need, kx),
+                           "_ly": F.when(need, ky)})
         cond = (F.col("_lt") == F.col("_rt")) & (F.col("_lx") == F.col("_rx")) & (F.col("_ly") == F.col("_ry"))
         d = d.join(bc(t), cond, "left")
         d = d.withColumn("_b", _nearest(F.col("_c"), x, y))
