@@ -27,7 +27,7 @@ from pitwall.operators.track import speed_profile, track_geometry
 CELL_M = 10.0
 GROWTH = 8.0
 # Broadcast the candidate tables only while their total entries stay below this.
-MAX_BROADCAST_ENTRIES = 4_000_000
+MAX_BROADCAST_ENTRIES = 1_000_000
 GAP_LIMIT = 500
 ROUND = 6
 

@@ -636,7 +636,7 @@ from pitwall.sources.fixtures import read_table  # noqa: E402
 from pitwall.streaming import jobs as S  # noqa: E402
 from pitwall.streaming import sinks as K  # noqa: E402
 
-STREAM_SPLIT_FILES = 10
+STREAM_SPLIT_FILES = 5
 LAP_GAP = "6 days"  # longer than any pause inside one fixture lap (a lap is six days)
 WINDOW = "1 day"
 LATE_ORDER = (0, 1, 2, 4, 3)  # lap 3 arrives after lap 4 has moved the watermark past it

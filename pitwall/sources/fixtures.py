@@ -21,18 +21,30 @@ SECONDS_PER_LAP = 518400  # six days
 ELLIPSE_A, ELLIPSE_B = 1000.0, 400.0
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table (read-only): listed and its footer read once per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
+
+
+def ellipse_xy(idx, n_points: int = TRACK_POINTS):
+    """Track point ``idx`` of the ellipse as (x, y) Columns, rounded to 6 decimals."""
+    i = F.col(idx) if isinstance(idx, str) else idx
+    ang = F.lit(2.0) * F.lit(math.pi) * i / F.lit(float(n_points))
+    return F.round(F.lit(ELLIPSE_A) * F.cos(ang), 6), F.round(F.lit(ELLIPSE_B) * F.sin(ang), 6)
 
 
 def track_points(spark: SparkSession, n_points: int = TRACK_POINTS) -> DataFrame:
     """The reference track: ``track_id, idx, x, y`` on an ellipse (bounded: n_points rows)."""
-    ang = F.lit(2.0) * F.lit(math.pi) * F.col("id") / F.lit(float(n_points))
+    x, y = ellipse_xy("id", n_points)
     return spark.range(n_points).select(
-        F.lit(TRACK_ID).alias("track_id"),
-        F.col("id").cast("int").alias("idx"),
-        F.round(F.lit(ELLIPSE_A) * F.cos(ang), 6).alias("x"),
-        F.round(F.lit(ELLIPSE_B) * F.sin(ang), 6).alias("y"),
+        F.lit(TRACK_ID).alias("track_id"), F.col("id").cast("int").alias("idx"), x.alias("x"), y.alias("y")
     )
 
 
@@ -45,8 +57,10 @@ def event_micros(ts: str = "ts"):
     return day_us + hm_us + sec_us
 
 
-def telemetry_from_events(events: DataFrame, track: DataFrame, n_points: int = TRACK_POINTS) -> DataFrame:
-    """Works on a batch or a streaming ``events`` DataFrame (stream-static join)."""
+def telemetry_from_events(events: DataFrame, track: DataFrame | None = None, n_points: int = TRACK_POINTS
+                          ) -> DataFrame:
+    """Works on a batch or a streaming ``events`` DataFrame (``track`` is accepted for
+    symmetry with other track tables; the ellipse's points are computed in place)."""
     dom = F.dayofmonth("ts")
     e = events.select(
         "event_id",
@@ -61,9 +75,11 @@ def telemetry_from_events(events: DataFrame, track: DataFrame, n_points: int = T
     ).withColumn(
         "true_idx", F.floor(F.col("lap_time") * F.lit(n_points) / F.lit(SECONDS_PER_LAP)).cast("int")
     )
-    # The track is a fixed dimension of n_points rows: broadcasting it is bounded.
-    p = F.broadcast(track.select(F.col("idx").alias("true_idx"), F.col("x").alias("px"), F.col("y").alias("py")))
-    j = e.join(p, "true_idx")
+    # A track point is a function of its index, so the equi-join with the track
+    # table is evaluated in place: same rows (indices outside the track drop out,
+    # as in an inner join), no broadcast job per query.
+    px, py = ellipse_xy("true_idx", n_points)
+    j = e.filter((F.col("true_idx") >= 0) & (F.col("true_idx") < n_points)).withColumns({"px": px, "py": py})
     eid, k, v, lap = F.col("event_id"), F.col("k"), F.col("value"), F.col("lap_count")
     dbl = lambda n: F.lit(float(n))
     return j.select(
