@@ -33,6 +33,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _TABLES[key]
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a batch input read as fewer partitions than the cluster's parallelism.
+
+    A table stored as a single small row group is scanned by one task, and every
+    per-row step after it (JSON parsing, map matching, explodes) would run on one
+    core.  Inputs that already have enough partitions (any large table) are left
+    alone, so this adds a shuffle only where the input is tiny.
+    """
+    if df.isStreaming:
+        return df
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def ellipse_xy(idx, n_points: int = TRACK_POINTS):
     """Track point ``idx`` of the ellipse as (x, y) Columns, rounded to 6 decimals."""
     i = F.col(idx) if isinstance(idx, str) else idx
@@ -110,4 +124,5 @@ def telemetry_from_events(events: DataFrame, track: DataFrame | None = None, n_p
 
 
 def telemetry(spark: SparkSession, sf_dir: str, n_points: int = TRACK_POINTS) -> DataFrame:
-    return telemetry_from_events(read_table(spark, sf_dir, "events"), track_points(spark, n_points), n_points)
+    events = spread_small(read_table(spark, sf_dir, "events"))
+    return telemetry_from_events(events, track_points(spark, n_points), n_points)
