@@ -23,6 +23,7 @@ from pitwall.functions import channels as ch
 from pitwall.functions.ordered import SCAN_CHUNK, Scan, ordered_scan
 from pitwall.operators.laps import lap_boundaries
 from pitwall.operators.track import speed_profile, track_geometry
+from pitwall.session import session_key
 
 CELL_M = 10.0
 GROWTH = 8.0
@@ -32,7 +33,7 @@ GAP_LIMIT = 500
 ROUND = 6
 
 
-_STATS_CACHE: dict[tuple[int, int], tuple[float, int]] = {}
+_STATS_CACHE: dict[tuple, tuple[float, int]] = {}
 
 
 def _track_stats(points: DataFrame) -> tuple[float, int]:
@@ -41,7 +42,7 @@ def _track_stats(points: DataFrame) -> tuple[float, int]:
     A track table is a dimension: its stats are computed once per session and plan
     (keyed by the plan's semantic hash), not once per query that matches against it.
     """
-    key = (id(points.sparkSession), points.semanticHash())
+    key = (session_key(points.sparkSession), points.semanticHash())
     if key not in _STATS_CACHE:
         _STATS_CACHE[key] = _compute_track_stats(points)
     return _STATS_CACHE[key]

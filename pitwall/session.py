@@ -43,3 +43,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder (never a machine-local temp dir)."""
     return f"{checkpoint_root(spark)}/pitwall/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def session_key(spark: SparkSession) -> tuple[str, int]:
+    """Identity of a live session (application id + JVM session object), for memo caches."""
+    return spark.sparkContext.applicationId, spark._jsparkSession.hashCode()

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.functions.channels import gear_band, sector_name
+from pitwall.session import session_key
 
 TRACK_ID = "ellipse"
 TRACK_POINTS = 2000
@@ -21,13 +22,13 @@ SECONDS_PER_LAP = 518400  # six days
 ELLIPSE_A, ELLIPSE_B = 1000.0, 400.0
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple, DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table (read-only): listed and its footer read once per session."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]

@@ -95,6 +95,15 @@ def dedup_stream(tel: DataFrame, keys: tuple[str, ...] = ("car_id", "seq"), wate
     return tel.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
+def _ship_by_value() -> None:
+    """Pickle this module's functions by value, so Python workers need not import pitwall."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 HISTORY_SCHEMA = "car_id long, lap int, lap_time double, status string"
 HISTORY_STATE = "current_lap long, fastest double"
 
@@ -120,6 +129,8 @@ def _history_step(key, frames, state):
     status = np.where(times < best_before, "PB", "OK")
     new_fastest = float(min([fastest, *times.tolist()])) if len(times) else fastest
     state.update((int(run[-1]), new_fastest))
+    if not len(times):
+        return
     yield pd.DataFrame({
         "car_id": np.full(len(times), key[0], dtype=np.int64),
         "lap": done.astype(np.int32),
@@ -130,6 +141,7 @@ def _history_step(key, frames, state):
 
 def lap_history_stream(tel: DataFrame) -> DataFrame:
     """Streaming lap history keyed by car (state store holds two numbers per car)."""
+    _ship_by_value()
     return (
         tel.select("car_id", "seq", "lap_count", "last_lap_time")
         .groupBy("car_id")
