@@ -143,14 +143,18 @@ def with_track_distance(matched: DataFrame, geometry: DataFrame) -> DataFrame:
     return matched.join(F.broadcast(g), ["track_id", "idx"], "left")
 
 
-def centreline(matched: DataFrame, bucket: int = 10, digits: int = ROUND) -> DataFrame:
+def centreline(matched: DataFrame, bucket: int = 10) -> DataFrame:
     """Track reference rebuilt from logged laps: mean position per bucket of matched points.
 
     Output ``track_id, pos, x, y, samples`` (one waypoint per non-empty bucket, in
-    track order); a mergeable aggregate, so a hot track is combined map-side.
+    track order); a mergeable aggregate, so a hot track is combined map-side.  Sums
+    are taken in fixed point (integer micrometres), so the mean does not depend on
+    the order in which partial sums are combined.
     """
+    um = lambda c: F.round(F.col(c) * F.lit(1e6)).cast("long")
     return matched.groupBy("track_id", F.floor(F.col("idx") / bucket).cast("int").alias("pos")).agg(
-        F.round(F.avg("x"), digits).alias("x"), F.round(F.avg("y"), digits).alias("y"),
+        (F.sum(um("x")) / F.count(F.lit(1)) / F.lit(1e6)).alias("x"),
+        (F.sum(um("y")) / F.count(F.lit(1)) / F.lit(1e6)).alias("y"),
         F.count(F.lit(1)).alias("samples"),
     )
 

@@ -17,10 +17,20 @@ ROUND = 6
 EARTH_RADIUS_M = 6378137.0
 
 
+def _fixed_mean(c: str, w) -> Column:
+    """Mean in fixed point (1e-9 units): exact and independent of summation order.
+
+    A projection multiplies ``lat - mean(lat)`` by ~111 km per degree, so a float
+    mean's rounding noise (~1e-10 degrees) would show up as ~1e-5 m in the output.
+    """
+    q = F.round(F.col(c) * F.lit(1e9)).cast("long")
+    return F.sum(q).over(w) / F.count(F.lit(1)).over(w) / F.lit(1e9)
+
+
 def project_lonlat(waypoints: DataFrame) -> DataFrame:
     """G1: equirectangular projection of ``lon, lat`` about each track's mean position."""
     w = Window.partitionBy("track_id")
-    clon, clat = F.avg("lon").over(w), F.avg("lat").over(w)
+    clon, clat = _fixed_mean("lon", w), _fixed_mean("lat", w)
     k = F.lit(math.pi / 180.0 * EARTH_RADIUS_M)
     return waypoints.withColumn("_clon", clon).withColumn("_clat", clat).select(
         "track_id",

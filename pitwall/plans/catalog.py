@@ -482,22 +482,28 @@ def q_map_match(spark, sf_dir):
                     F.round("s", 6).alias("track_s"))
 
 
-@register("track_centreline", with_fixture("SELECT * FROM centre", TS.MATCHED_CTE, _CENTRE))
+@register("track_centreline", with_fixture("SELECT track_id, pos, round(x, 6) AS x, round(y, 6) AS y, samples FROM centre",
+                                          TS.MATCHED_CTE, _CENTRE))
 def q_track_centreline(spark, sf_dir):
-    return centre(spark, sf_dir)
+    c = centre(spark, sf_dir)
+    return c.select("track_id", "pos", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "samples")
 
 
 @register(
     "track_project",
     with_fixture(
         f"""SELECT track_id, pos, round(lon, 9) AS lon, round(lat, 9) AS lat,
-  round((lon - avg(lon) OVER (PARTITION BY track_id)) * {TS.dbl(3.141592653589793 / 180.0 * TR.EARTH_RADIUS_M)}
-        * cos(radians(avg(lat) OVER (PARTITION BY track_id))), 6) AS x,
-  round((lat - avg(lat) OVER (PARTITION BY track_id)) * {TS.dbl(3.141592653589793 / 180.0 * TR.EARTH_RADIUS_M)}, 6) AS y
+  round((lon - clon) * {TS.dbl(3.141592653589793 / 180.0 * TR.EARTH_RADIUS_M)} * cos(radians(clat)), 6) AS x,
+  round((lat - clat) * {TS.dbl(3.141592653589793 / 180.0 * TR.EARTH_RADIUS_M)}, 6) AS y
+FROM (SELECT *,
+        sum(CAST(round(lon * CAST(1000000000 AS DOUBLE)) AS BIGINT)) OVER (PARTITION BY track_id)
+          / count(*) OVER (PARTITION BY track_id) / CAST(1000000000 AS DOUBLE) AS clon,
+        sum(CAST(round(lat * CAST(1000000000 AS DOUBLE)) AS BIGINT)) OVER (PARTITION BY track_id)
+          / count(*) OVER (PARTITION BY track_id) / CAST(1000000000 AS DOUBLE) AS clat
 FROM (SELECT track_id, pos,
         {TS.dbl(LON0)} + x / {TS.dbl(3.141592653589793 / 180.0 * TR.EARTH_RADIUS_M * __import__('math').cos(__import__('math').radians(LAT0)))} AS lon,
         {TS.dbl(LAT0)} + y / {TS.dbl(3.141592653589793 / 180.0 * TR.EARTH_RADIUS_M)} AS lat
-      FROM centre) w""",
+      FROM centre) w) v""",
         TS.MATCHED_CTE, _CENTRE,
     ),
 )

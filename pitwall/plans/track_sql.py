@@ -78,7 +78,9 @@ FROM (SELECT *, first_value(v1sq) {full} AS v1sq0, last_value(s_before) {full} A
 
 def centreline_cte(name: str = "centre", src: str = "matched", bucket: int = 10) -> str:
     return f"""{name} AS (
-SELECT track_id, CAST(floor(idx / {bucket}) AS INTEGER) AS pos, round(avg(x), 6) AS x, round(avg(y), 6) AS y,
+SELECT track_id, CAST(floor(idx / {bucket}) AS INTEGER) AS pos,
+  sum(CAST(round(x * CAST(1000000 AS DOUBLE)) AS BIGINT)) / count(*) / CAST(1000000 AS DOUBLE) AS x,
+  sum(CAST(round(y * CAST(1000000 AS DOUBLE)) AS BIGINT)) / count(*) / CAST(1000000 AS DOUBLE) AS y,
   count(*) AS samples
 FROM {src} GROUP BY track_id, CAST(floor(idx / {bucket}) AS INTEGER)
 )"""
