@@ -33,10 +33,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; set one only if unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext in a Spark Connect session
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="pitwall-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # noqa: BLE001
+            pass
     return base.rstrip("/")
 
 
@@ -47,4 +55,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def session_key(spark: SparkSession) -> tuple[str, int]:
     """Identity of a live session (application id + JVM session object), for memo caches."""
-    return spark.sparkContext.applicationId, spark._jsparkSession.hashCode()
+    try:
+        return spark.sparkContext.applicationId, spark._jsparkSession.hashCode()
+    except Exception:  # noqa: BLE001 - Spark Connect: no JVM handles on the client
+        return "connect", id(spark)
