@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitwall.functions import channels as ch
 from pitwall.functions.ordered import SCAN_CHUNK, Scan, ordered_scan
@@ -183,3 +184,123 @@ def sensor_fusion(sensors: dict[str, DataFrame], chunk_width: int = TIME_CHUNK_U
         chunk_by="_us", chunk_width=chunk_width,
     )
     return fused.select("car_id", "event_time", "seq", *[F.col(f"_f_{c}").alias(c) for c in fields])
+
+
+# ----------------------------------------------------------------- H8 exact gate
+
+GATE_BLOCKS = 65536  # periods per chunk
+
+
+def _ship_by_value() -> None:
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _gate_next(t, period):
+    import numpy as np
+
+    return np.searchsorted(t, t + period, side="left")
+
+
+def _gate_follow(nxt, start, n):
+    """Last index of the chains starting at ``start`` (vectorised pointer following)."""
+    import numpy as np
+
+    cur = np.asarray(start, dtype=np.int64).copy()
+    last = cur.copy()
+    live = cur < n
+    while live.any():
+        last[live] = cur[live]
+        cur[live] = nxt[cur[live]]
+        live = cur < n
+    return last
+
+
+def _gate_chunk_summary(period: int, width: int):
+    import numpy as np
+    import pandas as pd
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_us", "seq"], kind="stable")
+        t, s = pdf["_us"].to_numpy(np.int64), pdf["seq"].to_numpy(np.int64)
+        n = len(t)
+        chunk = int(pdf["_chunk"].iloc[0])
+        # the chain enters at the first sample >= threshold, and the threshold is
+        # below chunk start + period: only these samples can be entry points
+        k = min(n, int(np.searchsorted(t, chunk * width + period, side="left")) + 1)
+        cand = np.arange(k)
+        last = _gate_follow(_gate_next(t, period), cand, n)
+        return pd.DataFrame({
+            "car_id": pdf["car_id"].iloc[0], "_chunk": chunk,
+            "cand_us": t[cand], "cand_seq": s[cand], "exit_us": t[last],
+        })
+
+    return run
+
+
+def _gate_resolve(period: int):
+    import pandas as pd
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_chunk", "cand_us", "cand_seq"], kind="stable")
+        out, threshold = [], None
+        for chunk, g in pdf.groupby("_chunk", sort=True):
+            hit = g if threshold is None else g[g["cand_us"] >= threshold]
+            if len(hit):
+                row = hit.iloc[0]
+                out.append((int(row["car_id"]), int(chunk), int(row["cand_us"]), int(row["cand_seq"])))
+                threshold = int(row["exit_us"]) + period
+        return pd.DataFrame(out, columns=["car_id", "_chunk", "start_us", "start_seq"])
+
+    return run
+
+
+def _gate_emit(period: int):
+    import numpy as np
+
+    def run(pdf):
+        pdf = pdf.sort_values(["_us", "seq"], kind="stable").reset_index(drop=True)
+        t, s = pdf["_us"].to_numpy(np.int64), pdf["seq"].to_numpy(np.int64)
+        start = int(np.flatnonzero((t == pdf["start_us"].iloc[0]) & (s == pdf["start_seq"].iloc[0]))[0])
+        nxt, keep, cur = _gate_next(t, period), [], start
+        while cur < len(t):
+            keep.append(cur)
+            cur = int(nxt[cur])
+        return pdf.iloc[keep].drop(columns=["start_us", "start_seq", "_chunk"])
+
+    return run
+
+
+def rate_gate(df: DataFrame, period_s: float, cols: list[str] | None = None,
+              blocks_per_chunk: int = GATE_BLOCKS) -> DataFrame:
+    """H8 exact: per car, emit a sample when ``t - last_emitted >= period`` (the first
+    sample is always emitted), in event-time order with ties by sequence.
+
+    The gate is sequential, so it is cut into time chunks of ``blocks_per_chunk``
+    periods.  Only samples in a chunk's first period (and the first one after it)
+    can be where the chain enters the chunk, so pass 1 follows every such entry to
+    its exit per (car, chunk); pass 2 chains the small per-chunk summaries per car;
+    pass 3 re-emits each chunk from its resolved entry.  Every grouped task holds
+    one chunk, never a whole car.
+    """
+    _ship_by_value()
+    period = int(round(period_s * 1e6))
+    width = period * blocks_per_chunk
+    cols = [c for c in (cols or []) if c not in ("car_id", "seq", "event_time")]
+    d = df.select("car_id", "seq", "event_time", *cols).withColumn("_us", F.unix_micros("event_time"))
+    d = d.withColumn("_chunk", F.floor(F.col("_us") / F.lit(width)).cast("long"))
+    summary = d.select("car_id", "_chunk", "seq", "_us").groupBy("car_id", "_chunk").applyInPandas(
+        _gate_chunk_summary(period, width),
+        "car_id long, _chunk long, cand_us long, cand_seq long, exit_us long",
+    )
+    starts = summary.groupBy("car_id").applyInPandas(
+        _gate_resolve(period), "car_id long, _chunk long, start_us long, start_seq long"
+    )
+    joined = d.join(starts, ["car_id", "_chunk"])
+    out_schema = T.StructType(
+        [f for f in joined.schema.fields if f.name not in ("start_us", "start_seq", "_chunk")]
+    )
+    return joined.groupBy("car_id", "_chunk").applyInPandas(_gate_emit(period), out_schema).drop("_us")

@@ -386,6 +386,29 @@ def q_downsample(spark, sf_dir):
     return d.select("car_id", "bucket", "seq", F.unix_micros("event_time").alias("event_us"), "speed_kmh")
 
 
+GATE_S = 43200  # the gate period for the fixture's cars (samples are hours apart)
+
+
+@register(
+    "rate_gate",
+    with_fixture(
+        f"""SELECT g.car_id, g.seq, g.us AS event_us, t.speed_kmh FROM gate g JOIN telemetry t USING (car_id, seq)""",
+        f"""gate(car_id, seq, us) AS (
+  SELECT car_id, min({{'u': timestamp, 's': seq}}).s, min({{'u': timestamp, 's': seq}}).u FROM telemetry GROUP BY car_id
+  UNION ALL
+  SELECT g.car_id, x.m.s, x.m.u FROM gate g,
+    LATERAL (SELECT min({{'u': p.timestamp, 's': p.seq}}) AS m FROM telemetry p
+             WHERE p.car_id = g.car_id AND p.timestamp >= g.us + {GATE_S * 1000000}) x
+  WHERE x.m IS NOT NULL
+)""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
+def q_rate_gate(spark, sf_dir):
+    """H8 exact greedy gate (chunked, see ``fusion.rate_gate``)."""
+    g = FU.rate_gate(telemetry(spark, sf_dir), GATE_S, ["speed_kmh"])
+    return g.select("car_id", "seq", F.unix_micros("event_time").alias("event_us"), "speed_kmh")
+
+
 FUSION_PERIODS = {"gps": 86400.0, "ecu": 43200.0}
 _FUSED = ["speed_kmh", "x", "y", "sector_name", "lap_count", "g_lat", "g_long", "rpm", "gear", "throttle",
           "brake", "fuel_kg", "tire_wear_pct", "lap_time", "last_lap_time", "time"]

@@ -157,3 +157,34 @@ def test_trace_later_sample_overwrites_and_ghost_is_previous_lap(spark):
     assert g[(2, 13)] == (1, 2.0, 6.0)
     assert g[(1, 12)][0] is None
     assert len(g) == len(tr)
+
+
+def _gate_reference(rows, period):
+    out, by = set(), {}
+    for r in rows:
+        by.setdefault(r["car_id"], []).append(r)
+    for xs in by.values():
+        xs.sort(key=lambda r: (r["t"], r["seq"]))
+        last = None
+        for r in xs:
+            us = round(r["t"] * 1e6)
+            if last is None or us - last >= round(period * 1e6):
+                out.add(r["seq"])
+                last = us
+    return out
+
+
+def test_rate_gate_matches_sequential_gate_across_chunks(spark):
+    from pitwall.operators.fusion import rate_gate
+
+    rnd = random.Random(3)
+    rows = []
+    for car in (1, 2, 3):
+        t = 0.0
+        for i in range(150):
+            t += rnd.choice([0.01, 0.03, 0.05, 0.1, 0.25, 1.0])
+            rows.append({"car_id": car, "t": round(t, 2), "seq": car * 1000 + i, "speed_kmh": float(i)})
+    tel = make_tel(spark, rows)
+    for period, blocks in [(0.2, 1), (0.2, 3), (0.07, 5), (1.0, 65536)]:
+        got = {r.seq for r in rate_gate(tel, period, ["speed_kmh"], blocks_per_chunk=blocks).collect()}
+        assert got == _gate_reference(rows, period), (period, blocks)
