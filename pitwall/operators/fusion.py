@@ -219,41 +219,95 @@ def _gate_follow(nxt, start, n):
     return last
 
 
+def _groups(batches, keys):
+    """Consecutive groups of rows sorted by ``keys`` across Arrow batches.
+
+    Holds at most one group in memory (the one that may continue in the next
+    batch), so memory is bounded by the largest group, not by the partition.
+    """
+    import numpy as np
+    import pandas as pd
+
+    held = []
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        k = pdf[keys].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)])
+        if held and (pd.concat(held[-1:])[keys].to_numpy()[-1] != k[0]).any():
+            yield pd.concat(held, ignore_index=True)
+            held = []
+        for a, b in zip(starts, np.r_[starts[1:], len(pdf)]):
+            part = pdf.iloc[a:b]
+            if b == len(pdf):
+                held.append(part)  # may continue in the next batch
+            else:
+                held.append(part)
+                yield pd.concat(held, ignore_index=True)
+                held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _batched(frames, rows: int = 10000):
+    """Concatenate small per-group outputs into Arrow-sized batches."""
+    import pandas as pd
+
+    buf, n = [], 0
+    for f in frames:
+        buf.append(f)
+        n += len(f)
+        if n >= rows:
+            yield pd.concat(buf, ignore_index=True)
+            buf, n = [], 0
+    if buf:
+        yield pd.concat(buf, ignore_index=True)
+
+
 def _gate_chunk_summary(period: int, width: int):
     import numpy as np
     import pandas as pd
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_us", "seq"], kind="stable")
-        t, s = pdf["_us"].to_numpy(np.int64), pdf["seq"].to_numpy(np.int64)
-        n = len(t)
-        chunk = int(pdf["_chunk"].iloc[0])
-        # the chain enters at the first sample >= threshold, and the threshold is
-        # below chunk start + period: only these samples can be entry points
-        k = min(n, int(np.searchsorted(t, chunk * width + period, side="left")) + 1)
-        cand = np.arange(k)
-        last = _gate_follow(_gate_next(t, period), cand, n)
-        return pd.DataFrame({
-            "car_id": pdf["car_id"].iloc[0], "_chunk": chunk,
-            "cand_us": t[cand], "cand_seq": s[cand], "exit_us": t[last],
-        })
+    def run(batches):
+        return _batched(each(batches))
+
+    def each(batches):
+        for g in _groups(batches, ["car_id", "_chunk"]):
+            t, s = g["_us"].to_numpy(np.int64), g["seq"].to_numpy(np.int64)
+            n, chunk = len(t), int(g["_chunk"].iloc[0])
+            # the chain enters at the first sample >= threshold, and the threshold is
+            # below chunk start + period: only these samples can be entry points
+            k = min(n, int(np.searchsorted(t, chunk * width + period, side="left")) + 1)
+            cand = np.arange(k)
+            last = _gate_follow(_gate_next(t, period), cand, n)
+            yield pd.DataFrame({
+                "car_id": np.full(k, g["car_id"].iloc[0], dtype=np.int64), "_chunk": np.full(k, chunk),
+                "cand_us": t[cand], "cand_seq": s[cand], "exit_us": t[last],
+            })
 
     return run
 
 
 def _gate_resolve(period: int):
+    import numpy as np
     import pandas as pd
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_chunk", "cand_us", "cand_seq"], kind="stable")
-        out, threshold = [], None
-        for chunk, g in pdf.groupby("_chunk", sort=True):
-            hit = g if threshold is None else g[g["cand_us"] >= threshold]
-            if len(hit):
-                row = hit.iloc[0]
-                out.append((int(row["car_id"]), int(chunk), int(row["cand_us"]), int(row["cand_seq"])))
-                threshold = int(row["exit_us"]) + period
-        return pd.DataFrame(out, columns=["car_id", "_chunk", "start_us", "start_seq"])
+    def run(batches):
+        return _batched(each(batches))
+
+    def each(batches):
+        for g in _groups(batches, ["car_id"]):
+            chunk = g["_chunk"].to_numpy(np.int64)
+            cu, cs, ex = (g[c].to_numpy(np.int64) for c in ("cand_us", "cand_seq", "exit_us"))
+            bounds = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1], True])
+            out, threshold = [], None
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                i = a if threshold is None else a + int(np.searchsorted(cu[a:b], threshold, side="left"))
+                if i < b:
+                    out.append((int(chunk[a]), int(cu[i]), int(cs[i])))
+                    threshold = int(ex[i]) + period
+            car = int(g["car_id"].iloc[0])
+            yield pd.DataFrame([(car, *o) for o in out], columns=["car_id", "_chunk", "start_us", "start_seq"])
 
     return run
 
@@ -261,15 +315,18 @@ def _gate_resolve(period: int):
 def _gate_emit(period: int):
     import numpy as np
 
-    def run(pdf):
-        pdf = pdf.sort_values(["_us", "seq"], kind="stable").reset_index(drop=True)
-        t, s = pdf["_us"].to_numpy(np.int64), pdf["seq"].to_numpy(np.int64)
-        start = int(np.flatnonzero((t == pdf["start_us"].iloc[0]) & (s == pdf["start_seq"].iloc[0]))[0])
-        nxt, keep, cur = _gate_next(t, period), [], start
-        while cur < len(t):
-            keep.append(cur)
-            cur = int(nxt[cur])
-        return pdf.iloc[keep].drop(columns=["start_us", "start_seq", "_chunk"])
+    def run(batches):
+        return _batched(each(batches))
+
+    def each(batches):
+        for g in _groups(batches, ["car_id", "_chunk"]):
+            t, s = g["_us"].to_numpy(np.int64), g["seq"].to_numpy(np.int64)
+            start = int(np.flatnonzero((t == g["start_us"].iloc[0]) & (s == g["start_seq"].iloc[0]))[0])
+            nxt, keep, cur = _gate_next(t, period), [], start
+            while cur < len(t):
+                keep.append(cur)
+                cur = int(nxt[cur])
+            yield g.iloc[keep].drop(columns=["start_us", "start_seq", "_chunk"])
 
     return run
 
@@ -292,15 +349,21 @@ def rate_gate(df: DataFrame, period_s: float, cols: list[str] | None = None,
     cols = [c for c in (cols or []) if c not in ("car_id", "seq", "event_time")]
     d = df.select("car_id", "seq", "event_time", *cols).withColumn("_us", F.unix_micros("event_time"))
     d = d.withColumn("_chunk", F.floor(F.col("_us") / F.lit(width)).cast("long"))
-    summary = d.select("car_id", "_chunk", "seq", "_us").groupBy("car_id", "_chunk").applyInPandas(
+    # one shuffle clusters each (car, chunk); passes 1 and 3 read the same exchange
+    clustered = d.repartition("car_id", "_chunk")
+    order = ["car_id", "_chunk", "_us", "seq"]
+    summary = clustered.select("car_id", "_chunk", "seq", "_us").sortWithinPartitions(*order).mapInPandas(
         _gate_chunk_summary(period, width),
         "car_id long, _chunk long, cand_us long, cand_seq long, exit_us long",
     )
-    starts = summary.groupBy("car_id").applyInPandas(
+    starts = summary.repartition("car_id").sortWithinPartitions("car_id", "_chunk", "cand_us", "cand_seq").mapInPandas(
         _gate_resolve(period), "car_id long, _chunk long, start_us long, start_seq long"
     )
-    joined = d.join(starts, ["car_id", "_chunk"])
+    joined = clustered.join(starts, ["car_id", "_chunk"])
     out_schema = T.StructType(
         [f for f in joined.schema.fields if f.name not in ("start_us", "start_seq", "_chunk")]
     )
-    return joined.groupBy("car_id", "_chunk").applyInPandas(_gate_emit(period), out_schema).drop("_us")
+    emitted = joined.repartition("car_id", "_chunk").sortWithinPartitions(*order).mapInPandas(
+        _gate_emit(period), out_schema
+    )
+    return emitted.drop("_us")
