@@ -188,3 +188,24 @@ def test_rate_gate_matches_sequential_gate_across_chunks(spark):
     for period, blocks in [(0.2, 1), (0.2, 3), (0.07, 5), (1.0, 65536)]:
         got = {r.seq for r in rate_gate(tel, period, ["speed_kmh"], blocks_per_chunk=blocks).collect()}
         assert got == _gate_reference(rows, period), (period, blocks)
+
+
+def test_rate_gate_with_groups_spanning_arrow_batches(spark):
+    from pitwall.operators.fusion import rate_gate
+
+    rnd = random.Random(9)
+    rows = []
+    for car in (1, 2):
+        t = 0.0
+        for i in range(60):
+            t += rnd.choice([0.02, 0.05, 0.3])
+            rows.append({"car_id": car, "t": round(t, 2), "seq": car * 1000 + i})
+    tel = make_tel(spark, rows)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        got = {r.seq for r in rate_gate(tel, 0.1, blocks_per_chunk=4).collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert got == _gate_reference(rows, 0.1)
