@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from pitwall.schema import WIRE_KEYS
 
-UNIT_FACTOR_FROM_US = {"ns": 1000, "us": 1, "ms": None, "s": None}
 
 
 def encode_packets(tel: DataFrame, ts_unit: str = "ns") -> DataFrame:
