@@ -102,3 +102,14 @@ def test_long_running_lap_job_with_processing_time_trigger(spark):
     latest = K.latest_version(spark.read.parquet(f"{base}/rows"), ["car_id", "lap_count"])
     assert {r.lap_count: r.sample_count for r in latest.collect()} == {1: 20, 2: 10}
     assert spark.read.parquet(f"{base}/json").count() >= 2
+
+
+def test_fan_out_two_queries_one_source(spark):
+    """Independent consumers of one source, each with its own checkpoint and state."""
+    base = scratch_path(spark, "test-fanout")
+    make_tel(spark, _lap(1, 0.0, n=30)).coalesce(1).write.parquet(f"{base}/src/d=000")
+    src = spark.readStream.schema(TEL_SCHEMA).parquet(f"{base}/src/*")
+    K.run_available_now(S.window_agg_stream(src, "10 seconds"), f"{base}/ck1", path=f"{base}/o1")
+    K.run_available_now(S.dedup_stream(src), f"{base}/ck2", path=f"{base}/o2")
+    assert spark.read.parquet(f"{base}/o1").count() == 1  # watermark 29 s - 10 s: only [0, 10) is closed
+    assert spark.read.parquet(f"{base}/o2").count() == 30
