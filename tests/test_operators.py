@@ -209,3 +209,26 @@ def test_rate_gate_with_groups_spanning_arrow_batches(spark):
     finally:
         spark.conf.set(key, old)
     assert got == _gate_reference(rows, 0.1)
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    """Shuffled input and different partition counts give the same laps, histories and scans."""
+    from pitwall.operators import fusion as FU
+    from pitwall.sources.fixtures import telemetry
+
+    tel = telemetry(spark, "/root/testdata/sf0.001")
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    outs = []
+    try:
+        for parts, shuffle in ((3, False), (11, True)):
+            spark.conf.set(key, str(parts))
+            t = tel.repartition(parts).orderBy(F.rand(7)) if shuffle else tel
+            outs.append([
+                sorted(L.lap_summary(t).collect()),
+                sorted(L.lap_history(t).collect()),
+                sorted(FU.cumulative_distance(t, chunk_width=100).collect()),
+            ])
+    finally:
+        spark.conf.set(key, old)
+    assert outs[0] == outs[1]
