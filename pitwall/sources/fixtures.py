@@ -128,6 +128,13 @@ def telemetry_from_events(events: DataFrame, track: DataFrame | None = None, n_p
     )
 
 
+_VIEWS: dict[tuple, DataFrame] = {}
+
+
 def telemetry(spark: SparkSession, sf_dir: str, n_points: int = TRACK_POINTS) -> DataFrame:
-    events = spread_small(read_table(spark, sf_dir, "events"))
-    return telemetry_from_events(events, track_points(spark, n_points), n_points)
+    """The telemetry view of a driver table directory (the plan is built once per session)."""
+    key = (session_key(spark), sf_dir.rstrip("/"), n_points)
+    if key not in _VIEWS:
+        events = spread_small(read_table(spark, sf_dir, "events"))
+        _VIEWS[key] = telemetry_from_events(events, track_points(spark, n_points), n_points)
+    return _VIEWS[key]
