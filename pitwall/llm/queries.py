@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pitwall.llm.huffman_file import op6_token_files
 from pitwall.llm.ngram_join import OP10_SQL, op10_ngram_join
+from pitwall.llm.separator_scan import op5_token_counts
 
 QUERIES = {
+    "op5_token_counts": op5_token_counts,
+    "op6_token_files": op6_token_files,
     "op10_ngram_join": op10_ngram_join,
 }
 
