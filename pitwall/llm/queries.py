@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from pitwall.llm.huffman_file import op6_token_files
 from pitwall.llm.ngram_join import OP10_SQL, op10_ngram_join
+from pitwall.llm.pareto_mix import OP7_SQL, op7_pareto_mix
 from pitwall.llm.secret_ledger import OP8_SQL, op8_secret_ledger
 from pitwall.llm.separator_scan import op5_token_counts
 
 QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_token_files": op6_token_files,
+    "op7_pareto_mix": op7_pareto_mix,
     "op8_secret_ledger": op8_secret_ledger,
     "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE_SQL = {
+    "op7_pareto_mix": OP7_SQL,
     "op8_secret_ledger": OP8_SQL,
     "op10_ngram_join": OP10_SQL,
 }
