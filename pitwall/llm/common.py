@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pitwall.session import scratch_path
 
 #: A side is broadcast only after a count shows at most this many (narrow) rows.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

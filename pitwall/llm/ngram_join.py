@@ -6,19 +6,23 @@ their sets reaches a threshold.  The join is exact:
 1. *Classes.* Documents with equal sets form one class (a third of all rows may be copies
    of one text: from here on a class counts once).
 2. *Groups.* Three min-hashes of a set name a group each; a class is compared with the
-   group's centre, one class, and never with its other members.  Components of the links
-   found are the groups of similar documents.
+   group's centre alone: the member whose min-hashes are the most widely shared, which in a
+   family of edited copies is the text they stem from.  Components of the links found
+   are the groups of similar documents.
 3. *Matrix.* Under one order of all tokens, two linked sets share a token among the first
    ``n - ceil(t n) + 1`` of each.  For each token of these prefixes and each group the
    matrix holds the union over the group's members: least position, least and greatest
-   set size.  A set is looked up against the matrix; position and sizes bound its overlap
-   with any member, and only groups whose bound reaches the threshold are opened.  Members
-   of an opened group that share the token and pass the same bound are compared exactly.
-4. The links of steps 2 and 3 give the components.
+   set size.  A set is looked up against larger groups; position and sizes bound its
+   overlap with any member.
+4. *Union bound.* For the groups left, the set's overlap with the union of all the group's
+   tokens is counted.  Only groups where it still allows a link are opened: the set is
+   compared with the member that shares most of its prefix, and with all members that pass
+   the bound of step 3 where that one doesn't link.  A group of one is compared at once.
+5. The links of steps 2 and 4 give the components.
 
 Tokens are ordered by their hash, but tokens of passages that many documents share come
 last, which keeps them out of almost all prefixes.  They are found by counts over all
-documents (a token counts where it meets itself within a slice of 2 million tokens) and
+documents (a token counts where it meets itself within a slice of a million tokens) and
 held in a filter of fixed size: any error in it changes the work, not the links, because
 every order common to all documents gives the same result.
 
@@ -41,51 +45,57 @@ from pitwall.llm.common import save, ship, small, table
 from pitwall.llm.graph import components
 from pitwall.llm.shingles import mix64, set_key, shingle_sets
 
-#: Rounds of grouping by min-hash, each with its own permutation of the hashes.
-SEEDS = (0, 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+#: Seeds of the min-hash permutations; the first ``ROUNDS`` make groups, all choose centres.
+SEEDS = tuple(0x9E3779B97F4A7C15 * i % (1 << 64) for i in range(8))
+ROUNDS = 3
 #: Tokens that met themselves in at least this many documents are ordered last.
 HOT = 32
-COUNT_TOKENS = 2_000_000
+COUNT_TOKENS = 1_000_000
 #: Tokens of the compared sets that meet one copy of a centre's text.
 SALT_TOKENS = 262_144
+#: Tokens of a group's members that one task holds while it counts overlaps.
+UNION_TOKENS = 1_000_000
+_OUT_ROWS = 200_000
 
-_SIGNATURES = "kind byte, doc_id long, n int, v long, k0 long, k1 long, k2 long"
+_SIGNATURES = "kind byte, doc_id long, th long, n int, v long, keys array<long>"
 
 
 def _signatures(k: int):
     """A row for each document (kind 0) and for each token seen twice or more in a slice
     of different sets (kind 1: token in ``v``, documents in ``n``)."""
 
-    def counted(held: list) -> pa.RecordBatch:
-        tokens, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
-        more = counts > 1
-        tokens, counts = tokens[more].view(np.int64), counts[more]
-        m = len(tokens)
-        return rows(np.ones(m), pa.nulls(m, pa.int64()), counts, pa.array(tokens), [pa.nulls(m, pa.int64())] * 3)
-
-    def rows(kind, ids, n, v, keys) -> pa.RecordBatch:
+    def rows(kind, ids, th, n, v, keys) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(kind, pa.int8()), ids, pa.array(n, pa.int32()), v, *keys],
-            names=["kind", "doc_id", "n", "v", "k0", "k1", "k2"])
+            [pa.array(kind, pa.int8()), ids, th, pa.array(n, pa.int32()), pa.array(v, pa.int64()),
+             pa.array(keys, pa.list_(pa.int64()))], names=["kind", "doc_id", "th", "n", "v", "keys"])
+
+    def counted(held: list) -> pa.RecordBatch:
+        tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+        tokens, counts = tokens[counts > 1].view(np.int64), counts[counts > 1]
+        none = pa.nulls(len(tokens), pa.int64())
+        return rows(np.ones(len(tokens)), none, none, counts, tokens, [None] * len(tokens))
 
     def run(batches):
         held, seen, size = [], set(), 0
+        seeds = [np.uint64(x) for x in SEEDS]
         for batch in batches:
-            n, v, keys = [], [], [[] for _ in SEEDS]
+            n, v, keys = [], [], []
             for _, s in shingle_sets(batch.column("text"), k):
                 n.append(len(s))
-                v.append(set_key(s) if len(s) else None)
-                for out, seed in zip(keys, SEEDS):
-                    out.append(int(mix64(s ^ np.uint64(seed)).min().view(np.int64)) if len(s) else None)
-                if len(s) and v[-1] not in seen:
+                if not len(s):
+                    v.append(None)
+                    keys.append(None)
+                    continue
+                v.append(set_key(s))
+                keys.append([int(mix64(s ^ x).min().view(np.int64)) for x in seeds])
+                if v[-1] not in seen:
                     seen.add(v[-1])
                     held.append(s)
                     size += len(s)
                 if size >= COUNT_TOKENS:
                     yield counted(held)
                     held, seen, size = [], set(), 0
-            yield rows(np.zeros(len(n)), batch.column("doc_id"), n, pa.array(v, pa.int64()),
-                       [pa.array(x, pa.int64()) for x in keys])
+            yield rows(np.zeros(len(n)), batch.column("doc_id"), batch.column("th"), n, v, keys)
         if held:
             yield counted(held)
 
@@ -95,10 +105,14 @@ def _signatures(k: int):
 def _prefixes(k: int, percent: int, hot):
     """A row for each token of each set's prefix: ``token, v, n, pos``."""
 
+    def rows(out: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(out[0]).view(np.int64)), *(pa.array(np.concatenate(x)) for x in out[1:])],
+            names=["token", "v", "n", "pos"])
+
     def run(batches):
-        bits = hot.value
+        bits, out, size = hot.value, [[], [], [], []], 0
         for batch in batches:
-            out: list[list] = [[], [], [], []]
             for _, s in shingle_sets(batch.column("text"), k):
                 n = len(s)
                 if not n:
@@ -106,16 +120,16 @@ def _prefixes(k: int, percent: int, hot):
                 p = n - (percent * n + 99) // 100 + 1
                 last = bloom.maybe(bits, s)
                 cold = s[~last][:p]
-                s_key = set_key(s)
-                tokens = cold if len(cold) == p else np.concatenate([cold, s[last][:p - len(cold)]])
-                out[0].append(tokens)
-                out[1].append(np.full(p, s_key, np.int64))
+                out[0].append(cold if len(cold) == p else np.concatenate([cold, s[last][:p - len(cold)]]))
+                out[1].append(np.full(p, set_key(s), np.int64))
                 out[2].append(np.full(p, n, np.int32))
                 out[3].append(np.arange(p, dtype=np.int32))
-            if out[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out[0]).view(np.int64)), *(pa.array(np.concatenate(x)) for x in out[1:])],
-                    names=["token", "v", "n", "pos"])
+                size += p
+                if size >= _OUT_ROWS:
+                    yield rows(out)
+                    out, size = [[], [], [], []], 0
+        if size:
+            yield rows(out)
 
     return run
 
@@ -130,7 +144,7 @@ def _compare(k: int, percent: int):
             a_out, b_out = [], []
             for i, s in shingle_sets(batch.column("text"), k):
                 if not len(s) or set_key(s) != v[i]:
-                    continue  # another text under the same doc_id
+                    continue  # another text of the same hash
                 if side[i] == 0:
                     centre, held = (base[i], salt[i]), s
                 elif centre == (base[i], salt[i]):
@@ -143,85 +157,192 @@ def _compare(k: int, percent: int):
     return run
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of class keys whose sets reach the threshold, by comparing texts.
+def _dealt(k: int):
+    """Each set's tokens, dealt to the buckets of the group it meets."""
 
-    A centre ``b`` met by many sets gets a copy of its text for every 262,144 tokens of
-    them, so no task holds more than one text of each side, and a hub is spread.
-    """
-    reps = classes.select("v", "rid", "n")
-    known = save(
-        pairs.join(reps.select(F.col("v").alias("a"), F.col("rid").alias("rid_a"), F.col("n").alias("n_a")), "a")
-        .join(reps.select(F.col("v").alias("b"), F.col("rid").alias("rid_b")), "b"), "pairs")
-    salts = known.groupBy("b").agg(F.ceil(F.sum("n_a") / SALT_TOKENS).cast("int").alias("salts"))
-    known = known.join(salts, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int"))
-    ids = save(known.select(F.col("rid_a").alias("id")).union(known.select(F.col("rid_b"))).distinct(), "ids")
-    texts = save(docs.join(small(ids), docs["doc_id"].eqNullSafe(ids["id"]), "left_semi"), "texts")
-    left = known.select("b", "salt", F.lit(1).alias("side"), F.col("a").alias("v"), F.col("rid_a").alias("id"))
-    right = known.select("b", "salt", F.lit(0).alias("side"), F.col("b").alias("v"), F.col("rid_b").alias("id")).distinct()
-    both = left.unionByName(right)
-    both = (both.join(texts, both["id"].eqNullSafe(texts["doc_id"])).select("b", "salt", "side", "v", "text")
-            .repartition("b", "salt").sortWithinPartitions("b", "salt", "side"))
-    return save(both.mapInArrow(_compare(k, percent), "a long, b long"), "links")
+    def run(batches):
+        for batch in batches:
+            group, buckets, side, v = (batch.column(c).to_pylist() for c in ("group", "buckets", "side", "v"))
+            out: list[list] = [[], [], [], [], []]
+            for i, s in shingle_sets(batch.column("text"), k):
+                if not len(s) or set_key(s) != v[i]:
+                    continue
+                spot = (s >> np.uint64(40)) % np.uint64(buckets[i])
+                for b in range(buckets[i]):
+                    part = s if buckets[i] == 1 else s[spot == b]
+                    if len(part):
+                        for x, y in zip(out, (group[i], b, side[i], v[i], part.tobytes())):
+                            x.append(y)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()),
+                 pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary())],
+                names=["group", "bucket", "side", "v", "tokens"])
+
+    return run
+
+
+def _overlaps(batches):
+    """Rows sorted by (group, bucket, side): members' tokens, whose union is held, then the
+    tokens of the sets looked up; gives the overlaps of the latter."""
+    at, parts, union = None, [], np.zeros(0, np.uint64)
+    for batch in batches:
+        group, bucket, side, v = (batch.column(c).to_pylist() for c in ("group", "bucket", "side", "v"))
+        out: list[list] = [[], [], [], []]
+        for i, tokens in enumerate(batch.column("tokens").to_pylist()):
+            tokens = np.frombuffer(tokens, np.uint64)
+            if at != (group[i], bucket[i]):
+                at, parts, union = (group[i], bucket[i]), [], np.zeros(0, np.uint64)
+            if side[i] == 0:
+                parts.append(tokens)
+                continue
+            if parts:
+                union, parts = np.unique(np.concatenate([union, *parts])), []
+            for x, y in zip(out, (group[i], bucket[i], v[i], len(np.intersect1d(union, tokens, assume_unique=True)))):
+                x.append(y)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()),
+             pa.array(out[3], pa.int64())], names=["group", "bucket", "v", "overlap"])
+
+
+class _Join:
+    """The tables of one join: ``docs(doc_id, text, th)`` and ``classes(v, n, rid, id, th, keys)``."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, k: int, percent: int):
+        self.docs, self.classes, self.k, self.percent = docs, classes, k, percent
+
+    def texts(self, keys: DataFrame) -> DataFrame:
+        """``v, n, text`` of the classes whose key is in ``keys(v)``, written: one scan of the
+        documents, without a shuffle of their texts where the keys are few enough."""
+        want = save(self.classes.join(keys.distinct(), "v").select(
+            "v", "n", F.col("id").alias("want_id"), F.col("th").alias("want_th")), "wanted")
+        return save(self.docs.join(small(want), (F.col("th") == F.col("want_th")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
+                    .select("v", "n", "text"), "texts")
+
+    def linked(self, texts: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` of class keys whose sets reach the threshold.
+
+        A centre ``b`` met by many sets gets a copy of its text for every 262,144 tokens of
+        them, so no task holds more than one text of each side, and a hub is spread.
+        """
+        known = save(pairs.join(self.classes.select(F.col("v").alias("a"), F.col("n").alias("n_a")), "a"), "pairs")
+        salts = known.groupBy("b").agg(F.ceil(F.sum("n_a") / SALT_TOKENS).cast("int").alias("salts"))
+        known = known.join(small(save(salts, "salts")), "b").withColumn(
+            "salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int"))
+        left = known.select("b", "salt", F.lit(1).alias("side"), F.col("a").alias("v"))
+        right = known.select("b", "salt", F.lit(0).alias("side"), F.col("b").alias("v")).distinct()
+        both = (left.unionByName(right).join(texts.select("v", "text"), "v").select("b", "salt", "side", "v", "text")
+                .repartition("b", "salt").sortWithinPartitions("b", "salt", "side"))
+        return save(both.mapInArrow(_compare(self.k, self.percent), "a long, b long").distinct(), "links")
+
+    def stars(self) -> DataFrame:
+        """Pairs of a class and the centre of a group it is in, for three groupings."""
+        keys = (self.classes.select("v", "n", F.posexplode("keys").alias("i", "key")))
+        counts = save(keys.groupBy("i", "key").agg(F.count("*").alias("size")).where("size > 1"), "key_counts")
+        keys = keys.join(small(counts), ["i", "key"])
+        scores = save(keys.groupBy("v").agg(F.sum("size").alias("score")), "scores")
+        keys = save(keys.where(F.col("i") < ROUNDS).join(scores, "v"), "keys")
+        centres = save(keys.groupBy("i", "key").agg(F.max(F.struct("score", "v", "n")).alias("c"))
+                       .select("i", "key", F.col("c.v").alias("b"), F.col("c.n").alias("n_b")), "centres")
+        return (keys.join(centres, ["i", "key"]).where("v <> b")
+                .where(f"100 * least(n, n_b) >= {self.percent} * greatest(n, n_b)")
+                .select(F.col("v").alias("a"), "b").distinct())
+
+    def rest(self, prefix: DataFrame, groups: DataFrame) -> DataFrame:
+        """Links between the groups ``groups(v, root)``, enough of them for the components."""
+        t, both = self.percent, 100 + self.percent
+        sizes = groups.groupBy("root").agg((F.count("*") + 1).alias("members"))
+        groups = save(groups.unionByName(groups.select(F.col("root").alias("v"), "root").distinct())
+                      .join(sizes, "root"), "groups")
+        prefix = prefix.join(small(groups), "v", "left").select(
+            "token", "v", "n", "pos", F.coalesce("root", "v").alias("g"), F.coalesce("members", F.lit(1)).alias("members"))
+        shared = save(prefix.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
+                      .where("lo <> hi").select("token"), "shared")
+        prefix = save(prefix.join(small(shared), "token", "left_semi")
+                      .groupBy("token", "v").agg(*(F.min(c).alias(c) for c in ("n", "pos", "g", "members"))), "shared_prefix")
+        matrix = prefix.groupBy("token", F.col("g").alias("group")).agg(
+            F.min("members").alias("group_size"), F.min("pos").alias("group_pos"),
+            F.min("n").alias("group_low"), F.max("n").alias("group_high"))
+        near = save(
+            prefix.join(matrix, "token").where("members < group_size OR (members = group_size AND g < group)")
+            .where(f"100 * group_high >= {t} * n AND 100 * n >= {t} * group_low")
+            .where(f"{both} * least(n - pos, group_high - group_pos) >= {t} * (n + group_low)")
+            .select("token", "v", "n", "pos", "group", "group_size", "group_low"), "near")
+        alone = near.where("group_size = 1").select(F.col("v").alias("a"), F.col("group").alias("b")).distinct()
+        met = save(near.where("group_size > 1").groupBy("v", "group").agg(
+            F.min("n").alias("n"), F.min("group_low").alias("low")), "met")
+        members = save(groups.select("v", F.col("root").alias("group")).join(
+            small(met.select("group").distinct()), "group", "left_semi"), "members")
+        texts = self.texts(alone.select(F.col("a").alias("v")).union(alone.select("b")).union(met.select("v"))
+                           .union(members.select("v")))
+
+        buckets = (members.join(self.classes.select("v", "n"), "v").groupBy("group")
+                   .agg(F.ceil(F.sum("n") / UNION_TOKENS).cast("int").alias("buckets")))
+        sides = members.select("group", F.lit(0).alias("side"), "v").unionByName(
+            met.select("group", F.lit(1).alias("side"), "v"))
+        dealt = (sides.join(small(save(buckets, "buckets")), "group").join(texts.select("v", "text"), "v")
+                 .select("group", "buckets", "side", "v", "text")
+                 .mapInArrow(_dealt(self.k), "group long, bucket int, side int, v long, tokens binary")
+                 .repartition("group", "bucket").sortWithinPartitions("group", "bucket", "side"))
+        overlap = (dealt.mapInArrow(_overlaps, "group long, bucket int, v long, overlap long")
+                   .groupBy("group", "bucket", "v").agg(F.max("overlap").alias("overlap"))
+                   .groupBy("group", "v").agg(F.sum("overlap").alias("overlap")))
+        # a member linked to a set of n has at least t n shingles, and the least size of its group
+        opened = save(met.join(overlap, ["group", "v"])
+                      .where(f"{both} * overlap >= {t} * (n + greatest(low, {t} * n / 100))").select("group", "v"), "opened")
+
+        member = prefix.select("token", F.col("v").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"),
+                               F.col("g").alias("group"))
+        pairs = save(
+            near.join(small(opened), ["group", "v"], "left_semi").join(member, ["token", "group"])
+            .where(f"100 * least(n, n_b) >= {t} * greatest(n, n_b)")
+            .groupBy("v", "b", "group").agg(
+                F.count("*").alias("hits"),
+                F.max(F.expr(f"{both} * least(n - pos, n_b - pos_b) >= {t} * (n + n_b)")).alias("possible"))
+            .where("possible"), "opened_pairs")
+        best = pairs.groupBy("v", "group").agg(F.max(F.struct("hits", "b")).alias("c")).select(
+            F.col("v").alias("a"), F.col("c.b").alias("b"), "group")
+        best = save(best, "best")
+        links = self.linked(texts, alone.unionByName(best.select("a", "b")))
+        done = best.join(links, ["a", "b"], "left_semi").select(F.col("a").alias("v"), "group")
+        others = (pairs.join(done, ["v", "group"], "left_anti").select(F.col("v").alias("a"), "b")
+                  .join(best.select("a", "b"), ["a", "b"], "left_anti"))
+        return links.unionByName(self.linked(texts, others))
 
 
 def ngram_join(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, v, component_id`` for every row of ``documents(doc_id, text)``.
+    """``doc_id, n_shingles, th, v, component_id`` for every row of ``documents(doc_id, text)``.
 
     Two documents link when ``100 * |A & B| >= percent * |A | B|`` over their distinct
-    ``k``-word shingles; ``component_id`` is the smallest ``doc_id`` reachable by links and
-    ``v`` the key of the row's set (null for an empty one).
+    ``k``-word shingles; ``component_id`` is the smallest ``doc_id`` reachable by links,
+    ``th`` a hash of the row's text and ``v`` the key of its set (null for an empty one).
     """
     ship()
     spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"))
     signatures = save(docs.mapInArrow(_signatures(k), _SIGNATURES), "signatures")
-    rows = signatures.where("kind = 0").drop("kind")
-    classes = save(rows.where("n > 0").groupBy("v")
-                   .agg(F.min("doc_id").alias("rid"), F.min("n").alias("n"),
-                        *(F.min(f"k{i}").alias(f"k{i}") for i in range(len(SEEDS)))), "classes")
+    rows = signatures.where("kind = 0").select("doc_id", "th", "n", "v", "keys")
+    # a class's keys follow from its set: any row's will do
+    classes = save(rows.where("n > 0").groupBy("v").agg(
+        F.min("doc_id").alias("rid"), F.min("n").alias("n"),
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("at"), F.min("keys").alias("keys"))
+        .select("v", "rid", "n", F.col("at.doc_id").alias("id"), F.col("at.th").alias("th"), "keys"), "classes")
     hot = signatures.where("kind = 1").groupBy("v").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT)
     hot = spark.sparkContext.broadcast(bloom.build(hot, "v"))
 
-    stars = None
-    for i in range(len(SEEDS)):
-        key = f"k{i}"
-        centres = save(classes.groupBy(key).agg(F.min(F.struct("v", "n")).alias("c"), F.count("*").alias("size"))
-                       .where("size > 1").select(key, F.col("c.v").alias("b"), F.col("c.n").alias("n_b")), "centres")
-        pairs = (classes.join(centres, key).where("v <> b")
-                 .where(f"100 * least(n, n_b) >= {percent} * greatest(n, n_b)")
-                 .select(F.col("v").alias("a"), "b"))
-        stars = pairs if stars is None else stars.union(pairs)
-    stars = _verified(docs, classes, stars.distinct(), k, percent)
+    join = _Join(docs, classes, k, percent)
+    stars = save(join.stars(), "stars")
+    stars = join.linked(join.texts(stars.select(F.col("a").alias("v")).union(stars.select("b"))), stars)
     groups = components(stars)
-
-    prefix = save(docs.mapInArrow(_prefixes(k, percent, hot), "token long, v long, n int, pos int"), "prefix")
-    prefix = (prefix.join(small(groups), "v", "left")
-              .select("token", "v", "n", "pos", F.coalesce("root", "v").alias("g")))
-    shared = save(prefix.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
-                  .where("lo <> hi").select("token"), "shared")
-    prefix = save(prefix.join(small(shared), "token", "left_semi")
-                  .groupBy("token", "v").agg(*(F.min(c).alias(c) for c in ("n", "pos", "g"))), "shared_prefix")
-    matrix = prefix.groupBy("token", F.col("g").alias("group")).agg(
-        F.min("pos").alias("group_pos"), F.min("n").alias("group_low"), F.max("n").alias("group_high"))
-    opened = (prefix.join(matrix, "token").where("g > group")
-              .where(f"100 * group_high >= {percent} * n AND 100 * n >= {percent} * group_low")
-              .where(f"{100 + percent} * least(n - pos, group_high - group_pos) >= {percent} * (n + group_low)"))
-    member = prefix.select("token", F.col("v").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"),
-                           F.col("g").alias("group"))
-    pairs = (opened.join(member, ["token", "group"])
-             .where(f"100 * least(n, n_b) >= {percent} * greatest(n, n_b)")
-             .where(f"{100 + percent} * least(n - pos, n_b - pos_b) >= {percent} * (n + n_b)")
-             .select(F.col("v").alias("a"), "b").distinct())
-    links = _verified(docs, classes, pairs, k, percent)
-    known = groups.select(F.col("v").alias("a"), F.col("root").alias("b"))
-    roots = components(known.unionByName(links))
+    prefix = save(docs.select("text").mapInArrow(_prefixes(k, percent, hot), "token long, v long, n int, pos int"), "prefix")
+    links = join.rest(prefix, groups)
+    roots = components(groups.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(links))
 
     named = classes.select("v", "rid").join(roots, "v", "left").select("v", "rid", F.coalesce("root", "v").alias("root"))
     least = named.groupBy("root").agg(F.min("rid").alias("component"))
     named = save(named.join(least, "root").select("v", "component"), "components")
     return (rows.join(named, "v", "left")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"), "v",
+            .select("doc_id", F.col("n").cast("long").alias("n_shingles"), "th", "v",
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")))
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
-_SLICE_BYTES = 2_000_000
+_SLICE_BYTES = 1_000_000
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -46,7 +46,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_slices(column: pa.Array | pa.ChunkedArray):
-    """``(first row, offsets, bytes)`` for runs of rows of about 2 MB; null counts as empty.
+    """``(first row, offsets, bytes)`` for runs of rows of about 1 MB; null counts as empty.
     A longer row is a run of its own: texts are never cut."""
     chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
     row = 0
