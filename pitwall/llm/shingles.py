@@ -63,11 +63,15 @@ def text_slices(column: pa.Array | pa.ChunkedArray):
         row += len(chunk)
 
 
-def word_hashes(off: np.ndarray, data: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """``(hash of each word, index of each row's first word)``; the index has one entry more."""
+def word_hashes(off: np.ndarray, data: np.ndarray, letters: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """``(hash of each word, index of each row's first word)``; the index has one entry more.
+    With ``letters``, ASCII characters other than letters and digits separate words too."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
     low, gap = _tables()
+    if letters:
+        gap[:128] = True
+        gap[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
     inside = ~gap[data]
     first = np.zeros(len(data) + 1, dtype=bool)
     first[off] = True
@@ -75,7 +79,7 @@ def word_hashes(off: np.ndarray, data: np.ndarray, lower: bool = True) -> tuple[
     ends = np.flatnonzero(inside & (first[1:] | ~np.r_[inside[1:], False])) + 1
     up, down = _powers(len(data) + 1)
     run = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((low[data] if lower else data).astype(np.uint64) * up[:-1], out=run[1:])
+    np.cumsum(low[data].astype(np.uint64) * up[:-1], out=run[1:])
     h = (run[ends] - run[starts]) * down[starts]
     h = mix64(h + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
     return h, np.searchsorted(starts, off).astype(np.int64)
