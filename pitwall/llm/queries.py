@@ -9,6 +9,7 @@ from pitwall.llm.pareto_mix import OP7_SQL, op7_pareto_mix
 from pitwall.llm.scaled_sketch import op3_scaled_sketch
 from pitwall.llm.secret_ledger import OP8_SQL, op8_secret_ledger
 from pitwall.llm.separator_scan import op5_token_counts
+from pitwall.llm.warc_audit import op9_warc_audit
 
 QUERIES = {
     "op3_scaled_sketch": op3_scaled_sketch,
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op7_pareto_mix": op7_pareto_mix,
     "op8_secret_ledger": op8_secret_ledger,
+    "op9_warc_audit": op9_warc_audit,
     "op10_ngram_join": op10_ngram_join,
 }
 
