@@ -20,12 +20,24 @@ import public_tokenizers
 
 from pitwall.llm.common import worker_cache
 
-#: A worker forgets its pieces beyond this number and starts anew.
-CACHED_PIECES = 800_000
+#: Beyond this number a worker forgets the pieces that it has met only once of late.
+CACHED_PIECES = 400_000
 _CUT = re.compile(r" (?=\S)")
 _SPACE = re.compile(r"\s")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which a byte-level vocabulary writes bytes: printable ones stand for
+    themselves, the others follow from U+0100 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+_BYTES = _byte_letters()
+_MARK = _BYTES[32]
+
+
 def tokenizer_json(path: str | None = None) -> str:
     """The text of a tokenizer file (read on the driver, a few MB), for a broadcast."""
     with open(path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
@@ -103,22 +115,43 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
+        """Empty caches; pieces met more than once since the last time stay."""
+        old, ids, odd = getattr(self, "codes", {}), getattr(self, "pieces", None), getattr(self, "odd", None)
         self.codes, self.cores, self.raw = _Codes(), _Codes(), _Codes()
         self.pieces, self.core_ids, self.raw_ids = _Store(), _Store(), _Store()
-        self.odd = np.zeros(1 << 14, bool)
+        if old:
+            keep = self.met[:len(old)] > 1
+            for piece, kept in zip(old, keep.tolist()):
+                if kept:
+                    self.codes[piece] = len(self.codes)
+            self.pieces.extend(*ids.gather(np.flatnonzero(keep)))
+            odd = odd[:len(old)][keep]
+        self.odd, self.met = np.zeros(1 << 14, bool), np.zeros(1 << 14, np.int32)
+        if old:
+            self._grow(len(odd))
+            self.odd[:len(odd)] = odd
+
+    def _grow(self, n: int) -> None:
+        while n > len(self.odd):
+            self.odd = np.concatenate([self.odd, np.zeros_like(self.odd)])
+            self.met = np.concatenate([self.met, np.zeros_like(self.met)])
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32)
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn_cores(self) -> None:
-        """Ids of new cores: ``foo`` stands for `` foo``, ``\\nFoo`` for itself.  Cores without
-        further white space go through the library in one text, a line feed apart."""
+        """Ids of new cores: ``foo`` stands for `` foo``, ``\\nFoo`` for itself.  A space and
+        letters are one word to the library's model; cores of other kinds without further white
+        space go through the whole tokenizer in one text, a line feed apart."""
         new, self.cores.new = self.cores.new, []
         out: list = [None] * len(new)
         spaced, lined, odd = [], [], []
+        model = self.library.model.tokenize
         for i, c in enumerate(new):
-            if c[0] == "\n":
+            if c.isalpha():
+                out[i] = [t.id for t in model(_MARK + (c if c.isascii() else c.encode().decode("latin-1").translate(_BYTES)))]
+            elif c[0] == "\n":
                 (odd if _SPACE.search(c, 1) else lined).append(i)
             else:
                 (odd if not c.isalnum() and _SPACE.search(c) else spaced).append(i)
@@ -136,7 +169,7 @@ class Encoder:
         for i, ids in zip(odd, self._plain([c if c[0] == "\n" else " " + c for c in (new[i] for i in odd)])):
             out[i] = ids
         if out:
-            self.core_ids.extend(np.concatenate(out), np.array([len(x) for x in out], dtype=np.int64))
+            self.core_ids.extend(np.fromiter(chain.from_iterable(out), np.uint32), np.array([len(x) for x in out], dtype=np.int64))
 
     def _learn(self) -> None:
         """Ids of new pieces: a core and perhaps one stop; ``odd`` marks those that show white
@@ -145,8 +178,7 @@ class Encoder:
         if not new:
             return
         first = self.pieces.count
-        while first + len(new) > len(self.odd):
-            self.odd = np.concatenate([self.odd, np.zeros_like(self.odd)])
+        self._grow(first + len(new))
         core, stop = np.zeros(len(new), np.int64), np.full(len(new), -1, np.int64)
         for i, u in enumerate(new):
             head = u[1:2] if u[:1] == "\n" else u[:1]
@@ -188,6 +220,7 @@ class Encoder:
         counts = np.array([len(p) for p in cut], dtype=np.int64)
         codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
         self._learn()
+        self.met[:len(self.codes)] += np.bincount(codes, minlength=len(self.codes)).astype(np.int32)
         flat, lengths = self.pieces.gather(codes)
         bounds = np.r_[0, np.cumsum(counts)]
         odd = np.diff(np.r_[0, np.cumsum(self.odd[codes])][bounds]) > 0
@@ -205,12 +238,12 @@ def encoder(spec: str) -> Encoder:
     return held[spec]
 
 
-def encoded(column, spec: str, chars: int = 2_000_000):
-    """``(row, ids)`` of an Arrow text column, in runs of about 2 million characters."""
+def encoded(column, spec: str, chars: int = 1_000_000):
+    """``(row, ids)`` of an Arrow text column, in runs of about a million characters."""
     enc = encoder(spec)
     texts, first, size = [], 0, 0
-    for row, t in enumerate(column.to_pylist()):
-        texts.append(t or "")
+    for row, t in enumerate(column):
+        texts.append(t.as_py() or "")
         size += len(texts[-1])
         if size >= chars:
             yield from enumerate(enc.encode(texts), first)
