@@ -7,9 +7,9 @@ equal strings.  A sentence's kernel with a string is the greatest one of its uni
 and runs of four or more single characters apart (``m o r o n``), lower-cased and each with a mark
 at its beginning that counts as a letter.
 
-Landmarks are strings of 4 to 10 characters of such units that are far more frequent in toxic
-than in other training documents (a likelihood ratio test), each for words that those
-chosen before it don't explain.  Nystrom features of a sentence are its kernels with the landmarks
+Landmarks are strings of 4 to 8 characters that begin or lie in far more words of toxic than of
+other training documents (a likelihood ratio test), each for words that those chosen
+before it don't explain.  Nystrom features of a sentence are its kernels with the landmarks
 times the inverse root of the landmarks' own kernel matrix.  A linear support vector machine
 (squared hinge) is trained on sentences: those of documents not labelled toxic are negative,
 and of each toxic document the sentence that scores highest is positive, chosen anew in each
@@ -46,12 +46,14 @@ LANDMARKS = 48
 SENTENCES = 20
 #: Least likelihood ratio statistic of a landmark, and how many strings and words are weighed.
 EVIDENCE = 30.0
-CANDIDATES, WORDS = 4000, 200_000
+CANDIDATES, WORDS = 20_000, 200_000
+#: How much a string that also stands in other documents' words is worth less.
+PURITY = 8
 MARK = "\x02"
 FLOOR = 0.25
 LETTER_GAP, OTHER_GAP = 0.5, 0.95
 WINDOW = 64
-LENGTHS = range(4, 11)
+LENGTHS = range(4, 9)
 _CACHE = 1_000_000
 
 
@@ -249,85 +251,65 @@ def _units_of(batches):
         yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(unit, pa.string())], names=["label", "unit"])
 
 
-def _holds(parts: list[str]):
-    """Documents of either label that hold each string."""
-    def run(batches):
-        import ahocorasick
-
-        trie = ahocorasick.Automaton()
-        for i, p in enumerate(parts):
-            trie.add_word(p, i)
-        trie.make_automaton()
-        toxic, other = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
-        for batch in batches:
-            for y, t in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
-                found = list({i for _, i in trie.iter(" ".join(MARK + w for w in (t or "").split()))})
-                (toxic if y else other)[found] += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(parts))), pa.array(toxic), pa.array(other)], names=["part", "toxic", "other"])
-
-    return run
-
-
 def _cut(n: int):
     return lambda i: F.substring("unit", i, F.lit(n))
 
 
 def evidence(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> np.ndarray:
-    """Likelihood ratio statistic of strings held by so many documents of either label; 0
-    where they are not at least 10 times as frequent in toxic ones."""
+    """Likelihood ratio statistic of strings held by so many words of toxic and of other
+    documents, of so many words in all; 0 where they are not 8 times as frequent in toxic ones."""
     share = n_toxic / (n_toxic + n_other)
     seen = np.maximum(toxic + other, 1)
     odds = (toxic + 0.5) / (n_toxic + 1) / ((other + 0.5) / (n_other + 1))
     g = 2 * (toxic * np.log(np.maximum(toxic, 1e-9) / (seen * share))
              + other * np.log(np.maximum(other, 1e-9) / (seen * (1 - share))))
-    return np.where((odds > 10) & (toxic >= 3), g, 0.0)
+    return np.where(odds > 8, g, 0.0)
 
 
-def choose_landmarks(rows: DataFrame, n_toxic: int, n_other: int) -> list[bytes]:
-    """Landmarks from ``rows(label, text)`` with so many toxic and other documents.  A bounded
-    number of strings, and of the sample's words, reach the driver."""
+def choose_landmarks(rows: DataFrame, n_toxic: int) -> list[bytes]:
+    """Landmarks from ``rows(label, text)`` with ``n_toxic`` toxic documents.  A bounded number
+    of strings, and of the sample's words, reach the driver."""
     units = save(rows.mapInArrow(_units_of, "label int, unit string").groupBy("unit")
-                 .agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other"))
-                 # a word that is as frequent elsewhere gives nothing: this leaves few to cut up
-                 .where(F.col("toxic") * n_other > 4 * F.col("other") * n_toxic), "units")
+                 .agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other")), "units")
+    words = units.agg(F.sum("toxic"), F.sum("other")).first()
     cuts = F.flatten(F.array(*(F.transform(
         F.sequence(F.lit(1), F.greatest(F.length("unit") - (n - 1), F.lit(1))), _cut(n)) for n in LENGTHS)))
     letters = F.col("part").rlike(r"^\x02?[\p{L}\p{N}]+$") & (F.length("part") >= LENGTHS[0])
-    parts = (units.select("toxic", F.explode(F.array_distinct(cuts)).alias("part")).where(letters)
-             .groupBy("part").agg(F.sum("toxic").alias("toxic")).where(F.col("toxic") >= 3)
-             .orderBy(F.desc("toxic"), F.desc(F.length("part")), "part").limit(CANDIDATES))
-    parts = [r[0] for r in parts.collect()]
-    if not parts:
+    t, o = F.col("toxic"), F.col("other")
+    parts = (units.select("toxic", "other", F.explode(F.array_distinct(cuts)).alias("part"))
+             .groupBy("part").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+             .where((t >= max(4, n_toxic // 100)) & (t * words[1] > 8 * o * words[0])).where(letters)
+             .orderBy(F.desc(t - o * (words[0] / max(words[1], 1))), F.desc(F.length("part")), "part").limit(CANDIDATES).toArrow())
+    names = parts.column("part").to_pylist()
+    if not names:
         return []
-    counts = (rows.mapInArrow(_holds(parts), "part long, toxic long, other long").groupBy("part")
-              .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toArrow())
-    toxic, other = np.zeros(len(parts)), np.zeros(len(parts))
-    at = counts.column("part").to_numpy()
-    toxic[at], other[at] = counts.column("toxic").to_numpy(), counts.column("other").to_numpy()
-    g = evidence(toxic, other, n_toxic, n_other)
-    index = {p: i for i, p in enumerate(parts) if g[i] >= EVIDENCE and len(p.encode()) <= 15}
+    toxic, other = (parts.column(c).to_numpy().astype(float) for c in ("toxic", "other"))
+    g = evidence(toxic, other, *words)
+    index = {p: i for i, p in enumerate(names) if g[i] >= EVIDENCE and len(p.encode()) <= 15}
     held: list[list[int]] = []
     weight: list[int] = []
-    for unit, n in units.orderBy(F.desc("toxic"), "unit").limit(WORDS).select("unit", "toxic").collect():
+    for unit, n in units.where(t > 0).orderBy(F.desc("toxic"), "unit").limit(WORDS).select("unit", "toxic").collect():
         own = {i for n_ in LENGTHS for a in range(len(unit) - n_ + 1) if (i := index.get(unit[a:a + n_])) is not None}
         if own:
             held.append(sorted(own))
             weight.append(n)
+    precision = toxic / (toxic + other * words[0] / max(words[1], 1))
     chosen: list[int] = []
     left = set(range(len(held)))
     while len(chosen) < LANDMARKS:
-        total = np.zeros(len(parts))
+        total = np.zeros(len(names))
         for u in left:
             total[held[u]] += weight[u]
-        # few words unexplained are no evidence of their own
-        total[total * np.minimum(1, g / np.maximum(toxic, 1)) < EVIDENCE / 2] = 0
-        best = max(range(len(parts)), key=lambda i: (total[i], len(parts[i]), parts[i]))
-        if not total[best]:
+        # what is left must be evidence by itself
+        total[total * g / np.maximum(toxic, 1) < EVIDENCE] = 0
+        total *= precision ** PURITY
+        if not total.max():
             break
+        # of strings that do almost as much the longest
+        best = max(np.flatnonzero(total >= 0.95 * total.max()).tolist(), key=lambda i: (len(names[i]), total[i], names[i]))
         chosen.append(best)
         left = {u for u in left if best not in held[u]}
-    return [parts[i].encode() for i in chosen]
+    return [names[i].encode() for i in chosen]
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 25) -> np.ndarray:
@@ -349,42 +331,51 @@ def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 25)
     return w
 
 
-def fit_logistic(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the chance of label 1 given the machine's value, labels weighing the same."""
-    x = np.c_[f, np.ones(len(f))]
+def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
+    """Weights and intercept of the chance of label 1, the labels weighing the same."""
+    x = np.c_[x, np.ones(len(x))]
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    w = np.array([1.0, 0.0])
+    w, ridge = np.zeros(x.shape[1]), penalty * np.eye(x.shape[1])
+    ridge[-1, -1] = 1e-9
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (weight * (p - y)) + 1e-3 * np.array([w[0], 0])
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(curve, gradient)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weight * (p - y)) + ridge @ w)
         w -= step
         if np.abs(step).max() < 1e-7:
             break
-    return float(w[0]), float(w[1])
+    return w
+
 
+def summary(values: list[float], bias: float, words: int) -> list[float]:
+    """What the last step sees of a document: its sentences' values and its words."""
+    top = sorted([*values, bias, bias, bias], reverse=True)[:3]
+    return [*(max(-3.0, min(3.0, v)) for v in top), np.log1p(sum(v > 0 for v in values)), np.log1p(words)]
 
-def train(landmarks: list[bytes], docs: list[tuple[int, np.ndarray]]) -> dict:
-    """The machine from ``(label, kernels of its sentences)`` of each training document; a
+
+def train(landmarks: list[bytes], docs: list[tuple[int, int, np.ndarray]]) -> dict:
+    """The machine from ``(label, words, kernels of its sentences)`` of each training document; a
     document always has one sentence without any kernel."""
     values, vectors = np.linalg.eigh(Landmarks(landmarks).gram())
     keep = values > 1e-6
     root = vectors[:, keep] / np.sqrt(values[keep])
-    x = [np.concatenate([np.zeros((1, len(landmarks))), k]) @ root for _, k in docs]
-    y = np.array([label for label, _ in docs])
+    x = [np.concatenate([np.zeros((1, len(landmarks))), k]) @ root for *_, k in docs]
+    y = np.array([label for label, *_ in docs])
     at = np.r_[0, np.cumsum([len(k) for k in x])]
     flat = np.concatenate(x)
-    value = np.concatenate([np.r_[-1.0, k.max(axis=1)] for _, k in docs])
+    value = np.concatenate([np.r_[-1.0, k.max(axis=1)] for *_, k in docs])
     owner = np.repeat(y, np.diff(at))
     for _ in range(3):
         top = np.array([a + int(np.argmax(value[a:b])) for a, b in zip(at[:-1], at[1:])])
         rows = np.concatenate([top[y == 1], np.flatnonzero(owner == 0)])
         w = fit_svm(flat[rows], np.where(owner[rows] == 1, 1.0, -1.0))
         value = flat @ w[:-1] + w[-1]
-    best = np.maximum.reduceat(value, at[:-1])
-    slope, offset = fit_logistic(best, y)
-    return {"landmarks": landmarks, "w": root @ w[:-1], "bias": float(w[-1]), "slope": slope, "offset": offset}
+    last = np.array([summary(value[a + 1:b].tolist(), float(w[-1]), d[1]) for a, b, d in zip(at[:-1], at[1:], docs)])
+    return {"landmarks": landmarks, "w": root @ w[:-1], "bias": float(w[-1]), "last": fit_logistic(last, y)}
+
+
+def _words(column) -> np.ndarray:
+    counts = [np.diff(word_hashes(off, data)[1]) for _, off, data in text_slices(column)]
+    return np.concatenate(counts) if counts else np.zeros(0, np.int64)
 
 
 def _kernels_of(landmarks: list[bytes]):
@@ -398,9 +389,9 @@ def _kernels_of(landmarks: list[bytes]):
                 held[row].append(k)
             rows = [sorted(h, key=lambda k: -float(k.max()))[:SENTENCES] for h in held]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.int32()),
+                [pa.array(labels, pa.int32()), pa.array(_words(batch.column("text")), pa.int64()),
                  pa.array([np.concatenate(r).astype(float) if r else np.zeros(0) for r in rows], pa.list_(pa.float64()))],
-                names=["label", "kernels"])
+                names=["label", "words", "kernels"])
 
     return run
 
@@ -413,12 +404,12 @@ def fit(documents: DataFrame, labels: DataFrame, held_out: Column) -> dict | Non
     counts = dict(rows.groupBy("label").count().collect())
     if len(counts) < 2:
         return None
-    landmarks = choose_landmarks(rows, counts[1], counts[0])
+    landmarks = choose_landmarks(rows, counts[1])
     if not landmarks:
         return None
-    found = rows.mapInArrow(_kernels_of(landmarks), "label int, kernels array<double>").toArrow().to_pylist()
-    kept = [(r["label"], np.array(r["kernels"]).reshape(-1, len(landmarks))) for r in found]
-    kept.sort(key=lambda d: (d[0], d[1].shape, d[1].tobytes()))  # whatever order the rows come in
+    found = rows.mapInArrow(_kernels_of(landmarks), "label int, words long, kernels array<double>").toArrow().to_pylist()
+    kept = [(r["label"], r["words"], np.array(r["kernels"]).reshape(-1, len(landmarks))) for r in found]
+    kept.sort(key=lambda d: (d[0], d[1], d[2].shape, d[2].tobytes()))  # whatever order the rows come in
     return train(landmarks, kept)
 
 
@@ -430,10 +421,11 @@ def _scored(model):
             if m is None:
                 scores = np.zeros(batch.num_rows)
             else:
-                best = np.full(batch.num_rows, m["bias"])
+                values: list[list[float]] = [[] for _ in range(batch.num_rows)]
                 for row, _, k in reader.sentences(batch.column("text")):
-                    best[row] = max(best[row], float(k @ m["w"]) + m["bias"])
-                scores = 1 / (1 + np.exp(-np.clip(m["slope"] * best + m["offset"], -500, 500)))
+                    values[row].append(float(k @ m["w"]) + m["bias"])
+                x = np.array([summary(v, m["bias"], n) for v, n in zip(values, _words(batch.column("text")))]).reshape(-1, 5)
+                scores = 1 / (1 + np.exp(-np.clip(x @ m["last"][:-1] + m["last"][-1], -500, 500)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
 
     return run
