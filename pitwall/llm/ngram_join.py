@@ -310,11 +310,11 @@ class _Join:
 
 
 def ngram_join(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, th, v, component_id`` for every row of ``documents(doc_id, text)``.
+    """``doc_id, n_shingles, th, root, component_id`` for every row of ``documents(doc_id, text)``.
 
     Two documents link when ``100 * |A & B| >= percent * |A | B|`` over their distinct
     ``k``-word shingles; ``component_id`` is the smallest ``doc_id`` reachable by links,
-    ``th`` a hash of the row's text and ``v`` the key of its set (null for an empty one).
+    ``th`` a hash of the row's text and ``root`` a key of its component (null for an empty set).
     """
     ship()
     spark = documents.sparkSession
@@ -340,12 +340,33 @@ def ngram_join(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     named = classes.select("v", "rid").join(roots, "v", "left").select("v", "rid", F.coalesce("root", "v").alias("root"))
     least = named.groupBy("root").agg(F.min("rid").alias("component"))
-    named = save(named.join(least, "root").select("v", "component"), "components")
+    named = save(named.join(least, "root").select("v", "root", "component"), "components")
     return (rows.join(named, "v", "left")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"), "th", "v",
+            .select("doc_id", F.col("n").cast("long").alias("n_shingles"), "th", "root",
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
+def without_near_copies(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``documents`` with one of each component: the smallest ``doc_id`` (a null one
+    only if there is no other; then by a hash of the text).  Of repeated rows one stays; rows
+    with an empty set all stay."""
+    rows = save(ngram_join(documents, k, percent).where("root IS NOT NULL")
+                .select("doc_id", "th", "root"), "joined")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "th")
+    kept = save(rows.groupBy("root").agg(F.min(first).alias("first")), "kept")
+    rows = rows.join(kept, "root").withColumn("kept", first == F.col("first"))
+    marks = save(rows.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th"))
+                 .agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "marks")
+    gone = marks.where("NOT kept").select("__id", "__th")
+    again = marks.where("kept AND rows > 1").select("__id", "__th")
+    same = (F.xxhash64(documents["text"].cast("string")) == F.col("__th")) & documents["doc_id"].cast("long").eqNullSafe(F.col("__id"))
+    out = documents.join(small(gone), same, "left_anti")
+    if again.isEmpty():
+        return out
+    repeated = documents.join(small(again), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return out.join(small(again), same, "left_anti").unionByName(repeated)
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents`` joined on 4-word shingles at 85 %."""
     return (ngram_join(table(spark, sf_dir, "documents"), k=4, percent=85)

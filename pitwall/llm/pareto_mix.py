@@ -7,7 +7,8 @@ documents a little less often, which spreads the mix over more documents); ``k``
 expected words the target.  ``floor(e)`` whole copies are certain.  For the rest, documents
 are ranked by ``(u / (1 - u)) / (q / (1 - q))`` with ``u`` a random number fixed by seed, id and
 text and ``q = e - floor(e)``: the first in this order, as many as bring the source's words
-nearest its target, get one copy more.
+nearest its target, get one copy more.  Last, one document of the source changes sides if that
+brings the sum nearer still: the one whose size is nearest the gap.
 
 The end of a source's order is found without sorting it: words are summed over 4,096 cells
 of the rank, then over 4,096 cells within the cell where the target falls, and only what
@@ -62,7 +63,8 @@ def _targets(sizes: DataFrame, weights: tuple[int, ...]) -> DataFrame:
     level = ((F.sum("source_size").over(Window.partitionBy()) - (F.sum(cap).over(fill.rowsBetween(
         Window.unboundedPreceding, Window.currentRow)) - cap)) / F.sum("weight").over(rest))
     leveled = sources.withColumn("level", level).withColumn("full", F.col("level") * F.col("weight") >= cap)
-    final = F.min(F.when(~F.col("full"), F.col("level"))).over(Window.partitionBy())
+    # the level of the first source that it doesn't fill; later rows subtract more and lie lower
+    final = F.max(F.when(~F.col("full"), F.col("level"))).over(Window.partitionBy())
     return leveled.select("source", "source_size", "weight", F.when(
         F.col("full"), cap.cast("double")).otherwise(F.least(cap.cast("double"), final * F.col("weight"))).alias("target"))
 
@@ -130,6 +132,27 @@ def _cut(rows: DataFrame, rest: DataFrame) -> DataFrame:
         F.coalesce(F.col("c.digest"), F.lit("")).alias("cut_digest"))
 
 
+def _changed(ranked: DataFrame, cuts: DataFrame, rest: DataFrame) -> DataFrame:
+    """``source, changed``: the digest of the document that changes sides, null for none."""
+    cuts = small(cuts.withColumnRenamed("source", "s"))
+    sides = (ranked.where("rank IS NOT NULL").join(cuts, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+             .withColumn("taken", _taken(F.col("rank"), F.col("digest"))))
+    gaps = sides.groupBy("source").agg(F.sum(F.when(F.col("taken"), F.col("size")).otherwise(0)).alias("words"))
+    rest = rest.select(F.col("source").alias("s"), "rest")
+    gaps = save(gaps.join(rest, F.col("source").eqNullSafe(F.col("s")))
+                .select("s", (F.col("rest") - F.col("words")).alias("gap")), "gaps")
+    off = F.abs(F.col("size") - F.abs("gap"))
+    return (sides.join(small(gaps), F.col("source").eqNullSafe(F.col("s")))
+            .where((F.col("taken") == (F.col("gap") < 0)) & (off < F.abs("gap")))
+            .groupBy("source").agg(F.min(F.struct(off.alias("off"), "rank", "digest")).alias("c"))
+            .select("source", F.col("c.digest").alias("changed")))
+
+
+def _taken(rank: Column, digest: Column, prefix: str = "") -> Column:
+    cut, last = F.col(f"{prefix}cut_rank"), F.col(f"{prefix}cut_digest")
+    return F.coalesce((rank < cut) | ((rank == cut) & (digest <= last)), F.lit(False))
+
+
 def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """Every row of ``documents(doc_id, text, source)`` with a struct column ``mix_plan``:
     ``size, source_size, target, copies`` (0 to 3)."""
@@ -145,9 +168,11 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame
     chances = small(plan.select(F.col("source").alias("s"), F.col("bits").alias("b"), "q"))
     ranked = rows.join(chances, F.col("source").eqNullSafe(F.col("s")) & (F.col("bits") == F.col("b"))).select(
         "source", "size", "digest", _rank(_uniform(F.col("digest")), F.col("q")).alias("rank"))
-    cuts = _cut(ranked, rest).withColumnRenamed("source", "s")
+    cuts = save(_cut(ranked, rest), "cuts")
+    changed = _changed(ranked, cuts, rest).withColumnRenamed("source", "c")
+    cuts = cuts.join(changed, F.col("source").eqNullSafe(F.col("c")), "left").drop("c").withColumnRenamed("source", "s")
     plan = save(plan.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").select(F.struct(
-        "source", "bits", "source_size", "target", "whole", "q", "cut_rank", "cut_digest").alias("__plan")), "mix")
+        "source", "bits", "source_size", "target", "whole", "q", "cut_rank", "cut_digest", "changed").alias("__plan")), "mix")
 
     p = {c: F.col(f"__plan.{c}") for c in plan.schema["__plan"].dataType.names}
     keyed = documents.withColumn("__digest", _digest(documents["doc_id"], documents["text"].cast("string"))).withColumn(
@@ -155,8 +180,9 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame
     joined = keyed.join(small(plan), documents["source"].cast("string").eqNullSafe(p["source"])
                         & (F.length(F.bin("__size")) == p["bits"]), "left")
     rank = _rank(_uniform(F.col("__digest")), p["q"])
-    more = (rank < p["cut_rank"]) | ((rank == p["cut_rank"]) & (F.col("__digest") <= p["cut_digest"]))
-    copies = (p["whole"] + F.coalesce(more, F.lit(False)).cast("long")).cast("long")
+    changes = F.coalesce(p["changed"] == F.col("__digest"), F.lit(False))
+    more = _taken(rank, F.col("__digest"), "__plan.") != changes
+    copies = (p["whole"] + more.cast("long")).cast("long")
     return joined.select(*(documents[c] for c in documents.columns), F.struct(
         F.col("__size").alias("size"), p["source_size"].alias("source_size"), p["target"].alias("target"),
         copies.alias("copies")).alias("mix_plan"))
@@ -190,7 +216,7 @@ f AS (SELECT *, (CAST((SELECT sum(source_size) FROM w) AS BIGINT) - CAST(sum(3 *
       FROM w WINDOW o AS (ORDER BY source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
 t AS (SELECT source, source_size, CASE WHEN level * weight >= 3 * source_size THEN CAST(3 * source_size AS DOUBLE)
         ELSE least(CAST(3 * source_size AS DOUBLE),
-                   (SELECT min(level) FROM f WHERE NOT level * weight >= 3 * source_size) * weight) END AS target FROM f),
+                   (SELECT max(level) FROM f WHERE NOT level * weight >= 3 * source_size) * weight) END AS target FROM f),
 k AS (SELECT source, bits, CAST(sum(size) AS BIGINT) AS words FROM c GROUP BY source, bits),
 l AS (SELECT k.*, t.source_size, t.target, 64 - bits AS share,
         (target - 3 * CAST(sum(words) OVER (PARTITION BY k.source ORDER BY bits ROWS UNBOUNDED PRECEDING) - words AS BIGINT))
@@ -209,8 +235,14 @@ y AS (SELECT *, CASE WHEN q > 0 THEN (u / (1 - u)) / (q / (1 - q)) END AS odds F
 z AS (SELECT *, odds / (1 + odds) AS rank FROM y),
 n AS (SELECT z.*, r.rest, CAST(sum(size) OVER (PARTITION BY z.source ORDER BY rank, digest ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
       FROM z JOIN r ON z.source IS NOT DISTINCT FROM r.source WHERE rank IS NOT NULL),
-p AS (SELECT doc_id, digest FROM n WHERE upto * 2 - size < rest * 2)
+p AS (SELECT *, upto * 2 - size < rest * 2 AS taken FROM n),
+h AS (SELECT source, rest - CAST(coalesce(sum(size) FILTER (WHERE taken), 0) AS BIGINT) AS gap FROM p GROUP BY source, rest),
+i AS (SELECT p.source, p.digest, row_number() OVER (PARTITION BY p.source ORDER BY abs(size - abs(gap)), rank, p.digest) AS r
+      FROM p JOIN h ON p.source IS NOT DISTINCT FROM h.source
+      WHERE taken = (gap < 0) AND abs(size - abs(gap)) < abs(gap)),
+j AS (SELECT p.digest FROM p LEFT JOIN (SELECT digest FROM i WHERE r = 1) k ON p.digest = k.digest
+      WHERE p.taken <> (k.digest IS NOT NULL))
 SELECT x.doc_id, x.size, x.source_size, x.target,
-       x.size * (x.whole + CASE WHEN p.digest IS NULL THEN 0 ELSE 1 END) AS taken
-FROM x LEFT JOIN p ON x.digest = p.digest
+       x.size * (x.whole + CASE WHEN j.digest IS NULL THEN 0 ELSE 1 END) AS taken
+FROM x LEFT JOIN j ON x.digest = j.digest
 """
