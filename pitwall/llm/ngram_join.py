@@ -6,9 +6,10 @@ their sets reaches a threshold.  The join is exact:
 1. *Classes.* Documents with equal sets form one class (a third of all rows may be copies
    of one text: from here on a class counts once).
 2. *Groups.* Three min-hashes of a set name a group each; a class is compared with the
-   group's centre alone: the member whose min-hashes are the most widely shared, which in a
-   family of edited copies is the text they stem from.  Components of the links found
-   are the groups of similar documents.
+   group's centre alone: the member with the smallest share of tokens that few documents
+   hold, then the one whose min-hashes are the most widely shared; in a family of edited
+   copies this is the text they stem from.  Components of the links found are the groups of
+   similar documents.
 3. *Matrix.* Under one order of all tokens, two linked sets share a token among the first
    ``n - ceil(t n) + 1`` of each.  For each token of these prefixes and each group the
    matrix holds the union over the group's members: least position, least and greatest
@@ -16,8 +17,9 @@ their sets reaches a threshold.  The join is exact:
    overlap with any member.
 4. *Union bound.* For the groups left, the set's overlap with the union of all the group's
    tokens is counted.  Only groups where it still allows a link are opened: the set is
-   compared with the member that shares most of its prefix, and with all members that pass
-   the bound of step 3 where that one doesn't link.  A group of one is compared at once.
+   compared with the member that shares most of its prefix.  After that, sets that are still
+   in different components are compared with groups of one, and with all members that pass
+   the bound of step 3.
 5. The links of steps 2 and 4 give the components.
 
 Tokens are ordered by their hash, but tokens of passages that many documents share come
@@ -103,7 +105,8 @@ def _signatures(k: int):
 
 
 def _prefixes(k: int, percent: int, hot):
-    """A row for each token of each set's prefix: ``token, v, n, pos``."""
+    """A row for each token of each set's prefix: ``token, v, n, pos``; and one for the set,
+    with ``pos`` -1 and the number of its tokens that few documents hold in ``token``."""
 
     def rows(out: list[list]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -119,11 +122,11 @@ def _prefixes(k: int, percent: int, hot):
                     continue
                 p = n - (percent * n + 99) // 100 + 1
                 last = bloom.maybe(bits, s)
-                cold = s[~last][:p]
-                out[0].append(cold if len(cold) == p else np.concatenate([cold, s[last][:p - len(cold)]]))
-                out[1].append(np.full(p, set_key(s), np.int64))
-                out[2].append(np.full(p, n, np.int32))
-                out[3].append(np.arange(p, dtype=np.int32))
+                cold = s[~last]
+                out[0].append(np.concatenate([np.array([len(cold)], np.uint64), cold[:p], s[last][:max(0, p - len(cold))]]))
+                out[1].append(np.full(p + 1, set_key(s), np.int64))
+                out[2].append(np.full(p + 1, n, np.int32))
+                out[3].append(np.arange(-1, p, dtype=np.int32))
                 size += p
                 if size >= _OUT_ROWS:
                     yield rows(out)
@@ -234,14 +237,16 @@ class _Join:
                 .repartition("b", "salt").sortWithinPartitions("b", "salt", "side"))
         return save(both.mapInArrow(_compare(self.k, self.percent), "a long, b long").distinct(), "links")
 
-    def stars(self) -> DataFrame:
-        """Pairs of a class and the centre of a group it is in, for three groupings."""
+    def stars(self, rare: DataFrame) -> DataFrame:
+        """Pairs of a class and the centre of a group it is in, for three groupings; ``rare(v,
+        rare)`` counts a class's tokens that few documents hold."""
         keys = (self.classes.select("v", "n", F.posexplode("keys").alias("i", "key")))
         counts = save(keys.groupBy("i", "key").agg(F.count("*").alias("size")).where("size > 1"), "key_counts")
         keys = keys.join(small(counts), ["i", "key"])
         scores = save(keys.groupBy("v").agg(F.sum("size").alias("score")), "scores")
-        keys = save(keys.where(F.col("i") < ROUNDS).join(scores, "v"), "keys")
-        centres = save(keys.groupBy("i", "key").agg(F.max(F.struct("score", "v", "n")).alias("c"))
+        keys = save(keys.where(F.col("i") < ROUNDS).join(scores, "v").join(rare, "v"), "keys")
+        common = -F.floor(F.col("rare") * 50 / F.col("n"))
+        centres = save(keys.groupBy("i", "key").agg(F.max(F.struct(common.alias("common"), "score", "n", "v")).alias("c"))
                        .select("i", "key", F.col("c.v").alias("b"), F.col("c.n").alias("n_b")), "centres")
         return (keys.join(centres, ["i", "key"]).where("v <> b")
                 .where(f"100 * least(n, n_b) >= {self.percent} * greatest(n, n_b)")
@@ -301,11 +306,15 @@ class _Join:
             .where("possible"), "opened_pairs")
         best = pairs.groupBy("v", "group").agg(F.max(F.struct("hits", "b")).alias("c")).select(
             F.col("v").alias("a"), F.col("c.b").alias("b"), "group")
-        best = save(best, "best")
-        links = self.linked(texts, alone.unionByName(best.select("a", "b")))
-        done = best.join(links, ["a", "b"], "left_semi").select(F.col("a").alias("v"), "group")
-        others = (pairs.join(done, ["v", "group"], "left_anti").select(F.col("v").alias("a"), "b")
-                  .join(best.select("a", "b"), ["a", "b"], "left_anti"))
+        best = save(best.select("a", "b"), "best")
+        links = self.linked(texts, best)
+        # what these links have brought together needs no further comparison
+        roots = components(groups.where("v <> root").select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(links))
+        others = alone.union(pairs.select("v", "b")).join(best, ["a", "b"], "left_anti")
+        for side in "ab":
+            others = (others.join(small(roots.select(F.col("v").alias(side), F.col("root").alias(f"root_{side}"))), side, "left")
+                      .withColumn(f"root_{side}", F.coalesce(f"root_{side}", side)))
+        others = others.where("root_a <> root_b").select("a", "b").distinct()
         return links.unionByName(self.linked(texts, others))
 
 
@@ -331,11 +340,12 @@ def ngram_join(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     hot = spark.sparkContext.broadcast(bloom.build(hot, "v"))
 
     join = _Join(docs, classes, k, percent)
-    stars = save(join.stars(), "stars")
+    prefix = save(docs.select("text").mapInArrow(_prefixes(k, percent, hot), "token long, v long, n int, pos int"), "prefix")
+    rare = save(prefix.where("pos < 0").groupBy("v").agg(F.min("token").alias("rare")), "rare")
+    stars = save(join.stars(rare), "stars")
     stars = join.linked(join.texts(stars.select(F.col("a").alias("v")).union(stars.select("b"))), stars)
     groups = components(stars)
-    prefix = save(docs.select("text").mapInArrow(_prefixes(k, percent, hot), "token long, v long, n int, pos int"), "prefix")
-    links = join.rest(prefix, groups)
+    links = join.rest(prefix.where("pos >= 0"), groups)
     roots = components(groups.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(links))
 
     named = classes.select("v", "rid").join(roots, "v", "left").select("v", "rid", F.coalesce("root", "v").alias("root"))

@@ -76,8 +76,8 @@ def _copies(classes: DataFrame, targets: DataFrame) -> DataFrame:
     own = Window.partitionBy("source").orderBy("bits")
     before = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = own.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = ((F.col("target") - MOST * (F.sum("words").over(before) - F.col("words")))
-             / F.sum(F.col("words") * F.col("share")).over(after))
+    level = F.try_divide(F.col("target") - MOST * (F.sum("words").over(before) - F.col("words")),
+                         F.sum(F.col("words") * F.col("share")).over(after))
     whole = F.col("target") >= MOST * F.col("source_size")
     c = c.withColumn("level", level).withColumn("full", whole | (F.col("level") * F.col("share") >= MOST))
     final = F.min(F.when(~F.col("full"), F.struct("bits", "level"))).over(Window.partitionBy("source"))["level"]
