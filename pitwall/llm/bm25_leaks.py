@@ -5,8 +5,8 @@ that length, so that any place where an item may stand lies whole in one.  A pas
 query: an item's score is the BM25 weight of the item's terms that the passage holds, as a
 share of all its terms' weights, and all items at ``SCORE`` or above are retrieved.  Pruning
 is exact.  Terms are ordered by the greatest weight they have in any item; the low ones
-whose weights cannot make up ``SCORE`` in any item never start a search.  For the others, the
-greatest weights within each block of 16 items are summed, and together with what the low
+whose weights cannot make up ``LOW`` in any item never start a search.  For the others, the
+greatest weights within each block of items are summed, and together with what the low
 terms may add there they bound all scores of the block; only blocks that reach ``SCORE`` are
 scored.  A retrieved item counts as a leak if the passage also holds, in order, at least
 80 % of the words of its question and 80 % of those of its answer.
@@ -40,7 +40,9 @@ from pitwall.llm.shingles import text_slices, word_hashes
 K1, B = 1.2, 0.75
 SCORE = 0.5
 OVERLAP = 0.8
-BLOCK_ITEMS = 16
+BLOCK_ITEMS = 4
+#: Low terms are those that cannot make up this much of any item.
+LOW = 0.15
 SHARD_WORDS = 1_000_000
 #: Items of up to 64 words are searched in windows of 128, those of up to 256 in 512, and so on.
 FIRST_LENGTH = 64
@@ -93,7 +95,7 @@ class Index:
         held = np.zeros(len(words))
         for t in order:
             span = by_term[first[t]:first[t + 1]]
-            if (held[item[span]] + weight[span] >= SCORE).any():
+            if (held[item[span]] + weight[span] >= LOW).any():
                 break
             held[item[span]] += weight[span]
             self.low[t] = True
