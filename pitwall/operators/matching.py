@@ -23,7 +23,6 @@ from pitwall.functions import channels as ch
 from pitwall.functions.ordered import SCAN_CHUNK, Scan, ordered_scan
 from pitwall.operators.laps import lap_boundaries
 from pitwall.operators.track import speed_profile, track_geometry
-from pitwall.session import session_key
 
 CELL_M = 10.0
 GROWTH = 8.0
@@ -33,22 +32,8 @@ GAP_LIMIT = 500
 ROUND = 6
 
 
-_STATS_CACHE: dict[tuple, tuple[float, int]] = {}
-
-
 def _track_stats(points: DataFrame) -> tuple[float, int]:
-    """Largest bounding-box side over tracks and the total point count (one tiny row).
-
-    A track table is a dimension: its stats are computed once per session and plan
-    (keyed by the plan's semantic hash), not once per query that matches against it.
-    """
-    key = (session_key(points.sparkSession), points.semanticHash())
-    if key not in _STATS_CACHE:
-        _STATS_CACHE[key] = _compute_track_stats(points)
-    return _STATS_CACHE[key]
-
-
-def _compute_track_stats(points: DataFrame) -> tuple[float, int]:
+    """Largest bounding-box side over tracks and the total point count (one row)."""
     r = points.groupBy("track_id").agg(
         F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("ext"),
         F.count(F.lit(1)).alias("n"),
@@ -97,19 +82,24 @@ def _nearest(cands: Column, x: Column, y: Column) -> Column:
 
 
 def map_match(samples: DataFrame, points: DataFrame, cell_m: float = CELL_M, growth: float = GROWTH,
-              max_broadcast_entries: int = MAX_BROADCAST_ENTRIES) -> DataFrame:
+              max_broadcast_entries: int = MAX_BROADCAST_ENTRIES, missing_as_zero: bool = False) -> DataFrame:
     """Nearest track point for every sample with a position.
 
     Adds ``idx`` and ``match_dist_m`` to ``samples`` (which need ``track_id, x, y``).
-    Samples without a position are dropped (they have no place on the track).
+    Samples without a position (missing or NaN) have no place on the track and are dropped;
+    with ``missing_as_zero`` a missing coordinate counts as 0 instead, as on a display that
+    shows what it has, and only NaN is dropped.
     """
+    if missing_as_zero:
+        samples = samples.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("x", "y")})
     pts = points.select("track_id", "idx", "x", "y")
     extent, n_points = _track_stats(pts)
     levels = cell_levels(extent, cell_m, growth)
     entries = n_points * (9 * len(levels) + 1)
     bc = (lambda df: F.broadcast(df)) if entries <= max_broadcast_entries else (lambda df: df)
 
-    d = samples.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumn(
+    placed = [F.col(c).isNotNull() & ~F.isnan(c) for c in ("x", "y")]
+    d = samples.filter(placed[0] & placed[1]).withColumn(
         "_best", F.lit(None).cast("struct<d2:double,idx:int>")
     )
     x, y = F.col("x"), F.col("y")
@@ -137,10 +127,16 @@ def map_match(samples: DataFrame, points: DataFrame, cell_m: float = CELL_M, gro
     ).drop("_best")
 
 
+def bounded(dimension: DataFrame, limit: int = MAX_BROADCAST_ENTRIES) -> DataFrame:
+    """A per-point or per-track table with a broadcast hint if a count finds it small enough;
+    a larger one joins by shuffle."""
+    return F.broadcast(dimension) if dimension.count() <= limit else dimension
+
+
 def with_track_distance(matched: DataFrame, geometry: DataFrame) -> DataFrame:
-    """Join track attributes by (track_id, idx); bounded dimension, broadcast."""
+    """Join track attributes by (track_id, idx)."""
     g = geometry.select("track_id", "idx", "s", "curvature", F.col("sector_name").alias("track_sector"))
-    return matched.join(F.broadcast(g), ["track_id", "idx"], "left")
+    return matched.join(bounded(g), ["track_id", "idx"], "left")
 
 
 def centreline(matched: DataFrame, bucket: int = 10) -> DataFrame:
@@ -166,7 +162,7 @@ def laps_from_position(matched: DataFrame, n_points: DataFrame, max_dt: float =
     ``n_points`` is a per-track table ``track_id, n_points``.  ``pos_lap`` counts
     wraps; ``pos_lap_time`` restarts at each wrap with that sample's ``dt``.
     """
-    d = matched.join(F.broadcast(n_points), "track_id").withColumn("_us", F.unix_micros("event_time"))
+    d = matched.join(bounded(n_points), "track_id").withColumn("_us", F.unix_micros("event_time"))
     lag_stage = [Scan("_prev_idx", "lag", F.col("idx")), Scan("_prev_us", "lag", F.col("_us"))]
     dt = F.when(F.col("_prev_us").isNull(), F.lit(0.0)).otherwise(
         F.least((F.col("_us") - F.col("_prev_us")) / F.lit(1e6), F.lit(max_dt))
@@ -199,7 +195,7 @@ def drs_channels(matched: DataFrame, geometry: DataFrame) -> DataFrame:
 def pace(matched: DataFrame, profile: DataFrame) -> DataFrame:
     """Driver state against the braking-limited target speed at the matched point."""
     p = profile.select("track_id", "idx", "target_speed_ms")
-    d = matched.join(F.broadcast(p), ["track_id", "idx"], "left")
+    d = matched.join(bounded(p), ["track_id", "idx"], "left")
     return d.select(
         "car_id", "seq", "idx",
         F.round(ch.ms_to_kmh("target_speed_ms"), ROUND).alias("target_speed_kmh"),
@@ -207,13 +203,24 @@ def pace(matched: DataFrame, profile: DataFrame) -> DataFrame:
     )
 
 
+def matched_laps(samples: DataFrame, points: DataFrame, chunk_width: int = SCAN_CHUNK, **kw) -> DataFrame:
+    """Matched samples with the effective lap of H1 from *all* packets: one without a position
+    has no place on the track but may be the one that begins a lap."""
+    return map_match(lap_boundaries(samples, chunk_width), points, **kw)
+
+
 def _trace_cells(matched: DataFrame, gap_limit: int, chunk_width: int) -> DataFrame:
-    """Cells painted by each sample: ``car_id, lap_count (effective), seq, lo, hi`` + values."""
-    b = lap_boundaries(matched.select("car_id", "seq", "lap_count", "idx", "speed_kmh", "throttle", "brake"),
-                       chunk_width)
-    d = ordered_scan(b, ["car_id", "effective_lap"], ["seq"], [Scan("_prev_idx", "lag", F.col("idx"))],
+    """Cells painted by each sample of ``matched_laps``: ``car_id, lap_count (effective), seq,
+    lo, hi`` + values.  The effective lap never falls within a car, so one scan by car gives
+    the sample before and tells whether it is of the same lap."""
+    if "effective_lap" not in matched.columns:  # every packet has a position, as far as the caller knows
+        matched = lap_boundaries(matched, chunk_width)
+    b = matched.select("car_id", "seq", "effective_lap", "idx", "speed_kmh", "throttle", "brake")
+    d = ordered_scan(b, ["car_id"], ["seq"], [Scan("_prev_idx", "lag", F.col("idx")),
+                                              Scan("_prev_lap", "lag", F.col("effective_lap"))],
                      chunk_by="seq", chunk_width=chunk_width)
-    near = F.col("_prev_idx").isNotNull() & (F.abs(F.col("idx") - F.col("_prev_idx")) < gap_limit)
+    near = F.coalesce((F.col("_prev_lap") == F.col("effective_lap"))
+                      & (F.abs(F.col("idx") - F.col("_prev_idx")) < gap_limit), F.lit(False))
     z = lambda c: F.coalesce(F.col(c), F.lit(0.0))  # missing values paint 0
     return d.select(
         "car_id", F.col("effective_lap").alias("lap_count"), "seq",

@@ -7,6 +7,7 @@ only when that setting is unset, which happens in local tests.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,30 +33,27 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only a local session (one JVM, as in tests) may leave it unset and then gets a folder of
+    its own; on a cluster an unset folder is an error, because executors and driver share no
+    local disk.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        context = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext in a Spark Connect session
+        context = None
+    if not base and context is not None:
+        base = context.getCheckpointDir()
     if not base:
-        try:
-            base = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - no SparkContext in a Spark Connect session
-            base = None
-    if not base:
+        if context is None or not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="pitwall-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-        except Exception:  # noqa: BLE001
-            pass
+        context.setCheckpointDir(base)
     return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared folder (never a machine-local temp dir)."""
+    """A fresh, unique path below the shared folder."""
     return f"{checkpoint_root(spark)}/pitwall/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def session_key(spark: SparkSession) -> tuple[str, int]:
-    """Identity of a live session (application id + JVM session object), for memo caches."""
-    try:
-        return spark.sparkContext.applicationId, spark._jsparkSession.hashCode()
-    except Exception:  # noqa: BLE001 - Spark Connect: no JVM handles on the client
-        return "connect", id(spark)

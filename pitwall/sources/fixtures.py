@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.functions.channels import gear_band, sector_name
-from pitwall.session import session_key
 
 TRACK_ID = "ellipse"
 TRACK_POINTS = 2000
@@ -22,34 +21,9 @@ SECONDS_PER_LAP = 518400  # six days
 ELLIPSE_A, ELLIPSE_B = 1000.0, 400.0
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table (read-only): listed and its footer read once per session."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (session_key(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a batch input read as fewer partitions than the cluster's parallelism.
-
-    A table stored as a single small row group is scanned by one task, and every
-    per-row step after it (JSON parsing, map matching, explodes) would run on one
-    core.  Inputs that already have enough partitions (any large table) are left
-    alone, so this adds a shuffle only where the input is tiny.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session)
-        return df
-    return df.repartition(n) if parts < n else df
+    """A driver table (read-only)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ellipse_xy(idx, n_points: int = TRACK_POINTS):
@@ -128,13 +102,6 @@ def telemetry_from_events(events: DataFrame, track: DataFrame | None = None, n_p
     )
 
 
-_VIEWS: dict[tuple, DataFrame] = {}
-
-
 def telemetry(spark: SparkSession, sf_dir: str, n_points: int = TRACK_POINTS) -> DataFrame:
-    """The telemetry view of a driver table directory (the plan is built once per session)."""
-    key = (session_key(spark), sf_dir.rstrip("/"), n_points)
-    if key not in _VIEWS:
-        events = spread_small(read_table(spark, sf_dir, "events"))
-        _VIEWS[key] = telemetry_from_events(events, track_points(spark, n_points), n_points)
-    return _VIEWS[key]
+    """The telemetry view of a driver table directory."""
+    return telemetry_from_events(read_table(spark, sf_dir, "events"), track_points(spark, n_points), n_points)
