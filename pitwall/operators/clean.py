@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitwall.schema import ARCHIVE_FIELDS, LAP_RESULT_SCHEMA, LAP_SUMMARY_COLUMNS, PACKET_SCHEMA, WIRE_KEYS
 
@@ -35,20 +36,21 @@ def event_time(ts, unit: str = "ns") -> Column:
 
 def floor_div(c: Column, n: int) -> Column:
     """Floor division of a LONG without a detour through DOUBLE (ns epochs exceed 2^53)."""
-    return F.floor(c.cast("decimal(20,0)") / F.lit(n)).cast("long")
+    c, by = c.cast("long"), F.lit(n).cast("long")
+    return F.call_function("div", c - F.pmod(c, by), by)
 
 
-def parse_packets(raw: DataFrame, json_col: str = "json") -> DataFrame:
-    """Add ``_p`` (typed struct) and ``_m`` (raw key/value map) columns.
+def parse_packets(raw: DataFrame, json_col: str = "json", with_map: bool = True) -> DataFrame:
+    """Add ``_p`` (typed struct) and, unless it isn't needed, ``_m`` (raw key/value map).
 
     Both parses come out of an ``inline`` generator: its outputs are new attributes,
     so a later filter on the validation result cannot be pushed below it with the
     JSON parse inlined into every reference (one parse per row, not one per use).
     """
-    parsed = F.struct(
-        F.from_json(F.col(json_col), PACKET_SCHEMA).alias("_p"),
-        F.from_json(F.col(json_col), "map<string,string>").alias("_m"),
-    )
+    parts = [F.from_json(F.col(json_col), PACKET_SCHEMA).alias("_p")]
+    if with_map:
+        parts.append(F.from_json(F.col(json_col), "map<string,string>").alias("_m"))
+    parsed = F.struct(*parts)
     return raw.select("*", F.inline(F.array(parsed)))
 
 
@@ -58,7 +60,7 @@ def _keep(raw: DataFrame) -> list[str]:
 
 def decode_packets(raw: DataFrame, ts_unit: str = "ns", json_col: str = "json") -> DataFrame:
     """D1 + D7 + D8: raw packets to telemetry rows (``car_id, track_id, seq, event_time`` + 17 keys)."""
-    p = parse_packets(raw, json_col)
+    p = parse_packets(raw, json_col, with_map=False)
     return p.select(
         *_keep(raw),
         event_time(F.col("_p.timestamp"), ts_unit).alias("event_time"),
@@ -66,6 +68,18 @@ def decode_packets(raw: DataFrame, ts_unit: str = "ns", json_col: str = "json")
     )
 
 
+def _value(key: str) -> Column:
+    """A key's value: as parsed, or, where the parse failed, numeric text and whole floats
+    converted to the wire type."""
+    wire, parsed = PACKET_SCHEMA[key].dataType, F.col(f"_p.{key}")
+    if not isinstance(wire, T.NumericType):
+        return parsed
+    number = F.col("_m")[key].try_cast("double")
+    if isinstance(wire, T.IntegralType):
+        number = F.when(number == F.floor(number), number)
+    return F.coalesce(parsed, number.try_cast(wire))
+
+
 def _problems(ts_required: bool = True) -> Column:
     """Array of reasons a parsed packet cannot be used (empty when clean)."""
     m, p = F.col("_m"), F.col("_p")
@@ -73,7 +87,7 @@ def _problems(ts_required: bool = True) -> Column:
     if ts_required:
         reasons.append(F.when(m.isNotNull() & p["timestamp"].isNull(), F.lit("missing_timestamp")))
     for k in WIRE_KEYS:
-        bad = F.map_contains_key(m, k) & m[k].isNotNull() & p[k].isNull()
+        bad = F.map_contains_key(m, k) & m[k].isNotNull() & _value(k).isNull()
         reasons.append(F.when(bad, F.lit(f"bad_type:{k}")))
     return F.array_compact(F.array(*reasons))
 
@@ -90,7 +104,7 @@ def valid_packets(raw: DataFrame, ts_unit: str = "ns", json_col: str = "json") -
     return p.select(
         *_keep(raw),
         event_time(F.col("_p.timestamp"), ts_unit).alias("event_time"),
-        *[F.col(f"_p.{k}").alias(k) for k in WIRE_KEYS],
+        *[_value(k).alias(k) for k in WIRE_KEYS],
     )
 
 
@@ -114,9 +128,9 @@ def archive_points(
 ) -> DataFrame:
     """Archive rows with defaults for *missing* keys.
 
-    A packet without a timestamp is skipped; an explicit ``null``, a value of the
-    wrong type or a non-finite integer field makes the packet unusable (it goes to
-    ``archive_rejects``).  Integers truncate toward zero.
+    A packet without a timestamp is skipped; an explicit ``null``, a value that is no
+    number (numeric text is one) or a non-finite integer field makes the packet unusable (it
+    goes to ``archive_rejects``).  Integers truncate toward zero.
     """
     ok, _ = _archive_split(raw, json_col, default_tags, keep_seq)
     return ok
@@ -134,7 +148,7 @@ def _archive_split(raw: DataFrame, json_col: str, default_tags: dict[str, object
     fields, errors = [], []
     for name, typ, default in ARCHIVE_FIELDS:
         present = F.map_contains_key(m, name)
-        v = pk[name].cast("double")
+        v = m[name].try_cast("double")
         if typ == "int":
             finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(INT32_MAX))
             val = F.when(finite, v.cast("int"))
@@ -145,8 +159,10 @@ def _archive_split(raw: DataFrame, json_col: str, default_tags: dict[str, object
         fields.append(F.when(~present, F.lit(default).cast(typ)).otherwise(val).alias(name))
     errors.append(F.when(m.isNull(), F.lit("malformed_json")))
     errors.append(F.when(m.isNotNull() & pk["timestamp"].isNull(), F.lit("missing_timestamp")))
+    # an unkeyed message has no tags of its own
     tag_cols = [
-        (F.col(t) if t in raw.columns else F.lit(tags[t])).alias(t) for t in ("car_id", "track_id")
+        (F.coalesce(F.col(t), F.lit(tags[t]).try_cast(raw.schema[t].dataType)) if t in raw.columns else F.lit(tags[t])).alias(t)
+        for t in ("car_id", "track_id")
     ]
     d = p.select(
         *tag_cols,
@@ -174,8 +190,9 @@ def lap_json(laps: DataFrame) -> DataFrame:
 
 
 def decode_lap_json(rows: DataFrame, value_col: str = "value") -> DataFrame:
-    """S3: lap result JSON back to typed columns."""
+    """S3: lap result JSON back to typed columns (a car id written as text is one too)."""
     keep = [c for c in rows.columns if c not in (value_col, "car_id", "lap_count", "key")]
-    return rows.select(*keep, F.from_json(F.col(value_col).cast("string"), LAP_RESULT_SCHEMA).alias("_r")).select(
-        *keep, "_r.*"
-    )
+    wire = T.StructType([T.StructField("car_id", T.StringType())]
+                        + [f for f in LAP_RESULT_SCHEMA.fields if f.name != "car_id"])
+    r = rows.select(*keep, F.from_json(F.col(value_col).cast("string"), wire).alias("_r")).select(*keep, "_r.*")
+    return r.withColumn("car_id", F.col("car_id").try_cast("long"))

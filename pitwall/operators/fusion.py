@@ -334,7 +334,8 @@ def _gate_emit(period: int):
 def rate_gate(df: DataFrame, period_s: float, cols: list[str] | None = None,
               blocks_per_chunk: int = GATE_BLOCKS) -> DataFrame:
     """H8 exact: per car, emit a sample when ``t - last_emitted >= period`` (the first
-    sample is always emitted), in event-time order with ties by sequence.
+    sample is always emitted), in event-time order with ties by sequence.  A sample
+    without a time cannot pass it.
 
     The gate is sequential, so it is cut into time chunks of ``blocks_per_chunk``
     periods.  Only samples in a chunk's first period (and the first one after it)
@@ -347,7 +348,8 @@ def rate_gate(df: DataFrame, period_s: float, cols: list[str] | None = None,
     period = int(round(period_s * 1e6))
     width = period * blocks_per_chunk
     cols = [c for c in (cols or []) if c not in ("car_id", "seq", "event_time")]
-    d = df.select("car_id", "seq", "event_time", *cols).withColumn("_us", F.unix_micros("event_time"))
+    d = df.select("car_id", "seq", "event_time", *cols).filter(F.col("event_time").isNotNull())
+    d = d.withColumn("_us", F.unix_micros("event_time"))
     d = d.withColumn("_chunk", F.floor(F.col("_us") / F.lit(width)).cast("long"))
     # one shuffle clusters each (car, chunk); passes 1 and 3 read the same exchange
     clustered = d.repartition("car_id", "_chunk")

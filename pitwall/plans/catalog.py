@@ -175,10 +175,13 @@ def q_live_state(spark, sf_dir):
 
 @register(
     "fuel_alerts",
-    with_fixture("SELECT car_id, seq, timestamp, fuel_kg FROM telemetry WHERE fuel_kg < 10"),
+    with_fixture("""SELECT car_id, seq, timestamp, fuel_kg - CAST(11 AS DOUBLE) * (car_id % 10) AS fuel_kg FROM telemetry
+WHERE fuel_kg - CAST(11 AS DOUBLE) * (car_id % 10) < 10"""),
 )
 def q_fuel_alerts(spark, sf_dir):
-    return L.fuel_alerts(telemetry(spark, sf_dir))
+    """Cars start with 110 kg less 11 for each unit of their number, so some run low."""
+    start = F.col("fuel_kg") - F.lit(11.0) * (F.col("car_id") % 10)
+    return L.fuel_alerts(telemetry(spark, sf_dir).withColumn("fuel_kg", start))
 
 
 @register(
@@ -252,32 +255,76 @@ def q_archive_points(spark, sf_dir):
     return C.archive_points(raw_packets(spark, sf_dir))
 
 
+def faulty_packets(spark, sf_dir):
+    """The wire packets with a fixed share damaged, by the last digits of their sequence."""
+    json, kind = F.col("json"), F.col("seq") % 40
+    damaged = (
+        F.when(kind == 1, F.lit("not json"))
+        .when(kind == 2, F.lit("{}"))
+        .when(kind == 3, F.regexp_replace(json, r'"speed_kmh":[^,}]*', '"speed_kmh":"fast"'))
+        .when(kind == 4, F.regexp_replace(json, r"^\{", '{"extra":1,'))
+        .when(kind == 5, F.regexp_replace(json, r',"gear":[^,}]*', ""))
+        .when(kind == 6, F.regexp_replace(json, r'"speed_kmh":([^,}]*)', '"speed_kmh":"$1"'))
+        .when(kind == 7, F.regexp_replace(json, r'"gear":([0-9]+)', '"gear":$1.0'))
+    )
+    return raw_packets(spark, sf_dir).withColumn("json", F.coalesce(damaged, json))
+
+
 @register(
     "quarantine",
-    with_fixture("SELECT car_id, track_id, seq, 'x' AS json, ['x'] AS reasons FROM telemetry WHERE false"),
+    with_fixture("""SELECT car_id, track_id, seq, CASE seq % 40 WHEN 1 THEN 'malformed_json'
+  WHEN 2 THEN 'missing_timestamp' ELSE 'bad_type:speed_kmh' END AS reasons
+FROM telemetry WHERE seq % 40 IN (1, 2, 3)"""),
 )
 def q_quarantine(spark, sf_dir):
-    return C.quarantine(raw_packets(spark, sf_dir))
+    bad = C.quarantine(faulty_packets(spark, sf_dir))
+    return bad.select("car_id", "track_id", "seq", F.array_join("reasons", ",").alias("reasons"))
+
+
+@register(
+    "archive_coercion",
+    with_fixture(
+        """SELECT car_id, track_id, timestamp * 1000 AS time, speed_kmh, CAST(trunc(rpm) AS INTEGER) AS rpm,
+  CASE WHEN seq % 40 = 5 THEN 0 ELSE gear END AS gear, throttle, brake, g_lat, g_long
+FROM telemetry WHERE seq % 40 NOT IN (1, 2, 3)"""
+    ),
+)
+def q_archive_coercion(spark, sf_dir):
+    """D3-D5 on damaged packets: numeric text and whole floats are archived, a missing gear is 0."""
+    return C.archive_points(faulty_packets(spark, sf_dir))
 
 
 @register(
     "schema_violations",
-    with_fixture("SELECT car_id, track_id, seq, 'x' AS key, 'x' AS kind FROM telemetry WHERE false"),
+    with_fixture(f"""SELECT car_id, track_id, seq, key, kind FROM (
+  SELECT car_id, track_id, seq, 'extra' AS key, 'unknown' AS kind FROM telemetry WHERE seq % 40 = 4
+  UNION ALL SELECT car_id, track_id, seq, 'gear', 'missing' FROM telemetry WHERE seq % 40 = 5
+  UNION ALL SELECT car_id, track_id, seq, unnest([{", ".join(f"'{k}'" for k in WIRE_KEYS)}]), 'missing'
+    FROM telemetry WHERE seq % 40 = 2) v"""),
 )
 def q_schema_violations(spark, sf_dir):
-    return C.schema_violations(raw_packets(spark, sf_dir))
+    return C.schema_violations(faulty_packets(spark, sf_dir))
 
 
-@register("lap_json")
+@register(
+    "lap_json",
+    with_fixture("SELECT car_id || '|' || lap_count AS record_key, * FROM lap_summary", LAP_SUMMARY_CTE),
+)
 def q_lap_json(spark, sf_dir):
-    return C.lap_json(L.lap_summary(telemetry(spark, sf_dir)))
+    """The JSON records, compared by key and by the values decoded from their text."""
+    records = C.lap_json(L.lap_summary(telemetry(spark, sf_dir)))
+    return C.decode_lap_json(records.select(F.col("key").alias("record_key"), "value"))
 
 
 @register("latest_lap_state", with_fixture("SELECT * FROM lap_summary WHERE lap_count > 0", LAP_SUMMARY_CTE))
 def q_latest_lap_state(spark, sf_dir):
-    results = C.lap_json(L.lap_summary(telemetry(spark, sf_dir))).withColumn("version", F.lit(0))
-    rows = C.decode_lap_json(results)
-    latest = L.latest_per_key(rows.drop("version").withColumn("_v", F.lit(0)), ["car_id", "lap_count"], "_v")
+    """Every lap has two earlier versions with other values; the highest version counts."""
+    laps = L.lap_summary(telemetry(spark, sf_dir))
+    versions = None
+    for version, speed in ((2, F.col("max_speed_kmh")), (0, F.lit(-1.0)), (1, F.col("max_speed_kmh") / 2)):
+        rows = C.lap_json(laps.withColumn("max_speed_kmh", speed)).withColumn("_v", F.lit(version))
+        versions = rows if versions is None else versions.unionByName(rows)
+    latest = L.latest_per_key(C.decode_lap_json(versions), ["car_id", "lap_count"], "_v")
     return latest.drop("_v").filter(F.col("lap_count") > 0)
 
 
@@ -639,7 +686,7 @@ def q_pace_state(spark, sf_dir):
 
 @register("lap_trace", with_fixture("SELECT * FROM trace", TS.MATCHED_CTE, *TS.TRACE_CTES))
 def q_lap_trace(spark, sf_dir):
-    return M.lap_trace(matched(spark, sf_dir))
+    return M.lap_trace(M.matched_laps(telemetry(spark, sf_dir), track_points(spark)))
 
 
 @register(
@@ -655,7 +702,7 @@ LEFT JOIN trace g ON g.car_id = t.car_id AND g.lap_count = p.ghost_lap AND g.idx
     ),
 )
 def q_lap_trace_vs_ghost(spark, sf_dir):
-    return M.lap_trace_vs_ghost(matched(spark, sf_dir))
+    return M.lap_trace_vs_ghost(M.matched_laps(telemetry(spark, sf_dir), track_points(spark)))
 
 
 # ------------------------------------------------------------------------ streaming
@@ -668,8 +715,6 @@ from pitwall.streaming import sinks as K  # noqa: E402
 STREAM_SPLIT_FILES = 5
 LAP_GAP = "6 days"  # longer than any pause inside one fixture lap (a lap is six days)
 WINDOW = "1 day"
-# deliveries of laps: lap 3 arrives after lap 4 has moved the watermark past it
-LATE_ORDER = ((0, 1, 2), (4,), (3,))
 
 _CLOSED = "(floor(epoch_us(max(ts)) / 1000) - 10000) * 1000"
 
@@ -751,16 +796,18 @@ def q_stream_window_agg(spark, sf_dir):
     return spark.read.parquet(f"{out}/data")
 
 
-@register("stream_late_data", _window_sql("WHERE lap_count <> 3"))
+@register("stream_late_data", _window_sql("WHERE lap_count <> (SELECT max(lap_count) - 1 FROM telemetry)"))
 def q_stream_late_data(spark, sf_dir):
     """T5 + T7: laps delivered out of order, one restart of the query (from its
-    checkpoint) per delivery; rows older than the watermark are dropped."""
+    checkpoint) per delivery; rows older than the watermark are dropped.  The last lap
+    but one arrives after the last one has moved the watermark past it."""
     base = scratch_path(spark, "stream-late")
     src, out = f"{base}/src", f"{base}/out"
     ev = read_table(spark, sf_dir, "events")
     lap = F.floor((F.dayofmonth("ts") - 1) / 6).cast("int")
-    for i, laps in enumerate(LATE_ORDER):
-        ev.filter(lap.isin(*laps)).coalesce(1).write.parquet(f"{src}/delivery={i:02d}")
+    last = ev.agg(F.max(lap)).first()[0] or 0
+    for i, due in enumerate((lap < last - 1, lap == last, lap == last - 1)):
+        ev.filter(due).write.parquet(f"{src}/delivery={i:02d}")
         stream = S.window_agg_stream(
             telemetry_from_events_stream(spark, f"{src}/*"), WINDOW
         )
@@ -777,14 +824,15 @@ def telemetry_from_events_stream(spark, path):
     with_fixture("SELECT car_id, seq, timestamp AS event_us, speed_kmh FROM telemetry"),
 )
 def q_stream_dedup(spark, sf_dir):
-    """Every packet delivered twice; duplicates dropped within the watermark."""
+    """Every packet delivered twice, the second time in a later micro-batch;
+    duplicates (same car and time) are dropped by the state or as older than the watermark."""
     base = scratch_path(spark, "stream-dedup")
     ev = read_table(spark, sf_dir, "events")
     for copy in ("a", "b"):
         ev.write.parquet(f"{base}/src/{copy}")
-    d = S.dedup_stream(telemetry_from_events_stream(spark, f"{base}/src/*"))
-    d = d.select("car_id", "seq", F.unix_micros("event_time").alias("event_us"), "speed_kmh")
-    K.run_available_now(d, f"{base}/_ckpt", path=f"{base}/data")
+        d = S.dedup_stream(telemetry_from_events_stream(spark, f"{base}/src/*"))
+        d = d.select("car_id", "seq", F.unix_micros("event_time").alias("event_us"), "speed_kmh")
+        K.run_available_now(d, f"{base}/_ckpt", path=f"{base}/data")
     return spark.read.parquet(f"{base}/data")
 
 

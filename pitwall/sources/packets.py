@@ -44,16 +44,26 @@ def kafka_options(bootstrap: str, topic: str, starting: str = "latest", max_offs
 def kafka_packets(spark: SparkSession, bootstrap: str, topic: str, streaming: bool = True, **kw) -> DataFrame:
     """S1 (streaming, ``latest``) / S2 (replay, pass ``starting='earliest'``).
 
-    The message key carries ``car_id|track_id``; the offset is the packet sequence.
+    See ``packets_of_records`` for the message key.
     """
     reader = spark.readStream if streaming else spark.read
+    tags = {k: kw.pop(k) for k in ("default_car", "default_track") if k in kw}
     if not streaming:
         kw["max_offsets"] = None  # batch reads take the whole offset range
-    raw = reader.format("kafka").options(**kafka_options(bootstrap, topic, **kw)).load()
+    return packets_of_records(reader.format("kafka").options(**kafka_options(bootstrap, topic, **kw)).load(), **tags)
+
+
+def packets_of_records(raw: DataFrame, default_car: int = 0, default_track: str = "unknown") -> DataFrame:
+    """Packets from topic records ``key, value, offset``.
+
+    The key carries ``car_id|track_id``; a record without a key (as a single car's
+    transmitter sends them) or without a numeric car gets the default tags.  Car ids are
+    LONG in every table of this package.  The offset orders a car's packets.
+    """
     key = F.split(F.col("key").cast("string"), r"\|")
     return raw.select(
-        key.getItem(0).alias("car_id"),
-        F.coalesce(key.getItem(1), F.lit("unknown")).alias("track_id"),
+        F.coalesce(F.get(key, F.lit(0)).try_cast("long"), F.lit(default_car).cast("long")).alias("car_id"),
+        F.coalesce(F.get(key, F.lit(1)), F.lit(default_track)).alias("track_id"),
         F.col("offset").alias("seq"),
         F.col("value").cast("string").alias("json"),
     )

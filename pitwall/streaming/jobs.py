@@ -90,8 +90,11 @@ def window_agg_stream(tel: DataFrame, size: str, slide: str | None = None, water
     )
 
 
-def dedup_stream(tel: DataFrame, keys: tuple[str, ...] = ("car_id", "seq"), watermark: str = WATERMARK) -> DataFrame:
-    """Drop redelivered packets (at-least-once sources) within the watermark."""
+def dedup_stream(tel: DataFrame, keys: tuple[str, ...] = ("car_id", "timestamp"), watermark: str = WATERMARK) -> DataFrame:
+    """Drop redelivered packets (at-least-once sources) within the watermark.
+
+    A packet is known by its car and time: a producer that retries writes a new offset.
+    """
     return tel.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -111,16 +114,24 @@ HISTORY_STATE = "current_lap long, fastest double"
 def _history_step(key, frames, state):
     """Lap boundary + history + PB for one car and one micro-batch.
 
-    State is two numbers per car (current lap, fastest time).  Rows are processed
-    in arrival (seq) order, vectorised with running max/min.
+    State is two numbers per car (current lap, fastest time).  Of each lap number only its
+    first packet can begin a lap, so that is all that is kept of the frames, which arrive
+    in any order; these rows are then processed by sequence with running max/min.
     """
-    pdf = pd.concat(list(frames), ignore_index=True).sort_values("seq", kind="stable")
+    first: dict[int, tuple[int, float]] = {}
+    for frame in frames:
+        frame = frame.assign(lap_count=frame["lap_count"].fillna(0).astype("int64"),
+                             last_lap_time=frame["last_lap_time"].fillna(0.0))
+        for row in frame.loc[frame.groupby("lap_count")["seq"].idxmin()].itertuples(index=False):
+            found = (int(row.seq), float(row.last_lap_time))
+            first[int(row.lap_count)] = min(first.get(int(row.lap_count), found), found)
+    rows = sorted((seq, lap, t) for lap, (seq, t) in first.items())
     if state.exists:
         cur, fastest = state.get
     else:
         cur, fastest = -1, float("inf")
-    laps = pdf["lap_count"].fillna(0).to_numpy(dtype=np.int64)
-    t = pdf["last_lap_time"].fillna(0.0).to_numpy(dtype=np.float64)
+    laps = np.array([r[1] for r in rows], dtype=np.int64)
+    t = np.array([r[2] for r in rows], dtype=np.float64)
     run = np.maximum.accumulate(np.concatenate([[cur], laps]))
     before = run[:-1]
     emit = (laps > before) & (before != -1) & (t > 0)
