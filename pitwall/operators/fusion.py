@@ -188,7 +188,8 @@ def sensor_fusion(sensors: dict[str, DataFrame], chunk_width: int = TIME_CHUNK_U
 
 # ----------------------------------------------------------------- H8 exact gate
 
-GATE_BLOCKS = 65536  # periods per chunk
+GATE_ROWS = 65536  # samples of all cars in the time of one chunk, on average
+GATE_LEAST_BLOCKS = 16  # periods per chunk at least
 
 
 def _ship_by_value() -> None:
@@ -332,13 +333,14 @@ def _gate_emit(period: int):
 
 
 def rate_gate(df: DataFrame, period_s: float, cols: list[str] | None = None,
-              blocks_per_chunk: int = GATE_BLOCKS) -> DataFrame:
+              blocks_per_chunk: int | None = None) -> DataFrame:
     """H8 exact: per car, emit a sample when ``t - last_emitted >= period`` (the first
     sample is always emitted), in event-time order with ties by sequence.  A sample
     without a time cannot pass it.
 
     The gate is sequential, so it is cut into time chunks of ``blocks_per_chunk``
-    periods.  Only samples in a chunk's first period (and the first one after it)
+    periods; by default as many as hold about 65,536 samples of all cars, from the table's time
+    span and row count, so that a car with any share of the rows is cut too.  Only samples in a chunk's first period (and the first one after it)
     can be where the chain enters the chunk, so pass 1 follows every such entry to
     its exit per (car, chunk); pass 2 chains the small per-chunk summaries per car;
     pass 3 re-emits each chunk from its resolved entry.  Every grouped task holds
@@ -346,6 +348,11 @@ def rate_gate(df: DataFrame, period_s: float, cols: list[str] | None = None,
     """
     _ship_by_value()
     period = int(round(period_s * 1e6))
+    if blocks_per_chunk is None:
+        us = F.unix_micros("event_time")
+        low, high, n = df.agg(F.min(us), F.max(us), F.count(us)).first()
+        span = (high - low) if n else 0
+        blocks_per_chunk = max(GATE_LEAST_BLOCKS, span * GATE_ROWS // (max(n, 1) * period))
     width = period * blocks_per_chunk
     cols = [c for c in (cols or []) if c not in ("car_id", "seq", "event_time")]
     d = df.select("car_id", "seq", "event_time", *cols).filter(F.col("event_time").isNotNull())

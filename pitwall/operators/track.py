@@ -90,6 +90,34 @@ def resample_closed(waypoints: DataFrame, per_segment: int) -> DataFrame:
     )
 
 
+def resample_even(points: DataFrame, n_points: int) -> DataFrame:
+    """``n_points`` points at equal distances along each track's polyline ``track_id, idx, x, y``.
+
+    Distance runs from the first point to the last; point ``k`` lies at ``k * L / (n - 1)``, on
+    the segment that reaches it.  On its output ``s = idx * L / (N - 1)`` (J2) is the distance
+    travelled, however uneven the input.  Output ``track_id, idx, x, y, s``.
+    """
+    w = Window.partitionBy("track_id").orderBy("idx")
+    d = points.select("track_id", "idx", "x", "y", F.lead("x").over(w).alias("_x2"), F.lead("y").over(w).alias("_y2"))
+    dx, dy = F.col("_x2") - F.col("x"), F.col("_y2") - F.col("y")
+    d = d.withColumn("_len", F.coalesce(F.sqrt(dx * dx + dy * dy), F.lit(0.0)))
+    d = d.withColumns({
+        "_to": F.sum("_len").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_step": F.sum("_len").over(Window.partitionBy("track_id")) / F.lit(float(n_points - 1)),
+        "_last": F.lead("idx", 2).over(w).isNull(),
+    })
+    d = d.filter(F.col("_x2").isNotNull() & (F.col("_len") > 0)).withColumn("_from", F.col("_to") - F.col("_len"))
+    first = F.ceil(F.col("_from") / F.col("_step")).cast("int")
+    # a point on the border belongs to the segment that it begins, the last one to the last segment
+    end = F.when(F.col("_last"), F.lit(n_points - 1)).otherwise(F.ceil(F.col("_to") / F.col("_step")).cast("int") - 1)
+    d = d.filter(first <= end).withColumn("_k", F.explode(F.sequence(first, end)))
+    s = F.col("_k") * F.col("_step")
+    part = F.least(F.greatest((s - F.col("_from")) / F.col("_len"), F.lit(0.0)), F.lit(1.0))
+    return d.select("track_id", F.col("_k").cast("int").alias("idx"),
+                    (F.col("x") + part * (F.col("_x2") - F.col("x"))).alias("x"),
+                    (F.col("y") + part * (F.col("_y2") - F.col("y"))).alias("y"), s.alias("s"))
+
+
 def _gradient(c: str, w) -> Column:
     """Numpy-style gradient: central inside, one-sided at both ends."""
     prev, nxt, cur = F.lag(c, 1).over(w), F.lead(c, 1).over(w), F.col(c)

@@ -605,6 +605,32 @@ def _geo_cols(g):
                     r("s"), r("total_length"), "n_points", "sector_name")
 
 
+EVEN_POINTS = 500
+
+
+@register(
+    "track_even",
+    with_fixture(
+        f"""SELECT track_id, CAST(k AS INT) AS idx, round(x + part * (x2 - x), 6) AS x, round(y + part * (y2 - y), 6) AS y,
+  round(k * step, 6) AS s
+FROM (SELECT *, least(greatest((k * step - (upto - len)) / len, 0), 1) AS part FROM (
+  SELECT *, unnest(range(CAST(ceil((upto - len) / step) AS BIGINT),
+      CASE WHEN is_last THEN {EVEN_POINTS} ELSE CAST(ceil(upto / step) AS BIGINT) END)) AS k FROM (
+    SELECT *, sum(len) OVER (PARTITION BY track_id ORDER BY idx ROWS UNBOUNDED PRECEDING) AS upto,
+      sum(len) OVER (PARTITION BY track_id) / CAST({EVEN_POINTS - 1} AS DOUBLE) AS step FROM (
+      SELECT *, coalesce(sqrt((x2 - x) * (x2 - x) + (y2 - y) * (y2 - y)), 0) AS len FROM (
+        SELECT track_id, idx, x, y, lead(x) OVER w AS x2, lead(y) OVER w AS y2, lead(idx, 2) OVER w IS NULL AS is_last
+        FROM resampled WINDOW w AS (PARTITION BY track_id ORDER BY idx)) a) b) c
+  WHERE x2 IS NOT NULL AND len > 0) d) e""",
+        TS.MATCHED_CTE, _CENTRE, _RESAMPLED,
+    ),
+)
+def q_track_even(spark, sf_dir):
+    """The rebuilt track at equal distances."""
+    e = TR.resample_even(TR.resample_closed(centre(spark, sf_dir), RESAMPLE_K), EVEN_POINTS)
+    return e.select("track_id", "idx", *[F.round(c, 6).alias(c) for c in ("x", "y", "s")])
+
+
 @register("track_geometry", with_fixture(_GEO_COLS_SQL, TS.MATCHED_CTE, _CENTRE, _RESAMPLED, _GEO_RE))
 def q_track_geometry(spark, sf_dir):
     return _geo_cols(rebuilt_geometry(spark, sf_dir))

@@ -10,6 +10,7 @@ from pitwall.operators import clean as C
 from pitwall.operators import fusion as FU
 from pitwall.operators import laps as L
 from pitwall.operators import matching as M
+from pitwall.operators import track as TR
 from pitwall.sources.packets import packets_of_records
 from pitwall.streaming import jobs as S
 from tests.helpers import make_tel
@@ -122,3 +123,19 @@ def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
     assert session.checkpoint_root(Session("yarn", conf={"spark.checkpoint.dir": "hdfs:///c/"})) == "hdfs:///c"
     assert session.checkpoint_root(Session("yarn", folder="hdfs:///d")) == "hdfs:///d"
     assert session.checkpoint_root(Session("local[2]"))
+
+
+def test_even_points_travel_the_summed_distance(spark):
+    import math
+
+    uneven = [(0, 0.0, 0.0), (1, 10.0, 0.0), (2, 12.0, 1.0), (3, 400.0, 30.0), (4, 400.0, 31.0), (5, 0.0, 700.0)]
+    pts = spark.createDataFrame([("t", *p) for p in uneven], "track_id string, pos int, x double, y double")
+    even = TR.resample_even(TR.resample_closed(pts, 20), 400)
+    rows = TR.track_geometry(even.drop("s")).orderBy("idx").collect()
+    assert [r.idx for r in rows] == list(range(400))
+    travelled = 0.0
+    steps = [math.dist((a.x, a.y), (b.x, b.y)) for a, b in zip(rows, rows[1:])]
+    for r, step in zip(rows, [0.0, *steps]):
+        travelled += step
+        assert abs(r.s - travelled) <= max(steps) * 2
+    assert max(steps) < 1.05 * sum(steps) / len(steps)
