@@ -8,8 +8,9 @@ holding a third of all rows would then be one task over a third of the data.
 per-chunk totals (rows / chunk rows, a much smaller table).  This is a two-level
 prefix scan: every task sees at most one chunk of one key.
 
-Totals are aggregated from the window output, which is already hash-partitioned by
-``(keys, chunk)``, so they cost no extra shuffle; only the small carry table moves
+Totals are read off each chunk's last row of the window output, which is already
+hash-partitioned by ``(keys, chunk)``: the input is scanned and shuffled once and the
+window is evaluated twice over the same shuffle files.  Only the small carry table moves
 (AQE broadcasts it at run time when its measured size allows).
 """
 
@@ -66,7 +67,8 @@ def ordered_scan(
     ``chunk_by`` must be a numeric column non-decreasing in ``order`` (e.g. the
     packet sequence or event-time micros).  With ``chunk_by=None`` the window is
     partitioned by ``keys`` alone; use that only where a key is bounded by
-    construction (a track's points).
+    construction (a track's points).  With chunks, rows with a null key or a null
+    ``chunk_by`` have no place in any order and are left out.
     """
     stages = scans if scans and isinstance(scans[0], list) else [scans]
     if chunk_by is None or chunk_width is None:
@@ -85,17 +87,25 @@ def ordered_scan(
     wc = Window.partitionBy(*keys).orderBy(ck)
     earlier = wc.rowsBetween(Window.unboundedPreceding, -1)
     out = df.withColumn(ck, F.floor(F.col(chunk_by) / F.lit(chunk_width)).cast("long"))
+    # rows without a key or a place in the order; said here, so that the join below adds no
+    # filter to one branch only
+    for c in (*keys, ck):
+        out = out.filter(F.col(c).isNotNull())
     out = out.withColumn(rn, F.row_number().over(w))
     for stage in stages:
         local = out.withColumns({f"_loc_{s.name}": _local(s, w, run, before) for s in stage})
-        # Per-chunk totals from the window output: same partitioning, no new shuffle.
-        totals = local.groupBy(*keys, ck).agg(*[_total(s, rn).alias(f"_tot_{s.name}") for s in stage])
+        # The chunk's last row whole: both branches then need the same columns of the input,
+        # so its scan and its shuffle are shared (ReuseExchange) instead of run twice.
+        last = F.max_by(F.struct(*[c for c in local.columns if c not in (*keys, ck)],
+                                 *[s.expr.alias(f"_exp_{s.name}") for s in stage]), F.col(rn))
+        totals = local.groupBy(*keys, ck).agg(last.alias("_last"))
+        totals = totals.select(*keys, ck, *[_total(s).alias(f"_tot_{s.name}") for s in stage])
         carry = totals.select(*keys, ck, *[_carry(s, wc, earlier).alias(f"_car_{s.name}") for s in stage])
         out = local.join(carry, [*keys, ck], "left")
         out = out.withColumns(
             {s.name: _combine(s, F.col(f"_car_{s.name}"), F.col(f"_loc_{s.name}"), F.col(rn)) for s in stage}
         )
-        out = out.drop(*[f"_loc_{s.name}" for s in stage], *[f"_car_{s.name}" for s in stage])
+        out = out.drop(*[f"_{kind}_{s.name}" for s in stage for kind in ("loc", "car")])
     return out.drop(ck, rn)
 
 
@@ -116,21 +126,16 @@ def _local(s: Scan, w, run, before) -> Column:
     return F.min(e).over(before)  # min_before
 
 
-def _total(s: Scan, rn: str) -> Column:
-    """Chunk total read off the window output at the chunk's last row.
-
-    Using the window's own columns (not the raw expression) keeps the window in this
-    branch, so both branches share one shuffle (ReuseExchange) instead of the totals
-    re-reading and re-computing everything upstream.
-    """
-    loc, last = F.col(f"_loc_{s.name}"), F.col(rn)
+def _total(s: Scan) -> Column:
+    """Chunk total read off the window output at the chunk's last row."""
+    loc, expr = F.col(f"_last._loc_{s.name}"), F.col(f"_last._exp_{s.name}")
     if s.kind in ("max", "min", "sum", "last"):
-        return F.max_by(loc, last)
+        return loc
     if s.kind == "max_before":
-        return F.max_by(F.greatest(loc, s.expr), last)
+        return F.greatest(loc, expr)
     if s.kind == "min_before":
-        return F.max_by(F.least(loc, s.expr), last)
-    return F.max_by(s.expr, last)  # lag: value of the chunk's last row
+        return F.least(loc, expr)
+    return expr  # lag: value of the chunk's last row
 
 
 def _carry(s: Scan, wc, earlier) -> Column:

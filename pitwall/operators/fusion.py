@@ -29,7 +29,7 @@ def with_dt(tel: DataFrame, max_dt: float = MAX_DT_S, chunk_width: int = SCAN_CH
 
     ``extra`` stages run after dt on the same chunking (e.g. running sums of dt).
     """
-    d = tel.withColumn("_us", _us())
+    d = tel.withColumn("_us", _us()).drop("event_time")
     stages = [[Scan("_prev_us", "lag", F.col("_us"))]]
     if extra:
         # the dt expression is inlined so later stages need no extra column pass
@@ -91,7 +91,7 @@ def fuel_estimate(tel: DataFrame, fuel0: float = ch.FUEL_START_KG, max_dt: float
 
 def derived_channels(tel: DataFrame, chunk_width: int = SCAN_CHUNK) -> DataFrame:
     """D10, D11, C1, C4 (DRS closed), H14: per-sample physics channels."""
-    d = tel.select("car_id", "seq", "event_time", "speed_kmh", "fuel_kg").withColumn("_us", _us())
+    d = tel.select("car_id", "seq", "speed_kmh", "fuel_kg", _us().alias("_us"))
     d = ordered_scan(
         d, ["car_id"], ORDER,
         [Scan("_prev_us", "lag", F.col("_us")), Scan("_prev_v", "lag", F.col("speed_kmh"))],
