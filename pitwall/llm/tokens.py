@@ -21,7 +21,7 @@ import public_tokenizers
 from pitwall.llm.common import worker_cache
 
 #: Beyond this number a worker forgets the pieces that it has met only once of late.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000
 _CUT = re.compile(r" (?=\S)")
 _SPACE = re.compile(r"\s")
 
@@ -205,6 +205,8 @@ class Encoder:
             return self._plain(texts)
         if len(self.codes) + len(self.raw) > CACHED_PIECES:
             self._forget()
+        if len(self.cores) > CACHED_PIECES // 4:
+            self.cores, self.core_ids = _Codes(), _Store()
         cut = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts]
         counts = np.array([len(p) for p in cut], dtype=np.int64)
         pieces = list(chain.from_iterable(cut))
