@@ -15,6 +15,8 @@ their sets reaches a threshold.  The join is exact:
    matrix holds the union over the group's members: least position, least and greatest
    set size.  A set is looked up against larger groups; position and sizes bound its
    overlap with any member.
+   Sets that do not share ``t n`` of their tokens with any other set that is left are out
+   before this, by counts over all tokens of the sets left.
 4. *Union bound.* For the groups left, the set's overlap with the union of all the group's
    tokens is counted.  Only groups where it still allows a link are opened: the set is
    compared with the member that shares most of its prefix.  After that, sets that are still
@@ -184,6 +186,41 @@ def _dealt(k: int):
     return run
 
 
+def _shared(batches):
+    """Rows sorted by bucket: for each set, how many of its tokens in the bucket another set
+    holds too.  A bucket is about a million tokens."""
+    def counted(bucket, v, parts):
+        tokens = np.concatenate(parts)
+        _, inverse, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+        ends = np.cumsum([len(p) for p in parts])
+        more = np.r_[0, np.cumsum(counts[inverse] > 1)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(v), bucket), pa.int32()), pa.array(v, pa.int64()),
+             pa.array(np.diff(np.r_[0, more[ends]]), pa.int64())], names=["bucket", "v", "shared"])
+
+    at, v, parts = None, [], []
+    for batch in batches:
+        for b, key, tokens in zip(*(batch.column(c).to_pylist() for c in ("bucket", "v", "tokens"))):
+            if b != at:
+                if parts:
+                    yield counted(at, v, parts)
+                at, v, parts = b, [], []
+            v.append(key)
+            parts.append(np.frombuffer(tokens, np.uint64))
+    if parts:
+        yield counted(at, v, parts)
+
+
+def _maybe_in(bits):
+    """The rows whose token may be in a filter."""
+    def run(batches):
+        for batch in batches:
+            keep = bloom.maybe(bits.value, batch.column("token").to_numpy(zero_copy_only=False).view(np.uint64))
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
 def _overlaps(batches):
     """Rows sorted by (group, bucket, side): members' tokens, whose union is held, then the
     tokens of the sets looked up; gives the overlaps of the latter."""
@@ -221,6 +258,23 @@ class _Join:
         return save(self.docs.join(small(want), (F.col("th") == F.col("want_th")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
                     .select("v", "n", "text"), "texts")
 
+    def shared(self, keys: DataFrame) -> DataFrame:
+        """``v, shared``: how many tokens of each class in ``keys(v)`` another one of them holds.
+
+        All their tokens are dealt to buckets of about a million by hash and counted there.
+        """
+        want = save(self.classes.join(keys.select("v").distinct(), "v").select(
+            "v", "n", F.col("id").alias("want_id"), F.col("th").alias("want_th")), "wanted")
+        buckets = 1 + (want.agg(F.sum("n")).first()[0] or 0) // UNION_TOKENS
+        rows = (self.docs.join(small(want), (F.col("th") == F.col("want_th")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
+                .select(F.lit(0).cast("long").alias("group"), F.lit(buckets).cast("int").alias("buckets"),
+                        F.lit(0).alias("side"), "v", "text"))
+        dealt = (rows.mapInArrow(_dealt(self.k), "group long, bucket int, side int, v long, tokens binary")
+                 .repartition("bucket").sortWithinPartitions("bucket").select("bucket", "v", "tokens"))
+        return (dealt.mapInArrow(_shared, "bucket int, v long, shared long")
+                .groupBy("bucket", "v").agg(F.max("shared").alias("shared"))
+                .groupBy("v").agg(F.sum("shared").alias("shared")))
+
     def linked(self, texts: DataFrame, pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` of class keys whose sets reach the threshold.
 
@@ -262,8 +316,15 @@ class _Join:
             "token", "v", "n", "pos", F.coalesce("root", "v").alias("g"), F.coalesce("members", F.lit(1)).alias("members"))
         shared = save(prefix.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
                       .where("lo <> hi").select("token"), "shared")
-        prefix = save(prefix.join(small(shared), "token", "left_semi")
-                      .groupBy("token", "v").agg(*(F.min(c).alias(c) for c in ("n", "pos", "g", "members"))), "shared_prefix")
+        bits = self.docs.sparkSession.sparkContext.broadcast(bloom.build(shared, "token"))
+        prefix = save(
+            prefix.mapInArrow(_maybe_in(bits), prefix.schema).join(small(shared), "token", "left_semi")
+            .groupBy("token", "v").agg(*(F.min(c).alias(c) for c in ("n", "pos", "g", "members"))), "shared_prefix")
+        # a linked set shares t n of its tokens with another one; most texts that have a passage
+        # in common do not, and end here
+        able = save(prefix.select("v", "n").distinct().join(self.shared(prefix), "v")
+                    .where(f"100 * shared >= {t} * n").select("v"), "able")
+        prefix = save(prefix.join(small(able), "v", "left_semi"), "able_prefix")
         matrix = prefix.groupBy("token", F.col("g").alias("group")).agg(
             F.min("members").alias("group_size"), F.min("pos").alias("group_pos"),
             F.min("n").alias("group_low"), F.max("n").alias("group_high"))
@@ -272,7 +333,16 @@ class _Join:
             .where(f"100 * group_high >= {t} * n AND 100 * n >= {t} * group_low")
             .where(f"{both} * least(n - pos, group_high - group_pos) >= {t} * (n + group_low)")
             .select("token", "v", "n", "pos", "group", "group_size", "group_low"), "near")
-        alone = near.where("group_size = 1").select(F.col("v").alias("a"), F.col("group").alias("b")).distinct()
+        alone = save(near.where("group_size = 1").select(
+            F.col("v").alias("a"), F.col("group").alias("b"), F.col("n").alias("n_a"), F.col("group_low").alias("n_b")).distinct(), "alone")
+        # the same among these sets alone, with the size of the smallest set each is to meet
+        sides = alone.select(F.col("a").alias("v"), F.col("n_a").alias("n"), F.col("n_b").alias("met")).union(
+            alone.select("b", "n_b", "n_a"))
+        able = save(sides.groupBy("v").agg(F.min("n").alias("n"), F.min("met").alias("met")).join(self.shared(sides), "v")
+                    .where(f"{both} * shared >= {t} * (n + met)").select("v"), "able_alone")
+        for side in "ab":
+            alone = alone.join(small(able.select(F.col("v").alias(side))), side, "left_semi")
+        alone = save(alone.select("a", "b"), "alone_able")
         met = save(near.where("group_size > 1").groupBy("v", "group").agg(
             F.min("n").alias("n"), F.min("group_low").alias("low")), "met")
         members = save(groups.select("v", F.col("root").alias("group")).join(
@@ -300,10 +370,8 @@ class _Join:
         pairs = save(
             near.join(small(opened), ["group", "v"], "left_semi").join(member, ["token", "group"])
             .where(f"100 * least(n, n_b) >= {t} * greatest(n, n_b)")
-            .groupBy("v", "b", "group").agg(
-                F.count("*").alias("hits"),
-                F.max(F.expr(f"{both} * least(n - pos, n_b - pos_b) >= {t} * (n + n_b)")).alias("possible"))
-            .where("possible"), "opened_pairs")
+            .where(f"{both} * least(n - pos, n_b - pos_b) >= {t} * (n + n_b)")
+            .groupBy("v", "b", "group").agg(F.count("*").alias("hits")), "opened_pairs")
         best = pairs.groupBy("v", "group").agg(F.max(F.struct("hits", "b")).alias("c")).select(
             F.col("v").alias("a"), F.col("c.b").alias("b"), "group")
         best = save(best.select("a", "b"), "best")
