@@ -68,8 +68,9 @@ def printed(a: Column) -> Column:
     return F.lower(F.array_join(F.transform(a, lambda h: F.lpad(F.hex(h), 16, "0")), ""))
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """``docs(doc_id, th, ...)`` with ``next_<column>`` of the row that follows, the first after the last.
+def with_next(docs: DataFrame, carried: list[str], derive=lambda rows: rows) -> DataFrame:
+    """``docs(doc_id, th, ...)`` with ``next_<column>`` of the row that follows, the first after
+    the last; ``derive`` adds columns before that.
 
     The order is cut into runs of about 512 rows by ``doc_id`` (rows without one by ``th``);
     each run also gets a copy of the row that begins the next run, so that a window within
@@ -92,7 +93,7 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
                        & F.col("doc_id").eqNullSafe(F.col("first_id")))
              .dropDuplicates(["first_run"])
              .select(*(F.col("to_run").alias("run") if c == "run" else F.col(c) for c in docs.columns), F.lit(1).alias("copy")))
-    both = docs.withColumn("copy", F.lit(0)).unionByName(heads)
+    both = derive(docs.withColumn("copy", F.lit(0)).unionByName(heads))
     own = Window.partitionBy("run").orderBy("copy", F.col("doc_id").asc_nulls_first(), "th")
     return (both.select("*", *(F.lead(c).over(own).alias(f"next_{c}") for c in carried))
             .where("copy = 0").drop("copy", "run"))
@@ -104,7 +105,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     replaced by the beginning of the next document."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    rows = with_next(docs.withColumn("sketch", sketch(F.col("text"))), ["text", "sketch"])
+    rows = with_next(docs, ["text", "sketch"], lambda rows: rows.withColumn("sketch", sketch(F.col("text"))))
     n = F.length("text").cast("long")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (n - cut).cast("int")), F.substring("next_text", F.lit(1), cut))
