@@ -59,6 +59,8 @@ COUNT_TOKENS = 1_000_000
 SALT_TOKENS = 262_144
 #: Tokens of a group's members that one task holds while it counts overlaps.
 UNION_TOKENS = 1_000_000
+#: Tokens that one task counts to see which of them stand in two sets.
+BUCKET_TOKENS = 4_000_000
 _OUT_ROWS = 200_000
 
 _SIGNATURES = "kind byte, doc_id long, th long, n int, v long, keys array<long>"
@@ -186,29 +188,72 @@ def _dealt(k: int):
     return run
 
 
+def _scattered(k: int, buckets: int):
+    """Tokens of many sets, a row for each bucket of about a million tokens read: 32 bits of
+    each token, and whose they are.  Tokens that meet in 32 bits only add to the counts."""
+
+    def rows(keys: list, held: list) -> pa.RecordBatch:
+        tokens = np.concatenate(held)
+        owner = np.repeat(np.arange(len(held)), [len(s) for s in held])
+        bucket = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        low, owner, keys = tokens[order].astype(np.uint32), owner[order], np.array(keys, np.int64)
+        out: list[list] = [[], [], [], []]
+        for b in np.flatnonzero(np.diff(cut)).tolist():
+            own = owner[cut[b]:cut[b + 1]]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            for x, y in zip(out, (b, keys[own[first]].tobytes(), np.diff(np.r_[first, len(own)]).astype(np.int32).tobytes(),
+                                  low[cut[b]:cut[b + 1]].tobytes())):
+                x.append(y)
+        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])],
+                                          names=["bucket", "v", "lengths", "tokens"])
+
+    def run(batches):
+        keys, held, size = [], [], 0
+        for batch in batches:
+            v = batch.column("v").to_pylist()
+            for i, s in shingle_sets(batch.column("text"), k):
+                if not len(s) or set_key(s) != v[i]:
+                    continue
+                keys.append(v[i])
+                held.append(s)
+                size += len(s)
+                if size >= COUNT_TOKENS:
+                    yield rows(keys, held)
+                    keys, held, size = [], [], 0
+        if held:
+            yield rows(keys, held)
+
+    return run
+
+
 def _shared(batches):
     """Rows sorted by bucket: for each set, how many of its tokens in the bucket another set
-    holds too.  A bucket is about a million tokens."""
-    def counted(bucket, v, parts):
-        tokens = np.concatenate(parts)
-        _, inverse, counts = np.unique(tokens, return_inverse=True, return_counts=True)
-        ends = np.cumsum([len(p) for p in parts])
-        more = np.r_[0, np.cumsum(counts[inverse] > 1)]
+    holds too."""
+    def counted(parts: list[tuple]) -> pa.RecordBatch:
+        v, lengths, tokens = (np.concatenate([np.frombuffer(p[i], t) for p in parts])
+                              for i, t in enumerate((np.int64, np.int32, np.uint32)))
+        ordered = np.sort(tokens)
+        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        ends = np.cumsum(lengths, dtype=np.int64)
+        more = np.zeros(len(tokens) + 1, np.int32)
+        if len(twice):
+            at = np.minimum(np.searchsorted(twice, tokens), len(twice) - 1)
+            np.cumsum(twice[at] == tokens, out=more[1:])
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(v), bucket), pa.int32()), pa.array(v, pa.int64()),
-             pa.array(np.diff(np.r_[0, more[ends]]), pa.int64())], names=["bucket", "v", "shared"])
+            [pa.array(v), pa.array(np.diff(np.r_[0, more[ends]]).astype(np.int64))], names=["v", "shared"])
 
-    at, v, parts = None, [], []
+    at, parts = None, []
     for batch in batches:
-        for b, key, tokens in zip(*(batch.column(c).to_pylist() for c in ("bucket", "v", "tokens"))):
+        for b, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "v", "lengths", "tokens"))):
             if b != at:
                 if parts:
-                    yield counted(at, v, parts)
-                at, v, parts = b, [], []
-            v.append(key)
-            parts.append(np.frombuffer(tokens, np.uint64))
+                    yield counted(parts)
+                at, parts = b, []
+            parts.append(row)
     if parts:
-        yield counted(at, v, parts)
+        yield counted(parts)
 
 
 def _maybe_in(bits):
@@ -261,19 +306,18 @@ class _Join:
     def shared(self, keys: DataFrame) -> DataFrame:
         """``v, shared``: how many tokens of each class in ``keys(v)`` another one of them holds.
 
-        All their tokens are dealt to buckets of about a million by hash and counted there.
+        All their tokens are dealt to buckets of about 4 million by hash and counted there.  A
+        text that stands in several rows of the same id counts for each, which can only raise
+        what is an upper bound.
         """
         want = save(self.classes.join(keys.select("v").distinct(), "v").select(
             "v", "n", F.col("id").alias("want_id"), F.col("th").alias("want_th")), "wanted")
-        buckets = 1 + (want.agg(F.sum("n")).first()[0] or 0) // UNION_TOKENS
+        buckets = 1 + (want.agg(F.sum("n")).first()[0] or 0) // BUCKET_TOKENS
         rows = (self.docs.join(small(want), (F.col("th") == F.col("want_th")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
-                .select(F.lit(0).cast("long").alias("group"), F.lit(buckets).cast("int").alias("buckets"),
-                        F.lit(0).alias("side"), "v", "text"))
-        dealt = (rows.mapInArrow(_dealt(self.k), "group long, bucket int, side int, v long, tokens binary")
-                 .repartition("bucket").sortWithinPartitions("bucket").select("bucket", "v", "tokens"))
-        return (dealt.mapInArrow(_shared, "bucket int, v long, shared long")
-                .groupBy("bucket", "v").agg(F.max("shared").alias("shared"))
-                .groupBy("v").agg(F.sum("shared").alias("shared")))
+                .select("v", "text"))
+        dealt = (rows.mapInArrow(_scattered(self.k, buckets), "bucket int, v binary, lengths binary, tokens binary")
+                 .repartition("bucket").sortWithinPartitions("bucket"))
+        return dealt.mapInArrow(_shared, "v long, shared long").groupBy("v").agg(F.sum("shared").alias("shared"))
 
     def linked(self, texts: DataFrame, pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` of class keys whose sets reach the threshold.
