@@ -148,7 +148,7 @@ def _archive_split(raw: DataFrame, json_col: str, default_tags: dict[str, object
     fields, errors = [], []
     for name, typ, default in ARCHIVE_FIELDS:
         present = F.map_contains_key(m, name)
-        v = m[name].try_cast("double")
+        v = F.coalesce(pk[name].cast("double"), m[name].try_cast("double"))
         if typ == "int":
             finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(INT32_MAX))
             val = F.when(finite, v.cast("int"))

@@ -27,7 +27,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_an_oracle_or_is_listed():
     without = set(queries()) - set(oracle_sql())
-    assert without == {"lap_json"}, without
+    assert not without, without
 
 
 def test_entry_runs(spark):
