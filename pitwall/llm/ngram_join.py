@@ -228,9 +228,9 @@ def _scattered(k: int, buckets: int):
     return run
 
 
-def _shared(batches):
+def _shared(parts_of_sets: int):
     """Rows sorted by bucket: for each set, how many of its tokens in the bucket another set
-    holds too."""
+    holds too, packed in a row for each part of the sets."""
     def counted(parts: list[tuple]) -> pa.RecordBatch:
         v, lengths, tokens = (np.concatenate([np.frombuffer(p[i], t) for p in parts])
                               for i, t in enumerate((np.int64, np.int32, np.uint32)))
@@ -241,19 +241,48 @@ def _shared(batches):
         if len(twice):
             at = np.minimum(np.searchsorted(twice, tokens), len(twice) - 1)
             np.cumsum(twice[at] == tokens, out=more[1:])
+        found = np.diff(np.r_[0, more[ends]]).astype(np.int32)
+        part = (v.view(np.uint64) % np.uint64(parts_of_sets)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        cut = np.searchsorted(part[order], np.arange(parts_of_sets + 1))
+        v, found, own = v[order], found[order], np.flatnonzero(np.diff(cut)).tolist()
         return pa.RecordBatch.from_arrays(
-            [pa.array(v), pa.array(np.diff(np.r_[0, more[ends]]).astype(np.int64))], names=["v", "shared"])
+            [pa.array(own, pa.int32()), *(pa.array([x[cut[i]:cut[i + 1]].tobytes() for i in own], pa.binary()) for x in (v, found))],
+            names=["part", "v", "shared"])
 
-    at, parts = None, []
+    def run(batches):
+        at, parts = None, []
+        for batch in batches:
+            for b, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "v", "lengths", "tokens"))):
+                if b != at:
+                    if parts:
+                        yield counted(parts)
+                    at, parts = b, []
+                parts.append(row)
+        if parts:
+            yield counted(parts)
+
+    return run
+
+
+def _summed(batches):
+    """Rows sorted by part: the packed counts of each set, added up."""
+    def added(held: list[tuple]) -> pa.RecordBatch:
+        v, found = (np.concatenate([np.frombuffer(h[i], t) for h in held]) for i, t in enumerate((np.int64, np.int32)))
+        v, inverse = np.unique(v, return_inverse=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(v), pa.array(np.bincount(inverse, found).astype(np.int64))], names=["v", "shared"])
+
+    at, held = None, []
     for batch in batches:
-        for b, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "v", "lengths", "tokens"))):
-            if b != at:
-                if parts:
-                    yield counted(parts)
-                at, parts = b, []
-            parts.append(row)
-    if parts:
-        yield counted(parts)
+        for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "v", "shared"))):
+            if part != at:
+                if held:
+                    yield added(held)
+                at, held = part, []
+            held.append(row)
+    if held:
+        yield added(held)
 
 
 def _maybe_in(bits):
@@ -312,12 +341,16 @@ class _Join:
         """
         want = save(self.classes.join(keys.select("v").distinct(), "v").select(
             "v", "n", F.col("id").alias("want_id"), F.col("th").alias("want_th")), "wanted")
-        buckets = 1 + (want.agg(F.sum("n")).first()[0] or 0) // BUCKET_TOKENS
+        tokens, sets = want.agg(F.sum("n"), F.count("*")).first()
+        buckets = 1 + (tokens or 0) // BUCKET_TOKENS
+        parts = 1 + min(tokens or 0, sets * buckets) // UNION_TOKENS
         rows = (self.docs.join(small(want), (F.col("th") == F.col("want_th")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
                 .select("v", "text"))
         dealt = (rows.mapInArrow(_scattered(self.k, buckets), "bucket int, v binary, lengths binary, tokens binary")
                  .repartition("bucket").sortWithinPartitions("bucket"))
-        return dealt.mapInArrow(_shared, "v long, shared long").groupBy("v").agg(F.sum("shared").alias("shared"))
+        counted = (dealt.mapInArrow(_shared(parts), "part int, v binary, shared binary")
+                   .repartition("part").sortWithinPartitions("part"))
+        return counted.mapInArrow(_summed, "v long, shared long")
 
     def linked(self, texts: DataFrame, pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` of class keys whose sets reach the threshold.
