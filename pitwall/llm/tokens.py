@@ -21,7 +21,7 @@ import public_tokenizers
 from pitwall.llm.common import worker_cache
 
 #: Beyond this number a worker forgets the pieces that it has met only once of late.
-CACHED_PIECES = 300_000
+CACHED_PIECES = 400_000
 _CUT = re.compile(r" (?=\S)")
 _SPACE = re.compile(r"\s")
 
@@ -51,13 +51,16 @@ def vocabulary_size(spec: str) -> int:
 
 
 class _Codes(dict):
-    """Numbers its keys in the order in which they are added."""
+    """Numbers its keys as they are first asked for and notes the new ones."""
 
-    def add(self, keys) -> list[str]:
-        """Number the keys that it lacks and give them."""
-        new = list(set(keys).difference(self))
-        self.update(zip(new, range(len(self), len(self) + len(new))))
-        return new
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key):
+        code = self[key] = len(self)
+        self.new.append(key)
+        return code
 
 
 class _Store:
@@ -108,7 +111,7 @@ class Encoder:
                           and made["model"].get("type") == "BPE" and len(feed) == 1)
         if self.by_pieces:
             self.feed = int(feed[0])
-            self.stops = {c: int(i[0]) for c, i in ((c, self._plain([c])[0]) for c in ".,;:!?") if len(i) == 1}
+            self.stops = {c: i for c, i in ((c, self._plain([c])[0]) for c in ".,;:!?") if len(i) == 1}
         self._forget()
 
     def _forget(self) -> None:
@@ -137,10 +140,11 @@ class Encoder:
         return [np.array(e.ids, dtype=np.uint32)
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_cores(self, new: list[str]) -> None:
+    def _learn_cores(self) -> None:
         """Ids of new cores: ``foo`` stands for `` foo``, ``\\nFoo`` for itself.  A space and
         letters are one word to the library's model; cores of other kinds without further white
         space go through the whole tokenizer in one text, a line feed apart."""
+        new, self.cores.new = self.cores.new, []
         out: list = [None] * len(new)
         spaced, lined, odd = [], [], []
         model = self.library.model.tokenize
@@ -167,20 +171,27 @@ class Encoder:
         if out:
             self.core_ids.extend(np.fromiter(chain.from_iterable(out), np.uint32), np.array([len(x) for x in out], dtype=np.int64))
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self) -> None:
         """Ids of new pieces: a core and perhaps one stop; ``odd`` marks those that show white
         space which the fast cut does not treat."""
+        new, self.codes.new = self.codes.new, []
+        if not new:
+            return
         first = self.pieces.count
         self._grow(first + len(new))
-        heads = [u[1:2] if u[:1] == "\n" else u[:1] for u in new]
-        odd = [not h or h.isspace() for h in heads]
-        self.odd[first:first + len(new)] = odd
-        stops = self.stops
-        cut = [u[-1:] in stops and u[-2:-1].isalnum() for u in new]
-        cores = ["x" if o else u[:-1] if c else u for u, c, o in zip(new, cut, odd)]
-        self._learn_cores(self.cores.add(cores))
-        core = np.fromiter(map(self.cores.__getitem__, cores), np.int64, len(cores))
-        stop = np.array([stops[u[-1]] if c and not o else -1 for u, c, o in zip(new, cut, odd)], np.int64)
+        core, stop = np.zeros(len(new), np.int64), np.full(len(new), -1, np.int64)
+        for i, u in enumerate(new):
+            head = u[1:2] if u[:1] == "\n" else u[:1]
+            if not head or head.isspace():
+                self.odd[first + i] = True
+                core[i] = self.cores["x"]
+                continue
+            end = self.stops.get(u[-1])
+            if end is not None and len(u) > 1 and u[-2].isalnum():
+                core[i], stop[i] = self.cores[u[:-1]], end[0]
+            else:
+                core[i] = self.cores[u]
+        self._learn_cores()
         flat, lengths = self.core_ids.gather(core)
         with_stop = lengths + (stop >= 0)
         out = np.zeros(int(with_stop.sum()), np.uint32)
@@ -193,27 +204,22 @@ class Encoder:
 
     def _raw(self, text: str) -> np.ndarray:
         cut = _CUT.split(text)
-        cut = [cut[0], *(" " + p for p in cut[1:])]
-        new = self.raw.add(cut)
+        codes = [self.raw[cut[0]], *[self.raw[" " + p] for p in cut[1:]]]
+        new, self.raw.new = self.raw.new, []
         if new:
             ids = self._plain(new)
             self.raw_ids.extend(np.concatenate(ids), np.array([len(x) for x in ids], dtype=np.int64))
-        return self.raw_ids.gather(np.fromiter(map(self.raw.__getitem__, cut), np.int64, len(cut)))[0]
+        return self.raw_ids.gather(np.array(codes))[0]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_pieces:
             return self._plain(texts)
         if len(self.codes) + len(self.raw) > CACHED_PIECES:
             self._forget()
-        if len(self.cores) > CACHED_PIECES // 4:
-            self.cores, self.core_ids = _Codes(), _Store()
         cut = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts]
         counts = np.array([len(p) for p in cut], dtype=np.int64)
-        pieces = list(chain.from_iterable(cut))
-        new = self.codes.add(pieces)
-        if new:
-            self._learn(new)
-        codes = np.fromiter(map(self.codes.__getitem__, pieces), np.int64, len(pieces))
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        self._learn()
         self.met[:len(self.codes)] += np.bincount(codes, minlength=len(self.codes)).astype(np.int32)
         flat, lengths = self.pieces.gather(codes)
         bounds = np.r_[0, np.cumsum(counts)]
