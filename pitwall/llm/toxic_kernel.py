@@ -175,8 +175,6 @@ class Reader:
 
     def _codes(self, hashes: np.ndarray, unit) -> np.ndarray:
         """A unit's row in ``rows``, -1 without a kernel; ``unit(i)`` gives the bytes of one."""
-        if len(self.seen) > _CACHE:
-            self._forget()
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.seen, distinct)
         new = np.ones(len(distinct), bool)
@@ -200,6 +198,8 @@ class Reader:
             words, at = word_hashes(off, data)
             if not len(words):
                 continue
+            if len(self.seen) > _CACHE:  # only here: all codes of a slice are rows of the same array
+                self._forget()
             gap = np.zeros(256, bool)
             gap[[0x20, *range(0x09, 0x0E)]] = True
             inside = np.r_[False, ~gap[data], False]

@@ -114,6 +114,19 @@ def test_gaps_and_inserted_letters_are_tolerated():
     assert k[5, 0] < 0.6 and not k[6].any()
 
 
+def test_the_bound_of_known_units_changes_no_kernel(monkeypatch):
+    rng = random.Random(4)
+    texts = pa.array([f"{' '.join(words(rng, 30))}. moron so. m o r o n at {w}. pathetic s c u m"
+                      for w in words(rng, 20)])
+
+    def read(bound):
+        monkeypatch.setattr(X, "_CACHE", bound)
+        reader = X.Reader(X.Landmarks([b"\x02moron", b"\x02pathetic", b"\x02scum"]))
+        return [(row, s, k.tolist()) for _ in range(3) for row, s, k in reader.sentences(texts)]
+
+    assert read(5) == read(1_000_000)
+
+
 def toxic_corpus(spark, rng):
     bad = ["moron", "pathetic", "scum", "clown"]
     rows, labels = [*ODD], []
