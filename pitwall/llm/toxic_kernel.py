@@ -4,8 +4,9 @@ The kernel of two strings sums, over all pairs of equal subsequences of three le
 weight for each: 0.5 for every letter that the subsequence jumps over, 0.95 for any other
 character, so that ``m.o.r.o.n`` and ``moxron`` stay close to ``moron``; it is normalised to 1 for
 equal strings.  A sentence's kernel with a string is the greatest one of its units: its words,
-and runs of four or more single characters apart (``m o r o n``), lower-cased and each with a mark
-at its beginning that counts as a letter.
+runs of four or more single characters apart (``m o r o n``), and neighbouring words of a sentence
+that have together at most two bytes more than the longest landmark (``mo ron``), lower-cased and
+each with a mark at its beginning that counts as a letter.
 
 Landmarks are strings of 4 to 8 characters that begin or lie in far more words of toxic than of
 other training documents (a likelihood ratio test), each for words that those chosen
@@ -19,7 +20,9 @@ logistic regression on the training documents.
 A unit whose longest common subsequence with a landmark is below three quarters of the
 landmark has kernel 0 with it, and so have kernels below 0.25: this is part of the
 definition and lets almost all words pass at the price of a few bit operations.  Units over
-64 bytes are read as overlapping windows of 64.
+64 bytes are read as overlapping windows of 64.  As a unit's own kernel grows with its length,
+units and windows are also read through windows of twice as many letters as the landmark has,
+half a landmark apart, and the greatest kernel counts: what stands around an insult does not hide it.
 
 Landmarks and machine are fitted on at most ``SAMPLE`` documents of each label, chosen by a
 hash of their ids; the 20 likeliest sentences of each are used.  Every text is scored whole.
@@ -39,7 +42,7 @@ from pyspark.sql import functions as F
 
 from pitwall.llm.common import save, ship, small, table
 from pitwall.llm.quality_rank import crc_fold, sample_of
-from pitwall.llm.shingles import text_slices, word_hashes
+from pitwall.llm.shingles import mix64, text_slices, word_hashes
 
 SAMPLE = 1500
 LANDMARKS = 48
@@ -55,6 +58,9 @@ LETTER_GAP, OTHER_GAP = 0.5, 0.95
 WINDOW = 64
 LENGTHS = range(4, 9)
 _CACHE = 1_000_000
+#: Products of lengths whose kernels are held at a time.
+_CELLS = 4_000_000
+_JOIN = np.uint64(0x9FB21C651E98DF25)
 
 
 def _letters() -> np.ndarray:
@@ -104,6 +110,22 @@ def own_kernel(s: np.ndarray) -> np.ndarray:
     return subsequence_kernel(s, s)
 
 
+def _letter_windows(s: np.ndarray, width: int, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, bytes)`` of windows of so many letters of the rows of ``s`` that have more; the
+    last one of a row ends with its last letter."""
+    owner, at = np.nonzero(_letters()[s])
+    n = np.bincount(owner, minlength=len(s))
+    count = np.where(n > width, -(-(n - width) // step) + 1, 0)
+    row = np.repeat(np.arange(len(s)), count)
+    k = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    first = (np.cumsum(n) - n)[row] + np.minimum(k * step, n[row] - width)
+    if not len(row):
+        return row, np.zeros((0, 1), np.uint8)
+    start, end = at[first], at[first + width - 1] + 1
+    place = start[:, None] + np.arange((end - start).max())
+    return row, np.where(place < end[:, None], s[row[:, None], np.minimum(place, s.shape[1] - 1)], 0).astype(np.uint8)
+
+
 class Landmarks:
     """Kernels of units with the landmarks, hot units only."""
 
@@ -118,6 +140,8 @@ class Landmarks:
                 self.masks[c, j] |= 1 << i
         letter = _letters()
         self.masks[~letter] = 0
+        #: Most bytes of neighbouring words that are read as one unit, without the mark.
+        self.joined = int(self.lengths.max(initial=0)) + 2
 
     def gram(self) -> np.ndarray:
         m = len(self.strings)
@@ -131,22 +155,47 @@ class Landmarks:
         s, lengths = _padded(units)
         for a in range(0, len(units), 20_000):
             part = s[a:a + 20_000, :int(lengths[a:a + 20_000].max(initial=1))]
-            full = ((1 << self.lengths) - 1).astype(np.uint16)[None, :]
-            left = np.broadcast_to(full, (len(part), len(full[0]))).copy()
-            for i in range(part.shape[1]):
-                u = left & self.masks[part[:, i]]
-                left = ((left + u) | (left - u)) & full
-            common = self.lengths[None, :] - np.bitwise_count(left)
-            row, z = np.nonzero(common >= self.need[None, :])
+            row, z = np.nonzero(self.common(part) >= self.need[None, :])
             if not len(row):
                 continue
-            hot, at = np.unique(row, return_inverse=True)
-            own = own_kernel(part[hot])
-            k = subsequence_kernel(part[row], self.bytes[z]) / np.sqrt(np.maximum(own[at], 1e-12) * self.own[z])
-            k[k < FLOOR] = 0
-            out[a + row, z] = k
+            out[a + row, z] = self._pairs(part, row, z)
+            for n in np.unique(self.lengths[z]).tolist():
+                of = self.lengths[z] == n
+                held, at = np.unique(row[of], return_inverse=True)
+                owner, pieces = _letter_windows(part[held], 2 * n, n // 2)
+                if not len(owner):
+                    continue
+                asked = np.zeros((len(held), len(self.strings)), bool)
+                asked[at, z[of]] = True
+                for b in range(0, len(owner), 20_000):
+                    unit, piece = owner[b:b + 20_000], pieces[b:b + 20_000]
+                    i, j = np.nonzero(asked[unit] & (self.common(piece) >= self.need[None, :]))
+                    np.maximum.at(out, (a + held[unit[i]], j), self._pairs(piece, i, j))
         return out
 
+    def common(self, s: np.ndarray) -> np.ndarray:
+        """Length of the longest common subsequence of each row of bytes with each landmark."""
+        full = ((1 << self.lengths) - 1).astype(np.uint16)[None, :]
+        left = np.broadcast_to(full, (len(s), len(full[0]))).copy()
+        for i in range(s.shape[1]):
+            u = left & self.masks[s[:, i]]
+            left = ((left + u) | (left - u)) & full
+        return self.lengths[None, :] - np.bitwise_count(left)
+
+    def _pairs(self, s: np.ndarray, row: np.ndarray, z: np.ndarray) -> np.ndarray:
+        """Kernels of rows of ``s`` with landmarks, pair by pair, in parts of bounded memory."""
+        hot, at = np.unique(row, return_inverse=True)
+        own, k = np.zeros(len(hot)), np.zeros(len(row))
+        step = max(1, _CELLS // s.shape[1] ** 2)
+        for a in range(0, len(hot), step):
+            own[a:a + step] = own_kernel(s[hot[a:a + step]])
+        step = max(1, _CELLS // (s.shape[1] * self.bytes.shape[1]))
+        for a in range(0, len(row), step):
+            k[a:a + step] = subsequence_kernel(s[row[a:a + step]], self.bytes[z[a:a + step]])
+        k /= np.sqrt(np.maximum(own[at], 1e-12) * self.own[z])
+        k[k < FLOOR] = 0
+        return k
+
     def kernels(self, units: list[bytes]) -> np.ndarray:
         """A row of kernels for each unit, in groups of similar length."""
         pieces, owner = [], []
@@ -191,6 +240,47 @@ class Reader:
             self.seen, self.code = seen[order], codes[order]
         return self.code[np.searchsorted(self.seen, distinct)][inverse]
 
+    def _joins(self, words, starts, ends, row, sentence, data):
+        """``(first word, code)`` of neighbouring words that may be pieces of one; the sum of
+        their words' common subsequences with a landmark bounds that of the join."""
+        mark, most = MARK.encode(), self.landmarks.joined
+        marked = self.landmarks.bytes[:, 0] == ord(MARK)
+        before = np.r_[0, np.cumsum(ends - starts)]
+
+        def joins(n):
+            i = np.arange(max(0, len(words) - n + 1))
+            j = i + n - 1
+            return i[(before[j + 1] - before[i] <= most) & (row[i] == row[j]) & (sentence[i] == sentence[j])]
+
+        pairs = joins(2)  # every longer join begins with one
+        if not len(pairs):
+            return
+        used = np.unique(np.r_[pairs, pairs + 1])
+        _, first, inverse = np.unique(words[used], return_index=True, return_inverse=True)
+        short = [mark + data[starts[i]:ends[i]].tobytes() for i in used[first].tolist()]
+        # of a word within a join the mark does not count
+        common = np.concatenate([self.landmarks.common(_padded(short[a:a + 20_000])[0])
+                                 for a in range(0, len(short), 20_000)]) - marked
+        common = common.astype(np.int8)
+        place = np.zeros(len(words), np.int64)
+        place[used] = inverse
+        need = (self.landmarks.need - marked).astype(np.int8)
+        for n in range(2, most + 1):
+            heads = joins(n)
+            if not len(heads):
+                return
+            near = np.concatenate([(sum(common[place[part + k]] for k in range(n)) >= need).any(axis=1)
+                                   for part in (heads[a:a + 100_000] for a in range(0, len(heads), 100_000))])
+            heads = heads[near]
+            if not len(heads):
+                continue
+            keys = np.zeros(len(heads), np.uint64)
+            for k in range(n):
+                keys = mix64(keys * _JOIN + words[heads + k])
+            codes = self._codes(keys, lambda i: mark + b" ".join(  # noqa: B023 - used at once
+                data[starts[w]:ends[w]].tobytes() for w in range(heads[i], heads[i] + n)))  # noqa: B023
+            yield heads[codes >= 0], codes[codes >= 0]
+
     def sentences(self, column):
         """``(row, sentence, kernels)`` of each sentence that has any."""
         mark = MARK.encode()
@@ -229,6 +319,8 @@ class Reader:
                     kept = codes >= 0
                     heads = np.array([r[0] for r in runs])[kept]
                     found.append((row[heads], sentence[heads], codes[kept]))
+            for heads, codes in self._joins(words, starts, ends, row, sentence, data):
+                found.append((row[heads], sentence[heads], codes))
             r, s, c = (np.concatenate(x) for x in zip(*found))
             if not len(r):
                 continue

@@ -127,6 +127,23 @@ def test_the_bound_of_known_units_changes_no_kernel(monkeypatch):
     assert read(5) == read(1_000_000)
 
 
+@pytest.mark.parametrize("mark", [b"", b"\x02"])
+@pytest.mark.parametrize("word", ["idiot", "clown", "loser", "scum", "moron", "pathetic"])
+def test_an_insult_within_long_units_and_in_pieces(word, mark):
+    reader = X.Reader(X.Landmarks([mark + word.encode()]))
+    spaced = " ".join("youshouldknowthatthisis" + word + "behaviourfromthebeginning")
+    glued = "wxyzbkqvhfjdgup" + word + "gjvkqzwhyxbfdup"
+    cut = [f"{word[:i]} {word[i:]}" for i in range(2, len(word) - 1)]
+    texts = [spaced, glued, "a" * 200 + glued + "b" * 200, *(f"what {c} said so. well" for c in cut)]
+    best = np.zeros(len(texts))
+    for row, _, k in reader.sentences(pa.array(texts)):
+        best[row] = max(best[row], k[0])
+    assert (best[:3] > 0.3).all() and (best[3:] > 0.8 if mark else best[3:] > 0.6).all()
+    # words of two sentences or of two texts are no pieces of one
+    apart = pa.array([f"so {word[:2]}. {word[2:]} it", f"so {word[:2]}", f"{word[2:]} it"])
+    assert all(k[0] < 0.8 for _, _, k in X.Reader(X.Landmarks([b"\x02" + word.encode()])).sentences(apart))
+
+
 def toxic_corpus(spark, rng):
     bad = ["moron", "pathetic", "scum", "clown"]
     rows, labels = [*ODD], []
