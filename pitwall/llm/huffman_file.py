@@ -136,12 +136,12 @@ def decode_tables(ids: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.nda
     return symbol, size, limit
 
 
-def _tokenize(spec, end_id: int, width: str):
+def _tokenize(spec, end_id: int, width: str, special: bool):
     def run(batches):
         z = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             n, crc, packed = [], [], []
-            for _, ids in encoded(batch.column("text"), spec.value):
+            for _, ids in encoded(batch.column("text"), spec.value, special=special):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 n.append(len(ids))
                 crc.append(zlib.crc32(ids))
@@ -200,8 +200,10 @@ def _encode(code, width: str):
     return run
 
 
-def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0) -> None:
+def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0,
+                 special: bool = False) -> None:
     """Encode every text of ``documents(doc_id, text)``, append ``end_id`` and write the files.
+    With ``special``, literals of special tokens in a text get those tokens' ids.
 
     Texts are tokenized once, into a table in the shared folder that holds each document's
     ids; counts come from that table, and its rows are range-partitioned and sorted by id.
@@ -213,7 +215,7 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None,
     width = "<u2" if max(vocabulary_size(text), end_id + 1) <= 1 << 16 else "<u4"
     spec = spark.sparkContext.broadcast(text)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    tokens = save(docs.mapInArrow(_tokenize(spec, end_id, width), "doc_id long, n int, crc long, packed binary"), "ids")
+    tokens = save(docs.mapInArrow(_tokenize(spec, end_id, width, special), "doc_id long, n int, crc long, packed binary"), "ids")
     counts = (tokens.select("packed").mapInArrow(_count(width), "id long, n long")
               .groupBy("id").agg(F.sum("n").alias("n")).toArrow())
     ids, n = counts.column("id").to_numpy(), counts.column("n").to_numpy()
@@ -267,9 +269,10 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 
 
 def token_files(documents: DataFrame, tokenizer: str | None = None, end_id: int = 0) -> DataFrame:
-    """Write the documents' token files to the shared folder and read them back."""
+    """Write the documents' token files to the shared folder and read them back; special tokens
+    in texts are read as the tokenizers library does by default."""
     path = scratch_path(documents.sparkSession, "token-files")
-    write_tokens(documents, path, tokenizer, end_id)
+    write_tokens(documents, path, tokenizer, end_id, special=True)
     return read_tokens(documents.sparkSession, path)
 
 

@@ -6,6 +6,10 @@ characters.  So a text's ids are those of its pieces between these places, and e
 different piece goes through the tokenizers library once per worker.  Texts with other
 white space patterns (double spaces, tabs, blank lines) are cut by a regular expression
 instead, at the same kind of places; a tokenizer of another kind gets whole texts.
+
+A text may hold the literal of a special token (``<|endoftext|>``).  With ``special`` it gets
+that token's id, as by the library's default, and such texts go to the library whole;
+without, it is read as plain text.
 """
 
 from __future__ import annotations
@@ -97,13 +101,15 @@ class _Store:
 class Encoder:
     """``encode(texts)`` gives the ids of each text as the tokenizers library does."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(spec)
         self.library.encode_special_tokens = True
         made = json.loads(spec)
+        self.default = Tokenizer.from_str(spec) if special else None
+        self.literals = [t["content"] for t in made.get("added_tokens") or [] if t.get("special")]
         split = made.get("pre_tokenizer") or {}
         feed = self._plain(["\n"])[0]
         self.by_pieces = (split.get("type") == "ByteLevel" and split.get("use_regex", True)
@@ -212,6 +218,17 @@ class Encoder:
         return self.raw_ids.gather(np.array(codes))[0]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.default is None:
+            return self._encode(texts)
+        whole = [i for i, t in enumerate(texts) if not self.by_pieces or any(x in t for x in self.literals)]
+        if not whole:
+            return self._encode(texts)
+        held = set(whole)
+        rest = iter(self._encode([t for i, t in enumerate(texts) if i not in held]))
+        found = iter(self.default.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False))
+        return [np.array(next(found).ids, dtype=np.uint32) if i in held else next(rest) for i in range(len(texts))]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_pieces:
             return self._plain(texts)
         if len(self.codes) + len(self.raw) > CACHED_PIECES:
@@ -230,17 +247,17 @@ class Encoder:
                 for i, t in enumerate(texts)]
 
 
-def encoder(spec: str) -> Encoder:
+def encoder(spec: str, special: bool = False) -> Encoder:
     """This worker's encoder for a tokenizer."""
     held = worker_cache("encoders")
-    if spec not in held:
-        held[spec] = Encoder(spec)
-    return held[spec]
+    if (spec, special) not in held:
+        held[spec, special] = Encoder(spec, special)
+    return held[spec, special]
 
 
-def encoded(column, spec: str, chars: int = 1_000_000):
+def encoded(column, spec: str, chars: int = 1_000_000, special: bool = False):
     """``(row, ids)`` of an Arrow text column, in runs of about a million characters."""
-    enc = encoder(spec)
+    enc = encoder(spec, special)
     texts, first, size = [], 0, 0
     for row, t in enumerate(column):
         texts.append(t.as_py() or "")

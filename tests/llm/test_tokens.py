@@ -97,6 +97,18 @@ def test_files_hold_every_document(spark, monkeypatch):
     assert [r.start for r in got] == starts[:-1].tolist()
 
 
+def test_special_tokens_in_texts_as_by_the_library_s_default(spark):
+    default = Tokenizer.from_str(T.tokenizer_json())
+    rows = [*sample(), (400, "<|endoftext|>"), (401, "a<|endoftext|>\n<|endoftext|>. b  <|endoftext|>c"), (402, "plain words.")]
+    enc = T.Encoder(T.tokenizer_json(), special=True)
+    texts = [t or "" for _, t in rows]
+    want = [default.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [i.tolist() for i in enc.encode(texts)] == want and 50256 in want[-2]
+    got = H.token_files(docs_of(spark, rows)).where("doc_id >= 300 and doc_id < 9000").orderBy("doc_id").collect()
+    ids = [np.array([*w, 0], dtype="<u4") for (d, _), w in zip(rows, want) if d is not None and 300 <= d < 9000]
+    assert [(r.n_tokens, r.ids_crc32) for r in got] == [(len(i), zlib.crc32(i.tobytes())) for i in ids]
+
+
 def test_no_documents_no_rows(spark):
     empty = docs_of(spark, [(1, "x")]).where("false")
     assert H.token_files(empty).count() == 0
