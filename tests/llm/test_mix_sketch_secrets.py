@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from pitwall.llm import pareto_mix as M
 from pitwall.llm import scaled_sketch as K
@@ -176,6 +177,33 @@ def test_spans_as_by_brute_force(spark):
     assert sum(r.n_assign for r in got) > 1500
 
 
+def test_findings_are_those_of_the_rules_asked_for(spark):
+    docs = docs_of(spark, list(enumerate(TEXTS)) + [(90, f"key {'0a' * 13} and {'1b' * 20}, password = hunter2hunter2")])
+    path = L.scratch_path(spark, "test-rules")
+    newer = L.BASE[:2] + (L.BASE[2]._replace(version=2, least=32),)
+
+    def rows(ledger, rules):
+        return sorted(tuple(r) for r in L.secret_spans(docs, ledger, rules).collect())
+
+    for rules in (L.BASE, newer, L.BASE, newer[::-1], L.BASE[1:], L.RULES[::-1], L.RULES):
+        assert rows(path, rules) == rows(None, rules)
+    spans = {r.doc_id: r.spans for r in L.secret_spans(docs, path, newer).collect()}
+    assert spans[90] == "hex:35:75,assign:77:102"
+    got = L.secret_spans(docs, path, L.RULES[::-1]).where("doc_id = 90").first()
+    assert (got.n_assign, got.n_access, got.n_hex) == (1, 0, 2)
+
+
+def test_ledger_entries_without_rule_names_are_scanned_again(spark):
+    docs = docs_of(spark, list(enumerate(TEXTS)))
+    path = L.scratch_path(spark, "test-old-ledger")
+    L.scan(docs, path, L.BASE).count()
+    old = f"{path}-old"
+    (L._read(spark, path).withColumn("findings", F.expr("transform(findings, f -> struct(f.start, 0 AS rank, f.end))"))
+     .write.parquet(old))
+    assert (sorted(tuple(r) for r in L.secret_spans(docs, old, L.BASE).collect())
+            == sorted(tuple(r) for r in L.secret_spans(docs, None, L.BASE).collect()))
+
+
 def test_ledger_scans_only_what_it_lacks(spark):
     path = L.scratch_path(spark, "test-ledger")
     rows = list(enumerate(TEXTS))
