@@ -12,6 +12,7 @@ from pitwall.llm.secret_ledger import OP8_SQL, op8_secret_ledger
 from pitwall.llm.separator_scan import op5_token_counts
 from pitwall.llm.toxic_kernel import op2_toxic_kernel
 from pitwall.llm.warc_audit import op9_warc_audit
+from pitwall.llm.whitening import op13_whitening
 
 QUERIES = {
     "op1_quality_rank": op1_quality_rank,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_secret_ledger": op8_secret_ledger,
     "op9_warc_audit": op9_warc_audit,
     "op10_ngram_join": op10_ngram_join,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL = {
