@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pitwall.llm.bm25_leaks import op4_bm25_leaks
+from pitwall.llm.dense_search import OP11_SQL, op11_dense_search
 from pitwall.llm.huffman_file import op6_token_files
 from pitwall.llm.ngram_join import OP10_SQL, op10_ngram_join
 from pitwall.llm.pareto_mix import OP7_SQL, op7_pareto_mix
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_secret_ledger": op8_secret_ledger,
     "op9_warc_audit": op9_warc_audit,
     "op10_ngram_join": op10_ngram_join,
+    "op11_dense_search": op11_dense_search,
     "op13_whitening": op13_whitening,
 }
 
@@ -32,4 +34,5 @@ ORACLE_SQL = {
     "op7_pareto_mix": OP7_SQL,
     "op8_secret_ledger": OP8_SQL,
     "op10_ngram_join": OP10_SQL,
+    "op11_dense_search": OP11_SQL,
 }
