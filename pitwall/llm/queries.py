@@ -7,6 +7,7 @@ from pitwall.llm.dense_search import OP11_SQL, op11_dense_search
 from pitwall.llm.huffman_file import op6_token_files
 from pitwall.llm.ngram_join import OP10_SQL, op10_ngram_join
 from pitwall.llm.pareto_mix import OP7_SQL, op7_pareto_mix
+from pitwall.llm.private_spans import op12_private_spans
 from pitwall.llm.quality_rank import op1_quality_rank
 from pitwall.llm.scaled_sketch import op3_scaled_sketch
 from pitwall.llm.secret_ledger import OP8_SQL, op8_secret_ledger
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_warc_audit": op9_warc_audit,
     "op10_ngram_join": op10_ngram_join,
     "op11_dense_search": op11_dense_search,
+    "op12_private_spans": op12_private_spans,
     "op13_whitening": op13_whitening,
 }
 
