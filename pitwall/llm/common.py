@@ -14,13 +14,21 @@ from pitwall.session import scratch_path
 #: A side is broadcast only after a count shows at most this many (narrow) rows.
 BROADCAST_ROWS = 1_000_000
 
+#: Rows of an Arrow batch that goes to Python (a smaller setting of the session stays).
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ship() -> None:
-    """Pickle the functions of this subpackage by value, so executors need no copy of it."""
+    """Pickle the functions of this subpackage by value, so executors need no copy of it, and
+    bound the rows of an Arrow batch: whole texts are in it, in the JVM and again in Python."""
+    session = SparkSession.getActiveSession()
+    if session is not None and int(session.conf.get(_BATCH)) > BATCH_ROWS:
+        session.conf.set(_BATCH, BATCH_ROWS)
     for name, module in list(sys.modules.items()):
         if name.startswith("pitwall.llm.") and module is not None:
             cloudpickle.register_pickle_by_value(module)
