@@ -161,3 +161,97 @@ def _combine(s: Scan, carry: Column, local: Column, rn: Column) -> Column:
     if s.kind == "last":
         return F.coalesce(local, carry)
     return F.when(rn == 1, carry).otherwise(local)  # lag
+
+
+# ------------------------------------------------------------- segmented sums in one pass
+
+
+@dataclass(frozen=True)
+class Segment:
+    """One output column: running sum of ``value`` in scan order that starts anew at rows where
+    ``reset`` holds (such a row's value is the first of its segment; no ``reset``: one segment).
+
+    Both may use the columns named in ``lags`` of ``segmented_scan``.  Null values add nothing
+    and a null ``reset`` is no reset.
+    """
+
+    name: str
+    value: Column
+    reset: Column | None = None
+
+
+def segmented_scan(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    lags: dict[str, Column],
+    segments: list[Segment],
+    chunk_by: str,
+    chunk_width: int = SCAN_CHUNK,
+) -> DataFrame:
+    """Add the previous row's values (``lags``) and segmented running sums that may depend on them.
+
+    ``(sum, reset)`` pairs combine associatively: ``(a, r) + (b, s) = (b if s else a + b, r or s)``.
+    So one pass over the chunks does all of it.  Within a chunk the first row's previous row is not
+    known, so that row is set aside; the carry table, one row a chunk, knows it from the chunk before,
+    evaluates the same expressions there, and scans the chunks' pairs.  The input is shuffled once, whatever the number
+    of columns and however they depend on each other's lags.
+
+    ``chunk_by`` as in ``ordered_scan``; rows with a null key or a null ``chunk_by`` are left out.
+    """
+    ck, rn = "_scan_chunk", "_scan_rn"
+    w = Window.partitionBy(*keys, ck).orderBy(*_cols(order))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = df.withColumn(ck, F.floor(F.col(chunk_by) / F.lit(chunk_width)).cast("long"))
+    for c in (*keys, ck):
+        out = out.filter(F.col(c).isNotNull())
+    inside = F.col(rn) > 1
+    out = out.withColumn(rn, F.row_number().over(w)).withColumns({n: F.lag(e, 1).over(w) for n, e in lags.items()})
+
+    def reset(s: Segment) -> Column:
+        return F.coalesce(s.reset, F.lit(False)) if s.reset is not None else F.lit(False)
+
+    def value(s: Segment) -> Column:
+        return F.coalesce(s.value, F.lit(0).cast("long"))
+
+    local = out.withColumns({f"_seg_{s.name}": F.sum(F.when(inside & reset(s), 1).otherwise(0)).over(run)
+                             for s in segments})
+    for s in segments:
+        # the same hash partitioning serves: segments lie within chunks
+        part = Window.partitionBy(*keys, ck, f"_seg_{s.name}").orderBy(*_cols(order))
+        part = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local = local.withColumn(f"_loc_{s.name}", F.sum(F.when(inside, value(s))).over(part))
+    # both branches read the same columns, so scan and shuffle of the input are shared
+    columns = [c for c in local.columns if c not in (*keys, ck)]
+    row = F.struct(*columns, *[e.alias(f"_raw_{n}") for n, e in lags.items()])
+    totals = local.groupBy(*keys, ck).agg(F.min_by(row, F.col(rn)).alias("_first"), F.max_by(row, F.col(rn)).alias("_last"))
+
+    wc = Window.partitionBy(*keys).orderBy(ck)
+    upto = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a chunk's first row as a row again, its previous row's values from the chunk before
+    carry = totals.select(
+        *keys, ck, "_last", *[F.col(f"_first.{c}").alias(c) for c in df.columns if c not in keys],
+        *[F.lag(F.col(f"_last._raw_{n}"), 1).over(wc).alias(n) for n in lags])
+    for s in segments:
+        first_v, first_r = value(s), reset(s)
+        rest_v, rest_r = F.coalesce(F.col(f"_last._loc_{s.name}"), F.lit(0)), F.col(f"_last._seg_{s.name}") > 0
+        carry = carry.withColumns({
+            f"_fv_{s.name}": first_v, f"_fr_{s.name}": first_r,
+            f"_tv_{s.name}": F.when(rest_r, rest_v).otherwise(first_v + rest_v),
+            f"_grp_{s.name}": F.sum(F.when(first_r | rest_r, 1).otherwise(0)).over(upto)})
+    for s in segments:
+        group = Window.partitionBy(*keys, f"_grp_{s.name}").orderBy(ck)
+        group = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        carry = carry.withColumn(f"_inc_{s.name}", F.sum(f"_tv_{s.name}").over(group))
+    carry = carry.select(
+        *keys, ck, *[F.col(n).alias(f"_lag_{n}") for n in lags],
+        *[F.when(F.col(f"_fr_{s.name}"), F.col(f"_fv_{s.name}"))
+          .otherwise(F.coalesce(F.lag(f"_inc_{s.name}", 1).over(wc), F.lit(0)) + F.col(f"_fv_{s.name}")).alias(f"_base_{s.name}")
+          for s in segments])
+    out = local.join(carry, [*keys, ck], "left")
+    out = out.withColumns({
+        **{n: F.when(inside, F.col(n)).otherwise(F.col(f"_lag_{n}")) for n in lags},
+        **{s.name: F.when(F.col(f"_seg_{s.name}") > 0, F.col(f"_loc_{s.name}"))
+           .otherwise(F.col(f"_base_{s.name}") + F.coalesce(F.col(f"_loc_{s.name}"), F.lit(0))) for s in segments}})
+    return out.drop(ck, rn, *[f"_lag_{n}" for n in lags],
+                    *[f"_{kind}_{s.name}" for s in segments for kind in ("seg", "loc", "base")])

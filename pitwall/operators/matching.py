@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.functions import channels as ch
-from pitwall.functions.ordered import SCAN_CHUNK, Scan, ordered_scan
+from pitwall.functions.ordered import SCAN_CHUNK, Scan, Segment, ordered_scan, segmented_scan
 from pitwall.operators.laps import lap_boundaries
 from pitwall.operators.track import speed_profile, track_geometry
 
@@ -160,22 +160,20 @@ def laps_from_position(matched: DataFrame, n_points: DataFrame, max_dt: float =
     """A lap ends when the track index wraps (drops by more than half the track).
 
     ``n_points`` is a per-track table ``track_id, n_points``.  ``pos_lap`` counts
-    wraps; ``pos_lap_time`` restarts at each wrap with that sample's ``dt``.
+    wraps; ``pos_lap_time`` restarts at each wrap with that sample's ``dt``.  Wrap, lap and lap
+    time come from one segmented scan.
     """
     d = matched.join(bounded(n_points), "track_id").withColumn("_us", F.unix_micros("event_time"))
-    lag_stage = [Scan("_prev_idx", "lag", F.col("idx")), Scan("_prev_us", "lag", F.col("_us"))]
     dt = F.when(F.col("_prev_us").isNull(), F.lit(0.0)).otherwise(
         F.least((F.col("_us") - F.col("_prev_us")) / F.lit(1e6), F.lit(max_dt))
     )
     wrap = F.coalesce(F.col("idx") < F.col("_prev_idx") - F.col("n_points") / 2, F.lit(False))
-    run_stage = [Scan("pos_lap", "sum", wrap.cast("long")), Scan("_cum", "sum", dt)]
-    base_stage = [Scan("_base", "last", F.when(wrap, F.col("_cum") - dt))]
-    out = ordered_scan(d, ["car_id"], ["seq"], [lag_stage, run_stage, base_stage], chunk_by="seq",
-                       chunk_width=chunk_width)
-    return out.select(
-        "car_id", "seq", "idx", "pos_lap",
-        F.round(F.col("_cum") - F.coalesce(F.col("_base"), F.lit(0.0)), ROUND).alias("pos_lap_time"),
-    )
+    out = segmented_scan(
+        d.select("car_id", "seq", "idx", "_us", "n_points"), ["car_id"], ["seq"],
+        {"_prev_idx": F.col("idx"), "_prev_us": F.col("_us")},
+        [Segment("pos_lap", wrap.cast("long")), Segment("_lap_time", dt, wrap)],
+        chunk_by="seq", chunk_width=chunk_width)
+    return out.select("car_id", "seq", "idx", "pos_lap", F.round("_lap_time", ROUND).alias("pos_lap_time"))
 
 
 def drs_channels(matched: DataFrame, geometry: DataFrame) -> DataFrame:

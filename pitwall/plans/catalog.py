@@ -910,6 +910,9 @@ def q_stream_window_sliding(spark, sf_dir):
     return spark.read.parquet(f"{out}/data")
 
 
+from pitwall.plans import stateful  # noqa: E402, F401 - registers its queries
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from pitwall.operators.clean import lap_json
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def kafka_lap_sink(laps: DataFrame, bootstrap: str, topic: str, checkpoint: str, trigger_s: int = 5):
     """K1: lap rows as JSON to the result topic (update mode), keyed ``car|lap``."""
@@ -69,8 +72,24 @@ def archive_writer(path: str):
 
 
 def run_available_now(stream: DataFrame, checkpoint: str, *, path: str | None = None, mode: str = "append",
-                      foreach_batch=None, fmt: str = "parquet", timeout_s: int = 900):
-    """Run a streaming query over everything available now and wait for it."""
+                      foreach_batch=None, fmt: str = "parquet", timeout_s: int = 900, rocksdb: bool = False):
+    """Run a streaming query over everything available now and wait for it.
+
+    ``rocksdb`` selects that state store for this query (``transformWithState`` needs it); the
+    session's own choice is put back once the query has taken it over.
+    """
+    conf, before = stream.sparkSession.conf, None
+    if rocksdb:
+        before = conf.get(STATE_STORE)
+        conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return _run(stream, checkpoint, path, mode, foreach_batch, fmt, timeout_s)
+    finally:
+        if rocksdb:
+            conf.set(STATE_STORE, before)
+
+
+def _run(stream, checkpoint, path, mode, foreach_batch, fmt, timeout_s):
     w = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True)
     if foreach_batch is not None:
         q = w.foreachBatch(foreach_batch).start()

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pitwall.functions.ordered import Scan, ordered_scan
+from pitwall.functions.ordered import Scan, Segment, ordered_scan, segmented_scan
 
 
 def _data(spark, seed):
@@ -68,3 +68,36 @@ def test_staged_scan_uses_previous_stage(spark):
     firsts = {r.car: r.f for r in df.groupBy("car").agg(F.min("seq").alias("f")).collect()}
     for r in got.collect():
         assert r.gap_sum == r.seq - firsts[r.car]
+
+
+@pytest.mark.parametrize("seed,width", [(1, 1), (2, 2), (3, 3), (4, 7), (5, 1000)])
+def test_segmented_scan_matches_sequential(spark, seed, width):
+    """Sums that restart, with values and resets that depend on the row before."""
+    df = _data(spark, seed).withColumn("w", F.col("v") / 4)
+    drop = F.col("before") > F.col("v")
+    got = segmented_scan(
+        df, ["car"], ["seq"], {"before": F.col("v"), "gap": F.col("seq")},
+        [Segment("n", F.coalesce(drop, F.lit(False)).cast("long")), Segment("s", F.col("w"), drop),
+         Segment("g", F.col("seq") - F.coalesce("gap", F.col("seq")), F.col("v") == 3), Segment("all", F.col("v"))],
+        chunk_by="seq", chunk_width=width)
+    assert set(got.columns) == {"car", "seq", "v", "w", "before", "gap", "n", "s", "g", "all"}
+    want, state = {}, {}
+    for r in sorted(df.collect(), key=lambda r: (r.car, r.seq)):
+        p = state.get(r.car)
+        fell = p is not None and p["v"] is not None and r.v is not None and p["v"] > r.v
+        n = (p["n"] if p else 0) + fell
+        s = (0 if fell or not p else p["s"]) + (r.w or 0)
+        g = (0 if r.v == 3 or not p else p["g"]) + (r.seq - (p["seq"] if p else r.seq))
+        total = (p["all"] if p else 0) + (r.v or 0)
+        state[r.car] = {"v": r.v, "seq": r.seq, "n": n, "s": s, "g": g, "all": total}
+        want[(r.car, r.seq)] = (p["v"] if p else None, p["seq"] if p else None, n, s, g, total)
+    seen = {(r.car, r.seq): (r.before, r.gap, r.n, r.s, r.g, r["all"]) for r in got.collect()}
+    assert seen == want
+
+
+def test_segmented_scan_leaves_out_rows_without_a_place(spark):
+    df = spark.createDataFrame([(1, 1, 2), (None, 2, 3), (1, None, 4), (1, 3, 5)], "car long, seq long, v int")
+    got = segmented_scan(df, ["car"], ["seq"], {"b": F.col("v")}, [Segment("s", F.col("v"))], "seq", 2)
+    assert sorted((r.seq, r.b, r.s) for r in got.collect()) == [(1, None, 2), (3, 2, 7)]
+    empty = segmented_scan(df.limit(0), ["car"], ["seq"], {}, [Segment("s", F.col("v"))], "seq", 2)
+    assert empty.columns == ["car", "seq", "v", "s"] and empty.collect() == []
