@@ -60,7 +60,9 @@ SALT_TOKENS = 262_144
 #: Tokens of a group's members that one task holds while it counts overlaps.
 UNION_TOKENS = 1_000_000
 #: Tokens that one task counts to see which of them stand in two sets.
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 2_000_000
+#: Tokens of a packed row: an Arrow batch holds many of them.
+ROW_TOKENS = 4096
 _OUT_ROWS = 200_000
 
 _SIGNATURES = "kind byte, doc_id long, th long, n int, v long, keys array<long>"
@@ -189,7 +191,7 @@ def _dealt(k: int):
 
 
 def _scattered(k: int, buckets: int):
-    """Tokens of many sets, a row for each bucket of about a million tokens read: 32 bits of
+    """Tokens of many sets, packed by bucket in rows of at most ``ROW_TOKENS``: 32 bits of
     each token, and whose they are.  Tokens that meet in 32 bits only add to the counts."""
 
     def rows(keys: list, held: list) -> pa.RecordBatch:
@@ -201,11 +203,13 @@ def _scattered(k: int, buckets: int):
         low, owner, keys = tokens[order].astype(np.uint32), owner[order], np.array(keys, np.int64)
         out: list[list] = [[], [], [], []]
         for b in np.flatnonzero(np.diff(cut)).tolist():
-            own = owner[cut[b]:cut[b + 1]]
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            for x, y in zip(out, (b, keys[own[first]].tobytes(), np.diff(np.r_[first, len(own)]).astype(np.int32).tobytes(),
-                                  low[cut[b]:cut[b + 1]].tobytes())):
-                x.append(y)
+            for lo in range(cut[b], cut[b + 1], ROW_TOKENS):
+                hi = min(lo + ROW_TOKENS, cut[b + 1])
+                own = owner[lo:hi]
+                first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                for x, y in zip(out, (b, keys[own[first]].tobytes(), np.diff(np.r_[first, len(own)]).astype(np.int32).tobytes(),
+                                      low[lo:hi].tobytes())):
+                    x.append(y)
         return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])],
                                           names=["bucket", "v", "lengths", "tokens"])
 
@@ -239,8 +243,10 @@ def _shared(parts_of_sets: int):
         ends = np.cumsum(lengths, dtype=np.int64)
         more = np.zeros(len(tokens) + 1, np.int32)
         if len(twice):
-            at = np.minimum(np.searchsorted(twice, tokens), len(twice) - 1)
-            np.cumsum(twice[at] == tokens, out=more[1:])
+            for lo in range(0, len(tokens), _OUT_ROWS):
+                some = tokens[lo:lo + _OUT_ROWS]
+                more[lo + 1:lo + 1 + len(some)] = twice[np.minimum(np.searchsorted(twice, some), len(twice) - 1)] == some
+            np.cumsum(more, out=more)
         found = np.diff(np.r_[0, more[ends]]).astype(np.int32)
         part = (v.view(np.uint64) % np.uint64(parts_of_sets)).astype(np.int32)
         order = np.argsort(part, kind="stable")
@@ -335,7 +341,7 @@ class _Join:
     def shared(self, keys: DataFrame) -> DataFrame:
         """``v, shared``: how many tokens of each class in ``keys(v)`` another one of them holds.
 
-        All their tokens are dealt to buckets of about 4 million by hash and counted there.  A
+        All their tokens are dealt to buckets of about 2 million by hash and counted there.  A
         text that stands in several rows of the same id counts for each, which can only raise
         what is an upper bound.
         """
