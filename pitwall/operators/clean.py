@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from pitwall.schema import ARCHIVE_FIELDS, LAP_RESULT_SCHEMA, LAP_SUMMARY_COLUMNS, PACKET_SCHEMA, WIRE_KEYS
 
 TS_UNITS = ("ns", "us", "ms", "s")
-RAW_COLUMNS = ["car_id", "track_id", "seq"]
+# Columns of a packet beside its text that are kept where there are any.
+RAW_COLUMNS = ["car_id", "track_id", "seq", "origin", "attempt"]
 INT32_MAX = 2147483647.0
 
 

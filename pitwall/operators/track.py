@@ -90,6 +90,91 @@ def resample_closed(waypoints: DataFrame, per_segment: int) -> DataFrame:
     )
 
 
+#: Rounds of the cyclic reduction: neighbours' weights fall from 1/2 of the diagonal to below 1e-18.
+REDUCTIONS = 6
+
+
+def spline_closed(waypoints: DataFrame, n_points: int) -> DataFrame:
+    """The closed cubic spline (C2) through the waypoints ``track_id, pos, x, y``, parameterised by chord
+    length, at ``n_points`` equal steps of the parameter from the first waypoint round to it again.
+
+    Its second derivatives solve a cyclic tridiagonal system, whose diagonal is twice the sum of its neighbours.
+    Cyclic reduction eliminates each unknown's neighbours at distance 1, 2, 4, ... for all unknowns of all
+    tracks at once; the weights of what is left are squared by each round, so a fixed number of rounds solves
+    tracks of any length to double precision.  (A prefix product of the system's transfer matrices would
+    overflow: they grow by 3.7 a waypoint.)  A track is one row of arrays meanwhile, bounded by its resolution.
+
+    A waypoint without a position, equal to the one before it, or (the last) equal to the first counts
+    for nothing; a track of fewer than three waypoints after that has no curve.  Output ``track_id, idx, x, y, curvature``.
+    """
+    w = Window.partitionBy("track_id").orderBy("pos")
+    full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = waypoints.select("track_id", "pos", "x", "y").where("x IS NOT NULL AND y IS NOT NULL")
+    same = (F.col("x") == F.lag("x").over(w)) & (F.col("y") == F.lag("y").over(w))
+    closing = ((F.col("x") == F.first("x").over(full)) & (F.col("y") == F.first("y").over(full))
+               & F.lead("pos").over(w).isNull() & F.lag("pos").over(w).isNotNull())
+    d = d.withColumn("_out", F.coalesce(same, F.lit(False)) | closing).where("NOT _out")
+    g = (d.groupBy("track_id").agg(F.array_sort(F.collect_list(F.struct("pos", "x", "y"))).alias("p"))
+         .where(F.size("p") >= 3))
+
+    def each(values, body) -> Column:
+        """An array over the waypoints; ``body(at)`` reads the values ``k`` waypoints on by ``at(k)``."""
+        n = F.size("p")
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda i: body(lambda k: F.get(values, F.pmod(i + k, n))))
+
+    def chord(a, b):
+        return F.sqrt((b["x"] - a["x"]) * (b["x"] - a["x"]) + (b["y"] - a["y"]) * (b["y"] - a["y"]))
+
+    def equation(at):
+        before, here, after = at(F.lit(-1)), at(F.lit(0)), at(F.lit(1))
+        hb, ha = chord(before, here), chord(here, after)
+        slope = {c: (after[c] - here[c]) / ha - (here[c] - before[c]) / hb for c in ("x", "y")}
+        return F.struct(hb.alias("a"), (F.lit(2.0) * (hb + ha)).alias("b"), ha.alias("c"),
+                        *[(F.lit(6.0) * slope[c]).alias(c) for c in ("x", "y")])
+
+    def reduced(at, k):
+        low, mid, high = at(-k), at(F.lit(0)), at(k)
+        p, q = -mid["a"] / low["b"], -mid["c"] / high["b"]
+        return F.struct((p * low["a"]).alias("a"), (mid["b"] + p * low["c"] + q * high["a"]).alias("b"),
+                        (q * high["c"]).alias("c"), *[(mid[c] + p * low[c] + q * high[c]).alias(c) for c in ("x", "y")])
+
+    # one-row generators keep each stage's arrays from being worked out again wherever they are read
+    g = g.select("track_id", "p", F.explode(F.array(F.aggregate(
+        F.array(*[F.lit(1 << r) for r in range(REDUCTIONS)]), each(F.col("p"), equation),
+        lambda eq, k: each(eq, lambda at: reduced(at, k))))).alias("m"))
+
+    def segment(at):
+        here, after = at(F.lit(0)), at(F.lit(1))
+        return F.struct(chord(here["p"], after["p"]).alias("h"),
+                        *[z["p"][c].alias(f"{n}{c}") for n, z in (("a", here), ("b", after)) for c in ("x", "y")],
+                        *[(z["m"][c] / z["m"]["b"]).alias(f"m{n}{c}") for n, z in (("a", here), ("b", after)) for c in ("x", "y")])
+
+    g = g.select("track_id", "p", F.explode(F.array(F.arrays_zip("p", "m"))).alias("z"))
+    g = g.select("track_id", F.posexplode(each(F.col("z"), segment)).alias("i", "s")).select("track_id", "i", "s.*")
+    w = Window.partitionBy("track_id").orderBy("i")
+    g = g.withColumns({"to": F.sum("h").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+                       "length": F.sum("h").over(Window.partitionBy("track_id")),
+                       "end": F.lead("i").over(w).isNull()}).withColumn("u", F.lag("to", 1, 0.0).over(w))
+    step = F.col("length") / F.lit(float(n_points - 1))
+    first = F.ceil(F.col("u") / step).cast("int")
+    # a point on the border belongs to the segment that it begins, the last one to the last segment
+    last = F.when(F.col("end"), F.lit(n_points - 1)).otherwise(F.ceil(F.col("to") / step).cast("int") - 1)
+    g = g.where(first <= last).withColumn("idx", F.explode(F.sequence(first, last)))
+    h, t = F.col("h"), F.col("idx") * step - F.col("u")
+
+    def at(c):
+        """Position, first and second derivative."""
+        a, b, ma, mb, s = F.col(f"a{c}"), F.col(f"b{c}"), F.col(f"ma{c}"), F.col(f"mb{c}"), h - t
+        place = (ma * s * s * s + mb * t * t * t) / (F.lit(6.0) * h) + (a / h - ma * h / 6) * s + (b / h - mb * h / 6) * t
+        slope = (mb * t * t - ma * s * s) / (F.lit(2.0) * h) + (b - a) / h - (mb - ma) * h / 6
+        return place, slope, (ma * s + mb * t) / h
+
+    (x, dx, ddx), (y, dy, ddy) = at("x"), at("y")
+    speed = dx * dx + dy * dy
+    return g.select("track_id", F.col("idx").cast("int").alias("idx"), x.alias("x"), y.alias("y"),
+                    F.when(speed > 0, F.abs(dx * ddy - dy * ddx) / (speed * F.sqrt(speed))).alias("curvature"))
+
+
 def resample_even(points: DataFrame, n_points: int) -> DataFrame:
     """``n_points`` points at equal distances along each track's polyline ``track_id, idx, x, y``.
 

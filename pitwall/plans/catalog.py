@@ -594,6 +594,25 @@ def q_track_resample(spark, sf_dir):
     return r.select("track_id", "idx", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
+SPLINE_POINTS = 1000
+
+
+@register(
+    "track_spline",
+    with_fixture(
+        f"""SELECT track_id, CAST(k AS INTEGER) AS idx, {TS.spline_at('x')} AS x, {TS.spline_at('y')} AS y
+FROM (SELECT *, to_u - ha AS u, sum(ha) OVER (PARTITION BY track_id) / {SPLINE_POINTS - 1} AS step FROM solved) s,
+  LATERAL (SELECT unnest(range(CAST(ceil(u / step) AS BIGINT),
+    CASE WHEN i = n - 1 THEN {SPLINE_POINTS} ELSE CAST(ceil(to_u / step) AS BIGINT) END)) AS k) p""",
+        TS.MATCHED_CTE, _CENTRE, *TS.spline_ctes("centre"),
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
+def q_track_spline(spark, sf_dir):
+    """Closed cubic spline (C2) through the rebuilt centreline."""
+    r = TR.spline_closed(centre(spark, sf_dir), SPLINE_POINTS)
+    return r.select("track_id", "idx", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
 _GEO_COLS_SQL = """SELECT track_id, idx, round(x, 6) AS x, round(y, 6) AS y, round(curvature, 9) AS curvature,
   round(seg_len, 6) AS seg_len, round(tan_x, 6) AS tan_x, round(tan_y, 6) AS tan_y, round(s, 6) AS s,
   round(total_length, 6) AS total_length, n_points, sector_name FROM geo_re"""

@@ -14,11 +14,14 @@ from pitwall.operators import fusion as FU
 from pitwall.operators import matching as M
 from pitwall.plans import track_sql as TS
 from pitwall.plans.catalog import (
-    _FUSED, FUSION_PERIODS, GATE_S, SQL, register, telemetry_from_events_stream,
+    _FUSED, FUSION_PERIODS, GATE_S, SQL, WINDOW, faulty_packets, register, telemetry_from_events_stream,
 )
 from pitwall.plans.oracle import with_fixture
 from pitwall.session import scratch_path
 from pitwall.sources.fixtures import read_table, telemetry, track_points
+from pitwall.streaming import audit as A
+from pitwall.streaming import dead_letters as DL
+from pitwall.streaming import jobs as S
 from pitwall.streaming import ordered_state as O
 from pitwall.streaming import sinks as K
 
@@ -144,3 +147,81 @@ def q_stream_lap_close(spark, sf_dir):
     """A row for each lap as it ends, by the next lap's first packet or by timer."""
     d = _ghost(spark, sf_dir).where("kind = 'lap'")
     return d.select("car_id", "lap", "samples", F.col("us").alias("last_us"), "lap_time", "status", "closed_by")
+
+
+@register(
+    "stream_audit",
+    with_fixture(
+        f"""SELECT d.delivery,
+  CAST(sum(CASE WHEN t.delivery <= d.delivery THEN 1 ELSE 0 END) AS BIGINT) AS delivered,
+  CAST(sum(CASE WHEN t.delivery <= d.delivery AND t.kept AND t.window_end <= d.mark THEN 1 ELSE 0 END) AS BIGINT) AS emitted,
+  CAST(sum(CASE WHEN t.delivery <= d.delivery AND t.kept AND t.window_end > d.mark THEN 1 ELSE 0 END) AS BIGINT) AS in_state,
+  CAST(sum(CASE WHEN t.delivery <= d.delivery AND NOT t.kept THEN 1 ELSE 0 END) AS BIGINT) AS dropped
+FROM marks d, (
+  SELECT o.*, window_end > coalesce(p.mark, CAST(-1 AS BIGINT)) AS kept
+  FROM (SELECT delivery, (CAST(floor(timestamp / CAST(86400000000 AS DOUBLE)) AS BIGINT) + 1) * 86400000000 AS window_end
+        FROM due) o LEFT JOIN marks p ON p.delivery = o.delivery - 1) t
+GROUP BY d.delivery""",
+        """due AS (
+SELECT timestamp, CASE lap_count WHEN (SELECT max(lap_count) FROM telemetry) THEN 1
+  WHEN (SELECT max(lap_count) - 1 FROM telemetry) THEN 2 ELSE 0 END AS delivery FROM telemetry
+)""",
+        """marks AS (
+SELECT delivery, max((CAST(floor(t / CAST(1000 AS DOUBLE)) AS BIGINT) - 10000) * 1000) OVER (ORDER BY delivery) AS mark
+FROM (SELECT delivery, max(timestamp) AS t FROM due GROUP BY delivery) m
+)""",
+    ),
+)
+def q_stream_audit(spark, sf_dir):
+    """T5 + T7: where every packet of three deliveries went; the last but one lap comes too late.
+    Delivered are emitted, in a window still open, or dropped."""
+    base = scratch_path(spark, "stream-audit")
+    ev = read_table(spark, sf_dir, "events")
+    lap = F.floor((F.dayofmonth("ts") - 1) / 6).cast("int")
+    last = ev.agg(F.max(lap)).first()[0] or 0
+    rows = []
+    for i, due in enumerate((lap < last - 1, lap == last, lap == last - 1)):
+        ev.filter(due).write.parquet(f"{base}/src/delivery={i:02d}")
+        stream = S.window_agg_stream(telemetry_from_events_stream(spark, f"{base}/src/*"), WINDOW)
+        q = K.run_available_now(stream, f"{base}/_ckpt", path=f"{base}/data")
+        rows.append(A.account(spark, i, rows, q, f"{base}/_ckpt", spark.read.parquet(f"{base}/data")))
+    return spark.createDataFrame(rows, A.ACCOUNT).drop("groups_dropped")
+
+
+def mended(json, reasons):
+    """Speeds that are no numbers become 0; packets without a time or that are no JSON can't be mended."""
+    return F.when(F.array_contains(reasons, "bad_type:speed_kmh"),
+                  F.regexp_replace(json, r'"speed_kmh":"[^"]*"', '"speed_kmh":0.0'))
+
+
+@register(
+    "stream_dead_letters",
+    with_fixture(
+        """SELECT car_id, track_id, seq, CASE WHEN seq % 40 = 3 THEN 1 ELSE 0 END AS attempt,
+  CASE seq % 40 WHEN 1 THEN 'malformed_json' WHEN 2 THEN 'missing_timestamp' WHEN 3 THEN 'mended' ELSE 'valid' END AS fate,
+  CASE WHEN seq % 40 IN (1, 2) THEN NULL WHEN seq % 40 = 3 THEN CAST(0 AS DOUBLE) ELSE speed_kmh END AS speed_kmh
+FROM telemetry"""
+    ),
+)
+def q_stream_dead_letters(spark, sf_dir):
+    """Damaged packets in a stream, split batch by batch, mended where possible and replayed:
+    what became of every packet."""
+    base = scratch_path(spark, "stream-letters")
+    packets = faulty_packets(spark, sf_dir).select("car_id", "track_id", "seq", "json", F.lit(None).cast("string").alias("origin"),
+                                                   F.lit(0).alias("attempt"))
+    half = F.col("seq") % 2
+    for i in range(3):
+        if i < 2:
+            packets.where(half == i).write.parquet(f"{base}/inbox/delivery={i}")
+        else:
+            DL.replay(spark, f"{base}/out", mended, f"{base}/inbox")
+        K.run_available_now(DL.packet_files(spark, f"{base}/inbox/*"), f"{base}/_ckpt",
+                            foreach_batch=DL.split_writer(f"{base}/out"))
+    valid, rejected = (DL.committed(spark, f"{base}/out", kind) for kind in ("valid", "rejected"))
+    # a packet's last attempt tells what became of it
+    mended_ones = valid.where("attempt > 0").select("origin")
+    return valid.select(
+        "car_id", "track_id", "seq", "attempt", F.when(F.col("attempt") > 0, "mended").otherwise("valid").alias("fate"), "speed_kmh",
+    ).unionByName(rejected.join(mended_ones, "origin", "left_anti").select(
+        "car_id", "track_id", "seq", "attempt", F.array_join("reasons", ",").alias("fate"),
+        F.lit(None).cast("double").alias("speed_kmh")))
