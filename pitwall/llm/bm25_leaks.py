@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import save, ship, small, table, worker_cache
+from pitwall.llm.common import held, released, save, ship, small, table, worker_cache
 from pitwall.llm.shingles import text_slices, word_hashes
 
 K1, B = 1.2, 0.75
@@ -257,11 +257,10 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` that hold no item, with their columns."""
-    found = save(leaks(documents, benchmark).select(F.col("doc_id").alias("__leak_id"), F.col("th").alias("__leak_th"))
-                 .distinct(), "leaks")
-    return documents.join(
-        small(found), (F.xxhash64(documents["text"].cast("string")) == F.col("__leak_th"))
-        & documents["doc_id"].cast("long").eqNullSafe(F.col("__leak_id")), "left_anti")
+    found = save(leaks(documents, benchmark).select("doc_id", "th").distinct(), "leaks")
+    return released(held(documents).join(
+        small(found), (F.xxhash64(F.col("row.text").cast("string")) == F.col("th"))
+        & F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id")), "left_anti"))
 
 
 def op4_bm25_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

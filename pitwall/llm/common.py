@@ -42,6 +42,17 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def held(documents: DataFrame) -> DataFrame:
+    """The rows as one struct column ``row``: whatever the columns of ``documents`` are called, none
+    meets a name in here.  ``released`` gives them back."""
+    names = ["`" + c.replace("`", "``") + "`" for c in documents.columns]
+    return documents.select(F.struct(*names).alias("row"))
+
+
+def released(rows: DataFrame) -> DataFrame:
+    return rows.select("row.*")
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``limit`` rows; larger sides are shuffled."""
     return F.broadcast(df) if df.count() <= limit else df

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.llm import bloom
-from pitwall.llm.common import save, ship, small, table
+from pitwall.llm.common import held, released, save, ship, small, table
 from pitwall.llm.graph import components
 from pitwall.llm.shingles import mix64, set_key, shingle_sets
 
@@ -516,16 +516,17 @@ def without_near_copies(documents: DataFrame, k: int = 5, percent: int = 80) ->
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "th")
     kept = save(rows.groupBy("root").agg(F.min(first).alias("first")), "kept")
     rows = rows.join(kept, "root").withColumn("kept", first == F.col("first"))
-    marks = save(rows.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th"))
-                 .agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "marks")
-    gone = marks.where("NOT kept").select("__id", "__th")
-    again = marks.where("kept AND rows > 1").select("__id", "__th")
-    same = (F.xxhash64(documents["text"].cast("string")) == F.col("__th")) & documents["doc_id"].cast("long").eqNullSafe(F.col("__id"))
-    out = documents.join(small(gone), same, "left_anti")
+    marks = save(rows.groupBy("doc_id", "th").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "marks")
+    gone = marks.where("NOT kept").select("doc_id", "th")
+    again = marks.where("kept AND rows > 1").select("doc_id", "th")
+    same = (F.xxhash64(F.col("row.text").cast("string")) == F.col("th")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id"))
+    docs = held(documents)
+    out = docs.join(small(gone), same, "left_anti")
     if again.isEmpty():
-        return out
-    repeated = documents.join(small(again), same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return out.join(small(again), same, "left_anti").unionByName(repeated)
+        return released(out)
+    repeated = (docs.join(small(again), same, "left_semi")
+                .select("row", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")).dropDuplicates(["doc_id", "text"]))
+    return released(out.join(small(again), same, "left_anti").unionByName(repeated.select("row")))
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import save, small, table
+from pitwall.llm.common import held, released, save, small, table
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -154,8 +154,15 @@ def _taken(rank: Column, digest: Column, prefix: str = "") -> Column:
 
 
 def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """Every row of ``documents(doc_id, text, source)`` with a struct column ``mix_plan``:
-    ``size, source_size, target, copies`` (0 to 3)."""
+    """Every row of ``documents(doc_id, text, source)`` with a struct column ``mix_plan`` (in place of
+    one of that name): ``size, source_size, target, copies`` (0 to 3)."""
+    planned = _planned(documents, weights)
+    return planned.select("row.*", "mix_plan") if "mix_plan" not in documents.columns else planned.select(
+        F.col("row").dropFields("mix_plan").alias("row"), "mix_plan").select("row.*", "mix_plan")
+
+
+def _planned(documents: DataFrame, weights: tuple[int, ...]) -> DataFrame:
+    """The rows as a struct ``row``, and ``mix_plan``."""
     text = F.col("text").cast("string")
     source = F.col("source").cast("string")
     rows = save(documents.select(source.alias("source"), _size(text).alias("size"),
@@ -172,28 +179,25 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame
     changed = _changed(ranked, cuts, rest).withColumnRenamed("source", "c")
     cuts = cuts.join(changed, F.col("source").eqNullSafe(F.col("c")), "left").drop("c").withColumnRenamed("source", "s")
     plan = save(plan.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").select(F.struct(
-        "source", "bits", "source_size", "target", "whole", "q", "cut_rank", "cut_digest", "changed").alias("__plan")), "mix")
-
-    p = {c: F.col(f"__plan.{c}") for c in plan.schema["__plan"].dataType.names}
-    keyed = documents.withColumn("__digest", _digest(documents["doc_id"], documents["text"].cast("string"))).withColumn(
-        "__size", _size(documents["text"].cast("string")))
-    joined = keyed.join(small(plan), documents["source"].cast("string").eqNullSafe(p["source"])
-                        & (F.length(F.bin("__size")) == p["bits"]), "left")
-    rank = _rank(_uniform(F.col("__digest")), p["q"])
-    changes = F.coalesce(p["changed"] == F.col("__digest"), F.lit(False))
-    more = _taken(rank, F.col("__digest"), "__plan.") != changes
+        "source", "bits", "source_size", "target", "whole", "q", "cut_rank", "cut_digest", "changed").alias("plan")), "mix")
+
+    p = {c: F.col(f"plan.{c}") for c in plan.schema["plan"].dataType.names}
+    keyed = held(documents).select("row", _digest(F.col("row.doc_id"), F.col("row.text").cast("string")).alias("digest"),
+                                   _size(F.col("row.text").cast("string")).alias("size"))
+    joined = keyed.join(small(plan), F.col("row.source").cast("string").eqNullSafe(p["source"])
+                        & (F.length(F.bin("size")) == p["bits"]), "left")
+    rank = _rank(_uniform(F.col("digest")), p["q"])
+    changes = F.coalesce(p["changed"] == F.col("digest"), F.lit(False))
+    more = _taken(rank, F.col("digest"), "plan.") != changes
     copies = (p["whole"] + more.cast("long")).cast("long")
-    return joined.select(*(documents[c] for c in documents.columns), F.struct(
-        F.col("__size").alias("size"), p["source_size"].alias("source_size"), p["target"].alias("target"),
-        copies.alias("copies")).alias("mix_plan"))
+    return joined.select("row", F.struct(
+        "size", p["source_size"].alias("source_size"), p["target"].alias("target"), copies.alias("copies")).alias("mix_plan"))
 
 
 def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The mix itself: each row of ``documents`` as often as it is taken."""
-    columns = documents.columns
-    return (mixed(documents, weights).where("mix_plan.copies > 0")
-            .select(*columns, F.explode(F.sequence(F.lit(1), F.col("mix_plan.copies").cast("int"))).alias("__copy"))
-            .select(*columns))
+    return released(_planned(documents, weights).where("mix_plan.copies > 0")
+                    .select("row", F.explode(F.sequence(F.lit(1), F.col("mix_plan.copies").cast("int")))))
 
 
 def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

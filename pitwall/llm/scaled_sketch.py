@@ -80,9 +80,12 @@ def with_next(docs: DataFrame, carried: list[str], derive=lambda rows: rows) ->
     low, high, known, rows = (x or 0 for x in spread)
     width = max(1, -(-(high - low + 1) * RUN // max(known, 1)))
     blanks = max(1, -(-(rows - known) // RUN))
+    # differences of far ends exceed a long: as doubles the runs follow the same order
+    place = (F.floor((F.col("doc_id") - low) / width) if high - low < 1 << 52
+             else F.floor(F.col("doc_id") / float(width) - low / width))
     docs = docs.withColumn("run", F.when(F.col("doc_id").isNull(), F.floor(
         (F.col("th") / float(1 << 64) + 0.5) * blanks).cast("long") - blanks)
-        .otherwise(F.floor((F.col("doc_id") - low) / width).cast("long")))
+        .otherwise(place.cast("long")))
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "th")
     firsts = docs.groupBy("run").agg(F.min(order).alias("first"))
     over = Window.orderBy("run")
