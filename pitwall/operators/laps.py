@@ -128,22 +128,15 @@ def session_summary(laps: DataFrame) -> DataFrame:
     )
 
 
-def best_laps(laps: DataFrame) -> DataFrame:
-    """Best valid lap per car (ties: lowest lap), a per-car aggregate."""
-    t = F.col("last_lap_time_s")
-    return (
-        laps.filter((F.col("lap_count") > 0) & _valid_time(t))
-        .groupBy("car_id")
-        .agg(F.min(F.struct(t.alias("t"), F.col("lap_count").alias("lap"))).alias("_b"))
-        .select("car_id", F.col("_b.lap").alias("best_lap"))
-    )
-
-
 def lap_table(laps: DataFrame, ordered: bool = True) -> DataFrame:
     """The formatted lap table, newest lap first, best lap flagged."""
     rows = laps.filter(F.col("lap_count") > 0)
     z = lambda c: F.coalesce(F.col(c), F.lit(0.0))  # missing shows as 0
-    out = rows.join(best_laps(rows), "car_id", "left").select(
+    t = F.col("last_lap_time_s")
+    # over a car's lap rows, which are few beside its samples: the laps are aggregated once
+    best = F.min(F.when(_valid_time(t), F.struct(t.alias("t"), F.col("lap_count").alias("lap")))).over(
+        Window.partitionBy("car_id"))
+    out = rows.withColumn("best_lap", best["lap"]).select(
         "car_id",
         "lap_count",
         fixed(z("avg_speed_kmh"), 1).alias("avg_speed_text"),

@@ -10,15 +10,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pitwall.operators import clean as C
 from pitwall.operators import fusion as FU
+from pitwall.operators import laps as L
 from pitwall.operators import matching as M
 from pitwall.plans import track_sql as TS
 from pitwall.plans.catalog import (
     _FUSED, FUSION_PERIODS, GATE_S, SQL, WINDOW, faulty_packets, register, telemetry_from_events_stream,
 )
-from pitwall.plans.oracle import with_fixture
+from pitwall.plans.oracle import LAP_SUMMARY_CTE, with_fixture
 from pitwall.session import scratch_path
 from pitwall.sources.fixtures import read_table, telemetry, track_points
+from pitwall.sources.packets import encode_packets
+from pitwall.sources.tracks import read_archive
 from pitwall.streaming import audit as A
 from pitwall.streaming import dead_letters as DL
 from pitwall.streaming import jobs as S
@@ -225,3 +229,30 @@ def q_stream_dead_letters(spark, sf_dir):
     ).unionByName(rejected.join(mended_ones, "origin", "left_anti").select(
         "car_id", "track_id", "seq", "attempt", F.array_join("reasons", ",").alias("fate"),
         F.lit(None).cast("double").alias("speed_kmh")))
+
+
+FAST_LAP_S = 80.5
+
+
+@register(
+    "archive_compare",
+    with_fixture(
+        f"""SELECT t.car_id, CAST(floor(t.timestamp / CAST(86400000000 AS DOUBLE)) AS BIGINT) AS day, count(*) AS samples,
+  max(t.speed_kmh) AS max_speed_kmh, round(avg(t.throttle), 6) AS avg_throttle
+FROM telemetry t JOIN (SELECT car_id FROM lap_summary WHERE lap_count > 0 AND last_lap_time_s > 0
+  GROUP BY car_id HAVING min(last_lap_time_s) < CAST({FAST_LAP_S} AS DOUBLE)) f USING (car_id)
+GROUP BY t.car_id, day""",
+        LAP_SUMMARY_CTE,
+    ),
+)
+def q_archive_compare(spark, sf_dir):
+    """The stored history of the cars with a fast lap, from the archive's buckets of these cars alone."""
+    out = scratch_path(spark, "archive-compare")
+    pk = encode_packets(S.telemetry_stream(spark, sf_dir), "ns")
+    K.run_available_now(C.archive_points(pk), f"{out}/_ckpt", foreach_batch=K.archive_writer(f"{out}/data"))
+    cars = L.session_summary(L.lap_summary(telemetry(spark, sf_dir))).where(F.col("best_lap_time_s") < FAST_LAP_S)
+    history = read_archive(spark, f"{out}/data", cars=cars)
+    return history.groupBy(F.col("car_id").cast("long").alias("car_id"),
+                           F.floor(F.col("time") / DAY_US / 1000).cast("long").alias("day")).agg(
+        F.count(F.lit(1)).alias("samples"), F.max("speed_kmh").alias("max_speed_kmh"),
+        F.round(F.avg("throttle"), 6).alias("avg_throttle"))

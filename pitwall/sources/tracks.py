@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UNKNOWN_TRACK = "Unknown Track"
+#: Partition column of the archive: buckets of car ids, and the cars that a file's Bloom filter is made for.
+CAR_BUCKET, CAR_BUCKETS, BLOOM_CARS = "car_bucket", 16, 10_000
+#: A list of at most this many cars is broadcast.
+BROADCAST_CARS = 1_000_000
+
+
+def car_bucket(car: Column) -> Column:
+    return F.pmod(F.xxhash64(car.cast("long")), F.lit(CAR_BUCKETS)).cast("int")
 
 
 def geojson_waypoints(spark: SparkSession, path: str) -> DataFrame:
@@ -41,12 +49,30 @@ def _property_names(doc: DataFrame) -> list[str]:
         return []
 
 
-def read_archive(spark: SparkSession, path: str, track_id: str | None = None, car_id=None) -> DataFrame:
-    """Stored archive points; a track filter prunes directories, a car filter is
-    pushed to the parquet reader (row groups are sorted by car)."""
+def read_archive(spark: SparkSession, path: str, track_id: str | None = None, car_id=None,
+                 cars: DataFrame | None = None) -> DataFrame:
+    """Stored archive points; a track filter prunes directories, a car filter the car's buckets and,
+    pushed to the Parquet reader, row groups by their statistics and Bloom filter.
+
+    ``cars`` is a list of cars as a table (``car_id``): its buckets prune directories when the query runs
+    (dynamic partition pruning), so only these buckets are read.  The list is counted: beyond
+    ``BROADCAST_CARS`` it joins by shuffle, and then nothing is pruned.
+    """
     df = spark.read.parquet(path)
     if track_id is not None:
         df = df.filter(F.col("track_id") == track_id)
     if car_id is not None:
         df = df.filter(F.col("car_id") == car_id)
+        if CAR_BUCKET in df.columns:
+            df = df.filter(F.col(CAR_BUCKET) == car_bucket(F.lit(car_id)))
+    if cars is not None:
+        wanted = cars.select(F.col("car_id").cast("long").alias("_car")).distinct().withColumn("_bucket", car_bucket(F.col("_car")))
+        # a condition on the list tells the optimizer that it is worth to prune by it
+        wanted = wanted.where(F.col("_car") >= F.lit(-(1 << 63)))
+        if wanted.count() <= BROADCAST_CARS:
+            wanted = F.broadcast(wanted)
+        on = F.col("car_id").cast("long") == F.col("_car")
+        if CAR_BUCKET in df.columns:
+            on = (F.col(CAR_BUCKET) == F.col("_bucket")) & on
+        df = df.join(wanted, on, "left_semi")
     return df

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.operators.clean import lap_json
+from pitwall.sources.tracks import BLOOM_CARS, CAR_BUCKET, car_bucket
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -30,7 +31,8 @@ def console_sink(df: DataFrame, mode: str = "update"):
     return df.writeStream.format("console").option("truncate", "false").outputMode(mode).start()
 
 
-def versioned_writer(path: str, partition_by: tuple[str, ...] = (), sort_by: tuple[str, ...] = ()):
+def versioned_writer(path: str, partition_by: tuple[str, ...] = (), sort_by: tuple[str, ...] = (),
+                     options: dict[str, str] | None = None):
     """foreachBatch writer idempotent by batch id: batch N owns ``path/batch_id=N``.
 
     A replayed batch (after a failure) overwrites its own directory, so results are
@@ -42,7 +44,7 @@ def versioned_writer(path: str, partition_by: tuple[str, ...] = (), sort_by: tup
     def write(batch: DataFrame, batch_id: int) -> None:
         if partition_by or sort_by:
             batch = batch.sortWithinPartitions(*partition_by, *sort_by)
-        w = batch.write.mode("overwrite")
+        w = batch.write.mode("overwrite").options(**(options or {}))
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{path}/batch_id={batch_id}")
@@ -65,10 +67,17 @@ def lap_result_writer(rows_path: str, json_path: str):
 
 
 def archive_writer(path: str):
-    """K3: archive points partitioned by ``track_id`` and sorted by ``car_id, time`` in
-    every file: track filters prune directories, car filters skip row groups, and the
-    directory count does not grow with the number of cars."""
-    return versioned_writer(path, ("track_id",), ("car_id", "time"))
+    """K3: archive points partitioned by ``track_id`` and a bucket of the car and sorted by
+    ``car_id, time`` in every file, with a Bloom filter on the car: track and car filters prune
+    directories, and within them row groups are skipped by their least and greatest car or by
+    the filter.  The directory count does not grow with the number of cars."""
+    write = versioned_writer(path, ("track_id", CAR_BUCKET), ("car_id", "time"), {
+        "parquet.bloom.filter.enabled#car_id": "true", "parquet.bloom.filter.expected.ndv#car_id": str(BLOOM_CARS)})
+
+    def bucketed(batch: DataFrame, batch_id: int) -> None:
+        write(batch.withColumn(CAR_BUCKET, car_bucket(F.col("car_id"))), batch_id)
+
+    return bucketed
 
 
 def run_available_now(stream: DataFrame, checkpoint: str, *, path: str | None = None, mode: str = "append",
