@@ -1,4 +1,8 @@
-"""Benchmark decontamination: BM25 over an inverted index of the test items, with block-max WAND.
+"""Benchmark decontamination: BM25 over an inverted index of the test items, pruned by block maxima.
+
+The pruning is that of block-max indexes in the manner of MaxScore, for whole batches of
+passages at once: it opens the same blocks as WAND's bounds allow, but without a
+pivot that skips postings.
 
 Every document is read as passages, windows of twice the longest item's words at steps of
 that length, so that any place where an item may stand lies whole in one.  A passage is a
