@@ -6,8 +6,10 @@ its own, grouped per cell into a candidate array; a sample looks up its cell and
 takes ``array_min`` of ``(d^2, idx)`` over the candidates.  Any point within ``c``
 of the sample is in that neighbourhood, so a best distance ``<= c`` is the global
 nearest (ties: lowest idx).  Samples farther out fall through to coarser grids
-(``c * growth``) and finally to the whole-track candidate list, so the answer is
-always exact while candidates grow with the distance to the track, not with it.
+(``c * growth``).  Samples beyond all grids (farther off than the track is wide) search a
+two-level tree of the track: stretches of about sqrt(N) consecutive points with their
+bounding boxes.  The least upper bound over the boxes rules out every stretch whose lower bound
+exceeds it, and only the points of the others are measured.  The answer is always exact.
 
 All levels are broadcast hash joins against tables whose size depends on the track
 resolution only; that size is checked before broadcasting, and beyond the limit the
@@ -28,6 +30,8 @@ CELL_M = 10.0
 GROWTH = 8.0
 # Broadcast the candidate tables only while their total entries stay below this.
 MAX_BROADCAST_ENTRIES = 1_000_000
+# Copies of a track's tree that far samples are dealt to where it is too large to broadcast.
+TREE_SALTS = 32
 GAP_LIMIT = 500
 ROUND = 6
 
@@ -52,16 +56,12 @@ def _cell(c: Column, size: float) -> Column:
     return F.floor(c / F.lit(size)).cast("long")
 
 
-def candidate_table(points: DataFrame, size: float | None) -> DataFrame:
+def candidate_table(points: DataFrame, size: float) -> DataFrame:
     """Candidate lists ``track_id, cx, cy, cands`` for one grid level.
 
-    With a cell ``size`` every point is listed under the 3x3 cells around its own;
-    ``size=None`` lists every point of a track under cell (0, 0) (the fallback).
-    Bounded by the track resolution: 9 entries per point.
+    Every point is listed under the 3x3 cells around its own.  Bounded by the track
+    resolution: 9 entries per point.
     """
-    if size is None:
-        return points.groupBy("track_id", F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy")).agg(
-            F.collect_list(F.struct("idx", "x", "y")).alias("cands"))
     offs = F.expr("array(" + ", ".join(
         f"named_struct('dx', {dx}, 'dy', {dy})" for dx in (-1, 0, 1) for dy in (-1, 0, 1)) + ")")
     p = points.select(
@@ -73,6 +73,36 @@ def candidate_table(points: DataFrame, size: float | None) -> DataFrame:
     ).agg(F.collect_list("pt").alias("cands"))
 
 
+def stretch_tree(points: DataFrame) -> DataFrame:
+    """``track_id, stretches``: a track's points in stretches of about sqrt(N) consecutive ones, each with its
+    bounding box ``x0, x1, y0, y1`` and its points ``pts``."""
+    n = points.groupBy("track_id").agg(F.greatest(F.ceil(F.sqrt(F.count(F.lit(1)))), F.lit(1)).alias("_b"))
+    boxes = points.join(n, "track_id").groupBy("track_id", F.floor(F.col("idx") / F.col("_b")).alias("_s")).agg(
+        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
+        F.collect_list(F.struct("idx", "x", "y")).alias("pts"))
+    return boxes.groupBy("track_id").agg(F.collect_list(F.struct("x0", "x1", "y0", "y1", "pts")).alias("stretches"))
+
+
+def candidates_by_bounds(stretches: Column, x: Column, y: Column) -> Column:
+    """Points of the stretches whose box can hold the nearest one."""
+    zero = F.lit(0.0)
+
+    def lower(b):
+        dx = F.greatest(b["x0"] - x, x - b["x1"], zero)
+        dy = F.greatest(b["y0"] - y, y - b["y1"], zero)
+        return dx * dx + dy * dy
+
+    def upper(b):
+        dx = F.greatest(F.abs(b["x0"] - x), F.abs(b["x1"] - x))
+        dy = F.greatest(F.abs(b["y0"] - y), F.abs(b["y1"] - y))
+        return dx * dx + dy * dy
+
+    def open_(least):  # a bound is rounded like a distance: a hair more keeps the nearest in
+        return F.flatten(F.transform(F.filter(stretches, lambda b: lower(b) <= least * (1 + 1e-12)), lambda b: b["pts"]))
+
+    return F.element_at(F.transform(F.array(F.array_min(F.transform(stretches, upper))), open_), 1)
+
+
 def _nearest(cands: Column, x: Column, y: Column) -> Column:
     def d(p):
         ddx, ddy = p["x"] - x, p["y"] - y
@@ -106,10 +136,9 @@ def map_match(samples: DataFrame, points: DataFrame, cell_m: float = CELL_M, gro
     # One pipeline of left joins.  A level's join key is NULL once a sample is
     # matched, so coarser (larger) candidate lists are only fetched for the few
     # samples still unmatched, and each list is reduced to one struct at once.
-    for i, size in enumerate([*levels, None]):
+    for size in levels:
         need = F.col("_best").isNull()
-        kx = F.lit(0).cast("long") if size is None else _cell(x, size)
-        ky = F.lit(0).cast("long") if size is None else _cell(y, size)
+        kx, ky = _cell(x, size), _cell(y, size)
         t = candidate_table(pts, size).select(
             F.col("track_id").alias("_rt"), F.col("cx").alias("_rx"), F.col("cy").alias("_ry"),
             F.col("cands").alias("_c"),
@@ -119,9 +148,19 @@ def map_match(samples: DataFrame, points: DataFrame, cell_m: float = CELL_M, gro
         cond = (F.col("_lt") == F.col("_rt")) & (F.col("_lx") == F.col("_rx")) & (F.col("_ly") == F.col("_ry"))
         d = d.join(bc(t), cond, "left")
         d = d.withColumn("_b", _nearest(F.col("_c"), x, y))
-        ok = F.col("_b").isNotNull() & (F.lit(True) if size is None else F.col("_b.d2") <= F.lit(size * size))
+        ok = F.col("_b").isNotNull() & (F.col("_b.d2") <= F.lit(size * size))
         d = d.withColumn("_best", F.when(need & ok, F.col("_b")).otherwise(F.col("_best")))
         d = d.drop("_b", "_c", "_lt", "_lx", "_ly", "_rt", "_rx", "_ry")
+    salts = 1 if entries <= max_broadcast_entries else TREE_SALTS
+    tree = stretch_tree(pts).select(F.col("track_id").alias("_rt"), "stretches",
+                                    F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_rs"))
+    need = F.col("_best").isNull()
+    d = d.withColumns({"_lt": F.when(need, F.col("track_id")),
+                       "_ls": F.when(need, F.lit(0) if salts == 1 else F.floor(F.rand(7) * salts).cast("int"))})
+    d = d.join(bc(tree), (F.col("_lt") == F.col("_rt")) & (F.col("_ls") == F.col("_rs")), "left")
+    far = _nearest(candidates_by_bounds(F.col("stretches"), x, y), x, y)
+    d = d.withColumn("_best", F.coalesce("_best", F.when(F.col("stretches").isNotNull(), far)))
+    d = d.drop("_lt", "_ls", "_rt", "_rs", "stretches")
     return d.filter(F.col("_best").isNotNull()).withColumn("idx", F.col("_best.idx")).withColumn(
         "match_dist_m", F.sqrt(F.col("_best.d2"))
     ).drop("_best")

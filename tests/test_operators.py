@@ -96,6 +96,27 @@ def test_map_match_is_exact_including_far_samples(spark):
     assert got == _brute(samples, points)
 
 
+def test_far_samples_open_few_stretches_and_stay_exact(spark):
+    """Beyond all grids the tree decides, broadcast or not; many samples may share one far place."""
+    rnd = random.Random(6)
+    n = 900
+    points = [(i, 300 * math.cos(2 * math.pi * i / n) + rnd.random(), 120 * math.sin(4 * math.pi * i / n)) for i in range(n)]
+    samples = [(k, rnd.uniform(-9e4, 9e4), rnd.choice([-1, 1]) * rnd.uniform(3e3, 9e6)) for k in range(200)]
+    samples += [(200 + k, 5e4, 5e4) for k in range(50)] + [(300 + k, p[1], p[2] + 1.0) for k, p in enumerate(points[:40])]
+    pts = spark.createDataFrame([("trk", *p) for p in points] + [("one", 7, 3.0, 4.0)],
+                                "track_id string, idx int, x double, y double")
+    sdf = spark.createDataFrame([(*s, "trk") for s in samples] + [(900, 1e6, 1e6, "one"), (901, 1.0, 1.0, "no such track")],
+                                "seq long, x double, y double, track_id string")
+    want = _brute(samples, points) | {900: 7}
+    for limit in (M.MAX_BROADCAST_ENTRIES, 0):
+        got = {r.seq: r.idx for r in M.map_match(sdf, pts, cell_m=2.0, max_broadcast_entries=limit).collect()}
+        assert got == want
+    tree = M.stretch_tree(pts.where("track_id = 'trk'"))
+    opened = (sdf.where("seq < 250").crossJoin(F.broadcast(tree))
+              .select(F.size(M.candidates_by_bounds(F.col("stretches"), F.col("x"), F.col("y"))).alias("n")).collect())
+    assert max(r.n for r in opened) < n and sum(r.n for r in opened) / len(opened) < n / 3
+
+
 def _profile_loop(vmax, dists, a):
     v = list(vmax)
     n = len(v)
