@@ -1,7 +1,7 @@
 """Queries of the sequential stream operators (``streaming.ordered_state``).
 
-The table is delivered in disorder: its time span is cut in three, and of each third one half of
-the rows (by hash) comes a delivery late, mixed with the next third.  Every delivery is a run of its own,
+The table is delivered in disorder: its time span is cut in two, and of each half one half of
+the rows (by hash) comes a delivery late, mixed with what is next.  Every delivery is a run of its own,
 which goes on from the checkpoint of the one before.  The last delivery is a packet of another car,
 far ahead, that lets the watermark pass all others.
 """
@@ -29,7 +29,7 @@ from pitwall.streaming import jobs as S
 from pitwall.streaming import ordered_state as O
 from pitwall.streaming import sinks as K
 
-PARTS = 3
+PARTS = 2
 AHEAD_DAYS = 90
 DAY_US = 86_400_000_000
 LAP_GAP_DAYS, EXPIRE_DAYS = 12, 30
