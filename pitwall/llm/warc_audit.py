@@ -1,7 +1,8 @@
 """Merkle fixity audit of WARC replicas.
 
 ``write_warc`` writes records as ``.warc.gz`` files do, one gzip member a record.
-``hash_replica`` hashes each record's stored bytes and builds a tree over each file: the
+``hash_replica`` finds the members of any writer's files by inflating them, and the next header
+only after damage; it hashes each record's stored bytes and builds a tree over each file: the
 records that start within the same 64 KB are hashed together in order of their offsets,
 16 such ranges make a range of the next level, and so on up to the file's root.
 ``audit`` compares the roots of two replicas and goes down only where hashes differ; damage
@@ -32,8 +33,9 @@ from pitwall.session import scratch_path
 
 RANGE = 1 << 16
 FANOUT = 16
-#: Gzip header of a member written by zlib at level 1 without a time stamp.
-MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x04\x03"
+#: Fixed value: how a gzip member of deflated data begins.
+MAGIC = b"\x1f\x8b\x08"
+_FEED = 1 << 16
 
 _HASHES = "kind byte, shard int, level int, node long, start long, length long, page_id long, digest binary"
 _PAGE = re.compile(rb"WARC-Record-ID: <urn:page:(\d+)>")
@@ -77,6 +79,49 @@ def write_warc(pages: DataFrame, path: str, damage=None) -> None:
      .write.option("lineSep", "\x00").text(path))
 
 
+def _member_end(data: memoryview, at: int) -> int | None:
+    """Where the gzip member that begins at ``at`` ends; None if it can't be inflated or fails its check."""
+    z, fed = zlib.decompressobj(31), at
+    try:
+        while not z.eof:
+            if fed >= len(data):
+                return None
+            part = data[fed:fed + _FEED]
+            fed += len(part)
+            z.decompress(part)
+    except zlib.error:
+        return None
+    return fed - len(z.unused_data)
+
+
+def _begins(data: memoryview, at: int) -> bool:
+    """Whether a member's first part can be inflated (a chance match of three bytes can't)."""
+    if data[at + 3:at + 4].tobytes() > b"\x1f":  # bits that no header sets
+        return False
+    try:
+        zlib.decompressobj(31).decompress(data[at:at + _FEED], _FEED)
+    except zlib.error:
+        return False
+    return True
+
+
+def member_starts(content: bytes) -> list[int]:
+    """Places at which a file's members begin, whoever wrote them: a member is followed to its end, and
+    only where that fails the next header is looked for."""
+    data, starts, at = memoryview(content), [], 0
+    while 0 <= at < len(data):
+        if content.startswith(MAGIC, at):
+            starts.append(at)
+            end = _member_end(data, at)
+            if end is not None:
+                at = end
+                continue
+        at = content.find(MAGIC, at + 1)
+        while at >= 0 and not _begins(data, at):
+            at = content.find(MAGIC, at + 1)
+    return [0, *starts] if content and (not starts or starts[0]) else starts
+
+
 def _page_of(record: bytes) -> int | None:
     try:
         found = _PAGE.search(zlib.decompressobj(31).decompress(record[:1 << 12], 1024))
@@ -109,12 +154,7 @@ def _hash(batches):
     for batch in batches:
         for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
             data = content.as_buffer().to_pybytes()
-            starts, at = [], data.find(MEMBER)
-            while at >= 0:
-                starts.append(at)
-                at = data.find(MEMBER, at + len(MEMBER))
-            if data and (not starts or starts[0]):
-                starts.insert(0, 0)
+            starts = member_starts(data)
             records, pages = [], []
             for a, b in zip(starts, [*starts[1:], len(data)]):
                 records.append((a, b - a, hashlib.sha256(data[a:b]).digest()))

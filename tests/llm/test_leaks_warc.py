@@ -1,3 +1,6 @@
+import gzip
+import io
+import os
 import random
 import zlib
 
@@ -170,6 +173,55 @@ def test_audit_as_by_comparing_bytes(spark, monkeypatch):
     assert {r.shard for r in W.audit(a, whole).collect()} == {1}
 
 
+def foreign(rng, page, size):
+    """A record as other writers store it: name and time in the header, or another level, or two deflate blocks."""
+    body = f"WARC/1.0\r\nWARC-Record-ID: <urn:page:{page}>\r\n\r\n" + " ".join(words(rng, size)) + "\r\n\r\n"
+    out = io.BytesIO()
+    with gzip.GzipFile(f"page{page}.html" if page % 3 else "", "wb", compresslevel=page % 9 + 1, fileobj=out, mtime=page * 1000) as g:
+        g.write(body.encode()[:200])
+        if page % 2:
+            g.flush()
+        g.write(body.encode()[200:])
+    return out.getvalue()
+
+
+def test_members_of_other_writers_are_found():
+    rng = random.Random(12)
+    parts = [foreign(rng, p, rng.choice([0, 5, 300, 9000])) for p in range(50)]
+    parts[20] = gzip.compress(MAGIC_INSIDE)  # what looks like a header within stored bytes is none
+    starts = [sum(map(len, parts[:i])) for i in range(50)]
+    whole = b"".join(parts)
+    assert W.member_starts(whole) == starts
+    for hurt in (7, 20, 49):
+        for at in (4, len(parts[hurt]) // 2, len(parts[hurt]) - 6):  # name or time, data, check sum
+            bad = bytearray(whole)
+            bad[starts[hurt] + at] ^= 0x41
+            assert W.member_starts(bytes(bad)) == starts
+        gone = bytearray(whole)
+        gone[starts[hurt]:starts[hurt] + 3] = b"abc"  # without its header a record belongs to the one before
+        assert W.member_starts(bytes(gone)) == [s for s in starts if s != starts[hurt]]
+    assert W.member_starts(b"") == [] and W.member_starts(b"no member") == [0] and W.member_starts(b"x" + parts[0]) == [0, 1]
+    assert W.member_starts(whole[:-3]) == starts  # cut off
+
+
+MAGIC_INSIDE = bytes(random.Random(2).randrange(256) for _ in range(500)) + W.MAGIC * 40 + b"\x00" * 30
+
+
+def test_audit_of_another_writer_s_files(spark):
+    rng = random.Random(13)
+    parts = [foreign(rng, p, 40) for p in range(50)]
+    paths = [scratch_path(spark, "test-foreign") for _ in "ab"]
+    for path, hurt in zip(paths, (None, 33)):
+        out = [p if i != hurt else p[:len(p) // 2] + bytes([p[len(p) // 2] ^ 1]) + p[len(p) // 2 + 1:] for i, p in enumerate(parts)]
+        local = path.removeprefix("file:")
+        os.makedirs(local)
+        with open(f"{local}/part-00000.warc.gz", "wb") as f:
+            f.write(b"".join(out))
+    got = W.audit(*(W.hash_replica(spark, p) for p in paths)).collect()
+    assert [(r.start, r.length, r.page_id, r.change) for r in got] == [
+        (sum(map(len, parts[:33])), len(parts[33]), 33, "changed")]
+
+
 def test_nothing_to_audit(spark):
     empty = [W.hash_replica(spark, written(spark, pages_of(spark, 0))) for _ in "ab"]
     assert W.audit(*empty).count() == 0
