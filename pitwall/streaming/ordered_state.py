@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pitwall.operators.matching import GAP_LIMIT
 from pitwall.streaming.jobs import WATERMARK
 
-BLOCK = 128  # track points whose values are kept as one map entry
+BLOCK = 512  # track points whose values are kept as one map entry
 
 
 def _ship_by_value() -> None:
@@ -80,14 +80,19 @@ class InOrder(StatefulProcessor):
         frame = frame[frame["us"] // 1000 >= timerValues.getCurrentWatermarkInMs()]
         if len(frame):
             self.pending.appendList(_tuples(frame, self.schema))
-            self._wake([int(frame["us"].min()) // 1000 + 1, *self.handle.listTimers()])
+            # each call to the state is a round trip: a timer that is early enough stays
+            due, known = int(frame["us"].min()) // 1000 + 1, list(self.handle.listTimers())
+            if not known or due < min(known):
+                for t in known:
+                    self.handle.deleteTimer(t)
+                self.handle.registerTimer(due)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
-        held = pd.DataFrame(list(self.pending.get()), columns=self.columns) if self.pending.exists() else None
+        held = pd.DataFrame(list(self.pending.get()), columns=self.columns)
         again = []
-        if held is not None:
+        if len(held):
             now = (held["us"] // 1000 < mark).to_numpy()
             rest = held[~now]
             if len(rest):
@@ -99,13 +104,9 @@ class InOrder(StatefulProcessor):
                 yield from self.step(key, held[now].sort_values(["us", "seq"], kind="stable", ignore_index=True))
         out, when = self.alarm(key, mark)
         yield from out
-        self._wake(again + ([when] if when is not None else []))
-
-    def _wake(self, times: list[int]) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if times:
-            self.handle.registerTimer(min(times))
+        # the timer that rang was the only one
+        if again or when is not None:
+            self.handle.registerTimer(min(again + ([when] if when is not None else [])))
 
     def close(self) -> None:
         pass
@@ -135,7 +136,8 @@ class _Gate(InOrder):
 
     def step(self, key, rows):
         us = rows["us"].to_numpy(np.int64)
-        after = int(self.last.get()[0]) + self.period if self.last.exists() else int(us[0])
+        last = self.last.get()
+        after = int(last[0]) + self.period if last else int(us[0])
         kept, i = [], int(np.searchsorted(us, after))
         while i < len(us):
             kept.append(i)
@@ -174,7 +176,7 @@ class _Fusion(InOrder):
         rows = rows.sort_values(["us", "rank"], kind="stable")
         seq = rows.groupby("us")["seq"].max()
         ticks = rows[["us", *self.fields]].groupby("us").last()
-        before = self.carry.get() if self.carry.exists() else (None,) * len(self.fields)
+        before = self.carry.get() or (None,) * len(self.fields)
         full = pd.concat([pd.DataFrame([before], columns=self.fields).astype(object), ticks.astype(object)])
         with pd.option_context("future.no_silent_downcasting", True):
             full = full.where(full.notna(), None).ffill()
@@ -228,7 +230,7 @@ class _Trace:
     def _block(self, side: int, block: int) -> np.ndarray:
         at = (side, block)
         if at not in self.held:
-            found = self.state.getValue(at) if self.state.containsKey(at) else None
+            found = self.state.getValue(at)
             self.held[at] = np.array(found[0], dtype=np.float64) if found else np.full(BLOCK, np.nan)
         return self.held[at]
 
@@ -267,8 +269,7 @@ class _Ghost(InOrder):
 
     def step(self, key, rows):
         names = [p.split(" ")[0] for p in _META.split(", ")]
-        m = dict(zip(names, self.meta.get() if self.meta.exists()
-                     else (-1, 0, -1, False, None, 0, 0, 0, math.inf, False)))
+        m = dict(zip(names, self.meta.get() or (-1, 0, -1, False, None, 0, 0, 0, math.inf, False)))
         trace, out = _Trace(self.points), []
         for us, seq, lap, idx, speed, last_time in zip(*(rows[c].tolist() for c in self.columns)):
             if m["lap"] >= 0 and not m["closed"] and us - m["last_us"] > self.gap:
@@ -310,10 +311,11 @@ class _Ghost(InOrder):
 
     def alarm(self, key, watermark):
         """Closes a lap after ``gap`` without packets and forgets the car after ``expire`` more."""
-        if not self.meta.exists():
+        found = self.meta.get()
+        if found is None:
             return [], None
         names = [p.split(" ")[0] for p in _META.split(", ")]
-        m = dict(zip(names, self.meta.get()))
+        m = dict(zip(names, found))
         close_at = (m["last_us"] + self.gap) // 1000 + 1
         if watermark < close_at:
             return [], close_at

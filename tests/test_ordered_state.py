@@ -38,6 +38,9 @@ class Value:
 
 
 class Rows(Value):
+    def get(self):
+        return iter(self.value or [])
+
     def appendList(self, rows):
         self.value = (self.value or []) + list(rows)
 
