@@ -15,6 +15,8 @@ import pyarrow as pa
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 _SLICE_BYTES = 1_000_000
+#: A slice's hashes take some fifty times its bytes while shingles are made of them.
+_SHINGLE_BYTES = 200_000
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -45,8 +47,8 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return low, gap
 
 
-def text_slices(column: pa.Array | pa.ChunkedArray):
-    """``(first row, offsets, bytes)`` for runs of rows of about 1 MB; null counts as empty.
+def text_slices(column: pa.Array | pa.ChunkedArray, size: int = _SLICE_BYTES):
+    """``(first row, offsets, bytes)`` for runs of rows of about ``size`` bytes; null counts as empty.
     A longer row is a run of its own: texts are never cut."""
     chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
     row = 0
@@ -57,7 +59,7 @@ def text_slices(column: pa.Array | pa.ChunkedArray):
         data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
         i = 0
         while i < len(chunk):
-            j = max(i + 1, int(np.searchsorted(off, off[i] + _SLICE_BYTES, side="right")) - 1)
+            j = max(i + 1, int(np.searchsorted(off, off[i] + size, side="right")) - 1)
             yield row + i, off[i:j + 1] - off[i], data[off[i]:off[j]]
             i = j
         row += len(chunk)
@@ -92,7 +94,7 @@ def shingle_sets(column, k: int):
     shingle; a row without words, an empty text and null have none.
     """
     weights = [np.uint64(pow(0xC2B2AE3D27D4EB4F, i + 1, 1 << 64)) for i in range(k)]
-    for row, off, data in text_slices(column):
+    for row, off, data in text_slices(column, _SHINGLE_BYTES):
         words, at = word_hashes(off, data)
         n = len(words) - k + 1
         joined = np.zeros(max(n, 0), dtype=np.uint64)
