@@ -2,8 +2,8 @@
 
 The table is delivered in disorder: its time span is cut in two, and of each half one half of
 the rows (by hash) comes a delivery late, mixed with what is next.  Every delivery is a run of its own,
-which goes on from the checkpoint of the one before.  The last delivery is a packet of another car,
-far ahead, that lets the watermark pass all others.
+which goes on from the checkpoint of the one before.  The last delivery also has a packet of another
+car, far ahead, that lets the watermark pass all others once its batch is done.
 """
 
 from __future__ import annotations
@@ -61,8 +61,10 @@ def deliver(spark, sf_dir, name, build):
     base = scratch_path(spark, name)
     events = read_table(spark, sf_dir, "events")
     turns, delay = disorder(events, "ts", "event_id")
-    for i, due in enumerate([*turns, None]):
-        part = ahead(events, "ts", "user_id") if due is None else events.where(due)
+    for i, due in enumerate(turns):
+        part = events.where(due)
+        if i == PARTS:
+            part = part.unionByName(ahead(events, "ts", "user_id"))
         part.write.parquet(f"{base}/src/delivery={i:02d}")
         K.run_available_now(build(telemetry_from_events_stream(spark, f"{base}/src/*"), delay),
                             f"{base}/_ckpt", path=f"{base}/data", rocksdb=True)
@@ -88,9 +90,11 @@ def q_stream_sensor_fusion(spark, sf_dir):
     for name, t in tables.items():
         t.write.parquet(f"{base}/all/{name}")
     tables = {name: spark.read.schema(schemas[name]).parquet(f"{base}/all/{name}") for name in tables}
-    for i in range(PARTS + 2):
+    for i in range(PARTS + 1):
         for name, t in tables.items():
-            part = t.where(turns[i]) if i <= PARTS else ahead(t, "event_time", "car_id")
+            part = t.where(turns[i])
+            if i == PARTS:
+                part = part.unionByName(ahead(t, "event_time", "car_id"))
             part.write.parquet(f"{base}/src/{name}/delivery={i:02d}")
         sensors = {name: spark.readStream.schema(schemas[name]).parquet(f"{base}/src/{name}/*") for name in tables}
         K.run_available_now(O.sensor_fusion_stream(sensors, delay), f"{base}/_ckpt", path=f"{base}/data", rocksdb=True)
