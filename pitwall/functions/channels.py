@@ -68,7 +68,7 @@ def total_mass(fuel_kg) -> Column:
 
 
 def grip(distance_m) -> Column:
-    """Grip decays linearly with distance driven, floor 0.5."""
+    """Friction after ``distance_m`` on one set of tyres: a fixed loss a metre, never below ``MU_MIN``."""
     return F.greatest(F.lit(MU_MIN), F.lit(MU_BASE) - _c(distance_m) * F.lit(TIRE_WEAR_PER_M))
 
 
