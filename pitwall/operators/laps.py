@@ -23,56 +23,60 @@ LOW_FUEL_KG = 10.0
 ROUND = 6
 
 
-def _order() -> Column:
-    # first/last in packet-sequence (arrival) order: deterministic after any shuffle,
-    # and a plain LONG, so the aggregate stays a hash aggregate (a struct ordering
-    # would force a sort-based aggregate)
-    return F.col("seq")
+# What is gathered of each channel over a lap's samples; ``first`` and ``last`` go by ``ORDER``.
+GATHERED = {
+    "speed_kmh": ("mean", "least", "most"),
+    "throttle": ("mean",),
+    "brake": ("mean",),
+    "g_lat": ("most",),
+    "g_long": ("least", "most"),
+    "fuel_kg": ("first", "last"),
+    "tire_wear_pct": ("first", "most"),
+    "lap_time": ("most",),
+    "last_lap_time": ("last",),
+    "timestamp": ("first", "last"),
+    "event_time": ("least", "most"),
+}
 
 
 def lap_aggregates(order: Column | None = None) -> list[Column]:
-    """A1-A18 as aggregate expressions (shared by batch and streaming)."""
-    o = _order() if order is None else order
-    return [
-        F.avg("speed_kmh").alias("_avg_speed"),
-        F.max("speed_kmh").alias("max_speed_kmh"),
-        F.min("speed_kmh").alias("min_speed_kmh"),
-        F.avg("throttle").alias("_avg_throttle"),
-        F.avg("brake").alias("_avg_brake"),
-        F.sum((F.col("throttle") > HIGH_THROTTLE).cast("int")).alias("high_throttle_samples"),
-        F.max("g_lat").alias("max_g_lat"),
-        F.max("g_long").alias("max_g_long"),
-        F.min("g_long").alias("min_g_long"),
-        F.min_by("fuel_kg", o).alias("fuel_start_kg"),
-        F.max_by("fuel_kg", o).alias("fuel_end_kg"),
-        F.max("tire_wear_pct").alias("tire_wear_pct"),
-        F.min_by("tire_wear_pct", o).alias("tire_wear_start_pct"),
-        F.max("lap_time").alias("lap_time_s"),
-        F.max_by("last_lap_time", o).alias("last_lap_time_s"),
-        F.count(F.lit(1)).alias("sample_count"),
-        F.min_by("timestamp", o).alias("lap_start_timestamp"),
-        F.max_by("timestamp", o).alias("lap_end_timestamp"),
-        F.min("event_time").alias("_t0"),
-        F.max("event_time").alias("_t1"),
-    ]
+    """A1-A18 as mergeable aggregates ``<statistic>_<channel>``, for batch and streams alike.
+
+    The order is one long, the packet sequence: the aggregate stays a hash aggregate (a struct
+    would force a sort), and the result does not depend on a shuffle.
+    """
+    by = F.col(ORDER[0]) if order is None else order
+    make = {"mean": F.avg, "least": F.min, "most": F.max, "first": lambda c: F.min_by(c, by), "last": lambda c: F.max_by(c, by)}
+    gathered = [make[kind](channel).alias(f"{kind}_{channel}") for channel, kinds in GATHERED.items() for kind in kinds]
+    full = F.sum((F.col("throttle") > HIGH_THROTTLE).cast("int"))
+    return [F.count(F.lit(1)).alias("samples"), full.alias("full_throttle"), *gathered]
 
 
 def finish_lap_row(agg: DataFrame, keys: list[str], digits: int = ROUND) -> DataFrame:
-    """X1-X6 and the fixed 23-column lap row (after the key columns)."""
-    r = lambda c: F.round(c, digits)
-    out = (
-        agg.withColumn("avg_speed_kmh", r(F.col("_avg_speed")))
-        .withColumn("avg_throttle", r(F.col("_avg_throttle")))
-        .withColumn("avg_brake", r(F.col("_avg_brake")))
-        .withColumn("fuel_used_kg", F.col("fuel_start_kg") - F.col("fuel_end_kg"))
-        .withColumn("throttle_pct", F.col("high_throttle_samples") / F.col("sample_count") * 100)
-        # duration from event time in real milliseconds, whatever the raw unit was
-        .withColumn("lap_duration_ms", (F.unix_micros("_t1") - F.unix_micros("_t0")) / F.lit(1000.0))
-        .withColumn("fuel_per_lap", F.col("fuel_used_kg"))
-        .withColumn("tire_deg_rate", F.col("tire_wear_pct") - F.col("tire_wear_start_pct"))
-        .withColumn("aggression_index", r(F.col("_avg_throttle") * 50 + F.col("_avg_brake") * 50))
-    )
-    return out.select(*[k for k in keys if k != "lap_count"], *LAP_SUMMARY_COLUMNS)
+    """The fixed lap row (after the key columns) from what was gathered."""
+    g, rounded = F.col, lambda c: F.round(c, digits)
+    burnt = g("first_fuel_kg") - g("last_fuel_kg")
+    span_us = F.unix_micros("most_event_time") - F.unix_micros("least_event_time")
+    row = {
+        **{f"avg_{c}": rounded(g(f"mean_{c}")) for c in ("speed_kmh", "throttle", "brake")},
+        **{f"{side}_{c}": g(f"{kind}_{c}") for c in ("speed_kmh", "g_lat", "g_long")
+           for side, kind in (("max", "most"), ("min", "least")) if kind in GATHERED[c]},
+        **{f"lap_{end}_timestamp": g(f"{kind}_timestamp") for end, kind in (("start", "first"), ("end", "last"))},
+        **{f"fuel_{end}_kg": g(f"{kind}_fuel_kg") for end, kind in (("start", "first"), ("end", "last"))},
+        "fuel_used_kg": burnt,
+        "fuel_per_lap": burnt,
+        "throttle_pct": g("full_throttle") / g("samples") * 100,
+        "aggression_index": rounded(g("mean_throttle") * 50 + g("mean_brake") * 50),
+        "tire_wear_pct": g("most_tire_wear_pct"),
+        "tire_deg_rate": g("most_tire_wear_pct") - g("first_tire_wear_pct"),
+        "lap_time_s": g("most_lap_time"),
+        "last_lap_time_s": g("last_last_lap_time"),
+        # from event time, in real milliseconds whatever the packets' unit
+        "lap_duration_ms": span_us / F.lit(1000.0),
+        "sample_count": g("samples"),
+        "lap_count": g("lap_count"),
+    }
+    return agg.select(*[k for k in keys if k != "lap_count"], *[row[c].alias(c) for c in LAP_SUMMARY_COLUMNS])
 
 
 def lap_summary(tel: DataFrame, keys: tuple[str, ...] = ("car_id",), digits: int = ROUND) -> DataFrame:
