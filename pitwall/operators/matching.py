@@ -18,6 +18,8 @@ same joins run as shuffle joins.  No stage shuffles the samples when broadcastin
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,9 @@ MAX_BROADCAST_ENTRIES = 1_000_000
 # Copies of a track's tree that far samples are dealt to where it is too large to broadcast.
 TREE_SALTS = 32
 GAP_LIMIT = 500
+# Track points of a lap that are painted at a time, and samples of a batch.
+TRACE_BLOCK = 512
+TRACE_ROWS = 10_000
 ROUND = 6
 
 
@@ -267,54 +272,148 @@ def _trace_cells(matched: DataFrame, gap_limit: int, chunk_width: int) -> DataFr
     )
 
 
-def lap_trace(matched: DataFrame, gap_limit: int = GAP_LIMIT, chunk_width: int = SCAN_CHUNK) -> DataFrame:
+def _ship_by_value() -> None:
+    """Pickle this module's functions by value, so Python workers need not import pitwall."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _painted(keys: list[str], block: int, batch_rows: int):
+    """For ``mapInArrow`` over rows sorted by ``keys`` and sequence: paints each row's points ``lo..hi`` of
+    its block, a later row over earlier ones, and gives the runs of points that show one row.
+
+    ``role`` 0 is the lap itself, 1 its ghost; ``ghost_speed_kmh`` of a run is that of the ghost's
+    row there.  A group that goes on in the next batch is carried as its runs, at most ``block`` a role.
+    """
+
+    def paint(rows: pa.Table, role: int, group: np.ndarray, groups: int) -> np.ndarray:
+        mine = np.flatnonzero(rows["role"].to_numpy() == role)
+        lo, hi = rows["lo"].to_numpy()[mine], rows["hi"].to_numpy()[mine]
+        size = hi - lo + 1
+        ends = np.cumsum(size)
+        at = np.repeat(group[mine] * block + lo % block - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        shown = np.full(groups * block, -1, np.int64)
+        shown[at] = np.repeat(mine, size)
+        return shown
+
+    def runs(*sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last cell of each run in which no side changes."""
+        new = np.zeros(len(sides[0]), bool)
+        new[::block] = True
+        for s in sides:
+            new[1:] |= s[1:] != s[:-1]
+        first = np.flatnonzero(new)
+        return first, np.r_[first[1:], len(new)] - 1
+
+    def cut(rows: pa.Table, shown: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.Table:
+        """The rows shown in the runs, with the runs' points."""
+        keep = shown[first] >= 0
+        first, last = first[keep], last[keep]
+        found = rows.take(pa.array(shown[first]))
+        start = found["_block"].to_numpy() * block
+        for name, cell in (("lo", first), ("hi", last)):
+            at = found.schema.get_field_index(name)
+            found = found.set_column(at, found.schema.field(at), pa.array(start + cell % block))
+        return found
+
+    def closed(rows: pa.Table, own: np.ndarray, ghost: np.ndarray) -> list[pa.RecordBatch]:
+        first, last = runs(own, ghost)
+        keep = own[first] >= 0
+        beside = ghost[first[keep]]
+        speed = rows["speed_kmh"].combine_chunks().take(pa.array(beside, mask=beside < 0))
+        out = cut(rows, own, first, last)
+        at = out.schema.get_field_index("ghost_speed_kmh")
+        return out.set_column(at, out.schema.field(at), speed).to_batches()
+
+    def run(batches):
+        held = None
+        for whole in batches:
+            for at in range(0, whole.num_rows, batch_rows):
+                rows = pa.Table.from_batches([whole.slice(at, batch_rows)])
+                if held is not None:
+                    rows = pa.concat_tables([held, rows])
+                new = np.zeros(rows.num_rows, bool)
+                for k in keys:
+                    codes = rows[k].combine_chunks().dictionary_encode("encode").indices.to_numpy()
+                    new[1:] |= codes[1:] != codes[:-1]
+                group = np.cumsum(new)
+                n = int(group[-1]) + 1
+                own, ghost = paint(rows, 0, group, n), paint(rows, 1, group, n)
+                done = (n - 1) * block
+                if done:
+                    yield from closed(rows, own[:done], ghost[:done])
+                held = pa.concat_tables([cut(rows, s[done:], *runs(s[done:])) for s in (own, ghost)])
+        if held is not None and held.num_rows:
+            own, ghost = (paint(held, role, np.zeros(held.num_rows, np.int64), 1) for role in (0, 1))
+            yield from closed(held, own, ghost)
+
+    return run
+
+
+def _trace_runs(cells: DataFrame, block: int, batch_rows: int) -> DataFrame:
+    """Disjoint runs ``lo..hi`` of each (car, lap) with the values that show there.
+
+    ``cells`` are shuffled as they are, one row for each block of track points that a sample paints in; the
+    points themselves never are.  A task holds a batch and one block of a lap, whatever a lap's samples.
+    """
+    _ship_by_value()
+    keys = ["car_id", "lap_count", "_block"]
+    d = cells.withColumns({"lo": F.col("lo").cast("long"), "hi": F.col("hi").cast("long")}).withColumn(
+        "_block", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor(F.col("hi") / block))))
+    d = d.withColumns({"lo": F.greatest("lo", F.col("_block") * block),
+                       "hi": F.least("hi", F.col("_block") * block + (block - 1)),
+                       "ghost_speed_kmh": F.lit(None).cast("double")})
+    # a row's lap is found in the shuffle, its place in the lap by the sort
+    d = d.repartition(*keys).sortWithinPartitions(*keys, "seq")
+    return d.mapInArrow(_painted(keys, block, batch_rows), d.schema)
+
+
+def _points_of_runs(runs: DataFrame) -> DataFrame:
+    return runs.withColumn("idx", F.explode(F.sequence(F.col("lo").cast("int"), F.col("hi").cast("int"))))
+
+
+def lap_trace(matched: DataFrame, gap_limit: int = GAP_LIMIT, chunk_width: int = SCAN_CHUNK,
+              block: int = TRACE_BLOCK, batch_rows: int = TRACE_ROWS) -> DataFrame:
     """Distance-aligned trace per (car, lap): idx -> speed, throttle, brake.
 
     Within a lap (effective lap of H1), a sample less than ``gap_limit`` points from
     the previous one paints every index between them with its values, otherwise only
-    its own; a later sample overwrites an earlier one.  The explode is bounded by
-    ``gap_limit`` per sample; ``max_by`` on plain columns keeps the aggregate a
-    hash aggregate with map-side combining.
+    its own; a later sample overwrites an earlier one.  Samples are shuffled, not the points that they
+    paint: those are listed last, where they leave the task.
     """
-    c = _trace_cells(matched, gap_limit, chunk_width).withColumn("idx", F.explode(F.sequence("lo", "hi")))
-    return c.groupBy("car_id", "lap_count", "idx").agg(
-        *[F.max_by(v, "seq").alias(v) for v in ("speed_kmh", "throttle", "brake")]
-    )
+    c = _trace_cells(matched, gap_limit, chunk_width).withColumn("role", F.lit(0))
+    return _points_of_runs(_trace_runs(c, block, batch_rows)).select(
+        "car_id", "lap_count", "idx", "speed_kmh", "throttle", "brake")
 
 
 def lap_trace_vs_ghost(matched: DataFrame, gap_limit: int = GAP_LIMIT, chunk_width: int = SCAN_CHUNK,
-                       lap_chunk: int = 4096) -> DataFrame:
+                       lap_chunk: int = 4096, block: int = TRACE_BLOCK, batch_rows: int = TRACE_ROWS) -> DataFrame:
     """H5 + J5: each lap's trace next to the previous lap's (the ghost), by idx.
 
-    One pass: every sample's cells are emitted for its own lap and, tagged as ghost,
-    for the car's next lap; a single hash aggregation per (car, lap, idx) then picks
-    the latest own value and the latest ghost value.  No self-join of traces.
+    One pass: every sample goes to its own lap and, as ghost, to the car's next lap; both are painted
+    side by side, block by block of the track.  No self-join of traces, no shuffle of points.
     """
-    cells = _trace_cells(matched, gap_limit, chunk_width)
+    cells = _trace_cells(matched, gap_limit, chunk_width).drop("throttle", "brake")
     laps = cells.select("car_id", "lap_count").distinct()
     # lap-level (one row per car and lap): previous lap of every lap
     prev = ordered_scan(laps, ["car_id"], ["lap_count"], [Scan("ghost_lap", "lag", F.col("lap_count"))],
                         chunk_by="lap_count", chunk_width=lap_chunk)
     feeds = prev.filter(F.col("ghost_lap").isNotNull()).select(
         "car_id", F.col("ghost_lap").alias("lap_count"), F.col("lap_count").alias("_to"))
-    roles = cells.join(feeds, ["car_id", "lap_count"], "left")
+    roles = cells.join(prev, ["car_id", "lap_count"], "left").join(feeds, ["car_id", "lap_count"], "left")
     tagged = roles.select(
-        "car_id", "seq", "lo", "hi", "speed_kmh", "throttle", "brake",
+        "car_id", "seq", "lo", "hi", "speed_kmh",
         F.explode(F.array(
-            F.struct(F.col("lap_count").alias("lap"), F.lit(0).alias("role")),
-            F.struct(F.col("_to").alias("lap"), F.lit(1).alias("role")),
+            F.struct(F.col("lap_count").alias("lap"), F.lit(0).alias("role"), F.col("ghost_lap").alias("ghost_lap")),
+            F.struct(F.col("_to").alias("lap"), F.lit(1).alias("role"), F.col("lap_count").alias("ghost_lap")),
         )).alias("t"),
-    ).filter(F.col("t.lap").isNotNull())
-    c = tagged.withColumn("idx", F.explode(F.sequence("lo", "hi")))
-    own_seq = F.when(F.col("t.role") == 0, F.col("seq"))
-    ghost_seq = F.when(F.col("t.role") == 1, F.col("seq"))
-    agg = c.groupBy("car_id", F.col("t.lap").alias("lap_count"), "idx").agg(
-        F.max_by("speed_kmh", own_seq).alias("speed_kmh"),
-        F.max_by("speed_kmh", ghost_seq).alias("ghost_speed_kmh"),
-        F.max(own_seq).alias("_own"),
-    )
-    out = agg.filter(F.col("_own").isNotNull()).join(prev, ["car_id", "lap_count"], "left")
-    return out.select(
+    ).filter(F.col("t.lap").isNotNull()).select(
+        "car_id", F.col("t.lap").alias("lap_count"), "seq", "lo", "hi", F.col("t.role").alias("role"),
+        F.col("t.ghost_lap").alias("ghost_lap"), "speed_kmh")
+    return _points_of_runs(_trace_runs(tagged, block, batch_rows)).select(
         "car_id", "lap_count", "idx", "speed_kmh", "ghost_lap", "ghost_speed_kmh",
         (F.col("speed_kmh") - F.col("ghost_speed_kmh")).alias("speed_delta"),
     )
