@@ -295,3 +295,72 @@ def test_fusion_needs_the_least_watermark(spark):
             O.sensor_fusion_stream({"a": spark.readStream.format("rate").load()})
     finally:
         spark.conf.unset("spark.sql.streaming.multipleWatermarkPolicy")
+
+
+class Counted(Handle):
+    """Counts the state objects' calls that write."""
+
+    calls = 0
+
+    def _state(self, kind, name):
+        held = super()._state(kind, name)
+        for name in ("appendList", "put", "update"):
+            if hasattr(held, name) and not hasattr(getattr(held, name), "counted"):
+                def call(*a, real=getattr(held, name)):
+                    Counted.calls += 1
+                    return real(*a)
+
+                call.counted = True
+                setattr(held, name, call)
+        return held
+
+
+def many_cars(rng, cars, n):
+    us = sorted(rng.sample(range(10**7, 10**8), n))
+    return pd.DataFrame({"car_id": [rng.randrange(cars) for _ in us], "us": us, "seq": range(n),
+                         "v": [rng.random() if rng.random() < 0.7 else None for _ in us]})
+
+
+def drained(make, frame, cut=6 * 10**7):
+    """Two batches, each drained, through a bucket that holds all cars; and one car by itself."""
+    handle, out = Counted(), []
+    Counted.calls = 0
+    for part, mark in ((frame[frame.us < cut], cut // 1000), (frame[frame.us >= cut], 10**9)):
+        p = make()
+        p.init(handle)
+        p.handleInputRows((0,), iter([part.sample(frac=1, random_state=1)]), SimpleNamespace(getCurrentWatermarkInMs=lambda: 0))
+        handle.timers.clear()
+        out += p.handleExpiredTimer((0,), SimpleNamespace(getCurrentWatermarkInMs=lambda: mark), None)
+    return pd.concat(out, ignore_index=True).sort_values("seq", ignore_index=True), Counted.calls
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_bucket_keeps_its_cars_apart_in_few_calls(seed):
+    """The calls to the state don't grow with the cars: state kept by car took one or more for each."""
+    frame = many_cars(random.Random(seed), 60, 900)
+    fields = T.StructType([T.StructField("v", T.DoubleType())])
+    ranked = frame.assign(rank=0)
+    for rows, make in (
+            (frame, lambda: O._Gate(schema_of(frame, ("car_id",)), 900_000, "car_id")),
+            (ranked, lambda: O._Fusion(schema_of(ranked[["car_id", "us", "seq", "rank", "v"]], ("car_id", "rank")), fields, "car_id"))):
+        got, calls = drained(make, rows)
+        alone = pd.concat([drained(make, rows[rows.car_id == c])[0] for c in rows.car_id.unique()])
+        pd.testing.assert_frame_equal(got, alone.sort_values("seq", ignore_index=True))
+        assert calls <= 8 and len(got) > 200
+
+
+def test_ghosts_of_a_bucket_equal_those_of_each_car():
+    rng = random.Random(4)
+    frame = many_cars(rng, 40, 1200).drop(columns="v")
+    frame = frame.assign(lap=frame.us // 2 * 10**-7, idx=[None if rng.random() < 0.1 else rng.randrange(1500) for _ in range(1200)],
+                         speed_kmh=[float(rng.randint(50, 300)) for _ in range(1200)], last_lap_time=80.0)
+    frame["lap"] = frame["lap"].astype("int64")
+    schema = T.StructType([*schema_of(frame[["car_id", "us", "seq", "lap"]], ("car_id", "lap")),
+                           T.StructField("idx", T.IntegerType()), T.StructField("speed_kmh", T.DoubleType()),
+                           T.StructField("last_lap_time", T.DoubleType())])
+    make = lambda: O._Ghost(schema, 500, 10**7, 10**7)
+    order = ["car_id", "us", "kind", "lap"]
+    got = drained(make, frame)[0].sort_values(order, ignore_index=True)
+    alone = pd.concat([drained(make, frame[frame.car_id == c])[0] for c in frame.car_id.unique()])
+    pd.testing.assert_frame_equal(got, alone.sort_values(order, ignore_index=True), check_dtype=False)
+    assert (got.kind == "sample").sum() == frame.idx.notna().sum() and got.ghost_speed_kmh.notna().any()
