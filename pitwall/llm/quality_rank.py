@@ -7,9 +7,12 @@ of the training documents' worths, the one that tells their labels apart best, a
 to 0..1 so that the cut lies at 0.7.
 
 Features are counts of character kinds, word lengths and repetitions, each as a piecewise
-linear function with knots at quantiles of the training sample.  The model is fitted on at most
-``SAMPLE`` documents of each label, chosen by a hash of their ids, and ``PAIRS`` pairs of
-them; everything else covers all rows.
+linear function with knots at quantiles of the training documents.  They are taken from each text once
+and saved.  Knots, scales, weights and cut come from all labelled documents: the documents of each label are
+numbered in order of a hash of their ids, each one of the commoner label is paired with the next one of
+the rarer label (turn by turn, until there are ``PAIRS`` pairs at least), and each step of the
+fit is a sum over all pairs.  The driver holds such sums, never rows; the cut's place is exact up to
+documents of one of ``CELLS`` cells of worth.
 
 Defined cases: null and empty texts have features of no characters and are scored like any
 other; a label of null, or of a document that isn't there, is not used; a document with several
@@ -22,18 +25,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitwall.llm.common import held, released, save, ship, small, table
 from pitwall.llm.shingles import mix64, text_slices, word_hashes
 
-#: Labelled documents of each label that the model is fitted on, and pairs of them.
-SAMPLE = 3000
+#: Fewer pairs than this are made only where the labels give no more.
 PAIRS = 10_000
+#: Cells of worth between which the cut may lie.
+CELLS = 1 << 16
+#: Documents of the rarer label up to which they are broadcast to be paired.
+PAIRED_ROWS = 20_000
 KNOTS = (0.02, 0.1, 0.25, 0.5, 0.75, 0.9, 0.98)
 CUT = 0.7
-SEED = 11
 
 #: The character kinds that are counted (bytes of UTF-8).
 KINDS = (
@@ -104,47 +109,128 @@ def expand(x: np.ndarray, knots: np.ndarray, scale: np.ndarray) -> np.ndarray:
     return np.concatenate(parts, axis=2).reshape(len(x), -1) / scale
 
 
-def fit_pairs(better: np.ndarray, worse: np.ndarray, penalty: float = 1e-3, rounds: int = 15) -> np.ndarray:
-    """Bradley-Terry weights from rows preferred to rows, by Newton's method on the logistic loss."""
-    d = better - worse
-    w = np.zeros(d.shape[1])
+def _matrix(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def total(rows: DataFrame, vector) -> np.ndarray:
+    """Sum of ``vector(batch)`` over all batches of ``rows``: added up in each task, then by Spark."""
+    def run(batches):
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                held = vector(batch) if held is None else held + vector(batch)
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(held)), pa.int32()), pa.array(held)], names=["at", "v"])
+
+    found = rows.mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros(found.num_rows)
+    out[found.column("at").to_numpy()] = found.column("v").to_numpy()
+    return out
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``label, x, place``: the rows of each label from 0, in order of ``h``; counted by slices of ``h``,
+    so no task sees a whole label."""
+    rows = rows.withColumn("slice", F.shiftrightunsigned("h", 52))
+    before = Window.partitionBy("label").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = rows.groupBy("label", "slice").agg(F.count(F.lit(1)).alias("n")).select(
+        "label", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    own = Window.partitionBy("label", "slice").orderBy("h", "x")
+    return rows.withColumn("nth", F.row_number().over(own) - 1).join(F.broadcast(slices), ["label", "slice"]).select(
+        "label", "x", (F.col("first") + F.col("nth")).alias("place"))
+
+
+def paired(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """``better, worse``: every document of ``rows`` in a pair with one of the other label."""
+    rare = 0 if counts[0] <= counts[1] else 1
+    turns = min(counts[rare], -(-PAIRS // counts[1 - rare]))
+    placed = save(numbered(rows), "placed")
+    few = placed.where(F.col("label") == rare).select(F.col("x").alias("few"), F.col("place").alias("at"))
+    many = placed.where(F.col("label") != rare).select(F.col("x").alias("many"), F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(turns - 1)), lambda t: (F.col("place") + t) % counts[rare])).alias("at"))
+    both = many.join(small(few, PAIRED_ROWS), "at")
+    return both.select(F.col("few" if rare else "many").alias("better"), F.col("many" if rare else "few").alias("worse"))
+
+
+def _slopes(d: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Number, gradient and curvature of the logistic loss of the differences ``d``, as one vector."""
+    p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
+    return np.r_[float(len(d)), -(d.T @ p), ((d * (p * (1 - p))[:, None]).T @ d).ravel()]
+
+
+def _newton(slopes, size: int, penalty: float, rounds: int) -> np.ndarray:
+    w = np.zeros(size)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
-        gradient = -(d.T @ p) / len(d) + penalty * w
-        curve = (d * (p * (1 - p))[:, None]).T @ d / len(d) + penalty * np.eye(len(w))
+        found = slopes(w)
+        gradient = found[1:size + 1] / found[0] + penalty * w
+        curve = found[size + 1:].reshape(size, size) / found[0] + penalty * np.eye(size)
         step = np.linalg.solve(curve, gradient)
-        w -= step
+        w = w - step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def best_cut(worth: np.ndarray, label: np.ndarray) -> float:
-    """The quantile of the worths between which and the next the labels part best: the
-    middle of the widest gap among cuts of the same balanced accuracy."""
-    order = np.argsort(worth, kind="stable")
-    w, y = worth[order], label[order]
-    right = np.cumsum(y == 0) / max(1, (y == 0).sum()) + 1 - np.cumsum(y == 1) / max(1, (y == 1).sum())
-    right, gaps = right[:-1], w[1:] - w[:-1]
+def fit_pairs(better: np.ndarray, worse: np.ndarray, penalty: float = 1e-3, rounds: int = 15) -> np.ndarray:
+    """Bradley-Terry weights from rows preferred to rows, by Newton's method on the logistic loss."""
+    d = better - worse
+    return _newton(lambda w: _slopes(d, w), d.shape[1], penalty, rounds)
+
+
+def fit_all(pairs: DataFrame, knots: np.ndarray, scale: np.ndarray, penalty: float = 1e-3, rounds: int = 15) -> np.ndarray:
+    """``fit_pairs`` of the features of ``pairs(better, worse)``; each round is one pass over all of them."""
+    def slopes(w):
+        def parts(batch):
+            better, worse = (expand(_matrix(batch.column(c)), knots, scale) for c in ("better", "worse"))
+            return _slopes(better - worse, w)
+
+        return total(pairs, parts)
+
+    return np.round(_newton(slopes, len(scale), penalty, rounds), 9)  # sums are added in no fixed order
+
+
+def best_cut(worths: DataFrame, mean: float, spread: float) -> float:
+    """The worth at which the labels part best: the middle of the widest gap between neighbouring cells
+    among those of the same balanced accuracy.  Cells are even in the logistic of the worth."""
+    at = F.lit(float(CELLS)) / (F.lit(1.0) + F.exp(-(F.col("worth") - mean) / spread))
+    cells = worths.groupBy(F.least(F.floor(at), F.lit(CELLS - 1)).alias("cell")).agg(
+        F.sum("label").alias("good"), F.count(F.lit(1)).alias("n"), F.min("worth").alias("low"), F.max("worth").alias("high"))
+    c = cells.toArrow().sort_by("cell")
+    good, n, low, high = (c.column(name).to_numpy() for name in ("good", "n", "low", "high"))
+    if len(n) < 2:
+        return mean
+    bad = n - good
+    right = (np.cumsum(bad) / bad.sum() + 1 - np.cumsum(good) / good.sum())[:-1]
+    gaps = low[1:] - high[:-1]
     near = np.flatnonzero(right >= right.max() - 1e-12)
     i = near[np.argmax(gaps[near])]
-    return float((w[i] + w[i + 1]) / 2)
+    return float((high[i] + low[i + 1]) / 2)
 
 
-def train(x: np.ndarray, label: np.ndarray) -> dict | None:
-    """The model: knots, scales, weights, cut and spread of the worths."""
-    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    if not len(good) or not len(bad):
+def train(rows: DataFrame) -> dict | None:
+    """The model: knots, scales, weights, cut and spread of the worths, from all of ``rows(label, h, x)``."""
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(counts) < 2:
         return None
-    knots = np.quantile(x, KNOTS, axis=0).T
-    raw = expand(x, knots, np.ones(x.shape[1] * (len(KNOTS) + 1)))
-    scale = np.where(raw.std(axis=0) > 1e-12, raw.std(axis=0), np.inf)
-    z = raw / scale
-    rng = np.random.default_rng(SEED)
-    w = fit_pairs(z[good[rng.integers(0, len(good), PAIRS)]], z[bad[rng.integers(0, len(bad), PAIRS)]])
-    worth = z @ w
-    cut = best_cut(worth, label)
-    return {"knots": knots, "scale": scale, "w": w, "cut": cut, "spread": max(1e-9, float(np.std(worth)))}
+    quantiles = rows.agg(*[F.percentile_approx(F.col("x")[i], list(KNOTS), 10_000).alias(f"x{i}")
+                           for i in range(FEATURES)]).first()
+    knots = np.array(quantiles, dtype=float)
+    n, ones = sum(counts.values()), np.ones(FEATURES * (len(KNOTS) + 1))
+    mean = total(rows, lambda b: expand(_matrix(b.column("x")), knots, ones).sum(axis=0)) / n
+    std = np.sqrt(total(rows, lambda b: ((expand(_matrix(b.column("x")), knots, ones) - mean) ** 2).sum(axis=0)) / n)
+    scale = np.where(std > 1e-12, std, np.inf)
+    w = fit_all(save(paired(rows, counts), "pairs"), knots, scale)
+
+    def worth(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column("label"), pa.array(expand(_matrix(b.column("x")), knots, scale) @ w)], names=["label", "worth"])
+
+    worths = save(rows.select("label", "x").mapInArrow(worth, "label int, worth double"), "worths")
+    middle, spread = worths.agg(F.avg("worth"), F.stddev_pop("worth")).first()
+    spread = max(1e-9, float(spread))
+    return {"knots": knots, "scale": scale, "w": w, "cut": best_cut(worths, float(middle), spread), "spread": spread}
 
 
 def score(x: np.ndarray, model: dict | None) -> np.ndarray:
@@ -154,19 +240,19 @@ def score(x: np.ndarray, model: dict | None) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(3 * worth + np.log(CUT / (1 - CUT)), -500, 500)))
 
 
-def _sampled(batches):
+def _featured(batches):
     for batch in batches:
         x = features(batch.column("text"))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.array(list(x), pa.list_(pa.float64()))], names=["label", "x"])
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * FEATURES, pa.int32()), pa.array(x.ravel()))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), lists], names=["doc_id", "th", "x"])
 
 
 def _scored(model):
     def run(batches):
         for batch in batches:
-            s = score(features(batch.column("text")), model.value)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "text"), pa.array(s)],
-                                             names=[*(c for c in batch.schema.names if c != "text"), "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("th"), pa.array(score(_matrix(batch.column("x")), model.value))],
+                names=["doc_id", "th", "score"])
 
     return run
 
@@ -179,27 +265,24 @@ def sample_of(labels: DataFrame, label: str, training: Column, most: int) -> Dat
     return parts[0].unionByName(parts[1]).distinct()
 
 
-def fit(documents: DataFrame, labels: DataFrame, held_out: Column) -> dict | None:
-    """Fit the model on rows of ``labels(doc_id, quality)`` for which ``held_out`` (an
-    expression over ``doc_id``) is false."""
-    ids = small(save(sample_of(labels, "quality", ~held_out, SAMPLE).withColumnRenamed("doc_id", "label_id"), "sample"))
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = docs.join(ids, F.col("doc_id") == F.col("label_id")).select("label", "text")
-    found = rows.mapInArrow(_sampled, "label int, x array<double>").toArrow()
-    x = np.array(found.column("x").to_pylist(), dtype=float).reshape(-1, FEATURES)
-    label = found.column("label").to_numpy()
-    order = np.lexsort((*x.T, label))  # the same model whatever order the rows come in
-    return train(x[order], label[order])
+def fit(featured: DataFrame, labels: DataFrame, held_out: Column) -> dict | None:
+    """Fit the model on ``featured(doc_id, x)`` by all rows of ``labels(doc_id, quality)`` for which
+    ``held_out`` (an expression over ``doc_id``) is false."""
+    ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
+    ids = ids.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out).distinct()
+    rows = featured.select(F.col("doc_id").alias("id"), "x").join(ids, F.col("id") == F.col("doc_id"))
+    return train(save(rows.select("label", F.xxhash64("doc_id").alias("h"), "x"), "training"))
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame, held_out: Column | None = None) -> DataFrame:
     """``doc_id, th, score`` for every row of ``documents(doc_id, text)``; ``th`` is a hash of its text."""
     ship()
-    model = fit(documents, labels, F.lit(False) if held_out is None else held_out)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
     text = F.col("text").cast("string")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    return docs.mapInArrow(_scored(shared), "doc_id long, th long, score double")
+    featured = save(docs.mapInArrow(_featured, "doc_id long, th long, x array<double>"), "features")
+    model = fit(featured, labels, F.lit(False) if held_out is None else held_out)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    return featured.mapInArrow(_scored(shared), "doc_id long, th long, score double")
 
 
 def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:

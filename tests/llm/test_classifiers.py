@@ -47,6 +47,25 @@ def labelled(spark, rng):
     return docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, text string"), rows
 
 
+@pytest.mark.parametrize("good,bad", [(300, 7), (5, 11_000)])
+def test_every_labelled_document_is_fitted_on(spark, good, bad):
+    """Before, at most 3,000 documents of each label were."""
+    rows = spark.range(good + bad).select(
+        (F.col("id") < good).cast("int").alias("label"), F.xxhash64("id").alias("h"), F.array(F.col("id").cast("double")).alias("x"))
+    pairs = Q.paired(rows, {1: good, 0: bad}).select(F.col("better")[0].alias("b"), F.col("worse")[0].alias("w"))
+    n, better, worse = pairs.agg(F.count("*"), F.count_distinct("b"), F.count_distinct("w")).first()
+    assert (better, worse) == (good, bad) and n >= min(Q.PAIRS, good * bad)
+    assert pairs.where(F.col("b") >= good).count() == 0 and pairs.where(F.col("w") < good).count() == 0
+    assert Q.total(rows, lambda b: np.array([float(b.num_rows)])).tolist() == [good + bad]
+
+
+def test_cut_counts_every_document(spark):
+    worths = spark.range(20_000).select((F.col("id") >= 8_000).cast("int").alias("label"), (
+        F.col("id") / 100 + F.when(F.col("id") >= 8_000, 10).otherwise(0)).alias("worth"))
+    mean, spread = worths.agg(F.avg("worth"), F.stddev_pop("worth")).first()
+    assert abs(Q.best_cut(worths, mean, spread) - (79.99 + 90) / 2) < 1e-9
+
+
 def test_quality_of_odd_rows(spark):
     docs, labels, rows = labelled(spark, random.Random(6))
     got = Q.quality_scores(docs, labels, F.col("doc_id") % 4 == 2).collect()
