@@ -69,16 +69,53 @@ def _letters() -> np.ndarray:
     return out
 
 
+class _Units:
+    """Byte strings one after another in ``flat``, with their lengths."""
+
+    def __init__(self, flat: np.ndarray, lengths: np.ndarray):
+        self.flat, self.lengths = flat, lengths
+        self.starts = np.cumsum(lengths) - lengths
+
+    @classmethod
+    def of(cls, units: list[bytes]) -> _Units:
+        return cls(np.frombuffer(b"".join(units), np.uint8), np.array([len(u) for u in units], np.int64))
+
+    def __len__(self) -> int:
+        return len(self.lengths)
+
+    def spans(self, row: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> _Units:
+        """Of each of the rows so many bytes from a place in it."""
+        return _Units(self.flat[_places(self.starts[row] + first, lengths)], lengths)
+
+    def padded(self) -> np.ndarray:
+        """Bytes of each unit in a row, zero beyond its end, lower-cased."""
+        out = np.zeros((len(self), int(self.lengths.max(initial=1))), np.uint8)
+        out[np.arange(out.shape[1]) < self.lengths[:, None]] = self.flat
+        out[(out >= 65) & (out <= 90)] += 32
+        return out
+
+
 def _padded(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of each unit in a row, zero beyond its end, lower-cased; and the lengths."""
-    lengths = np.array([len(u) for u in units], np.int64)
-    out = np.zeros((len(units), int(lengths.max(initial=1))), np.uint8)
-    flat = np.frombuffer(b"".join(units), np.uint8)
-    row = np.repeat(np.arange(len(units)), lengths)
-    out[row, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
-    upper = (out >= 65) & (out <= 90)
-    out[upper] += 32
-    return out, lengths
+    found = _Units.of(units)
+    return found.padded(), found.lengths
+
+
+def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of runs of so many elements from each start."""
+    return np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
+def _marked(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, n: int = 1) -> _Units:
+    """A unit for each ``first``: the mark, and ``n`` words from there with a space between them."""
+    size = (ends - starts)[first[:, None] + np.arange(n)]
+    lengths = size.sum(axis=1) + n
+    flat = np.full(int(lengths.sum()), 32, np.uint8)
+    at = np.cumsum(lengths) - lengths
+    flat[at] = ord(MARK)
+    for k in range(n):
+        flat[_places(at + 1, size[:, k])] = data[_places(starts[first + k], size[:, k])]
+        at = at + 1 + size[:, k]
+    return _Units(flat, lengths)
 
 
 def subsequence_kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -110,6 +147,20 @@ def own_kernel(s: np.ndarray) -> np.ndarray:
     return subsequence_kernel(s, s)
 
 
+def least_own_kernel(s: np.ndarray) -> np.ndarray:
+    """What the pairs of each subsequence with itself, place by place, add to the own kernel: a
+    lower bound of it, as all pairs add something."""
+    letter = _letters()
+    squared = np.where(letter, LETTER_GAP, OTHER_GAP) ** 2
+    ended, total = np.zeros((2, len(s))), np.zeros(len(s))
+    for i in range(s.shape[1]):
+        on, gap = letter[s[:, i]], squared[s[:, i]]
+        total += np.where(on, ended[1], 0.0)
+        ended[1] = ended[1] * gap + np.where(on, ended[0], 0.0)
+        ended[0] = ended[0] * gap + on
+    return total
+
+
 def _letter_windows(s: np.ndarray, width: int, step: int) -> tuple[np.ndarray, np.ndarray]:
     """``(row, bytes)`` of windows of so many letters of the rows of ``s`` that have more; the
     last one of a row ends with its last letter."""
@@ -149,10 +200,10 @@ class Landmarks:
         k = subsequence_kernel(self.bytes[i], self.bytes[j]).reshape(m, m)
         return k / np.sqrt(np.outer(self.own, self.own))
 
-    def _short(self, units: list[bytes]) -> np.ndarray:
+    def _short(self, units: _Units) -> np.ndarray:
         """Kernels of units of up to 64 bytes: a row for each."""
         out = np.zeros((len(units), len(self.strings)), np.float32)
-        s, lengths = _padded(units)
+        s, lengths = units.padded(), units.lengths
         for a in range(0, len(units), 20_000):
             part = s[a:a + 20_000, :int(lengths[a:a + 20_000].max(initial=1))]
             row, z = np.nonzero(self.common(part) >= self.need[None, :])
@@ -183,31 +234,43 @@ class Landmarks:
         return self.lengths[None, :] - np.bitwise_count(left)
 
     def _pairs(self, s: np.ndarray, row: np.ndarray, z: np.ndarray) -> np.ndarray:
-        """Kernels of rows of ``s`` with landmarks, pair by pair, in parts of bounded memory."""
-        hot, at = np.unique(row, return_inverse=True)
-        own, k = np.zeros(len(hot)), np.zeros(len(row))
-        step = max(1, _CELLS // s.shape[1] ** 2)
-        for a in range(0, len(hot), step):
-            own[a:a + step] = own_kernel(s[hot[a:a + step]])
+        """Kernels of rows of ``s`` with landmarks, pair by pair, in parts of bounded memory.  A row's
+        own kernel, which takes most of the work, is made only where its lower bound leaves a
+        kernel of ``FLOOR`` possible."""
+        k = np.zeros(len(row))
         step = max(1, _CELLS // (s.shape[1] * self.bytes.shape[1]))
         for a in range(0, len(row), step):
             k[a:a + step] = subsequence_kernel(s[row[a:a + step]], self.bytes[z[a:a + step]])
-        k /= np.sqrt(np.maximum(own[at], 1e-12) * self.own[z])
+        some = np.unique(row)
+        least = np.zeros(len(s))
+        least[some] = least_own_kernel(s[some])
+        able = k >= FLOOR * np.sqrt(np.maximum(least[row], 1e-12) * self.own[z]) * (1 - 1e-9)
+        out, k = np.zeros(len(row)), k[able]
+        hot, at = np.unique(row[able], return_inverse=True)
+        own = np.zeros(len(hot))
+        step = max(1, _CELLS // s.shape[1] ** 2)
+        for a in range(0, len(hot), step):
+            own[a:a + step] = own_kernel(s[hot[a:a + step]])
+        k /= np.sqrt(np.maximum(own[at], 1e-12) * self.own[z[able]])
         k[k < FLOOR] = 0
-        return k
+        out[able] = k
+        return out
 
-    def kernels(self, units: list[bytes]) -> np.ndarray:
+    def kernels(self, units: list[bytes] | _Units) -> np.ndarray:
         """A row of kernels for each unit, in groups of similar length."""
-        pieces, owner = [], []
-        for i, u in enumerate(units):
-            cut = [u] if len(u) <= WINDOW else [u[a:a + WINDOW] for a in range(0, len(u) - WINDOW // 2, WINDOW // 2)]
-            pieces += cut
-            owner += [i] * len(cut)
+        units = units if isinstance(units, _Units) else _Units.of(units)
+        half = WINDOW // 2
+        windows = np.where(units.lengths > WINDOW, -(-(units.lengths - half) // half), 1)
+        owner = np.repeat(np.arange(len(units)), windows)
+        first = (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)) * half
+        lengths = np.where(windows[owner] > 1, np.minimum(units.lengths[owner] - first, WINDOW), units.lengths[owner])
         out = np.zeros((len(units), len(self.strings)), np.float32)
-        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
+        order = np.argsort(lengths, kind="stable")
         for a in range(0, len(order), 20_000):
             part = order[a:a + 20_000]
-            np.maximum.at(out, [owner[i] for i in part], self._short([pieces[i] for i in part]))
+            found = self._short(units.spans(owner[part], first[part], lengths[part]))
+            hot = np.flatnonzero(found.any(axis=1))
+            np.maximum.at(out, owner[part[hot]], found[hot])
         return out
 
 
@@ -222,15 +285,15 @@ class Reader:
         self.seen, self.code = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.rows = np.zeros((0, len(self.landmarks.strings)), np.float32)
 
-    def _codes(self, hashes: np.ndarray, unit) -> np.ndarray:
-        """A unit's row in ``rows``, -1 without a kernel; ``unit(i)`` gives the bytes of one."""
+    def _codes(self, hashes: np.ndarray, units) -> np.ndarray:
+        """A unit's row in ``rows``, -1 without a kernel; ``units(places)`` gives the bytes of some."""
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.seen, distinct)
         new = np.ones(len(distinct), bool)
         inside = at < len(self.seen)
         new[inside] = self.seen[at[inside]] != distinct[inside]
         if new.any():
-            k = self.landmarks.kernels([unit(i) for i in first[new].tolist()])
+            k = self.landmarks.kernels(units(first[new]))
             hot = k.any(axis=1)
             code = np.full(len(k), -1, np.int64)
             code[hot] = len(self.rows) + np.arange(hot.sum())
@@ -243,7 +306,7 @@ class Reader:
     def _joins(self, words, starts, ends, row, sentence, data):
         """``(first word, code)`` of neighbouring words that may be pieces of one; the sum of
         their words' common subsequences with a landmark bounds that of the join."""
-        mark, most = MARK.encode(), self.landmarks.joined
+        most = self.landmarks.joined
         marked = self.landmarks.bytes[:, 0] == ord(MARK)
         before = np.r_[0, np.cumsum(ends - starts)]
 
@@ -257,10 +320,10 @@ class Reader:
             return
         used = np.unique(np.r_[pairs, pairs + 1])
         _, first, inverse = np.unique(words[used], return_index=True, return_inverse=True)
-        short = [mark + data[starts[i]:ends[i]].tobytes() for i in used[first].tolist()]
+        first = used[first]
         # of a word within a join the mark does not count
-        common = np.concatenate([self.landmarks.common(_padded(short[a:a + 20_000])[0])
-                                 for a in range(0, len(short), 20_000)]) - marked
+        common = np.concatenate([self.landmarks.common(_marked(data, starts, ends, first[a:a + 20_000]).padded())
+                                 for a in range(0, len(first), 20_000)]) - marked
         common = common.astype(np.int8)
         place = np.zeros(len(words), np.int64)
         place[used] = inverse
@@ -277,8 +340,7 @@ class Reader:
             keys = np.zeros(len(heads), np.uint64)
             for k in range(n):
                 keys = mix64(keys * _JOIN + words[heads + k])
-            codes = self._codes(keys, lambda i: mark + b" ".join(  # noqa: B023 - used at once
-                data[starts[w]:ends[w]].tobytes() for w in range(heads[i], heads[i] + n)))  # noqa: B023
+            codes = self._codes(keys, lambda i: _marked(data, starts, ends, heads[i], n))  # noqa: B023 - used at once
             yield heads[codes >= 0], codes[codes >= 0]
 
     def sentences(self, column):
@@ -300,7 +362,7 @@ class Reader:
             row = np.repeat(np.arange(len(off) - 1), np.diff(at))
             stop = np.isin(data[ends - 1], list(b".!?")) | (data[np.minimum(ends, len(data) - 1)] == 10)
             sentence = np.cumsum(np.r_[False, stop[:-1]])
-            codes = self._codes(words, lambda i: mark + data[starts[i]:ends[i]].tobytes())
+            codes = self._codes(words, lambda i: _marked(data, starts, ends, i))
             hot = np.flatnonzero(codes >= 0)
             found = [(row[hot], sentence[hot], codes[hot])]
             # single characters apart
@@ -315,7 +377,7 @@ class Reader:
                     size = np.r_[0, np.cumsum([len(u) for u in units])]
                     joined = np.frombuffer(b"".join(units).translate(bytes.maketrans(b" \t\n\r\x0b\x0c", b"......")), np.uint8)
                     keys, _ = word_hashes(size, joined)
-                    codes = self._codes(keys, lambda i: units[i])
+                    codes = self._codes(keys, lambda i: [units[j] for j in i.tolist()])
                     kept = codes >= 0
                     heads = np.array([r[0] for r in runs])[kept]
                     found.append((row[heads], sentence[heads], codes[kept]))

@@ -126,6 +126,32 @@ def test_kernel_as_by_listing(s, t):
     assert X.subsequence_kernel(a, b)[0] == pytest.approx(brute_kernel(s, t))
 
 
+def test_own_kernels_are_made_only_where_a_kernel_may_reach_the_floor(monkeypatch):
+    rng = random.Random(9)
+    units = [b"\x02" + "".join(rng.choice("moratidlpehc. ") for _ in range(rng.randint(1, 30))).encode() for _ in range(400)]
+    s, _ = X._padded(units)
+    own = X.own_kernel(s)
+    assert (X.least_own_kernel(s) <= own * (1 + 1e-12)).all()
+    marks = X.Landmarks([b"\x02moron", b"pathetic", b"idiot"])
+    row, z = (x.ravel() for x in np.indices((len(s), 3)))
+    want = X.subsequence_kernel(s[row], marks.bytes[z]) / np.sqrt(np.maximum(own[row], 1e-12) * marks.own[z])
+    made = []
+    monkeypatch.setattr(X, "own_kernel", lambda part: made.append(len(part)) or X.subsequence_kernel(part, part))
+    assert np.allclose(marks._pairs(s, row, z), np.where(want < X.FLOOR, 0, want))
+    assert 0 < sum(made) < len(s) / 2
+
+
+def test_words_are_taken_from_the_text_as_units():
+    data = np.frombuffer(b"Mo  ron\tis it", np.uint8)
+    starts, ends = np.array([0, 4, 8, 11]), np.array([2, 7, 10, 13])
+    units = X._marked(data, starts, ends, np.array([0, 2, 1]), 2)
+    assert units.flat.tobytes() == b"\x02Mo ron\x02is it\x02ron is" and units.lengths.tolist() == [7, 6, 7]
+    marks = X.Landmarks([b"\x02moron"])
+    assert (marks.kernels(units) == marks.kernels([b"\x02Mo ron", b"\x02is it", b"\x02ron is"])).all()
+    long = b"\x02" + b"xyz" * 50 + b"moron" + b"zyx" * 20
+    assert marks.kernels([b"\x02moron", long, b"\x02it"])[:, 0].astype(bool).tolist() == [True, True, False]
+
+
 def test_gaps_and_inserted_letters_are_tolerated():
     marks = X.Landmarks([b"\x02moron", b"\x02pathetic"])
     k = marks.kernels([b"\x02moron", b"\x02m.o.r.o.n!", b"\x02mo-ron", b"\x02moxron", b"\x02m o r o n", b"\x02morning", b"\x02the"])
