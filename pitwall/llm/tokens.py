@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain
+from itertools import chain, compress, count
 
 import numpy as np
 import public_tokenizers
@@ -25,7 +25,7 @@ import public_tokenizers
 from pitwall.llm.common import worker_cache
 
 #: Beyond this number a worker forgets the pieces that it has met only once of late.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 800_000
 _CUT = re.compile(r" (?=\S)")
 _SPACE = re.compile(r"\s")
 
@@ -123,7 +123,7 @@ class Encoder:
     def _forget(self) -> None:
         """Empty caches; pieces met more than once since the last time stay."""
         old, ids, odd = getattr(self, "codes", {}), getattr(self, "pieces", None), getattr(self, "odd", None)
-        self.codes, self.cores, self.raw = _Codes(), _Codes(), _Codes()
+        self.codes, self.cores, self.raw = {}, _Codes(), _Codes()
         self.pieces, self.core_ids, self.raw_ids = _Store(), _Store(), _Store()
         if old:
             keep = self.met[:len(old)] > 1
@@ -177,19 +177,26 @@ class Encoder:
         if out:
             self.core_ids.extend(np.fromiter(chain.from_iterable(out), np.uint32), np.array([len(x) for x in out], dtype=np.int64))
 
-    def _learn(self) -> None:
-        """Ids of new pieces: a core and perhaps one stop; ``odd`` marks those that show white
-        space which the fast cut does not treat."""
-        new, self.codes.new = self.codes.new, []
+    def _learn(self, new: list[str]) -> None:
+        """Ids of new pieces.  A piece of letters is one word to the library's model; another one
+        is a core and perhaps one stop; ``odd`` marks those that show white space which the fast
+        cut does not treat."""
         if not new:
             return
         first = self.pieces.count
         self._grow(first + len(new))
-        core, stop = np.zeros(len(new), np.int64), np.full(len(new), -1, np.int64)
-        for i, u in enumerate(new):
+        word = np.fromiter(map(str.isalpha, new), bool, len(new))
+        model, ids, ends = self.library.model.tokenize, [], []
+        for u in compress(new, word):
+            ids += [t.id for t in model(_MARK + (u if u.isascii() else u.encode().decode("latin-1").translate(_BYTES)))]
+            ends.append(len(ids))
+        spots = np.flatnonzero(~word)
+        core, stop = np.zeros(len(spots), np.int64), np.full(len(spots), -1, np.int64)
+        for i, at in enumerate(spots.tolist()):
+            u = new[at]
             head = u[1:2] if u[:1] == "\n" else u[:1]
             if not head or head.isspace():
-                self.odd[first + i] = True
+                self.odd[first + at] = True
                 core[i] = self.cores["x"]
                 continue
             end = self.stops.get(u[-1])
@@ -200,13 +207,34 @@ class Encoder:
         self._learn_cores()
         flat, lengths = self.core_ids.gather(core)
         with_stop = lengths + (stop >= 0)
-        out = np.zeros(int(with_stop.sum()), np.uint32)
-        ends = np.cumsum(with_stop)
-        keep = np.ones(len(out), bool)
-        keep[ends[stop >= 0] - 1] = False
-        out[keep] = flat
-        out[ends[stop >= 0] - 1] = stop[stop >= 0]
-        self.pieces.extend(out, with_stop)
+        all_lengths = np.zeros(len(new), np.int64)
+        all_lengths[word], all_lengths[spots] = np.diff(np.array([0, *ends])), with_stop
+        of_word = np.repeat(word, all_lengths)
+        rest = np.zeros(int(with_stop.sum()), np.uint32)
+        ends_of = np.cumsum(with_stop)
+        keep = np.ones(len(rest), bool)
+        keep[ends_of[stop >= 0] - 1] = False
+        rest[keep] = flat
+        rest[~keep] = stop[stop >= 0]
+        out = np.zeros(len(of_word), np.uint32)
+        out[of_word], out[~of_word] = np.array(ids, np.uint32), rest
+        self.pieces.extend(out, all_lengths)
+
+    def _codes_of(self, words: list[str]) -> np.ndarray:
+        """The pieces' codes; new ones are learnt.  A new piece is entered under its place in
+        ``words`` first and gets its code when all places are known."""
+        known = len(self.codes)
+        codes = np.fromiter(map(self.codes.setdefault, words, count(known)), np.int64, len(words))
+        fresh = np.flatnonzero(codes == np.arange(known, known + len(words)))
+        if len(fresh):
+            code = np.zeros(len(words), np.int64)
+            code[fresh] = np.arange(known, known + len(fresh))
+            late = codes >= known
+            codes[late] = code[codes[late] - known]
+            new = [words[i] for i in fresh.tolist()]
+            self.codes.update(zip(new, range(known, known + len(new))))
+            self._learn(new)
+        return codes
 
     def _raw(self, text: str) -> np.ndarray:
         cut = _CUT.split(text)
@@ -233,10 +261,13 @@ class Encoder:
             return self._plain(texts)
         if len(self.codes) + len(self.raw) > CACHED_PIECES:
             self._forget()
-        cut = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts]
-        counts = np.array([len(p) for p in cut], dtype=np.int64)
-        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
-        self._learn()
+        words: list[str] = []
+        counts = np.zeros(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            cut = ("\n" + t.replace("\n", " \n")).split(" ")
+            words += cut
+            counts[i] = len(cut)
+        codes = self._codes_of(words)
         self.met[:len(self.codes)] += np.bincount(codes, minlength=len(self.codes)).astype(np.int32)
         flat, lengths = self.pieces.gather(codes)
         bounds = np.r_[0, np.cumsum(counts)]

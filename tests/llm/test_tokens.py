@@ -39,6 +39,16 @@ def test_pieces_give_the_library_s_ids(monkeypatch):
             assert got.tolist() == ids_of(t), t
 
 
+def test_words_of_letters_are_learnt_without_cores():
+    enc = T.Encoder(T.tokenizer_json())
+    for _ in range(2):
+        for text in ("alpha beta été beta", "beta 日本 gamma alpha"):
+            assert enc.encode([text, "", text])[2].tolist() == ids_of(text)
+    # a text begins with a line feed; an empty one stands for "x"
+    assert set(enc.cores) == {"\nalpha", "\nbeta", "x"}
+    assert sorted(enc.codes.values()) == list(range(enc.pieces.count))
+
+
 def test_other_tokenizers_take_whole_texts():
     import public_tokenizers
 
