@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.llm import bloom
-from pitwall.llm.common import held, released, save, ship, small, table
+from pitwall.llm.common import held, mapped, released, save, ship, small, table
 from pitwall.llm.graph import components
 from pitwall.llm.shingles import mix64, set_key, shingle_sets
 
@@ -352,11 +352,11 @@ class _Join:
         parts = 1 + min(tokens or 0, sets * buckets) // UNION_TOKENS
         rows = (self.docs.join(small(want), (F.col("th") == F.col("want_th")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
                 .select("v", "text"))
-        dealt = (rows.mapInArrow(_scattered(self.k, buckets), "bucket int, v binary, lengths binary, tokens binary")
+        dealt = (mapped(rows, _scattered(self.k, buckets), "bucket int, v binary, lengths binary, tokens binary")
                  .repartition("bucket").sortWithinPartitions("bucket"))
-        counted = (dealt.mapInArrow(_shared(parts), "part int, v binary, shared binary")
+        counted = (mapped(dealt, _shared(parts), "part int, v binary, shared binary")
                    .repartition("part").sortWithinPartitions("part"))
-        return counted.mapInArrow(_summed, "v long, shared long")
+        return mapped(counted, _summed, "v long, shared long")
 
     def linked(self, texts: DataFrame, pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` of class keys whose sets reach the threshold.
@@ -372,7 +372,7 @@ class _Join:
         right = known.select("b", "salt", F.lit(0).alias("side"), F.col("b").alias("v")).distinct()
         both = (left.unionByName(right).join(texts.select("v", "text"), "v").select("b", "salt", "side", "v", "text")
                 .repartition("b", "salt").sortWithinPartitions("b", "salt", "side"))
-        return save(both.mapInArrow(_compare(self.k, self.percent), "a long, b long").distinct(), "links")
+        return save(mapped(both, _compare(self.k, self.percent), "a long, b long").distinct(), "links")
 
     def stars(self, rare: DataFrame) -> DataFrame:
         """Pairs of a class and the centre of a group it is in, for three groupings; ``rare(v,
@@ -401,7 +401,7 @@ class _Join:
                       .where("lo <> hi").select("token"), "shared")
         bits = self.docs.sparkSession.sparkContext.broadcast(bloom.build(shared, "token"))
         prefix = save(
-            prefix.mapInArrow(_maybe_in(bits), prefix.schema).join(small(shared), "token", "left_semi")
+            mapped(prefix, _maybe_in(bits), prefix.schema).join(small(shared), "token", "left_semi")
             .groupBy("token", "v").agg(*(F.min(c).alias(c) for c in ("n", "pos", "g", "members"))), "shared_prefix")
         # a linked set shares t n of its tokens with another one; most texts that have a passage
         # in common do not, and end here
@@ -438,10 +438,10 @@ class _Join:
         sides = members.select("group", F.lit(0).alias("side"), "v").unionByName(
             met.select("group", F.lit(1).alias("side"), "v"))
         dealt = (sides.join(small(save(buckets, "buckets")), "group").join(texts.select("v", "text"), "v")
-                 .select("group", "buckets", "side", "v", "text")
-                 .mapInArrow(_dealt(self.k), "group long, bucket int, side int, v long, tokens binary")
+                 .select("group", "buckets", "side", "v", "text"))
+        dealt = (mapped(dealt, _dealt(self.k), "group long, bucket int, side int, v long, tokens binary")
                  .repartition("group", "bucket").sortWithinPartitions("group", "bucket", "side"))
-        overlap = (dealt.mapInArrow(_overlaps, "group long, bucket int, v long, overlap long")
+        overlap = (mapped(dealt, _overlaps, "group long, bucket int, v long, overlap long")
                    .groupBy("group", "bucket", "v").agg(F.max("overlap").alias("overlap"))
                    .groupBy("group", "v").agg(F.sum("overlap").alias("overlap")))
         # a member linked to a set of n has at least t n shingles, and the least size of its group
@@ -480,7 +480,7 @@ def ngram_join(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     spark = documents.sparkSession
     text = F.col("text").cast("string")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"))
-    signatures = save(docs.mapInArrow(_signatures(k), _SIGNATURES), "signatures")
+    signatures = save(mapped(docs, _signatures(k), _SIGNATURES), "signatures")
     rows = signatures.where("kind = 0").select("doc_id", "th", "n", "v", "keys")
     # a class's keys follow from its set: any row's will do
     classes = save(rows.where("n > 0").groupBy("v").agg(
@@ -491,7 +491,7 @@ def ngram_join(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     hot = spark.sparkContext.broadcast(bloom.build(hot, "v"))
 
     join = _Join(docs, classes, k, percent)
-    prefix = save(docs.select("text").mapInArrow(_prefixes(k, percent, hot), "token long, v long, n int, pos int"), "prefix")
+    prefix = save(mapped(docs.select("text"), _prefixes(k, percent, hot), "token long, v long, n int, pos int"), "prefix")
     rare = save(prefix.where("pos < 0").groupBy("v").agg(F.min("token").alias("rare")), "rare")
     stars = save(join.stars(rare), "stars")
     stars = join.linked(join.texts(stars.select(F.col("a").alias("v")).union(stars.select("b"))), stars)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import held, released, save, ship, small, table
+from pitwall.llm.common import held, mapped, released, save, ship, small, table
 from pitwall.llm.shingles import mix64, text_slices, word_hashes
 
 #: Fewer pairs than this are made only where the labels give no more.
@@ -123,7 +123,7 @@ def total(rows: DataFrame, vector) -> np.ndarray:
         if held is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(held)), pa.int32()), pa.array(held)], names=["at", "v"])
 
-    found = rows.mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+    found = mapped(rows, run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
     out = np.zeros(found.num_rows)
     out[found.column("at").to_numpy()] = found.column("v").to_numpy()
     return out
@@ -227,7 +227,7 @@ def train(rows: DataFrame) -> dict | None:
             yield pa.RecordBatch.from_arrays(
                 [b.column("label"), pa.array(expand(_matrix(b.column("x")), knots, scale) @ w)], names=["label", "worth"])
 
-    worths = save(rows.select("label", "x").mapInArrow(worth, "label int, worth double"), "worths")
+    worths = save(mapped(rows.select("label", "x"), worth, "label int, worth double"), "worths")
     middle, spread = worths.agg(F.avg("worth"), F.stddev_pop("worth")).first()
     spread = max(1e-9, float(spread))
     return {"knots": knots, "scale": scale, "w": w, "cut": best_cut(worths, float(middle), spread), "spread": spread}
@@ -279,10 +279,10 @@ def quality_scores(documents: DataFrame, labels: DataFrame, held_out: Column | N
     ship()
     text = F.col("text").cast("string")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    featured = save(docs.mapInArrow(_featured, "doc_id long, th long, x array<double>"), "features")
+    featured = save(mapped(docs, _featured, "doc_id long, th long, x array<double>"), "features")
     model = fit(featured, labels, F.lit(False) if held_out is None else held_out)
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    return featured.mapInArrow(_scored(shared), "doc_id long, th long, score double")
+    return mapped(featured, _scored(shared), "doc_id long, th long, score double")
 
 
 def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
