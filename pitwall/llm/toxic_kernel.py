@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import save, ship, small, table
+from pitwall.llm.common import save, ship, small, table, worker_cache
 from pitwall.llm.quality_rank import crc_fold, sample_of
 from pitwall.llm.shingles import mix64, text_slices, word_hashes
 
@@ -58,8 +58,11 @@ LETTER_GAP, OTHER_GAP = 0.5, 0.95
 WINDOW = 64
 LENGTHS = range(4, 9)
 _CACHE = 1_000_000
-#: Products of lengths whose kernels are held at a time.
-_CELLS = 4_000_000
+#: Distinct rows of kernels beyond which a reader forgets what it has met.
+_CACHED_ROWS = 200_000
+#: Places of a landmark, or rows, that are worked on at a time, so that they stay in the processor's cache.
+_CELLS = 16_000
+_ROWS = 2000
 _JOIN = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -119,27 +122,34 @@ def _marked(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.nd
 
 
 def subsequence_kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """The kernel, not normalised, of each row of ``s`` with the same row of ``t`` (zero-padded bytes)."""
+    """The kernel, not normalised, of each row of ``s`` with the same row of ``t`` (zero-padded bytes).
+    Both steps of the recursion go on row by row, so that only one row of each is held."""
     letter = _letters()
     gap = np.where(letter, LETTER_GAP, OTHER_GAP)
-    n, rows, columns = len(s), s.shape[1], t.shape[1]
-    gs, gt = gap[s].T.copy(), gap[t].T.copy()
-    match = [[(s[:, i] == t[:, j]) & letter[s[:, i]] for j in range(columns)] for i in range(rows)]
-    ended = [[match[i][j].astype(np.float64) for j in range(columns)] for i in range(rows)]
+    n, columns = len(s), t.shape[1]
+    t = t.T.copy()
+    gt = gap[t]
     total = np.zeros(n)
-    for step in range(2):
-        above = [np.zeros(n) for _ in range(columns + 1)]
-        following = []
-        for i in range(rows):
-            row, line = [np.zeros(n)], []
-            for j in range(columns):
-                line.append(np.where(match[i][j], above[j], 0.0))
-                row.append(ended[i][j] + gs[i] * above[j + 1] + gt[j] * row[j] - gs[i] * gt[j] * above[j])
-            above = row
-            following.append(line)
+    above = [np.zeros((columns + 1, n)) for _ in range(2)]
+    row, spare, part = np.zeros((columns + 1, n)), np.empty((columns, n)), np.empty(n)
+    for i in range(s.shape[1]):
+        c = s[:, i]
+        gs = gap[c]
+        ended = ((c == t) & letter[c]).astype(np.float64)
+        match, both = ended, gs * gt
+        for step in range(2):
+            line = match * above[step][:-1]
             if step:
-                total += np.sum(line, axis=0)
-        ended = following
+                total += line.sum(axis=0)
+            np.multiply(above[step][1:], gs, out=row[1:])
+            row[1:] += ended
+            np.multiply(both, above[step][:-1], out=spare)
+            for j in range(columns):
+                np.multiply(gt[j], row[j], out=part)
+                row[j + 1] += part
+                row[j + 1] -= spare[j]
+            above[step], row = row, above[step]
+            ended = line
     return total
 
 
@@ -227,18 +237,27 @@ class Landmarks:
     def common(self, s: np.ndarray) -> np.ndarray:
         """Length of the longest common subsequence of each row of bytes with each landmark."""
         full = ((1 << self.lengths) - 1).astype(np.uint16)[None, :]
-        left = np.broadcast_to(full, (len(s), len(full[0]))).copy()
-        for i in range(s.shape[1]):
-            u = left & self.masks[s[:, i]]
-            left = ((left + u) | (left - u)) & full
-        return self.lengths[None, :] - np.bitwise_count(left)
+        out = np.empty((len(s), len(self.strings)), np.int64)
+        for a in range(0, len(s), _ROWS):
+            part = s[a:a + _ROWS]
+            left = np.repeat(full, len(part), axis=0)
+            u, more = np.empty_like(left), np.empty_like(left)
+            for i in range(s.shape[1]):
+                np.take(self.masks, part[:, i], axis=0, out=u, mode="clip")
+                u &= left
+                np.add(left, u, out=more)
+                left ^= u
+                left |= more  # bits above a landmark's length meet no mask
+            left &= full
+            np.subtract(self.lengths, np.bitwise_count(left), out=out[a:a + _ROWS])
+        return out
 
     def _pairs(self, s: np.ndarray, row: np.ndarray, z: np.ndarray) -> np.ndarray:
         """Kernels of rows of ``s`` with landmarks, pair by pair, in parts of bounded memory.  A row's
         own kernel, which takes most of the work, is made only where its lower bound leaves a
         kernel of ``FLOOR`` possible."""
         k = np.zeros(len(row))
-        step = max(1, _CELLS // (s.shape[1] * self.bytes.shape[1]))
+        step = max(1, _CELLS // self.bytes.shape[1])
         for a in range(0, len(row), step):
             k[a:a + step] = subsequence_kernel(s[row[a:a + step]], self.bytes[z[a:a + step]])
         some = np.unique(row)
@@ -248,7 +267,7 @@ class Landmarks:
         out, k = np.zeros(len(row)), k[able]
         hot, at = np.unique(row[able], return_inverse=True)
         own = np.zeros(len(hot))
-        step = max(1, _CELLS // s.shape[1] ** 2)
+        step = max(1, _CELLS // s.shape[1])
         for a in range(0, len(hot), step):
             own[a:a + step] = own_kernel(s[hot[a:a + step]])
         k /= np.sqrt(np.maximum(own[at], 1e-12) * self.own[z[able]])
@@ -350,7 +369,7 @@ class Reader:
             words, at = word_hashes(off, data)
             if not len(words):
                 continue
-            if len(self.seen) > _CACHE:  # only here: all codes of a slice are rows of the same array
+            if len(self.seen) > _CACHE or len(self.rows) > _CACHED_ROWS:  # only here: all codes of a slice are rows of the same array
                 self._forget()
             gap = np.zeros(256, bool)
             gap[[0x20, *range(0x09, 0x0E)]] = True
@@ -394,6 +413,15 @@ class Reader:
                 yield first_row + int(r[i]), int(s[i]), k
 
 
+def reader_of(landmarks: list[bytes]) -> Reader:
+    """This worker's reader for the landmarks: its tasks share the units that they have met."""
+    held = worker_cache("readers")
+    if tuple(landmarks) not in held:
+        held.clear()
+        held[tuple(landmarks)] = Reader(Landmarks(landmarks))
+    return held[tuple(landmarks)]
+
+
 def _units_of(batches):
     """Each document's distinct words, marked, with its label."""
     for batch in batches:
@@ -535,7 +563,7 @@ def _words(column) -> np.ndarray:
 def _kernels_of(landmarks: list[bytes]):
     """For each training document the kernels of its likeliest sentences."""
     def run(batches):
-        reader = Reader(Landmarks(landmarks))
+        reader = reader_of(landmarks)
         for batch in batches:
             labels = batch.column("label").to_pylist()
             held: list[list] = [[] for _ in labels]
@@ -570,7 +598,7 @@ def fit(documents: DataFrame, labels: DataFrame, held_out: Column) -> dict | Non
 def _scored(model):
     def run(batches):
         m = model.value
-        reader = Reader(Landmarks(m["landmarks"])) if m else None
+        reader = reader_of(m["landmarks"]) if m else None
         for batch in batches:
             if m is None:
                 scores = np.zeros(batch.num_rows)

@@ -1,8 +1,12 @@
 import weakref
 
+import numpy as np
+import pyarrow as pa
+
 from pitwall.llm import common as C
 from pitwall.llm import ngram_join as J
 from pitwall.llm import tokens as T
+from pitwall.llm import toxic_kernel as X
 
 from .helpers import docs_of
 
@@ -38,3 +42,38 @@ def test_the_join_s_tasks_free_caches(spark, monkeypatch):
     rows = [(i, f"a b c d e f g h i j k l m n o p q r {i % 3}") for i in range(9)]
     assert J.without_near_copies(docs_of(spark, rows)).count() == 1
     assert len(seen) >= 5
+
+
+def test_tasks_of_a_worker_share_the_units_met(monkeypatch):
+    marks = [b"\x02moron", b"\x02scum"]
+
+    class Model:
+        value = {"landmarks": marks, "w": np.ones(2), "bias": -1.0, "last": np.array([1.0, 0, 0, 0, 0, 0])}
+
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3]), pa.array(["what a moron that is", "mo ron s c u m here", None])], names=["doc_id", "text"])
+    C.drop_caches()
+    first = [b.to_pydict() for b in X._scored(Model)(iter([batch]))]
+    monkeypatch.setattr(X.Landmarks, "kernels", None)  # every unit is known by now
+    assert [b.to_pydict() for b in X._scored(Model)(iter([batch]))] == first
+
+
+def test_kernel_equals_a_sum_over_subsequences():
+    from itertools import combinations
+
+    def weight(s, places):
+        out = 1.0
+        for i in range(places[0], places[-1]):
+            if i not in places:
+                out *= X.LETTER_GAP if chr(s[i]).isalnum() else X.OTHER_GAP
+        return out
+
+    def kernel(s, t):
+        letters = [[p for p in combinations(range(len(x)), 3) if all(chr(x[i]).isalnum() for i in p)] for x in (s, t)]
+        return sum(weight(s, p) * weight(t, q) for p in letters[0] for q in letters[1]
+                   if [s[i] for i in p] == [t[i] for i in q])
+
+    units = [b"moron", b"m.o.r-o.n", b"mooorn", b"mo", b"", b"tan tan", b"banana"]
+    pairs = [(a, b) for a in units for b in units]
+    left, right = (X._padded([p[i] for p in pairs])[0] for i in (0, 1))
+    assert np.allclose(X.subsequence_kernel(left, right), [kernel(a, b) for a, b in pairs])
