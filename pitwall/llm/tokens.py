@@ -3,8 +3,9 @@
 A byte-level BPE that splits words as GPT-2 does always begins a new word at a space that
 is followed by a character other than white space, and at a line feed between two such
 characters.  So a text's ids are those of its pieces between these places, and each
-different piece goes through the tokenizers library once per worker.  Texts with other
-white space patterns (double spaces, tabs, blank lines) are cut by a regular expression
+different piece goes through the tokenizers library once per worker.  A slice of texts is cut
+as one buffer and Arrow numbers its different pieces, so that only these are looked up in the
+cache; points that end a word are pieces of their own.  Texts with other white space patterns (double spaces, tabs, blank lines) are cut by a regular expression
 instead, at the same kind of places; a tokenizer of another kind gets whole texts.
 
 A text may hold the literal of a special token (``<|endoftext|>``).  With ``special`` it gets
@@ -17,15 +18,24 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain, compress, count
+import string
+from bisect import bisect_right
+from itertools import chain, repeat
+from operator import attrgetter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pitwall.llm.common import worker_cache
 
 #: Beyond this number a worker forgets the pieces that it has met only once of late.
-CACHED_PIECES = 800_000
+CACHED_PIECES = 300_000
+#: Beyond this number it forgets the cores and tails, which only new pieces ask for.
+CACHED_CORES = 50_000
+#: Pieces whose ids are put together at once.
+_GATHERED = 1 << 16
 _CUT = re.compile(r" (?=\S)")
 _SPACE = re.compile(r"\s")
 
@@ -40,6 +50,11 @@ def _byte_letters() -> dict[int, str]:
 
 _BYTES = _byte_letters()
 _MARK = _BYTES[32]
+_NONE, _NO_LENGTHS = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+_ID = attrgetter("id")
+#: After a letter or digit a run of these is a word of its own ("'" may begin one of another kind).
+_POINTS = string.punctuation.replace("'", "")
+_POINT, _PLAIN = (np.isin(np.arange(256), list(x.encode())) for x in (_POINTS, string.ascii_letters + string.digits))
 
 
 def tokenizer_json(path: str | None = None) -> str:
@@ -98,6 +113,10 @@ class _Store:
         return self.ids[at], lengths
 
 
+def _keep(store: _Store, runs: list[np.ndarray]) -> None:
+    store.extend(np.concatenate([_NONE, *runs]), np.array([len(x) for x in runs], np.int64))
+
+
 class Encoder:
     """``encode(texts)`` gives the ids of each text as the tokenizers library does."""
 
@@ -108,7 +127,7 @@ class Encoder:
         self.library = Tokenizer.from_str(spec)
         self.library.encode_special_tokens = True
         made = json.loads(spec)
-        self.default = Tokenizer.from_str(spec) if special else None
+        self.spec, self.special, self.default = spec, special, None
         self.literals = [t["content"] for t in made.get("added_tokens") or [] if t.get("special")]
         split = made.get("pre_tokenizer") or {}
         feed = self._plain(["\n"])[0]
@@ -117,25 +136,29 @@ class Encoder:
                           and made["model"].get("type") == "BPE" and len(feed) == 1)
         if self.by_pieces:
             self.feed = int(feed[0])
-            self.stops = {c: i for c, i in ((c, self._plain([c])[0]) for c in ".,;:!?") if len(i) == 1}
+        #: The known pieces by code, words with their space: an array takes a third of a dict.
+        self.known = pa.array([], pa.large_binary())
+        self.pieces, self.odd, self.met = _Store(), np.zeros(1 << 14, bool), np.zeros(1 << 14, np.int32)
         self._forget()
+        self._forget_cores()
+
+    @property
+    def codes(self) -> dict[str, int]:
+        return {piece: code for code, piece in enumerate(_strings(self.known))}
 
     def _forget(self) -> None:
         """Empty caches; pieces met more than once since the last time stay."""
-        old, ids, odd = getattr(self, "codes", {}), getattr(self, "pieces", None), getattr(self, "odd", None)
-        self.codes, self.cores, self.raw = {}, _Codes(), _Codes()
-        self.pieces, self.core_ids, self.raw_ids = _Store(), _Store(), _Store()
-        if old:
-            keep = self.met[:len(old)] > 1
-            for piece, kept in zip(old, keep.tolist()):
-                if kept:
-                    self.codes[piece] = len(self.codes)
-            self.pieces.extend(*ids.gather(np.flatnonzero(keep)))
-            odd = odd[:len(old)][keep]
+        self.raw, self.raw_ids = _Codes(), _Store()
+        keep = np.flatnonzero(self.met[:len(self.known)] > 1)
+        self.known, odd, old, self.pieces = self.known.take(pa.array(keep)), self.odd[keep], self.pieces, _Store()
+        self.pieces.extend(*old.gather(keep))
         self.odd, self.met = np.zeros(1 << 14, bool), np.zeros(1 << 14, np.int32)
-        if old:
-            self._grow(len(odd))
-            self.odd[:len(odd)] = odd
+        self._grow(len(keep))
+        self.odd[:len(keep)] = odd
+
+    def _forget_cores(self) -> None:
+        self.cores, self.tails = _Codes(), _Codes()
+        self.core_ids, self.tail_ids = _Store(), _Store()
 
     def _grow(self, n: int) -> None:
         while n > len(self.odd):
@@ -148,19 +171,23 @@ class Encoder:
 
     def _learn_cores(self) -> None:
         """Ids of new cores: ``foo`` stands for `` foo``, ``\\nFoo`` for itself.  A space and
-        letters are one word to the library's model; cores of other kinds without further white
-        space go through the whole tokenizer in one text, a line feed apart."""
+        letters are one word to the library's model, and so are letters after a line feed, which
+        is a word of its own; cores of other kinds without further white space go through the whole
+        tokenizer in one text, a line feed apart."""
         new, self.cores.new = self.cores.new, []
         out: list = [None] * len(new)
-        spaced, lined, odd = [], [], []
-        model = self.library.model.tokenize
+        word, begun, spaced, lined, odd = [], [], [], [], []
         for i, c in enumerate(new):
             if c.isalpha():
-                out[i] = [t.id for t in model(_MARK + (c if c.isascii() else c.encode().decode("latin-1").translate(_BYTES)))]
+                word.append(i)
             elif c[0] == "\n":
-                (odd if _SPACE.search(c, 1) else lined).append(i)
+                (begun if c[1:].isalpha() else odd if _SPACE.search(c, 1) else lined).append(i)
             else:
                 (odd if not c.isalnum() and _SPACE.search(c) else spaced).append(i)
+        for group, mark in ((word, _MARK), (begun, "")):
+            ids, lengths = self._words([new[i][not mark:] for i in group], mark)
+            for i, x in zip(group, np.split(ids, np.cumsum(lengths)[:-1])):
+                out[i] = x if mark else [self.feed, *x]
         for group, form in ((spaced, " {}\n"), (lined, "{}")):
             for k in range(0, len(group), 4096):
                 part = group[k:k + 4096]
@@ -177,63 +204,58 @@ class Encoder:
         if out:
             self.core_ids.extend(np.fromiter(chain.from_iterable(out), np.uint32), np.array([len(x) for x in out], dtype=np.int64))
 
-    def _learn(self, new: list[str]) -> None:
-        """Ids of new pieces.  A piece of letters is one word to the library's model; another one
-        is a core and perhaps one stop; ``odd`` marks those that show white space which the fast
-        cut does not treat."""
-        if not new:
-            return
+    def _words(self, words: list[str], mark: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of runs of letters, each of which is one word to the library's model, and their
+        numbers; ``mark`` stands before each."""
+        model, flat, lengths = self.library.model.tokenize, [_NONE], [_NO_LENGTHS]
+        for k in range(0, len(words), 8192):
+            found = [model(mark + (u if u.isascii() else u.encode().decode("latin-1").translate(_BYTES)))
+                     for u in words[k:k + 8192]]
+            lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
+            flat.append(np.fromiter(map(_ID, chain.from_iterable(found)), np.uint32, int(lengths[-1].sum())))
+        return np.concatenate(flat), np.concatenate(lengths)
+
+    def _learn_others(self, new: list[str]) -> None:
+        """Ids of new pieces that are not letters alone: a core and perhaps a tail.  ``odd`` marks
+        pieces that show white space which the fast cut does not treat."""
         first = self.pieces.count
-        self._grow(first + len(new))
-        word = np.fromiter(map(str.isalpha, new), bool, len(new))
-        model, ids, ends = self.library.model.tokenize, [], []
-        for u in compress(new, word):
-            ids += [t.id for t in model(_MARK + (u if u.isascii() else u.encode().decode("latin-1").translate(_BYTES)))]
-            ends.append(len(ids))
-        spots = np.flatnonzero(~word)
-        core, stop = np.zeros(len(spots), np.int64), np.full(len(spots), -1, np.int64)
-        for i, at in enumerate(spots.tolist()):
-            u = new[at]
+        core, tail = np.zeros(len(new), np.int64), np.full(len(new), -1, np.int64)
+        for i, u in enumerate(new):
             head = u[1:2] if u[:1] == "\n" else u[:1]
             if not head or head.isspace():
-                self.odd[first + at] = True
+                self.odd[first + i] = True
                 core[i] = self.cores["x"]
                 continue
-            end = self.stops.get(u[-1])
-            if end is not None and len(u) > 1 and u[-2].isalnum():
-                core[i], stop[i] = self.cores[u[:-1]], end[0]
+            c = u.rstrip(_POINTS)
+            if len(c) < len(u) and c[-1:].isalnum():
+                core[i], tail[i] = self.cores[c], self.tails[u[len(c):]]
             else:
                 core[i] = self.cores[u]
         self._learn_cores()
-        flat, lengths = self.core_ids.gather(core)
-        with_stop = lengths + (stop >= 0)
-        all_lengths = np.zeros(len(new), np.int64)
-        all_lengths[word], all_lengths[spots] = np.diff(np.array([0, *ends])), with_stop
-        of_word = np.repeat(word, all_lengths)
-        rest = np.zeros(int(with_stop.sum()), np.uint32)
-        ends_of = np.cumsum(with_stop)
-        keep = np.ones(len(rest), bool)
-        keep[ends_of[stop >= 0] - 1] = False
-        rest[keep] = flat
-        rest[~keep] = stop[stop >= 0]
-        out = np.zeros(len(of_word), np.uint32)
-        out[of_word], out[~of_word] = np.array(ids, np.uint32), rest
-        self.pieces.extend(out, all_lengths)
-
-    def _codes_of(self, words: list[str]) -> np.ndarray:
-        """The pieces' codes; new ones are learnt.  A new piece is entered under its place in
-        ``words`` first and gets its code when all places are known."""
-        known = len(self.codes)
-        codes = np.fromiter(map(self.codes.setdefault, words, count(known)), np.int64, len(words))
-        fresh = np.flatnonzero(codes == np.arange(known, known + len(words)))
+        _keep(self.tail_ids, self._plain(self.tails.new))
+        self.tails.new = []
+        lengths = np.zeros((len(new), 2), np.int64)
+        lengths[:, 0], lengths[:, 1] = self.core_ids.length[core], np.where(tail < 0, 0, self.tail_ids.length[tail])
+        of_core = np.repeat(np.tile([True, False], len(new)), lengths.ravel())
+        flat = np.zeros(len(of_core), np.uint32)
+        flat[of_core], flat[~of_core] = self.core_ids.gather(core)[0], self.tail_ids.gather(tail[tail >= 0])[0]
+        self.pieces.extend(flat, lengths.sum(axis=1))
+
+    def _codes_of(self, pieces: pa.Array) -> np.ndarray:
+        """The codes of pieces that all differ; new ones are learnt: words of letters, tails, others."""
+        codes = pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy().astype(np.int64)
+        fresh = np.flatnonzero(codes < 0)
         if len(fresh):
-            code = np.zeros(len(words), np.int64)
-            code[fresh] = np.arange(known, known + len(fresh))
-            late = codes >= known
-            codes[late] = code[codes[late] - known]
-            new = [words[i] for i in fresh.tolist()]
-            self.codes.update(zip(new, range(known, known + len(new))))
-            self._learn(new)
+            new = _strings(pieces.take(pa.array(fresh)))
+            kind = np.fromiter((1 if u[0] != " " else 0 if u[1:].isalpha() else 2 for u in new), np.int8, len(new))
+            order, (words, tails) = np.argsort(kind, kind="stable"), np.searchsorted(np.sort(kind), [1, 2])
+            fresh, new = fresh[order], [new[i] for i in order.tolist()]
+            codes[fresh] = np.arange(len(self.known), len(self.known) + len(new))
+            self.known = pa.concat_arrays([self.known, pieces.take(pa.array(fresh))])
+            self._grow(len(self.known))
+            self.pieces.extend(*self._words([u[1:] for u in new[:words]], _MARK))
+            _keep(self.pieces, self._plain(new[words:tails]))
+            self._learn_others([u[1:] for u in new[tails:]])
         return codes
 
     def _raw(self, text: str) -> np.ndarray:
@@ -241,16 +263,17 @@ class Encoder:
         codes = [self.raw[cut[0]], *[self.raw[" " + p] for p in cut[1:]]]
         new, self.raw.new = self.raw.new, []
         if new:
-            ids = self._plain(new)
-            self.raw_ids.extend(np.concatenate(ids), np.array([len(x) for x in ids], dtype=np.int64))
+            _keep(self.raw_ids, self._plain(new))
         return self.raw_ids.gather(np.array(codes))[0]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if self.default is None:
+        if not self.special:
             return self._encode(texts)
         whole = [i for i, t in enumerate(texts) if not self.by_pieces or any(x in t for x in self.literals)]
         if not whole:
             return self._encode(texts)
+        if self.default is None:
+            self.default = type(self.library).from_str(self.spec)
         held = set(whole)
         rest = iter(self._encode([t for i, t in enumerate(texts) if i not in held]))
         found = iter(self.default.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False))
@@ -259,23 +282,53 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_pieces:
             return self._plain(texts)
-        if len(self.codes) + len(self.raw) > CACHED_PIECES:
+        if len(self.known) + len(self.raw) > CACHED_PIECES:
             self._forget()
-        words: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            cut = ("\n" + t.replace("\n", " \n")).split(" ")
-            words += cut
-            counts[i] = len(cut)
-        codes = self._codes_of(words)
-        self.met[:len(self.codes)] += np.bincount(codes, minlength=len(self.codes)).astype(np.int32)
-        flat, lengths = self.pieces.gather(codes)
-        bounds = np.r_[0, np.cumsum(counts)]
-        odd = np.diff(np.r_[0, np.cumsum(self.odd[codes])][bounds]) > 0
-        at = np.r_[0, np.cumsum(lengths)][bounds].tolist()
-        empty = np.zeros(0, np.uint32)
-        return [empty if not t else self._raw(t) if odd[i] else flat[at[i] + 1:at[i + 1]]
-                for i, t in enumerate(texts)]
+        if len(self.cores) + len(self.tails) > CACHED_CORES:
+            self._forget_cores()
+        begun = [(" \n" + t.replace("\n", " \n")).encode() for t in texts]
+        text = b"".join(begun)
+        starts = _cuts(np.frombuffer(text, np.uint8))
+        bounds = np.searchsorted(starts, np.r_[0, np.cumsum([len(b) for b in begun])]).tolist()
+        pieces = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(np.r_[starts, len(text)]), pa.py_buffer(text)]).dictionary_encode()
+        place = pieces.indices.to_numpy()
+        codes = self._codes_of(pieces.dictionary)
+        self.met[codes] += np.bincount(place, minlength=len(codes)).astype(np.int32)
+        odd = self.odd[codes]
+        out: list[np.ndarray] = []
+        while len(out) < len(texts):  # all texts up to a number of pieces, one at least
+            first = len(out)
+            last = max(first + 1, bisect_right(bounds, bounds[first] + _GATHERED) - 1)
+            here, span = place[bounds[first]:bounds[last]], np.array(bounds[first:last + 1]) - bounds[first]
+            flat, lengths = self.pieces.gather(codes[here])
+            at = np.r_[0, np.cumsum(lengths)][span].tolist()
+            strange = (np.diff(np.r_[0, np.cumsum(odd[here])][span]) > 0).tolist()
+            for i, t in enumerate(texts[first:last]):
+                out.append(_NONE if not t else self._raw(t) if strange[i] else flat[at[i] + 1:at[i + 1]])
+        return out
+
+
+def _cuts(text: np.ndarray) -> np.ndarray:
+    """Where pieces start in UTF-8 bytes that begin with a space: at each space, and where points
+    that a space or the end follows come after a letter or digit, as far as one byte or a Latin
+    letter of two tells it."""
+    point = _POINT[text]
+    turns = np.flatnonzero(point[1:] != point[:-1]) + 1  # a run of points starts, ends, starts ...
+    first, after = turns[::2], turns[1::2]
+    if len(after) < len(first):
+        after = np.r_[after, len(text)]
+    at_end = (after == len(text)) | (text[np.minimum(after, len(text) - 1)] == 32)
+    first = first[at_end]
+    last = text[first - 1]
+    latin = (last > 127) & (last < 192) & (text[first - 2] == 0xC3) & (last != 0x97) & (last != 0xB7)
+    tail = np.zeros(len(text), bool)
+    tail[first[_PLAIN[last] | latin]] = True
+    return np.flatnonzero(tail | (text == 32))
+
+
+def _strings(pieces: pa.Array) -> list[str]:
+    return pieces.cast(pa.large_string()).to_numpy(zero_copy_only=False).tolist()
 
 
 def encoder(spec: str, special: bool = False) -> Encoder:
@@ -286,8 +339,8 @@ def encoder(spec: str, special: bool = False) -> Encoder:
     return held[spec, special]
 
 
-def encoded(column, spec: str, chars: int = 1_000_000, special: bool = False):
-    """``(row, ids)`` of an Arrow text column, in runs of about a million characters."""
+def encoded(column, spec: str, chars: int = 2_000_000, special: bool = False):
+    """``(row, ids)`` of an Arrow text column, in runs of about two million characters."""
     enc = encoder(spec, special)
     texts, first, size = [], 0, 0
     for row, t in enumerate(column):

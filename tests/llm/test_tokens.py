@@ -15,6 +15,7 @@ from .helpers import ODD, docs_of, words
 
 LIBRARY = Tokenizer.from_str(T.tokenizer_json())
 LIBRARY.encode_special_tokens = True
+SHARED = T.Encoder(T.tokenizer_json())
 
 
 def ids_of(text):
@@ -49,6 +50,22 @@ def test_words_of_letters_are_learnt_without_cores():
     assert sorted(enc.codes.values()) == list(range(enc.pieces.count))
 
 
+def test_points_at_the_end_of_a_word_are_pieces_of_their_own():
+    enc = T.Encoder(T.tokenizer_json())
+    texts = ["beta, beta; beta. beta", "beta!? été, été naïve... beta\n", "12, a_b_ × ×, x', x', (y) »; ñ÷, 日, 日", "... ,a, ''. 's. _", ""]
+    for _ in range(2):
+        assert [ids.tolist() for ids in enc.encode(texts)] == [ids_of(t) for t in texts]
+    assert enc.encode([]) == []
+    assert {" beta", " été", ",", ";", ".", "!?", "..."} <= set(enc.codes)
+    assert not {c for c in enc.codes if c.startswith((" beta", " été")) and c not in (" beta", " été")}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab é×ñ日½1,.;'_!»\n\t "), max_size=30), max_size=6))
+def test_any_mix_of_points_and_letters_gives_the_library_s_ids(texts):
+    assert [ids.tolist() for ids in SHARED.encode(texts)] == [ids_of(t) for t in texts]
+
+
 def test_other_tokenizers_take_whole_texts():
     import public_tokenizers
 
