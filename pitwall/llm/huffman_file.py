@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import save, ship, table
+from pitwall.llm.common import mapped, save, ship, table
 from pitwall.llm.tokens import encoded, tokenizer_json, vocabulary_size
 from pitwall.session import scratch_path
 
@@ -207,6 +207,7 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None,
 
     Texts are tokenized once, into a table in the shared folder that holds each document's
     ids; counts come from that table, and its rows are range-partitioned and sorted by id.
+    The tokenizer and its cache leave a worker when texts are done: a block's arrays come next.
     The driver sees one row for each different id at most.
     """
     ship()
@@ -216,7 +217,7 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None,
     spec = spark.sparkContext.broadcast(text)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     tokens = save(docs.mapInArrow(_tokenize(spec, end_id, width, special), "doc_id long, n int, crc long, packed binary"), "ids")
-    counts = (tokens.select("packed").mapInArrow(_count(width), "id long, n long")
+    counts = (mapped(tokens.select("packed"), _count(width), "id long, n long")
               .groupBy("id").agg(F.sum("n").alias("n")).toArrow())
     ids, n = counts.column("id").to_numpy(), counts.column("n").to_numpy()
     bits = code_lengths(n, max(MAX_BITS, len(n).bit_length() + 1)) if len(n) else np.zeros(0, np.int64)
@@ -225,8 +226,8 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None,
     word_of[sym], bits_of[sym] = words, length
     spark.createDataFrame(pa.table({"id": ids, "bits": bits})).coalesce(1).write.parquet(f"{path}/code")
     code = spark.sparkContext.broadcast((word_of, bits_of))
-    (tokens.repartitionByRange("doc_id", "crc", "n").sortWithinPartitions("doc_id", "crc", "n")
-     .select("doc_id", "packed").mapInArrow(_encode(code, width), _BLOCKS)
+    dealt = tokens.repartitionByRange("doc_id", "crc", "n").sortWithinPartitions("doc_id", "crc", "n")
+    (mapped(dealt.select("doc_id", "packed"), _encode(code, width), _BLOCKS)
      .write.option("compression", "none").parquet(f"{path}/blocks"))
 
 
@@ -265,7 +266,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     parts = blocks.groupBy("part").agg(F.sum("ids").alias("size")).select(
         "part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("base"))
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return blocks.join(F.broadcast(parts), "part").mapInArrow(_decode(tables, with_ids), schema)
+    return mapped(blocks.join(F.broadcast(parts), "part"), _decode(tables, with_ids), schema)
 
 
 def token_files(documents: DataFrame, tokenizer: str | None = None, end_id: int = 0) -> DataFrame:

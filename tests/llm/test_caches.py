@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from pitwall.llm import common as C
+from pitwall.llm import huffman_file as H
 from pitwall.llm import ngram_join as J
 from pitwall.llm import tokens as T
 from pitwall.llm import toxic_kernel as X
@@ -44,6 +45,24 @@ def test_the_join_s_tasks_free_caches(spark, monkeypatch):
     assert len(seen) >= 5
 
 
+def test_a_worker_holds_no_tokenizer_while_it_codes_and_reads_blocks(spark, monkeypatch):
+    seen = []
+
+    def noted(df, run, schema):
+        seen.append(run)
+        return C.mapped(df, run, schema)
+
+    monkeypatch.setattr(H, "mapped", noted)
+    assert H.token_files(docs_of(spark, [(i, f"word {i}, word.") for i in range(5)])).count() == 5
+    assert len(seen) == 3  # counts, blocks, rows read back
+
+
+def test_known_pieces_take_few_bytes():
+    encoder = T.Encoder(T.tokenizer_json())
+    encoder.encode([" ".join(f"word{i}" for i in range(5000))])
+    assert 5000 <= len(encoder.known) <= 5001 and encoder.known.nbytes < 5001 * 20
+
+
 def test_tasks_of_a_worker_share_the_units_met(monkeypatch):
     marks = [b"\x02moron", b"\x02scum"]
 
